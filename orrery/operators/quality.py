@@ -137,3 +137,15 @@ def reject_records(rejects: DataFrame, job_name: str, target_table: str) -> Data
 def union_rejects(*frames: DataFrame) -> DataFrame:
     """Union by name; columns missing on one side become null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def key_counts(df: DataFrame, keys: Sequence[str], out: str = "key_count") -> DataFrame:
+    """``count(*) OVER (PARTITION BY keys)`` as an aggregate joined back
+    null-safely (null keys form one group). The per-key counts are
+    pre-aggregated map-side, so a hot key never moves as raw rows into one
+    window partition."""
+    alias = {c: f"_kc_{i}" for i, c in enumerate(keys)}
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).select(
+        *[F.col(c).alias(alias[c]) for c in keys], out)
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(alias[c])) for c in keys])
+    return df.join(counts, cond, "inner").select(*df.columns, out)
