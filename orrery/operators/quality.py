@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,10 +93,19 @@ class ForeignKey:
                 .select(*df.columns))
 
 
-def validate(df: DataFrame, rules: Sequence) -> DataFrame:
-    """Apply rules in order; returns ``df`` plus ``error_reason``."""
+def validate(df: DataFrame, rules: Sequence, reuse: list | None = None) -> DataFrame:
+    """Apply rules in order; returns ``df`` plus ``error_reason``.
+
+    A uniqueness rule reads its input twice (rows and per-key counts). With
+    ``reuse`` (a list), the frame flagged so far is persisted before such a
+    rule, so upstream scans and joins run once; the caller unpersists the
+    frames collected in ``reuse`` after its actions.
+    """
     flagged = df.withColumn(REASON, F.lit(None).cast("string"))
     for rule in rules:
+        if reuse is not None and isinstance(rule, Unique):
+            flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+            reuse.append(flagged)
         flagged = rule.apply(flagged)
     return flagged
 

@@ -109,13 +109,14 @@ def popularity_recommendations(dim_user: DataFrame, fact: DataFrame,
 
 
 def validate_recommendations(recos: DataFrame, dim_item: DataFrame,
-                             item_rows: int | None = None) -> DataFrame:
+                             item_rows: int | None = None, reuse: list | None = None
+                             ) -> DataFrame:
     """not-null (user, item, rank) -> item exists -> unique (user, rank)."""
     return validate(recos.select(*RECO_COLUMNS), [
         NotNull(("user_id", "item_id", "rank")),
         ForeignKey(("item_id",), dim_item, ITEM_NOT_FOUND, ref_rows=item_rows),
         Unique(("user_id", "rank")),
-    ])
+    ], reuse)
 
 
 # ---- ALS ----------------------------------------------------------------------

@@ -31,23 +31,25 @@ def dim_item_rows(items: DataFrame) -> DataFrame:
     )
 
 
-def validate_dim_item(items: DataFrame) -> DataFrame:
+def validate_dim_item(items: DataFrame, reuse: list | None = None) -> DataFrame:
     """Not-null (item_id, name) -> unique item_id."""
-    return validate(dim_item_rows(items), [NotNull(("item_id", "name")), Unique(("item_id",))])
+    return validate(dim_item_rows(items), [NotNull(("item_id", "name")), Unique(("item_id",))],
+                    reuse)
 
 
-def validate_dim_tag(items: DataFrame) -> DataFrame:
+def validate_dim_tag(items: DataFrame, reuse: list | None = None) -> DataFrame:
     """Distinct tag names numbered alphabetically from 1, then
     not-null -> unique id -> unique name."""
     names = item_tags(items).select("tag_name").distinct()
     numbered = global_row_number(names, ["tag_name"], "tag_id").select(
         F.col("tag_id").cast("int"), "tag_name")
     return validate(numbered, [NotNull(("tag_id", "tag_name")), Unique(("tag_id",)),
-                               Unique(("tag_name",))])
+                               Unique(("tag_name",))], reuse)
 
 
 def bridge_stages(items: DataFrame, dim_tag: DataFrame, dim_item: DataFrame,
-                  tag_rows: int | None = None, item_rows: int | None = None):
+                  tag_rows: int | None = None, item_rows: int | None = None,
+                  reuse: list | None = None):
     """B5 in two stages, as (tag lookup flagged, bridge flagged).
 
     Stage 1 resolves tag names to ids with one left join against the tag
@@ -65,7 +67,7 @@ def bridge_stages(items: DataFrame, dim_tag: DataFrame, dim_item: DataFrame,
         NotNull(("item_id", "tag_id")),
         ForeignKey(("item_id",), dim_item, ITEM_NOT_FOUND, ref_rows=item_rows),
         Unique(("item_id", "tag_id")),
-    ])
+    ], reuse)
     return stage1, stage2
 
 
@@ -82,14 +84,14 @@ def fact_rows(ratings: DataFrame) -> DataFrame:
                           F.col("rating").cast("int"))
 
 
-def validate_fact(ratings: DataFrame, dim_item: DataFrame, item_rows: int | None = None
-                  ) -> DataFrame:
+def validate_fact(ratings: DataFrame, dim_item: DataFrame, item_rows: int | None = None,
+                  reuse: list | None = None) -> DataFrame:
     """Not-null (user, item) -> item exists -> unique (user, item)."""
     return validate(fact_rows(ratings), [
         NotNull(("user_id", "item_id")),
         ForeignKey(("item_id",), dim_item, ITEM_NOT_FOUND, ref_rows=item_rows),
         Unique(("user_id", "item_id")),
-    ])
+    ], reuse)
 
 
 def dim_user_rows(fact: DataFrame) -> DataFrame:
@@ -100,9 +102,9 @@ def dim_user_rows(fact: DataFrame) -> DataFrame:
     )
 
 
-def validate_dim_user(fact: DataFrame) -> DataFrame:
+def validate_dim_user(fact: DataFrame, reuse: list | None = None) -> DataFrame:
     """Derived from the fact; not-null -> unique user."""
-    return validate(dim_user_rows(fact), [NotNull(("user_id",)), Unique(("user_id",))])
+    return validate(dim_user_rows(fact), [NotNull(("user_id",)), Unique(("user_id",))], reuse)
 
 
 def valid_rows(flagged: DataFrame, columns) -> DataFrame:

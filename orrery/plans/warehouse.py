@@ -19,7 +19,7 @@ from orrery.plans import recommend, silver, star
 from orrery.plans.analytics import Gold
 from orrery.session import unique_name, work_root
 from orrery.sources import fixtures
-from orrery.sources.catalog import Catalog, run_validated_job
+from orrery.sources.catalog import Catalog, run_validated_job, stage_validated_job
 
 
 @dataclass
@@ -29,9 +29,8 @@ class Warehouse:
     root: str
     counts: dict = field(default_factory=dict)
 
-    @property
-    def catalog(self) -> Catalog:
-        return Catalog(self.spark, f"{self.root}/gold")
+    def __post_init__(self):
+        self.catalog = Catalog(self.spark, f"{self.root}/gold")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -56,28 +55,43 @@ class Warehouse:
         return self.spark.read.parquet(self.path("silver", name))
 
     def gold(self) -> None:
+        """B3-B7 staged one after the other (each reads its predecessors'
+        staged versions), then switched in one manifest: dashboards see the
+        old star schema or the new one, never a mix. Recommendations built on
+        the old item dimension are emptied in the same switch."""
         cat = self.catalog
         items = self.silver_table("items")
-        self.counts["dim_item"] = run_validated_job(
-            cat, star.validate_dim_item(items), "gold_dim_item", "dim_item",
-            star.DIM_ITEM_COLUMNS, cascade=["bridge_item_tag", "fact_ratings", "recommendations"])
-        self.counts["dim_tag"] = run_validated_job(
-            cat, star.validate_dim_tag(items), "gold_dim_tag", "dim_tag",
-            star.DIM_TAG_COLUMNS, cascade=["bridge_item_tag"])
-        dim_item, dim_tag = cat.read("dim_item"), cat.read("dim_tag")
-        stage1, stage2 = star.bridge_stages(items, dim_tag, dim_item, tag_rows=cat.rows("dim_tag"))
-        flagged = stage2.unionByName(
-            stage1.filter(F.col("error_reason").isNotNull()).select("item_id", "tag_name",
-                                                                   "error_reason"),
-            allowMissingColumns=True)
-        self.counts["bridge_item_tag"] = run_validated_job(
-            cat, flagged, "gold_bridge_item_tag", "bridge_item_tag", star.BRIDGE_COLUMNS)
-        self.counts["fact_ratings"] = run_validated_job(
-            cat, star.validate_fact(self.silver_table("ratings"), dim_item),
-            "gold_fact_ratings", "fact_ratings", star.FACT_COLUMNS)
-        self.counts["dim_user"] = run_validated_job(
-            cat, star.validate_dim_user(cat.read("fact_ratings")), "gold_dim_user", "dim_user",
+        run_id = unique_name("gold")
+        staged: dict = {}
+
+        def job(name, target, build, columns):
+            reuse: list = []
+            version, counts = stage_validated_job(cat, build(reuse), name, target, columns,
+                                                  reuse, run_id)
+            staged[target] = version
+            self.counts[target] = counts
+            return cat.read(target, version), version.rows
+
+        dim_item, item_rows = job("gold_dim_item", "dim_item",
+                                  lambda r: star.validate_dim_item(items, r),
+                                  star.DIM_ITEM_COLUMNS)
+        dim_tag, tag_rows = job("gold_dim_tag", "dim_tag",
+                                lambda r: star.validate_dim_tag(items, r), star.DIM_TAG_COLUMNS)
+
+        def bridge(reuse):
+            stage1, stage2 = star.bridge_stages(items, dim_tag, dim_item, tag_rows=tag_rows,
+                                                item_rows=item_rows, reuse=reuse)
+            return stage2.unionByName(
+                stage1.filter(F.col("error_reason").isNotNull())
+                .select("item_id", "tag_name", "error_reason"), allowMissingColumns=True)
+
+        job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS)
+        fact, _ = job("gold_fact_ratings", "fact_ratings",
+                      lambda r: star.validate_fact(self.silver_table("ratings"), dim_item,
+                                                   item_rows, r), star.FACT_COLUMNS)
+        job("gold_dim_user", "dim_user", lambda r: star.validate_dim_user(fact, r),
             star.DIM_USER_COLUMNS)
+        cat.commit(staged, cascade=["recommendations"])
 
     def recommend(self, source: str = "popularity", model=None) -> None:
         cat = self.catalog
@@ -86,9 +100,11 @@ class Warehouse:
             recos = recommend.popularity_recommendations(cat.read("dim_user"), fact)
         else:
             recos = recommend.recommendation_chain(recommend.als_candidates(model), fact)
+        reuse: list = []
+        flagged = recommend.validate_recommendations(recos, dim_item, cat.rows("dim_item"), reuse)
         self.counts["recommendations"] = run_validated_job(
-            cat, recommend.validate_recommendations(recos, dim_item),
-            f"recommend_{source}", "recommendations", star.RECO_COLUMNS)
+            cat, flagged, f"recommend_{source}", "recommendations", star.RECO_COLUMNS,
+            reuse=reuse)
 
     def run(self, source: str = "popularity") -> dict:
         self.catalog.create()
@@ -127,7 +143,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             wh.run()
             _BUILT[key] = wh
         else:
-            wh.spark = spark
+            wh.spark = wh.catalog.spark = spark
     return wh
 
 

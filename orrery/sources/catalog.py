@@ -18,7 +18,6 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,11 +50,13 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: tuple[int, dict[str, TableVersion]] | None = None
 
     def create(self) -> "Catalog":
         """Start an empty catalogue (manifest 0 lists no table)."""
         (self.spark.createDataFrame([], MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists")
          .json(f"{self.root}/_manifests/seq={0:012d}"))
+        self._known = (0, {})
         return self
 
     # ---- reading -------------------------------------------------------
@@ -63,16 +64,22 @@ class Catalog:
         schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("seq", T.LongType())])
         return self.spark.read.schema(schema).json(f"{self.root}/_manifests")
 
-    def state(self) -> tuple[int, dict[str, TableVersion]]:
-        """(sequence number, table -> version) of the newest manifest."""
+    def state(self, refresh: bool = False) -> tuple[int, dict[str, TableVersion]]:
+        """(sequence number, table -> version) of the newest manifest.
+
+        Remembered after the first read and after each own publication;
+        ``refresh`` re-reads (another writer may have published)."""
+        if self._known is not None and not refresh:
+            return self._known
         m = self._manifests()
         latest = m.filter(F.col("seq") == m.agg(F.max("seq")).scalar())
         rows = latest.collect()  # one row per table: bounded metadata
         if not rows:
             return 0, {}
         seq = rows[0]["seq"]
-        return seq, {r["table"]: TableVersion(r["table"], r["path"], r["rows"], r["schema"],
-                                              r["run_id"]) for r in rows}
+        self._known = (seq, {r["table"]: TableVersion(r["table"], r["path"], r["rows"],
+                                                      r["schema"], r["run_id"]) for r in rows})
+        return self._known
 
     def version(self, name: str) -> TableVersion:
         _, tables = self.state()
@@ -99,13 +106,20 @@ class Catalog:
             raise PublishError(f"{name}: wrote {written} rows, expected {rows}")
         return TableVersion(name, path, rows, df.schema.json(), run_id)
 
-    def publish(self, tables: Mapping[str, DataFrame], cascade: Sequence[str] = (),
-                fail_before_swap: bool = False) -> dict[str, int]:
-        """Stage all ``tables`` (and empty versions of the ``cascade``
-        dependants), then switch them in one manifest. Returns row counts."""
-        run_id = unique_name("run")
-        seq, current = self.state()
-        staged = {name: self._stage(name, df, run_id) for name, df in tables.items()}
+    def stage(self, tables: Mapping[str, DataFrame], run_id: str | None = None
+              ) -> dict[str, TableVersion]:
+        """Write new, still unreferenced versions; readable through
+        ``read(name, version)`` before (and without) a commit."""
+        run_id = run_id or unique_name("run")
+        return {name: self._stage(name, df, run_id) for name, df in tables.items()}
+
+    def commit(self, staged: Mapping[str, TableVersion], cascade: Sequence[str] = (),
+               fail_before_swap: bool = False) -> dict[str, int]:
+        """Switch all ``staged`` versions -- plus empty versions of the
+        ``cascade`` dependants -- in one new manifest. Returns row counts."""
+        seq, current = self.state(refresh=True)
+        staged = dict(staged)
+        run_id = next(iter(staged.values())).run_id if staged else unique_name("run")
         for name in cascade:
             if name in staged or name not in current:
                 continue
@@ -121,8 +135,15 @@ class Catalog:
         # publisher that took the same number fails here and must retry.
         manifest.coalesce(1).write.mode("errorifexists").json(
             f"{self.root}/_manifests/seq={seq + 1:012d}")
+        self._known = (seq + 1, merged)
         return {name: v.rows for name, v in staged.items()}
 
+    def publish(self, tables: Mapping[str, DataFrame], cascade: Sequence[str] = (),
+                fail_before_swap: bool = False) -> dict[str, int]:
+        """Stage all ``tables``, then switch them (and the emptied cascade
+        dependants) together."""
+        return self.commit(self.stage(tables), cascade, fail_before_swap)
+
     # ---- reject log ----------------------------------------------------
     def append_rejects(self, records: DataFrame, run_id: str | None = None) -> int:
         """Append reject-log rows; returns how many (0 writes nothing)."""
@@ -141,23 +162,58 @@ class Catalog:
         return self.spark.read.parquet(f"{self.root}/reject_records")
 
 
-def run_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
-                      columns: Sequence[str], cascade: Sequence[str] = (),
-                      reject_frame=None) -> dict[str, int]:
-    """Publish the valid rows of a flagged frame and log its rejects.
+def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
+                        columns: Sequence[str], reuse: Sequence[DataFrame] = (),
+                        run_id: str | None = None) -> tuple[TableVersion, dict[str, int]]:
+    """Stage the valid rows of a flagged frame and log its rejects.
 
-    The flagged frame is persisted once so that the two sinks do not each
-    recompute the validation joins. Rejects are logged before the switch, as
-    in the original job; they stay logged if the switch fails.
+    One pass: the flagged frame is written once, partitioned by
+    ``dq_status``. The ``dq_status=valid`` folder is the new table version
+    (read with the table schema, so the all-null reason/payload columns are
+    pruned away); the rejected rows, with their JSON payload already built,
+    are appended to the reject log right away -- they stay logged even if
+    the later switch fails, as in the original job.
     """
-    from orrery.operators.quality import reject_records, split
-
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    from orrery.functions.columns import payload_json
+    from orrery.operators.quality import REASON
+
+    run_id = run_id or unique_name("run")
+    path = f"{catalog.root}/tables/{target}/v={run_id}"
+    payload = [c for c in flagged.columns if c != REASON]
+    bad = F.col(REASON).isNotNull()
+    out = flagged.select(
+        *columns, REASON,
+        F.when(bad, payload_json(payload)).alias("payload"),
+        F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")).alias("dq_status"))
+    obs = Observation(f"stage_{target}_{run_id}")
     try:
-        valid, rejects = split(flagged)
-        rejects = reject_frame(rejects) if reject_frame else rejects
-        rejected = catalog.append_rejects(reject_records(rejects, job_name, target))
-        written = catalog.publish({target: valid.select(*columns)}, cascade=cascade)[target]
+        (out.observe(obs, F.count(F.when(~bad, 1)).alias("valid"),
+                     F.count(F.when(bad, 1)).alias("rejected"))
+         .write.mode("errorifexists").partitionBy("dq_status").parquet(path))
     finally:
-        flagged.unpersist()
-    return {"written": written, "rejected": rejected}
+        for frame in reuse:
+            frame.unpersist()
+    valid, rejected = int(obs.get["valid"]), int(obs.get["rejected"])
+    schema = flagged.select(*columns).schema
+    table_path = f"{path}/dq_status=valid"
+    if valid == 0:
+        catalog.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(table_path)
+    written = catalog.spark.read.schema(schema).parquet(table_path).count()
+    if written != valid:
+        raise PublishError(f"{target}: wrote {written} rows, expected {valid}")
+    if rejected:
+        records = catalog.spark.read.parquet(f"{path}/dq_status=rejected").select(
+            F.lit(job_name).alias("job_name"), F.lit(target).alias("target_table"),
+            REASON, "payload")
+        catalog.append_rejects(records, run_id)
+    version = TableVersion(target, table_path, valid, schema.json(), run_id)
+    return version, {"written": valid, "rejected": rejected}
+
+
+def run_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
+                      columns: Sequence[str], cascade: Sequence[str] = (),
+                      reuse: Sequence[DataFrame] = ()) -> dict[str, int]:
+    """Stage, log rejects and switch one table (with its cascade)."""
+    version, counts = stage_validated_job(catalog, flagged, job_name, target, columns, reuse)
+    catalog.commit({target: version}, cascade)
+    return counts
