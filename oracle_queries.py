@@ -193,6 +193,7 @@ _TYPED_ITEM_COLS = "item_id, name, tags, kind, units, is_open, score, members"
 _FINAL = {
     "raw_ingest_items": "SELECT * FROM raw_items",
     "raw_ingest_ratings": "SELECT * FROM raw_ratings",
+    "raw_ingest_items_stream": "SELECT * FROM raw_items",
     "csv_scan_roundtrip": "SELECT * FROM silver_items",
     "silver_publish_roundtrip": "SELECT * FROM silver_items",
     "lenient_cast": """SELECT item_id AS item_id_text, TRY_CAST(item_id AS INTEGER) AS item_id,

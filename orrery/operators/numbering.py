@@ -63,3 +63,28 @@ def quantile_bins(df: DataFrame, order: Sequence[str | Column], q_max: int,
     return (ranked.filter(n >= 2)
             .withColumn(out, F.greatest(F.lit(1), ceil_div).cast("int"))
             .drop("_rank"))
+
+
+def group_medians(df: DataFrame, group: str, values: Sequence[str], tie: str) -> DataFrame:
+    """Exact median of each ``values`` column per ``group`` (mean of the two
+    middle values for even counts), without holding a group's values in one
+    aggregation buffer.
+
+    For each value column the rows are numbered globally in (group, value,
+    tie) order with ``global_row_number``; per group the first number and
+    the count (one small row per group) locate the middle position(s); only
+    those rows are kept and averaged.
+    """
+    out = None
+    for v in values:
+        ranked = global_row_number(df.select(group, v, tie).filter(F.col(v).isNotNull()),
+                                   [group, v, tie], "_pos")
+        stats = ranked.groupBy(group).agg(F.min("_pos").alias("_first"),
+                                          F.count(F.lit(1)).alias("_n"))
+        lo = F.col("_first") + F.floor((F.col("_n") - 1) / 2)
+        hi = F.col("_first") + F.floor(F.col("_n") / 2)
+        med = (ranked.join(stats, group)
+               .filter((F.col("_pos") == lo) | (F.col("_pos") == hi))
+               .groupBy(group).agg(F.avg(F.col(v).cast("double")).alias(v)))
+        out = med if out is None else out.join(med, group, "full")
+    return out

@@ -20,7 +20,7 @@ from orrery import config
 from orrery.functions.columns import round2
 from orrery.operators.histogram import equal_width_histogram
 from orrery.operators.joins import bounded_broadcast
-from orrery.operators.numbering import quantile_bins
+from orrery.operators.numbering import group_medians, quantile_bins
 from orrery.operators.sampling import seeded_sample
 
 
@@ -212,16 +212,17 @@ def user_sample(users: DataFrame, k: int = config.SAMPLE_SIZE, seed: int = confi
 
 def activity_trend(users: DataFrame, q_max: int = config.TREND_BINS) -> DataFrame:
     """Users ranked by (list size, id) into min(10, n) equal-frequency
-    bins; exact median list size and median average per bin. Empty when
-    fewer than two users."""
+    bins; exact median list size and median average per bin (rank-based, no
+    per-group value buffers). Empty when fewer than two users."""
     binned = quantile_bins(users, ["user_total_reviews", "user_id"], q_max, "bin")
-    return (binned.groupBy("bin").agg(
-        F.median(F.col("user_total_reviews").cast("double")).alias("_r"),
-        F.median(F.col("user_average_given_rating").cast("double")).alias("_a"))
-        .select("bin", F.round(F.col("_r").cast("decimal(18,6)"), 4).cast("double")
-                .alias("median_reviews"),
-                F.round(F.col("_a").cast("decimal(18,6)"), 4).cast("double")
-                .alias("median_average"))
+    meds = group_medians(binned, "bin", ["user_total_reviews", "user_average_given_rating"],
+                         "user_id")
+    return (meds.select(
+        "bin",
+        F.round(F.col("user_total_reviews").cast("decimal(18,6)"), 4).cast("double")
+        .alias("median_reviews"),
+        F.round(F.col("user_average_given_rating").cast("decimal(18,6)"), 4).cast("double")
+        .alias("median_average"))
         .orderBy("median_reviews", "bin"))
 
 

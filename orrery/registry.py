@@ -71,6 +71,23 @@ def raw_ingest_ratings(spark, sf):
     return _landed(spark, sf, fixtures.raw_ratings, fixtures.RAW_RATING_COLUMNS, "ratings")
 
 
+@query("raw_ingest_items_stream")
+def raw_ingest_items_stream(spark, sf):
+    """S1 incrementally: the catalogue lands in two file batches through an
+    availableNow stream; the target holds each row exactly once."""
+    from orrery.streaming import land_new_files
+
+    root = _scratch(spark, "stream")
+    items = _raw_items(spark, sf).withColumn("_half", F.col("item_id").isNull()
+                                             | (F.hash("item_id") % 2 == 0))
+    cols = fixtures.RAW_ITEM_COLUMNS
+    for i, part in enumerate([items.filter("_half"), items.filter("NOT _half")]):
+        files.write_text_csv(part.select(*cols), f"{root}/landing/batch={i}")
+        land_new_files(spark, f"{root}/landing/*/part-*", cols, f"{root}/bronze",
+                       f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/bronze").select(*cols)
+
+
 @query("csv_scan_roundtrip")
 def csv_scan_roundtrip(spark, sf):
     path = _scratch(spark, "csv")

@@ -19,6 +19,19 @@ _CONF = {
 }
 
 
+# Defaults for a large cluster (applied when no master is given, i.e. under
+# spark-submit): many shuffle partitions that AQE coalesces to ~256 MB each,
+# 256 MB scan splits, skew splitting for hot keys.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "orrery", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on, UTC time and ANSI casts.
@@ -30,6 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(_CONF)
+    if not master:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -1,0 +1,3 @@
+from orrery.streaming.landing import land_new_files
+
+__all__ = ["land_new_files"]

@@ -115,3 +115,13 @@ def test_empty_input_gives_schema_and_no_rows(spark):
     bounds = A.user_activity_bounds(g).first()
     assert bounds.min_reviews is None and bounds.max_reviews is None
     assert A.user_group_summary(A.user_band_filter(g)).first().n_users == 0
+
+
+def test_group_medians_match_pandas(spark):
+    from orrery.operators.numbering import group_medians
+
+    data = [(g, float((i * 7) % 13), i) for g in range(4) for i in range(g * 3 + 1)]
+    df = spark.createDataFrame(data, "g int, v double, id int")
+    got = {r.g: r.v for r in group_medians(df, "g", ["v"], "id").collect()}
+    ref = pd.DataFrame(data, columns=["g", "v", "id"]).groupby("g")["v"].median().to_dict()
+    assert got == ref
