@@ -98,14 +98,41 @@ def recommendation_chain(candidates: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def popularity_recommendations(dim_user: DataFrame, fact: DataFrame,
-                               n: int = config.TOP_N * config.OVERSAMPLE) -> DataFrame:
-    """Popularity chain. Every candidate comes from one n-item list, so the
-    rated pairs are first cut to those items (a semi join against the n-row
-    list, broadcast: its size is bounded by n) before the anti join."""
-    flat = explode_candidates(popularity_candidates(dim_user, fact, n))
-    listed = item_scores(fact).orderBy(F.desc("score"), "item_id").limit(n).select("item_id")
-    seen = rated_pairs(fact).join(F.broadcast(listed), "item_id", "left_semi")
-    return top_n_per_user(exclude_seen(flat, seen))
+                               n: int = config.TOP_N * config.OVERSAMPLE,
+                               top: int = config.TOP_N) -> DataFrame:
+    """Popularity chain without exploding users x n candidate rows.
+
+    Every user shares one n-item list, so a user's recommendations are that
+    list minus the user's rated items among those n, first ``top`` kept.
+    Per user: the rated listed items (a set of at most n, from a partial
+    ``collect_set``) joined to the user, ``array_except`` against the ordered
+    list, ``slice``, ``posexplode``. One shuffle of users instead of two
+    shuffles of users x n rows; the result equals explode -> anti join ->
+    top-N (checked by the oracle against both forms).
+    """
+    # The n-row list is computed once (one aggregate over the fact) and its
+    # lineage cut, so every reference below reads n checkpointed rows.
+    listed = item_scores(fact).orderBy(F.desc("score"), "item_id").limit(n).checkpoint()
+    w = Window.orderBy(F.desc("score"), "item_id")  # over the n-row list only
+    shared = (listed.withColumn("_pos", F.row_number().over(w))
+              .agg(F.sort_array(F.collect_list(F.struct("_pos", "item_id", "score"))).alias("l"))
+              .select(F.struct(
+                  F.transform("l", lambda r: r["item_id"]).alias("ids"),
+                  F.map_from_arrays(F.transform("l", lambda r: r["item_id"]),
+                                    F.transform("l", lambda r: r["score"])).alias("scores"))))
+    lst = shared.scalar()
+    seen = (rated_pairs(fact).filter(F.array_contains(lst.getField("ids"), F.col("item_id")))
+            .groupBy("user_id").agg(F.collect_set("item_id").alias("_seen")))
+    users = dim_user.select("user_id").join(seen, "user_id", "left")
+    keep = F.slice(F.array_except(lst.getField("ids"),
+                                  F.coalesce(F.col("_seen"), F.array().cast("array<int>"))),
+                   1, top)
+    picked = users.select("user_id", F.posexplode(keep).alias("_p", "item_id"))
+    return picked.select(
+        "user_id", "item_id",
+        F.element_at(lst.getField("scores"), F.col("item_id")).cast("float")
+        .alias("predicted_rating"),
+        (F.col("_p") + 1).cast("int").alias("rank"))
 
 
 def validate_recommendations(recos: DataFrame, dim_item: DataFrame,
