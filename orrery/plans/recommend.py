@@ -148,17 +148,25 @@ def validate_recommendations(recos: DataFrame, dim_item: DataFrame,
 
 # ---- ALS ----------------------------------------------------------------------
 
-def als_estimator():
+def als_estimator(blocks: int = 10):
+    """Explicit-feedback ALS with the fixed hyper-parameters. ``blocks`` sets
+    the user and item block counts, i.e. the parallelism of each factor
+    update; it must grow with the cluster (MLlib's default is 10)."""
     from pyspark.ml.recommendation import ALS
 
     return ALS(userCol="user_id", itemCol="item_id", ratingCol="rating",
                rank=config.ALS_RANK, maxIter=config.ALS_MAX_ITER,
-               regParam=config.ALS_REG_PARAM, coldStartStrategy="drop", seed=config.SEED)
+               regParam=config.ALS_REG_PARAM, coldStartStrategy="drop", seed=config.SEED,
+               numUserBlocks=blocks, numItemBlocks=blocks)
 
 
-def train_als(train: DataFrame):
-    """M2: explicit-feedback ALS on the training split."""
-    return als_estimator().fit(train)
+def train_als(train: DataFrame, blocks: int | None = None):
+    """M2: explicit-feedback ALS on the training split; blocks default to the
+    cluster's default parallelism. Factor RDDs are checkpointed every 10
+    iterations into the shared checkpoint folder (MLlib's default interval),
+    which keeps the lineage short and survives lost executors."""
+    blocks = blocks or max(1, train.sparkSession.sparkContext.defaultParallelism)
+    return als_estimator(blocks).fit(train)
 
 
 def als_candidates(model, n: int = config.TOP_N * config.OVERSAMPLE) -> DataFrame:
