@@ -286,8 +286,9 @@ def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
     first ``n`` by (count desc, name). Counted per (user, tag) with a
     partial aggregate, then a per-user group limit."""
     counts = (_only(g.fact, user_ids).select("user_id", "item_id")
-              .join(g.bridge, "item_id").join(g.tags(), "tag_id")
-              .groupBy("user_id", "tag_name").agg(F.count(F.lit(1)).alias("nb")))
+              .join(g.bridge, "item_id")
+              .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
+              .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
     w = Window.partitionBy("user_id").orderBy(F.desc("nb"), "tag_name")
     return (counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
             .drop("_r"))
@@ -296,8 +297,9 @@ def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
 def reco_tag_histogram(g: Gold, user_ids: Sequence[int] | None = None) -> DataFrame:
     """D23 (recommendations): tag counts over each user's recommendations."""
     return (_only(g.recommendations, user_ids).select("user_id", "item_id")
-            .join(g.bridge, "item_id").join(g.tags(), "tag_id")
-            .groupBy("user_id", "tag_name").agg(F.count(F.lit(1)).alias("nb")))
+            .join(g.bridge, "item_id")
+            .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
+            .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
 
 
 def sql_over_gold(spark: SparkSession, g: Gold, sql: str, args: dict | None = None):

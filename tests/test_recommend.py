@@ -57,3 +57,18 @@ def test_popularity_chain_skips_rated_items(spark, sf_small):
     seen = R.rated_pairs(g.fact)
     assert recos.join(seen, ["user_id", "item_id"], "left_semi").count() == 0
     assert recos.groupBy("user_id").agg(F.max("rank").alias("m")).filter("m > 10").count() == 0
+
+
+def test_full_pipeline_with_als(spark, sf_small):
+    from orrery.plans.warehouse import Warehouse
+    from orrery.session import unique_name, work_root
+
+    wh = Warehouse(spark, sf_small, work_root(spark, unique_name("test-wh")))
+    counts = wh.run("als")
+    assert counts["als"]["n_test"] > 0 and counts["als"]["rmse"] > 0
+    g = wh.gold_tables()
+    recos = g.recommendations
+    assert recos.count() == counts["recommendations"]["written"] > 0
+    assert recos.join(g.dim_item, "item_id", "left_anti").count() == 0
+    assert counts["dim_item"] == {"written": 134, "rejected": 0}
+    assert counts["bridge_item_tag"]["written"] == 378
