@@ -74,8 +74,9 @@ class Catalog:
         m = self._manifests()
         latest = m.filter(F.col("seq") == m.agg(F.max("seq")).scalar())
         rows = latest.collect()  # one row per table: bounded metadata
-        if not rows:
-            return 0, {}
+        if not rows:  # only the empty manifest 0 exists
+            self._known = (0, {})
+            return self._known
         seq = rows[0]["seq"]
         self._known = (seq, {r["table"]: TableVersion(r["table"], r["path"], r["rows"],
                                                       r["schema"], r["run_id"]) for r in rows})

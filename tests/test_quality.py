@@ -92,3 +92,56 @@ def test_reject_log_is_append_only(spark):
     assert cat.append_rejects(recs, "run3") == 1
     rows = cat.rejects().collect()
     assert len(rows) == 2 and len({r.reject_id for r in rows}) == 2
+
+
+def test_raw_ingest_fails_fast_on_missing_source(spark):
+    from orrery.sources.files import raw_ingest
+
+    root = work_root(spark, unique_name("test-missing"))
+    with pytest.raises(FileNotFoundError):
+        raw_ingest(spark, f"{root}/nothing-here", ["a"], f"{root}/out")
+
+
+def test_raw_ingest_keeps_text_and_source(spark, tmp_path):
+    from orrery.sources.files import raw_ingest
+
+    (tmp_path / "in.csv").write_text("a,b\n 1 ,\nUnknown,x\n")
+    root = work_root(spark, unique_name("test-ingest"))
+    assert raw_ingest(spark, str(tmp_path / "in.csv"), ["a", "b"], f"{root}/out") == 2
+    rows = spark.read.parquet(f"{root}/out").orderBy("a").collect()
+    assert [(r.a, r.b) for r in rows] == [(" 1 ", None), ("Unknown", "x")]
+    assert all(r.source_file.endswith("in.csv") and r.ingested_at for r in rows)
+
+
+def test_concurrent_publisher_with_same_sequence_fails(spark, monkeypatch):
+    a = Catalog(spark, work_root(spark, unique_name("test-cat"))).create()
+    b = Catalog(spark, a.root)
+    a.publish({"t": spark.createDataFrame([(1,)], "x int")})
+    # b read the state before a's switch: it takes the same sequence number.
+    monkeypatch.setattr(b, "state", lambda refresh=False: (0, {}))
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        b.publish({"t": spark.createDataFrame([(2,)], "x int")})
+    seq, tables = Catalog(spark, a.root).state()
+    assert seq == 1 and [r.x for r in Catalog(spark, a.root).read("t").collect()] == [1]
+
+
+def test_sql_over_gold_is_parameterised(spark):
+    from orrery.plans.analytics import Gold, sql_over_gold
+
+    mk = spark.createDataFrame
+    g = Gold(dim_item=mk([(1, "a", "k", None, None, 5.0, 10)],
+                         "item_id int, name string, kind string, units int, is_open boolean, "
+                         "score float, members int"),
+             dim_tag=mk([], "tag_id int, tag_name string"),
+             bridge=mk([], "item_id int, tag_id int"),
+             fact=mk([(1, 1, 7), (2, 1, 3)], "user_id int, item_id int, rating int"),
+             dim_user=mk([], "user_id int, user_total_reviews int, "
+                             "user_average_given_rating float"),
+             recommendations=mk([], "user_id int, item_id int, predicted_rating float, "
+                                    "rank int"))
+    out = sql_over_gold(spark, g, "SELECT count(*) AS n FROM fact_ratings WHERE rating >= :r",
+                        {"r": 5})
+    assert out.first().n == 1
+    evil = sql_over_gold(spark, g, "SELECT count(*) AS n FROM dim_item WHERE kind = :k",
+                         {"k": "k' OR '1'='1"})
+    assert evil.first().n == 0
