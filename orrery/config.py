@@ -1,18 +1,23 @@
 """Fixed values and default parameters.
 
-Fixed values that must equal the reference's for right results:
-  - recommender: top 10 per user, drawn from 50 candidates (10 x oversample 5)
-  - ALS: rank 30, maxIter 15, regParam 0.05, coldStartStrategy "drop", seed 42
-  - train/test split: 80 / 20
-  - seeded sample size: 5000 users
-  - histogram bins: score 40, catalogue score 30, list size 50, user average 40
-  - tag ranking: at least 5 items per tag, first 20 tags
-  - dashboard defaults: members > 10000 for the top list (strict), top 10;
-    catalogue min members 10000 (inclusive), min score 0.0; min list size 10
-  - tag separator ", " (comma then one blank); unit sentinel "Unknown";
-    rating sentinel -1
+The first block holds fixed values that must equal the reference's for the
+same results: reject-reason texts, recommender sizes (top 10 per user from
+50 candidates = 10 x oversample 5), ALS settings (rank 30, maxIter 15,
+regParam 0.05, coldStartStrategy "drop", seed 42), the 80/20 split, the
+tag separator ", " (comma then one blank), the unit sentinel "Unknown", the
+rating sentinel -1, the 5000-user sample, histogram bin targets (score 40,
+catalogue score 30, list size 50, user average 40), the tag ranking (at
+least 5 items, first 20), and the dashboard defaults (members > 10000 for
+the top 10; catalogue members >= 10000 and score >= 0.0; list size >= 10).
 """
 
+# ---- fixed values (must equal the reference's for the same results) ----
+# Reject reasons: prefix + the rule's columns joined by ", ", and the
+# foreign-key text "<column> not found in <table>".
+REASON_MISSING_PREFIX = "missing required column(s): "
+REASON_DUPLICATE_PREFIX = "duplicate key: "
+REASON_NOT_FOUND = "{column} not found in {table}"
+
 TOP_N = 10
 OVERSAMPLE = 5
 ALS_RANK = 30
@@ -44,6 +49,7 @@ TOP_USERS_WITH_RECOS = 10
 HISTORY_TOP = 10
 USER_TAG_TOP = 15
 
+# ---- parameters (our choices) ----
 # Fixture parameters (FIXTURES.md): the excluded tags and the band limits.
 # Band limits are parameters; the dashboard's own were 6 and 8.
 EXCLUDED_TAGS = ("anvil", "PROMO")

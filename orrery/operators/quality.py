@@ -25,6 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery import config
 from orrery.functions.columns import payload_json
 from orrery.operators.joins import bounded_broadcast
 
@@ -41,7 +42,7 @@ class NotNull:
     reason: str | None = None
 
     def text(self) -> str:
-        return self.reason or "missing required column(s): " + ", ".join(self.columns)
+        return self.reason or config.REASON_MISSING_PREFIX + ", ".join(self.columns)
 
     def apply(self, df: DataFrame) -> DataFrame:
         failed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
@@ -54,7 +55,7 @@ class Unique:
     reason: str | None = None
 
     def text(self) -> str:
-        return self.reason or "duplicate key: " + ", ".join(self.columns)
+        return self.reason or config.REASON_DUPLICATE_PREFIX + ", ".join(self.columns)
 
     def apply(self, df: DataFrame) -> DataFrame:
         alias = {c: f"_uq_{i}" for i, c in enumerate(self.columns)}

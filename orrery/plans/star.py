@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orrery import config
 from orrery.operators.joins import bounded_broadcast
 from orrery.operators.numbering import global_row_number
 from orrery.operators.quality import REASON, ForeignKey, NotNull, Unique, split, validate
@@ -19,8 +20,8 @@ FACT_COLUMNS = ["user_id", "item_id", "rating"]
 DIM_USER_COLUMNS = ["user_id", "user_total_reviews", "user_average_given_rating"]
 RECO_COLUMNS = ["user_id", "item_id", "predicted_rating", "rank"]
 
-ITEM_NOT_FOUND = "item_id not found in dim_item"
-TAG_NOT_FOUND = "tag_name not found in dim_tag"
+ITEM_NOT_FOUND = config.REASON_NOT_FOUND.format(column="item_id", table="dim_item")
+TAG_NOT_FOUND = config.REASON_NOT_FOUND.format(column="tag_name", table="dim_tag")
 
 
 def dim_item_rows(items: DataFrame) -> DataFrame:

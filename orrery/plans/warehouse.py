@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery import config
 from orrery.plans import recommend, silver, star
 from orrery.plans.analytics import Gold
 from orrery.session import unique_name, work_root
@@ -64,10 +65,13 @@ class Warehouse:
         run_id = unique_name("gold")
         staged: dict = {}
 
-        def job(name, target, build, columns):
-            reuse: list = []
+        def job(name, target, build, columns, persist=False):
+            # Persist before a uniqueness rule only when recomputing the
+            # input would repeat a shuffle; a scan plus a broadcast join is
+            # cheaper to re-run than to cache.
+            reuse: list | None = [] if persist else None
             version, counts = stage_validated_job(cat, build(reuse), name, target, columns,
-                                                  reuse, run_id)
+                                                  reuse or (), run_id)
             staged[target] = version
             self.counts[target] = counts
             return cat.read(target, version), version.rows
@@ -85,12 +89,15 @@ class Warehouse:
                 stage1.filter(F.col("error_reason").isNotNull())
                 .select("item_id", "tag_name", "error_reason"), allowMissingColumns=True)
 
-        job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS)
+        items_shuffle = item_rows > config.BROADCAST_MAX_ROWS
+        job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS,
+            persist=items_shuffle)
         fact, _ = job("gold_fact_ratings", "fact_ratings",
                       lambda r: star.validate_fact(self.silver_table("ratings"), dim_item,
-                                                   item_rows, r), star.FACT_COLUMNS)
+                                                   item_rows, r), star.FACT_COLUMNS,
+                      persist=items_shuffle)
         job("gold_dim_user", "dim_user", lambda r: star.validate_dim_user(fact, r),
-            star.DIM_USER_COLUMNS)
+            star.DIM_USER_COLUMNS, persist=True)
         cat.commit(staged, cascade=["recommendations"])
 
     def train(self) -> str:
