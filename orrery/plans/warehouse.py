@@ -10,6 +10,7 @@ catalogue.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,17 @@ from orrery.sources import fixtures
 from orrery.sources.catalog import Catalog, run_validated_job, stage_validated_job
 
 
+def in_parallel(*steps):
+    """Run independent steps on threads (each submits its own Spark jobs,
+    which the scheduler interleaves); returns their results in order and
+    re-raises the first failure."""
+    if len(steps) == 1:
+        return [steps[0]()]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession
@@ -39,10 +51,13 @@ class Warehouse:
     # ---- layers --------------------------------------------------------
     def bronze(self) -> None:
         """Raw copy of the landing inputs, all text, plus ingest time."""
-        for name, frame in (("items", fixtures.raw_items), ("ratings", fixtures.raw_ratings)):
+        def land(name, frame):
             (frame(self.spark, self.sf_dir).withColumn("ingested_at", F.current_timestamp())
              .write.mode("overwrite").parquet(self.path("bronze", name)))
 
+        in_parallel(lambda: land("items", fixtures.raw_items),
+                    lambda: land("ratings", fixtures.raw_ratings))
+
     def bronze_table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path("bronze", name)).drop("ingested_at")
 
@@ -76,11 +91,13 @@ class Warehouse:
             self.counts[target] = counts
             return cat.read(target, version), version.rows
 
-        dim_item, item_rows = job("gold_dim_item", "dim_item",
-                                  lambda r: star.validate_dim_item(items, r),
-                                  star.DIM_ITEM_COLUMNS)
-        dim_tag, tag_rows = job("gold_dim_tag", "dim_tag",
-                                lambda r: star.validate_dim_tag(items, r), star.DIM_TAG_COLUMNS)
+        # Independent jobs run concurrently (one thread each submits its
+        # Spark jobs); dependants wait for what they read.
+        (dim_item, item_rows), (dim_tag, tag_rows) = in_parallel(
+            lambda: job("gold_dim_item", "dim_item", lambda r: star.validate_dim_item(items, r),
+                        star.DIM_ITEM_COLUMNS),
+            lambda: job("gold_dim_tag", "dim_tag", lambda r: star.validate_dim_tag(items, r),
+                        star.DIM_TAG_COLUMNS))
 
         def bridge(reuse):
             stage1, stage2 = star.bridge_stages(items, dim_tag, dim_item, tag_rows=tag_rows,
@@ -90,12 +107,13 @@ class Warehouse:
                 .select("item_id", "tag_name", "error_reason"), allowMissingColumns=True)
 
         items_shuffle = item_rows > config.BROADCAST_MAX_ROWS
-        job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS,
-            persist=items_shuffle)
-        fact, _ = job("gold_fact_ratings", "fact_ratings",
-                      lambda r: star.validate_fact(self.silver_table("ratings"), dim_item,
-                                                   item_rows, r), star.FACT_COLUMNS,
-                      persist=items_shuffle)
+        _, (fact, _) = in_parallel(
+            lambda: job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS,
+                        persist=items_shuffle),
+            lambda: job("gold_fact_ratings", "fact_ratings",
+                        lambda r: star.validate_fact(self.silver_table("ratings"), dim_item,
+                                                     item_rows, r), star.FACT_COLUMNS,
+                        persist=items_shuffle))
         job("gold_dim_user", "dim_user", lambda r: star.validate_dim_user(fact, r),
             star.DIM_USER_COLUMNS, persist=True)
         cat.commit(staged, cascade=["recommendations"])

@@ -155,12 +155,14 @@ class Catalog:
             "job_name", "target_table", "error_reason", "payload",
             F.current_timestamp().alias("rejected_at"),
         )
-        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(
-            f"{self.root}/reject_records")
+        # Each append is its own folder: concurrent jobs never share a
+        # commit area, and a batch is visible only once its job committed.
+        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
+            f"{self.root}/reject_records/batch={unique_name('b')}")
         return int(obs.get["rows"])
 
     def rejects(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/reject_records")
+        return self.spark.read.parquet(f"{self.root}/reject_records").drop("batch")
 
 
 def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
