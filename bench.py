@@ -45,7 +45,11 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
 
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf: float | str = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "total_time", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
