@@ -20,6 +20,17 @@ FACT_COLUMNS = ["user_id", "item_id", "rating"]
 DIM_USER_COLUMNS = ["user_id", "user_total_reviews", "user_average_given_rating"]
 RECO_COLUMNS = ["user_id", "item_id", "predicted_rating", "rank"]
 
+# Within-file sort order of each published table (row-group pruning for
+# lookups by these keys).
+SORT_KEYS = {
+    "dim_item": ["item_id"],
+    "dim_tag": ["tag_id"],
+    "bridge_item_tag": ["item_id", "tag_id"],
+    "fact_ratings": ["user_id", "item_id"],
+    "dim_user": ["user_id"],
+    "recommendations": ["user_id", "rank"],
+}
+
 ITEM_NOT_FOUND = config.REASON_NOT_FOUND.format(column="item_id", table="dim_item")
 TAG_NOT_FOUND = config.REASON_NOT_FOUND.format(column="tag_name", table="dim_tag")
 

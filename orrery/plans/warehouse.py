@@ -86,7 +86,8 @@ class Warehouse:
             # cheaper to re-run than to cache.
             reuse: list | None = [] if persist else None
             version, counts = stage_validated_job(cat, build(reuse), name, target, columns,
-                                                  reuse or (), run_id)
+                                                  reuse or (), run_id,
+                                                  sort_by=star.SORT_KEYS[target])
             staged[target] = version
             self.counts[target] = counts
             return cat.read(target, version), version.rows
@@ -147,7 +148,7 @@ class Warehouse:
         flagged = recommend.validate_recommendations(recos, dim_item, cat.rows("dim_item"), reuse)
         self.counts["recommendations"] = run_validated_job(
             cat, flagged, f"recommend_{source}", "recommendations", star.RECO_COLUMNS,
-            reuse=reuse)
+            reuse=reuse, sort_by=star.SORT_KEYS["recommendations"])
 
     def run(self, source: str = "popularity") -> dict:
         self.catalog.create()

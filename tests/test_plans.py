@@ -38,3 +38,10 @@ def test_no_cartesian_products(spark, sf_small):
                  "activity_trend", "baseline_rmse", "validate_fact"]:
         p = plan(QUERIES[name](spark, sf_small))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_point_lookup_pushes_user_filter(spark, sf_small):
+    g = gold(spark, sf_small)
+    p = plan(A.user_profile(g, user_ids=[5]))
+    assert "PushedFilters: [IsNotNull(user_id), In(user_id, [5])]" in p or \
+        "EqualTo(user_id,5)" in p or "In(user_id" in p
