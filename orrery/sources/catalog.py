@@ -71,8 +71,12 @@ class Catalog:
         ``refresh`` re-reads (another writer may have published)."""
         if self._known is not None and not refresh:
             return self._known
-        m = self._manifests()
+        m = self._manifests().withColumn("_file", F.col("_metadata.file_path"))
         latest = m.filter(F.col("seq") == m.agg(F.max("seq")).scalar())
+        # Two publishers that raced for the same number may both have
+        # committed a file there: one writer's complete mapping wins (the
+        # smallest file name), never a mix of both.
+        latest = latest.filter(F.col("_file") == latest.agg(F.min("_file")).scalar())
         rows = latest.collect()  # one row per table: bounded metadata
         if not rows:  # only the empty manifest 0 exists
             self._known = (0, {})
