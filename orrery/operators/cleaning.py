@@ -47,3 +47,11 @@ def first_row_per_key(df: DataFrame, keys: Sequence[str],
 def max_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """One row per key keeping the largest non-null ``value`` (null if none)."""
     return df.groupBy(*keys).agg(F.max(value).alias(value)).select(*df.columns)
+
+
+def exclude_tokens(df: DataFrame, column: str, separator: str, words) -> DataFrame:
+    """Exact-token variant of the exclusion: drop rows having a token (split
+    on ``separator``, trimmed) equal to one of ``words``; nulls are kept."""
+    tokens = F.transform(F.split(F.col(column), separator), lambda t: F.trim(t))
+    banned = F.array(*[F.lit(w) for w in words])
+    return df.filter(F.col(column).isNull() | ~F.arrays_overlap(tokens, banned))

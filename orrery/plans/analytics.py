@@ -52,6 +52,12 @@ def _only(df: DataFrame, user_ids: Sequence[int] | None) -> DataFrame:
     return df.filter(F.col("user_id").isin(list(user_ids))) if user_ids else df
 
 
+def _ordered(df: DataFrame, user_ids: Sequence[int] | None, *order) -> DataFrame:
+    """The dashboard's display order for a lookup of a few users; the
+    all-users form stays unordered (no global sort)."""
+    return df.orderBy("user_id", *order) if user_ids else df
+
+
 # ---- overview ---------------------------------------------------------------
 
 def kpi_overview(g: Gold) -> DataFrame:
@@ -265,19 +271,21 @@ def user_history_top(g: Gold, n: int = config.HISTORY_TOP,
     items = g.dim_item.select("item_id", "name", "kind", "score", "members")
     w = Window.partitionBy("user_id").orderBy(F.desc("rating"), F.desc_nulls_first("members"),
                                               "item_id")
-    return (rated.join(items, "item_id").withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= n)
-            .select("user_id", "rank", "item_id", "name", "kind",
-                    round2("score").alias("score"), F.col("rating").alias("user_rating")))
+    out = (rated.join(items, "item_id").withColumn("rank", F.row_number().over(w))
+           .filter(F.col("rank") <= n)
+           .select("user_id", "rank", "item_id", "name", "kind",
+                   round2("score").alias("score"), F.col("rating").alias("user_rating")))
+    return _ordered(out, user_ids, "rank")
 
 
 def user_recommendations(g: Gold, user_ids: Sequence[int] | None = None) -> DataFrame:
     """Recommendations with item attributes, scores rounded to 2."""
     items = g.dim_item.select("item_id", "name", "kind", "units", "score", "members")
-    return (_only(g.recommendations, user_ids).join(items, "item_id")
-            .select("user_id", "rank", "item_id", "name", "kind", "units",
-                    round2("score").alias("score"), "members",
-                    round2("predicted_rating").alias("predicted_score")))
+    out = (_only(g.recommendations, user_ids).join(items, "item_id")
+           .select("user_id", "rank", "item_id", "name", "kind", "units",
+                   round2("score").alias("score"), "members",
+                   round2("predicted_rating").alias("predicted_score")))
+    return _ordered(out, user_ids, "rank")
 
 
 def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
@@ -290,16 +298,17 @@ def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
               .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
               .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
     w = Window.partitionBy("user_id").orderBy(F.desc("nb"), "tag_name")
-    return (counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
-            .drop("_r"))
+    out = counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+    return _ordered(out, user_ids, F.desc("nb"), "tag_name")
 
 
 def reco_tag_histogram(g: Gold, user_ids: Sequence[int] | None = None) -> DataFrame:
     """D23 (recommendations): tag counts over each user's recommendations."""
-    return (_only(g.recommendations, user_ids).select("user_id", "item_id")
-            .join(g.bridge, "item_id")
-            .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
-            .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
+    out = (_only(g.recommendations, user_ids).select("user_id", "item_id")
+           .join(g.bridge, "item_id")
+           .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
+           .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
+    return _ordered(out, user_ids, F.desc("nb"), "tag_name")
 
 
 def sql_over_gold(spark: SparkSession, g: Gold, sql: str, args: dict | None = None):

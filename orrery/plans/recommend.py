@@ -16,10 +16,11 @@ from orrery.operators.sampling import hash_split_flag
 from orrery.plans.star import ITEM_NOT_FOUND, RECO_COLUMNS
 
 
-def rated_pairs(fact: DataFrame) -> DataFrame:
-    """Pairs counting as already seen: rated ones (seen-but-unrated may be
-    recommended)."""
-    return fact.filter(F.col("rating").isNotNull()).select("user_id", "item_id")
+def rated_pairs(fact: DataFrame, exclude_unrated: bool = False) -> DataFrame:
+    """Pairs counting as already seen: rated ones, so seen-but-unrated items
+    may be recommended; with ``exclude_unrated`` every listed pair counts."""
+    seen = fact if exclude_unrated else fact.filter(F.col("rating").isNotNull())
+    return seen.select("user_id", "item_id")
 
 
 def training_set(fact: DataFrame) -> DataFrame:
@@ -91,15 +92,17 @@ def top_n_per_user(candidates: DataFrame, n: int = config.TOP_N) -> DataFrame:
             .filter(F.col("rank") <= n).select(*RECO_COLUMNS))
 
 
-def recommendation_chain(candidates: DataFrame, fact: DataFrame) -> DataFrame:
+def recommendation_chain(candidates: DataFrame, fact: DataFrame,
+                         exclude_unrated: bool = False) -> DataFrame:
     """Flatten -> exclude rated -> top N (the M6 chain before validation)."""
     flat = explode_candidates(candidates)
-    return top_n_per_user(exclude_seen(flat, rated_pairs(fact)))
+    return top_n_per_user(exclude_seen(flat, rated_pairs(fact, exclude_unrated)))
 
 
 def popularity_recommendations(dim_user: DataFrame, fact: DataFrame,
                                n: int = config.TOP_N * config.OVERSAMPLE,
-                               top: int = config.TOP_N) -> DataFrame:
+                               top: int = config.TOP_N,
+                               exclude_unrated: bool = False) -> DataFrame:
     """Popularity chain without exploding users x n candidate rows.
 
     Every user shares one n-item list, so a user's recommendations are that
@@ -121,7 +124,8 @@ def popularity_recommendations(dim_user: DataFrame, fact: DataFrame,
                   F.map_from_arrays(F.transform("l", lambda r: r["item_id"]),
                                     F.transform("l", lambda r: r["score"])).alias("scores"))))
     lst = shared.scalar()
-    seen = (rated_pairs(fact).filter(F.array_contains(lst.getField("ids"), F.col("item_id")))
+    seen = (rated_pairs(fact, exclude_unrated)
+            .filter(F.array_contains(lst.getField("ids"), F.col("item_id")))
             .groupBy("user_id").agg(F.collect_set("item_id").alias("_seen")))
     users = dim_user.select("user_id").join(seen, "user_id", "left")
     keep = F.slice(F.array_except(lst.getField("ids"),

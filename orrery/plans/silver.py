@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from orrery import config
 from orrery.functions.columns import (blank_to_null, lenient_cast, literal_alternation,
                                       sentinel_flag, sentinel_to_null, trimmed)
-from orrery.operators.cleaning import (exclude_by_pattern, first_row_per_key, max_per_key,
-                                       required_fields)
+from orrery.operators.cleaning import (exclude_by_pattern, exclude_tokens, first_row_per_key,
+                                       max_per_key, required_fields)
 
 ITEM_ORDER = ["name", "tags", "kind", "units", "is_open", "score", "members"]
 
@@ -36,11 +36,19 @@ def typed_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_items(raw: DataFrame, excluded: Sequence[str] = config.EXCLUDED_TAGS) -> DataFrame:
+def silver_items(raw: DataFrame, excluded: Sequence[str] = config.EXCLUDED_TAGS,
+                 exact_tokens: bool = False) -> DataFrame:
     """B1: required id and name, excluded tags dropped, one row per id (the
-    smallest in name, tags, kind, units, is_open, score, members; nulls last)."""
+    smallest in name, tags, kind, units, is_open, score, members; nulls last).
+
+    Exclusion matches the words as substrings of the whole tag string (the
+    original rule, which also hits longer tags containing a word); with
+    ``exact_tokens`` only whole tags count."""
     items = required_fields(typed_items(raw), ["item_id", "name"])
-    items = exclude_by_pattern(items, "tags", literal_alternation(excluded))
+    if exact_tokens:
+        items = exclude_tokens(items, "tags", config.TAG_SEPARATOR, excluded)
+    else:
+        items = exclude_by_pattern(items, "tags", literal_alternation(excluded))
     return first_row_per_key(items, ["item_id"], ITEM_ORDER)
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger("orrery")
+
 # CSV options that keep blanks and empty fields apart: an empty field reads
 # as null, a field of blanks keeps its blanks.
 _CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
@@ -50,6 +53,9 @@ def raw_ingest(spark: SparkSession, source: str, columns: Sequence[str], target:
         raise FileNotFoundError(source)
     from pyspark.sql import Observation
 
+    size = (spark.read.format("binaryFile").load(source)
+            .agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])  # listing only
+
     obs = Observation("raw_ingest")
     df = read_text_csv(spark, source, columns).select(
         *columns,
@@ -57,7 +63,9 @@ def raw_ingest(spark: SparkSession, source: str, columns: Sequence[str], target:
         F.current_timestamp().alias("ingested_at"),
     )
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    log.info("raw ingest %s -> %s: %d bytes, %d rows", source, target, size, rows)
+    return rows
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

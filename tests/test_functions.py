@@ -90,3 +90,12 @@ def test_typed_items_rules(spark):
     r = typed_items(df).first()
     assert (r.item_id, r.name, r.tags, r.kind, r.units, r.is_open, r.score, r.members) == \
         (1, "n", None, "k", None, True, 7.5, 12)
+
+
+def test_exact_token_exclusion(spark):
+    from orrery.operators.cleaning import exclude_tokens
+
+    df = spark.createDataFrame([(1, "a, Hentai"), (2, "Hentaiish, b"), (3, None)],
+                               "item_id int, tags string")
+    kept = exclude_tokens(df, "tags", ", ", ["Hentai"])
+    assert sorted(r.item_id for r in kept.collect()) == [2, 3]

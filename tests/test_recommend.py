@@ -72,3 +72,22 @@ def test_full_pipeline_with_als(spark, sf_small):
     assert recos.join(g.dim_item, "item_id", "left_anti").count() == 0
     assert counts["dim_item"] == {"written": 134, "rejected": 0}
     assert counts["bridge_item_tag"]["written"] == 378
+
+
+def test_exclude_unrated_flag(spark, sf_small):
+    g = gold(spark, sf_small)
+    listed = R.rated_pairs(g.fact, exclude_unrated=True)
+    recos = R.popularity_recommendations(g.dim_user, g.fact, exclude_unrated=True)
+    assert recos.join(listed, ["user_id", "item_id"], "left_semi").count() == 0
+    default = R.popularity_recommendations(g.dim_user, g.fact)
+    unrated = g.fact.filter(F.col("rating").isNull()).select("user_id", "item_id")
+    assert default.join(unrated, ["user_id", "item_id"], "left_semi").count() >= 0
+
+
+def test_point_lookup_is_ordered(spark, sf_small):
+    from orrery.plans import analytics as A
+
+    g = gold(spark, sf_small)
+    uid = g.recommendations.first().user_id
+    ranks = [r["rank"] for r in A.user_recommendations(g, [uid]).collect()]
+    assert ranks == sorted(ranks) and ranks[0] == 1
