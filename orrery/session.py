@@ -70,6 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can "
+                               "reach (shared storage); a machine-local folder cannot work")
         configured = tempfile.mkdtemp(prefix="orrery-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
