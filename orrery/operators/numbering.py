@@ -18,19 +18,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return requested
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str,
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (ascending,
     nulls first, like ``row_number() OVER (ORDER BY ...)``). Make ``order``
     unique (append a key) for a deterministic result."""
-    n = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE coalesces contiguous range partitions to
+    # the advisory size; coalescing keeps partition order, so positions and
+    # offsets stay correct.
+    spread = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = (spread.sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))

@@ -125,3 +125,20 @@ def test_group_medians_match_pandas(spark):
     got = {r.g: r.v for r in group_medians(df, "g", ["v"], "id").collect()}
     ref = pd.DataFrame(data, columns=["g", "v", "id"]).groupby("g")["v"].median().to_dict()
     assert got == ref
+
+
+def test_global_row_number_with_coalesced_range_partitions(spark):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+        df = spark.range(0, 20000, 1, 5).select(((F.col("id") * 7919) % 20000).alias("k"))
+        mine = global_row_number(df, ["k"], "rn")
+        assert 1 < mine.rdd.getNumPartitions() < 64  # coalesced, not collapsed
+        assert mine.filter(F.col("rn") != F.col("k") + 1).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
