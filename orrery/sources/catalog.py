@@ -33,6 +33,17 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
+REJECT_SCHEMA = T.StructType([
+    T.StructField("reject_id", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("job_name", T.StringType()),
+    T.StructField("target_table", T.StringType()),
+    T.StructField("error_reason", T.StringType()),
+    T.StructField("payload", T.StringType()),
+    T.StructField("rejected_at", T.TimestampType()),
+])
+
+
 class PublishError(RuntimeError):
     pass
 
@@ -166,7 +177,13 @@ class Catalog:
         return int(obs.get["rows"])
 
     def rejects(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/reject_records").drop("batch")
+        """The reject log (empty, with its schema, before the first reject)."""
+        from orrery.sources.files import path_exists
+
+        path = f"{self.root}/reject_records"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], REJECT_SCHEMA)
+        return self.spark.read.schema(REJECT_SCHEMA).parquet(path)
 
 
 def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,

@@ -161,3 +161,9 @@ def test_reader_picks_one_writer_when_two_manifests_share_a_number(spark):
     seq, tables = Catalog(spark, cat.root).state()
     assert seq == 2
     assert len({t.run_id for t in tables.values()}) == 1
+
+
+def test_empty_reject_log_has_schema(spark):
+    cat = Catalog(spark, work_root(spark, unique_name("test-cat"))).create()
+    empty = cat.rejects()
+    assert empty.count() == 0 and "payload" in empty.columns
