@@ -59,5 +59,7 @@ BAND_LIMITS = (5.0, 6.0)
 CATALOG_KINDS = ("Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5")
 CATALOG_TAGS = ("small", "SMALL")
 
-# Broadcast only sides whose row count is known to be at most this.
-BROADCAST_MAX_ROWS = 2_000_000
+# Broadcast only sides whose row count is known to be at most this: single
+# integer keys (~8 bytes a row) and narrow dimension rows (id + short name).
+BROADCAST_MAX_KEY_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 200_000

@@ -86,7 +86,9 @@ class ForeignKey:
         keys = (self.ref.select(*[F.col(r).alias(alias[c])
                                   for c, r in zip(self.columns, ref_cols)])
                 .distinct().withColumn("_fk_hit", F.lit(True)))
-        keys = bounded_broadcast(keys, self.ref_rows)
+        keys = bounded_broadcast(keys, self.ref_rows,
+                                 config.BROADCAST_MAX_KEY_ROWS if len(self.columns) == 1
+                                 else config.BROADCAST_MAX_ROWS)
         cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(alias[c]) for c in self.columns])
         joined = df.join(keys, cond, "left")
         failed = F.col("_fk_hit").isNull()

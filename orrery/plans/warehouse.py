@@ -107,7 +107,7 @@ class Warehouse:
                 stage1.filter(F.col("error_reason").isNotNull())
                 .select("item_id", "tag_name", "error_reason"), allowMissingColumns=True)
 
-        items_shuffle = item_rows > config.BROADCAST_MAX_ROWS
+        items_shuffle = item_rows > config.BROADCAST_MAX_KEY_ROWS
         _, (fact, _) = in_parallel(
             lambda: job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS,
                         persist=items_shuffle),
