@@ -1,6 +1,6 @@
 """Command line: run the pipeline, or one layer of it, as a Spark job.
 
-    spark-submit -m orrery pipeline --input DIR --root URI [--recommender als]
+    spark-submit --py-files orrery.zip orrery/__main__.py pipeline --input DIR --root URI
     python -m orrery layer gold --input DIR --root URI
 
 Each layer reads the previous layer's written tables under ``--root`` (any
@@ -11,9 +11,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 
-from orrery.plans.warehouse import Warehouse
-from orrery.session import build_session
+if __package__ in (None, ""):  # run as a file by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from orrery.plans.warehouse import Warehouse  # noqa: E402
+from orrery.session import build_session  # noqa: E402
 
 
 def main(argv=None) -> None:
