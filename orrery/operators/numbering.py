@@ -45,22 +45,22 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str,
 
 
 def quantile_bins(df: DataFrame, order: Sequence[str | Column], q_max: int,
-                  out: str = "bin") -> DataFrame:
+                  out: str = "bin", rank_col: str | None = None) -> DataFrame:
     """Equal-frequency bins 1..q over the rows ranked by ``order``.
 
     rank r (1..n, ties broken by ``order``), q = min(q_max, n):
     bin = max(1, ceil((r - 1) * q / (n - 1))) -- the bins a quantile cut of the
     ranks into q intervals produces. Integer arithmetic only. n comes from a
-    scalar subquery; rows are dropped when n < 2.
+    scalar subquery; rows are dropped when n < 2. ``rank_col`` keeps r.
     """
     ranked = global_row_number(df, order, "_rank")
     n = ranked.agg(F.count(F.lit(1))).scalar()
     q = F.least(F.lit(q_max).cast("bigint"), n)
     pos = (F.col("_rank") - 1) * q
     ceil_div = F.when(n > 1, F.floor((pos + n - 2) / (n - 1)))
-    return (ranked.filter(n >= 2)
-            .withColumn(out, F.greatest(F.lit(1), ceil_div).cast("int"))
-            .drop("_rank"))
+    binned = (ranked.filter(n >= 2)
+              .withColumn(out, F.greatest(F.lit(1), ceil_div).cast("int")))
+    return binned.withColumnRenamed("_rank", rank_col) if rank_col else binned.drop("_rank")
 
 
 def group_medians(df: DataFrame, group: str, values: Sequence[str], tie: str) -> DataFrame:
@@ -77,12 +77,19 @@ def group_medians(df: DataFrame, group: str, values: Sequence[str], tie: str) ->
     for v in values:
         ranked = global_row_number(df.select(group, v, tie).filter(F.col(v).isNotNull()),
                                    [group, v, tie], "_pos")
-        stats = ranked.groupBy(group).agg(F.min("_pos").alias("_first"),
-                                          F.count(F.lit(1)).alias("_n"))
-        lo = F.col("_first") + F.floor((F.col("_n") - 1) / 2)
-        hi = F.col("_first") + F.floor(F.col("_n") / 2)
-        med = (ranked.join(stats, group)
-               .filter((F.col("_pos") == lo) | (F.col("_pos") == hi))
-               .groupBy(group).agg(F.avg(F.col(v).cast("double")).alias(v)))
+        med = medians_at_positions(ranked, group, "_pos", v)
         out = med if out is None else out.join(med, group, "full")
     return out
+
+
+def medians_at_positions(ranked: DataFrame, group: str, pos: str, value: str) -> DataFrame:
+    """Median of ``value`` per group when ``pos`` numbers the rows of each
+    group consecutively in ``value`` order: per group the first position and
+    the count (one small row per group) locate the middle row(s)."""
+    stats = ranked.groupBy(group).agg(F.min(pos).alias("_first"),
+                                      F.count(F.lit(1)).alias("_n"))
+    lo = F.col("_first") + F.floor((F.col("_n") - 1) / 2)
+    hi = F.col("_first") + F.floor(F.col("_n") / 2)
+    return (ranked.join(stats, group)
+            .filter((F.col(pos) == lo) | (F.col(pos) == hi))
+            .groupBy(group).agg(F.avg(F.col(value).cast("double")).alias(value)))

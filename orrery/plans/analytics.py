@@ -20,7 +20,7 @@ from orrery import config
 from orrery.functions.columns import round2
 from orrery.operators.histogram import equal_width_histogram
 from orrery.operators.joins import bounded_broadcast
-from orrery.operators.numbering import group_medians, quantile_bins
+from orrery.operators.numbering import group_medians, medians_at_positions, quantile_bins
 from orrery.operators.sampling import seeded_sample
 
 
@@ -220,9 +220,12 @@ def activity_trend(users: DataFrame, q_max: int = config.TREND_BINS) -> DataFram
     """Users ranked by (list size, id) into min(10, n) equal-frequency
     bins; exact median list size and median average per bin (rank-based, no
     per-group value buffers). Empty when fewer than two users."""
-    binned = quantile_bins(users, ["user_total_reviews", "user_id"], q_max, "bin")
-    meds = group_medians(binned, "bin", ["user_total_reviews", "user_average_given_rating"],
-                         "user_id")
+    binned = quantile_bins(users, ["user_total_reviews", "user_id"], q_max, "bin", "_rank")
+    # Bins are ranges of the (list size, id) ranks, so within a bin the ranks
+    # already order the list sizes: their median needs no second numbering.
+    reviews = medians_at_positions(binned, "bin", "_rank", "user_total_reviews")
+    averages = group_medians(binned, "bin", ["user_average_given_rating"], "user_id")
+    meds = reviews.join(averages, "bin", "full")
     return (meds.select(
         "bin",
         F.round(F.col("user_total_reviews").cast("decimal(18,6)"), 4).cast("double")
