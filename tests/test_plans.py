@@ -45,3 +45,17 @@ def test_point_lookup_pushes_user_filter(spark, sf_small):
     p = plan(A.user_profile(g, user_ids=[5]))
     assert "PushedFilters: [IsNotNull(user_id), In(user_id, [5])]" in p or \
         "EqualTo(user_id,5)" in p or "In(user_id" in p
+
+
+def test_clean_fact_validation_drops_the_duplicate_join(spark, sf_small):
+    from orrery.plans import star
+    from orrery.plans.warehouse import warehouse
+
+    wh = warehouse(spark, sf_small)
+    g = wh.gold_tables()
+    df = star.validate_fact(wh.silver_table("ratings"), g.dim_item, g.rows["dim_item"])
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    # Only the broadcast FK join remains; the empty duplicate list was
+    # propagated away by AQE.
+    assert final.count("Join") == 1 and "BroadcastHashJoin" in final
