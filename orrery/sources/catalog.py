@@ -71,7 +71,7 @@ class Catalog:
         return self
 
     # ---- reading -------------------------------------------------------
-    def _manifests(self) -> DataFrame | None:
+    def _manifests(self) -> DataFrame:
         schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("seq", T.LongType())])
         return self.spark.read.schema(schema).json(f"{self.root}/_manifests")
 
