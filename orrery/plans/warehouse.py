@@ -9,9 +9,11 @@ catalogue.
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,20 +180,59 @@ class Warehouse:
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 _LOCK = threading.Lock()
+_READY_SCHEMA = "root string"
+
+
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Key of a pipeline build: the input files (path, size, modification
+    time, listed by Spark) and the source of this package (code and fixed
+    values). A change to either gives a new key, hence a fresh build."""
+    listing = (spark.read.format("binaryFile").load(f"{sf_dir}/*.parquet")
+               .select("path", "length", F.col("modificationTime").cast("string"))
+               .orderBy("path").collect())  # one row per input table
+    digest = hashlib.sha256(repr([tuple(r) for r in listing]).encode())
+    package = Path(__file__).resolve().parents[1]
+    for source in sorted(package.rglob("*.py")):
+        digest.update(source.read_bytes())
+    return digest.hexdigest()[:20]
+
+
+def _finished_build(spark: SparkSession, base: str) -> str | None:
+    from orrery.sources.files import path_exists
+
+    if not path_exists(spark, f"{base}/ready"):
+        return None
+    rows = spark.read.json(f"{base}/ready").orderBy("root").select("root").take(1)
+    return rows[0]["root"] if rows else None
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The pipeline built once per process and input folder (queries share
-    it). Files live under the session's shared checkpoint folder."""
-    key = (work_root(spark), sf_dir.rstrip("/"))
+    """The pipeline over ``sf_dir``, built once and shared by the queries.
+
+    Builds live under the session's shared checkpoint folder, keyed by
+    ``fingerprint``; a finished build leaves a ``ready`` marker (written
+    last), so later processes with the same inputs and code read its
+    published tables instead of rebuilding. Concurrent builders write to
+    their own folders; readers take the first finished one.
+    """
+    sf_dir = sf_dir.rstrip("/")
+    key = (work_root(spark), sf_dir)
     with _LOCK:
         wh = _BUILT.get(key)
-        if wh is None:
-            wh = Warehouse(spark, sf_dir.rstrip("/"), work_root(spark, unique_name("wh")))
+        if wh is not None:
+            wh.spark = wh.catalog.spark = spark
+            return wh
+        base = work_root(spark, "warehouses", fingerprint(spark, sf_dir))
+        root = _finished_build(spark, base)
+        if root is None:
+            root = f"{base}/{unique_name('build')}"
+            wh = Warehouse(spark, sf_dir, root)
             wh.run()
-            _BUILT[key] = wh
+            (spark.createDataFrame([(root,)], _READY_SCHEMA).coalesce(1).write
+             .json(f"{base}/ready/build={unique_name('r')}"))
         else:
-            wh.spark = wh.catalog.spark = spark
+            wh = Warehouse(spark, sf_dir, root)
+        _BUILT[key] = wh
     return wh
 
 

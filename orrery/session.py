@@ -82,9 +82,14 @@ def work_root(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for written tables.
 
     Written tables, not executor-local state, carry results between stages,
-    so a lost executor only costs a task retry.
+    so a lost executor only costs a task retry. The configured folder itself
+    is used (Spark puts RDD checkpoints in a per-application subfolder), so
+    separate applications find each other's finished builds.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    app_dir = ensure_checkpoint_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = (configured or app_dir).rstrip("/")
     return "/".join([base, "orrery", *parts])
 
 

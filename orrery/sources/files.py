@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,17 @@ def write_text_csv(df: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the path holds at least one readable file."""
+    """True when the path holds at least one readable file.
+
+    Local paths are checked directly; other file systems by a Spark listing
+    (a missing path there is reported as a failed query, then answered)."""
+    if path.startswith("file:") or "://" not in path:
+        local = path[len("file:"):] if path.startswith("file:") else path
+        local = "/" + local.lstrip("/")
+        if not os.path.exists(local):
+            return False
+        return any(not name.startswith((".", "_")) for _, _, names in os.walk(local)
+                   for name in names) if os.path.isdir(local) else True
     try:
         spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
     except Exception as exc:  # noqa: BLE001 - Spark raises AnalysisException subclasses
