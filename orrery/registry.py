@@ -308,32 +308,21 @@ def q_constraint_audit(spark, sf):
 
 @query("pipeline_run_counts")
 def q_pipeline_run_counts(spark, sf):
-    """Rows written and rejected per gold job, recomputed from the flagged
-    frames over the silver layer of a run."""
+    """Rows written and rejected per job of a pipeline run, read back from
+    what the run wrote: each current table version (row count from the
+    Parquet footers) and the reject log rows of that version's run."""
     wh = warehouse(spark, sf)
-    g = wh.gold_tables()
-    items = wh.silver_table("items")
-    st1, st2 = G.bridge_stages(items, g.dim_tag, g.dim_item, tag_rows=g.rows.get("dim_tag"))
-    bridge = st2.select(quality.REASON).unionByName(
-        st1.filter(F.col(quality.REASON).isNotNull()).select(quality.REASON))
-    jobs = [
-        ("gold_dim_item", "dim_item", G.validate_dim_item(items)),
-        ("gold_dim_tag", "dim_tag", G.validate_dim_tag(items)),
-        ("gold_bridge_item_tag", "bridge_item_tag", bridge),
-        ("gold_fact_ratings", "fact_ratings", G.validate_fact(wh.silver_table("ratings"),
-                                                              g.dim_item)),
-        ("gold_dim_user", "dim_user", G.validate_dim_user(g.fact)),
-        ("recommend_popularity", "recommendations",
-         R.validate_recommendations(R.popularity_recommendations(g.dim_user, g.fact),
-                                    g.dim_item)),
-    ]
+    _, versions = wh.catalog.state()
+    rejects = wh.catalog.rejects()
     out = None
-    for job, table, flagged in jobs:
-        counts = flagged.agg(
-            F.count(F.when(F.col(quality.REASON).isNull(), 1)).alias("written"),
-            F.count(F.col(quality.REASON)).alias("rejected"),
-        ).select(F.lit(job).alias("job_name"), F.lit(table).alias("target_table"),
-                 "written", "rejected")
+    for v in sorted(versions.values(), key=lambda v: v.table):
+        if not v.job:
+            continue
+        rejected = rejects.filter((F.col("run_id") == v.run_id)
+                                  & (F.col("target_table") == v.table)).agg(F.count(F.lit(1)))
+        counts = wh.catalog.read(v.table, v).agg(F.count(F.lit(1)).alias("written")).select(
+            F.lit(v.job).alias("job_name"), F.lit(v.table).alias("target_table"), "written",
+            rejected.scalar().alias("rejected"))
         out = counts if out is None else out.unionByName(counts)
     return out
 

@@ -30,6 +30,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("schema", T.StringType()),
     T.StructField("run_id", T.StringType()),
+    T.StructField("job", T.StringType()),
 ])
 
 
@@ -55,6 +56,7 @@ class TableVersion:
     rows: int
     schema: str
     run_id: str
+    job: str | None = None  # the validated job that produced the version
 
 
 class Catalog:
@@ -94,7 +96,8 @@ class Catalog:
             return self._known
         seq = rows[0]["seq"]
         self._known = (seq, {r["table"]: TableVersion(r["table"], r["path"], r["rows"],
-                                                      r["schema"], r["run_id"]) for r in rows})
+                                                      r["schema"], r["run_id"], r["job"])
+                             for r in rows})
         return self._known
 
     def version(self, name: str) -> TableVersion:
@@ -145,7 +148,7 @@ class Catalog:
             raise PublishError("publication aborted before the manifest switch")
         merged = {**current, **staged}
         manifest = self.spark.createDataFrame(
-            [(v.table, v.path, v.rows, v.schema, v.run_id) for v in merged.values()],
+            [(v.table, v.path, v.rows, v.schema, v.run_id, v.job) for v in merged.values()],
             MANIFEST_SCHEMA)
         # Creating the manifest folder is the commit point; a concurrent
         # publisher that took the same number fails here and must retry.
@@ -235,7 +238,7 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
             F.lit(job_name).alias("job_name"), F.lit(target).alias("target_table"),
             REASON, "payload")
         catalog.append_rejects(records, run_id)
-    version = TableVersion(target, table_path, valid, schema.json(), run_id)
+    version = TableVersion(target, table_path, valid, schema.json(), run_id, job_name)
     return version, {"written": valid, "rejected": rejected}
 
 
