@@ -84,8 +84,16 @@ class Catalog:
         ``refresh`` re-reads (another writer may have published)."""
         if self._known is not None and not refresh:
             return self._known
-        m = self._manifests().withColumn("_file", F.col("_metadata.file_path"))
-        latest = m.filter(F.col("seq") == m.agg(F.max("seq")).scalar())
+        # The newest number comes from the folder listing alone (file
+        # contents are not read), then only that manifest is parsed.
+        newest = (self.spark.read.format("binaryFile").load(f"{self.root}/_manifests")
+                  .agg(F.max("seq")).first()[0])
+        if newest is None:  # only the empty manifest 0 exists
+            self._known = (0, {})
+            return self._known
+        m = (self._manifests().filter(F.col("seq") == newest)
+             .withColumn("_file", F.col("_metadata.file_path")))
+        latest = m
         # Two publishers that raced for the same number may both have
         # committed a file there: one writer's complete mapping wins (the
         # smallest file name), never a mix of both.
