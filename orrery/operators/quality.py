@@ -38,15 +38,24 @@ def _reason(df_reason: Column, failed: Column, text: str) -> Column:
 
 @dataclass(frozen=True)
 class NotNull:
+    """The reason names all required columns (as the original text does);
+    with ``report_missing`` a ``missing_columns`` column also lists the ones
+    actually null."""
     columns: tuple[str, ...]
     reason: str | None = None
+    report_missing: bool = False
 
     def text(self) -> str:
         return self.reason or config.REASON_MISSING_PREFIX + ", ".join(self.columns)
 
     def apply(self, df: DataFrame) -> DataFrame:
         failed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
-        return df.withColumn(REASON, _reason(F.col(REASON), failed, self.text()))
+        out = df.withColumn(REASON, _reason(F.col(REASON), failed, self.text()))
+        if self.report_missing:
+            missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c))
+                                          for c in self.columns])
+            out = out.withColumn("missing_columns", F.when(failed, missing))
+        return out
 
 
 @dataclass(frozen=True)

@@ -194,3 +194,11 @@ def test_pipeline_balances_and_audit_is_clean(spark, sf_small):
     assert bridge.rows + bridge_rejects == pairs
     audit = QUERIES["constraint_audit"](spark, sf_small).collect()
     assert len(audit) == 17 and all(r.violations == 0 for r in audit)
+
+
+def test_not_null_can_report_the_missing_columns(spark):
+    df = spark.createDataFrame([(1, None, 3), (None, None, 1), (1, 2, 3)], "a int, b int, c int")
+    flagged = validate(df, [NotNull(("a", "b"), report_missing=True)])
+    got = sorted((r.missing_columns or "", r[REASON] or "") for r in flagged.collect())
+    assert got == [("", ""), ("a, b", "missing required column(s): a, b"),
+                   ("b", "missing required column(s): a, b")]
