@@ -126,45 +126,44 @@ def valid_rows(flagged: DataFrame, columns) -> DataFrame:
 def constraint_audit(dim_item: DataFrame, dim_tag: DataFrame, bridge: DataFrame,
                      fact: DataFrame, dim_user: DataFrame, recos: DataFrame) -> DataFrame:
     """Violations per declared constraint of the gold tables (all 0 when the
-    tables came out of validation). One small aggregate per check."""
-
-    def dup(df, keys, table, name):
-        return (df.groupBy(*keys).count().filter(F.col("count") > 1)
-                .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("violations"))
-                .select(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
-                        "violations"))
-
-    def nulls(df, cols, table, name):
-        cond = None
-        for c in cols:
-            cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-        return df.agg(F.count(F.when(cond, 1)).cast("bigint").alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"), "violations")
+    tables came out of validation). Not-null and primary-key checks of a
+    table share one grouped pass (per-key counts and a null tally); each
+    foreign key is one anti join."""
+
+    def row(table, name, count):
+        return F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
+                        F.coalesce(count, F.lit(0)).cast("bigint").alias("violations"))
+
+    def keyed(df, keys, required, table, name="primary_key"):
+        nulls = F.lit(False)
+        for c in required:
+            nulls = nulls | F.col(c).isNull()
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"),
+                                         F.count(F.when(nulls, 1)).alias("_nulls"))
+        totals = per_key.agg(F.sum(F.when(F.col("_c") > 1, F.col("_c"))).alias("_dups"),
+                             F.sum("_nulls").alias("_nulls"))
+        rows = [row(table, name, F.col("_dups"))]
+        if required:
+            rows.insert(0, row(table, "not_null", F.col("_nulls")))
+        return totals.select(F.inline(F.array(*rows)))
 
     def orphans(df, col, ref, ref_col, table, name):
         return (df.join(ref.select(F.col(ref_col).alias("_ref")), F.col(col) == F.col("_ref"),
                         "left_anti")
-                .agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-                .select(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
-                        "violations"))
+                .agg(F.count(F.lit(1)).alias("_n"))
+                .select(F.inline(F.array(row(table, name, F.col("_n"))))))
 
     checks = [
-        nulls(dim_item, ["item_id", "name"], "dim_item", "not_null"),
-        dup(dim_item, ["item_id"], "dim_item", "primary_key"),
-        nulls(dim_tag, ["tag_id", "tag_name"], "dim_tag", "not_null"),
-        dup(dim_tag, ["tag_id"], "dim_tag", "primary_key"),
-        dup(dim_tag, ["tag_name"], "dim_tag", "unique_name"),
-        nulls(bridge, ["item_id", "tag_id"], "bridge_item_tag", "not_null"),
-        dup(bridge, ["item_id", "tag_id"], "bridge_item_tag", "primary_key"),
+        keyed(dim_item, ["item_id"], ["item_id", "name"], "dim_item"),
+        keyed(dim_tag, ["tag_id"], ["tag_id", "tag_name"], "dim_tag"),
+        keyed(dim_tag, ["tag_name"], [], "dim_tag", "unique_name"),
+        keyed(bridge, ["item_id", "tag_id"], ["item_id", "tag_id"], "bridge_item_tag"),
         orphans(bridge, "item_id", dim_item, "item_id", "bridge_item_tag", "fk_item"),
         orphans(bridge, "tag_id", dim_tag, "tag_id", "bridge_item_tag", "fk_tag"),
-        nulls(fact, ["user_id", "item_id"], "fact_ratings", "not_null"),
-        dup(fact, ["user_id", "item_id"], "fact_ratings", "primary_key"),
+        keyed(fact, ["user_id", "item_id"], ["user_id", "item_id"], "fact_ratings"),
         orphans(fact, "item_id", dim_item, "item_id", "fact_ratings", "fk_item"),
-        nulls(dim_user, ["user_id"], "dim_user", "not_null"),
-        dup(dim_user, ["user_id"], "dim_user", "primary_key"),
-        nulls(recos, ["user_id", "item_id", "rank"], "recommendations", "not_null"),
-        dup(recos, ["user_id", "rank"], "recommendations", "primary_key"),
+        keyed(dim_user, ["user_id"], ["user_id"], "dim_user"),
+        keyed(recos, ["user_id", "rank"], ["user_id", "item_id", "rank"], "recommendations"),
         orphans(recos, "item_id", dim_item, "item_id", "recommendations", "fk_item"),
     ]
     out = checks[0]
