@@ -94,3 +94,19 @@ def test_hot_key_in_uniqueness_rule(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_user_in_top_n_is_limited_before_the_shuffle(spark):
+    from orrery.plans.recommend import top_n_per_user
+
+    cands = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("int")
+        .alias("user_id"),
+        F.col("id").cast("int").alias("item_id"),
+        (F.col("id") % 97).cast("float").alias("predicted_rating"))
+    top = top_n_per_user(cands)
+    hot = top.filter("user_id = 7").orderBy("rank").collect()
+    assert [r["rank"] for r in hot] == list(range(1, 11))
+    assert all(r.predicted_rating == 96.0 for r in hot)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
