@@ -34,10 +34,15 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", int(cpus), extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
 
-    t0 = time.time()
     wh = W.Warehouse(spark, sf_dir, work_root(spark, unique_name("bench")))
-    wh.run()
-    times["pipeline"] = round(time.time() - t0, 3)
+    layers = {}
+    for layer in ("bronze", "silver", "gold", "recommend"):
+        t = time.time()
+        if layer == "bronze":
+            wh.catalog.create()
+        getattr(wh, layer)()
+        layers[f"pipeline_{layer}"] = round(time.time() - t, 3)
+    times["pipeline"] = round(sum(layers.values()), 3)
     W._BUILT[(work_root(spark), sf_dir)] = wh  # queries reuse this run
 
     for name in HEADLINE:
@@ -46,11 +51,13 @@ def main() -> None:
         times[name] = round(time.time() - t, 3)
 
     sf_name = os.path.basename(sf_dir).replace("sf", "")
+    total = round(sum(times.values()), 3)
+    times.update(layers)  # breakdown of "pipeline", not added to the total
     try:
         sf: float | str = float(sf_name)
     except ValueError:
         sf = sf_name
-    print(json.dumps({"metric": "total_time", "value": round(sum(times.values()), 3),
+    print(json.dumps({"metric": "total_time", "value": total,
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
 
