@@ -9,8 +9,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
                                 "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+import check_oracle  # noqa: E402
 from check_oracle import digest, duck  # noqa: E402
 
+check_oracle.EXACT = True  # floats compared bit for bit
+
 SF = "/root/testdata/sf0.001"
 ORACLE = E.oracle_sql()
 QUERIES = E.queries()
