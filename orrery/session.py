@@ -34,11 +34,16 @@ CLUSTER_CONF = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "orrery", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with AQE on, UTC time and ANSI casts.
+    """Build a session with AQE on, UTC time and ANSI casts, or return the
+    active one unchanged (its owner configured it).
 
     On a cluster leave ``master`` and ``shuffle_partitions`` unset: the
     submitter decides them; AQE coalesces shuffle partitions at runtime.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
