@@ -99,3 +99,12 @@ def test_exact_token_exclusion(spark):
                                "item_id int, tags string")
     kept = exclude_tokens(df, "tags", ", ", ["Hentai"])
     assert sorted(r.item_id for r in kept.collect()) == [2, 3]
+
+
+def test_jdbc_partition_options():
+    from orrery.sources.jdbc import partition_options
+
+    assert partition_options(1, 1000, 64) == {"lowerBound": "1", "upperBound": "1000",
+                                              "numPartitions": "64"}
+    assert partition_options(5, 7, 64)["numPartitions"] == "3"
+    assert partition_options(9, 9, 64)["numPartitions"] == "1"
