@@ -3,7 +3,10 @@ bindings for column expressions, and text chunks for Arrow tasks."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,3 +76,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once a session: a zip sent by
+    Spark itself, for clusters where the package is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_orrery_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    name = Path(tempfile.mkdtemp(prefix="orrery-zip-")) / "orrery_tasks.zip"
+    with zipfile.ZipFile(name, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(name))
+    sc._orrery_shipped = True

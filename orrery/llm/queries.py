@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import quality
+from orrery.llm import bagminhash, quality
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +26,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols",
         "quality.n_dup_lines", "quality.n_repeat_words", "quality.base_failed", "quality.kept",
         "quality.lost_chars")
+
+
+@query
+def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
