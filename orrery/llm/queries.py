@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orrery.llm import bagminhash, quality
+from orrery.llm import bagminhash, decontaminate, mixing, quality
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +32,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item in it."""
+    docs = table(spark, sf_dir, "documents")
+    found = decontaminate.find_matches(
+        docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    # The text is not wanted back from the tasks' output.
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.inline("matches"))
+
+
+@query
+def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.sample(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return taken.select("row.doc_id", "size", "source_size", "target",
+                        (F.col("copies") * F.col("size")).alias("taken"))
