@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bagminhash, decontaminate, mixing, quality
+from orrery.llm import bagminhash, decontaminate, mixing, quality, tokens
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,8 @@ def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.sample(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return taken.select("row.doc_id", "size", "source_size", "target",
                         (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.tokenize(table(spark, sf_dir, "documents"), tokens.vocabulary())
