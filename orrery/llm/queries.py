@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bagminhash, decontaminate, mixing, quality, tokens
+from orrery.llm import bagminhash, decontaminate, language, mixing, quality, tokens
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,12 @@ def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenize(table(spark, sf_dir, "documents"), tokens.vocabulary())
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    apart = language.held_out(F.col("doc_id"))
+    model = language.learn(docs.filter(~apart).select("text", "lang"))
+    rows = docs.select(F.struct("doc_id", apart.alias("held_out")).alias("row"), "text")
+    return language.predict(rows, model).select("row.*", "lang_pred", "score")
