@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bagminhash, decontaminate, language, mixing, quality, tokens
+from orrery.llm import bagminhash, decontaminate, language, mixing, pii, quality, tokens
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.learn(docs.filter(~apart).select("text", "lang"))
     rows = docs.select(F.struct("doc_id", apart.alias("held_out")).alias("row"), "text")
     return language.predict(rows, model).select("row.*", "lang_pred", "score")
+
+
+@query
+def op8_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
