@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bagminhash, decontaminate, language, mixing, pii, quality, tokens
+from orrery.llm import (bagminhash, decontaminate, language, mixing, pii, quality, sharding,
+                        tokens, urls)
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +69,50 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_permutation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.assign(docs, sharding.fill(sharding.names())).select(
+        "row.doc_id", "slot", "shard")
+
+
+#: The rules of op3.
+URL_RULES = (
+    urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"), urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+
+
+@query
+def op3_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op3_url_trie"] = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(rhost, rpath, action) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+         ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), hits AS (
+  SELECT p.page_id, r.rhost || r.rpath AS rule, r.action,
+         row_number() OVER (PARTITION BY p.page_id
+                            ORDER BY length(r.rhost) DESC, length(r.rpath) DESC) AS n
+  FROM parts p JOIN rules r ON (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost))
+                           AND starts_with(p.path, r.rpath)
+)
+SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.action, 'allow') AS verdict
+FROM parts p LEFT JOIN hits h ON h.page_id = p.page_id AND h.n = 1
+"""
