@@ -17,12 +17,14 @@ component's best: a few per shingle.
 *Bands.* ROWS components form a band, texts with an equal band share a bucket.
 
 *Links.* Equal multisets are one node from the start, so groups of copies
-never meet as pairs. In each bucket the nodes are compared with a hub only (a
-star). Members whose class differs from the hub's afterwards are compared
-with the next hub, until a bucket holds one class; small rests are compared
-pairwise. So each two nodes of a bucket are compared or already in one class,
-and no large group is expanded into pairs. Every comparison is the exact
-multiset overlap. Classes are the connected components of the links.
+never meet as pairs. In each bucket all nodes are compared with its hub only,
+the node that shares most (a star). Where the others are of several classes
+afterwards, members of different classes are compared in blocks of BLOCK
+nodes, and a link is kept for each two classes; a large bucket is many block
+pairs, each a group of its own. So each two nodes of a bucket are compared or
+in one class already, and no group is expanded into pairs of rows. Every
+comparison is the exact multiset overlap. Classes are the connected
+components of the links.
 
 Defined results: a text without words (null, empty, blank) is in no group;
 repeated rows and null ids are documents like others and share a class by
@@ -45,8 +47,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 42
 ROWS = 6
-#: Rests of a bucket up to this size are compared pairwise (at most 120 pairs).
-PAIRWISE = 16
+#: Nodes of a block: what is left of a bucket is compared block by block.
+BLOCK = 256
 
 _U = np.uint64
 _B, _BINV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -244,6 +246,53 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["u", "v", "similarity"])
 
 
+def overlaps(bags: list[bytes]) -> np.ndarray:
+    """Weighted Jaccard indices of all pairs of a few packed multisets."""
+    own, keys = [], []
+    for i, bag in enumerate(bags):
+        shingle, count = _unpack(bag)
+        copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        keys.append(np.repeat(shingle, count) | (copy.astype(np.uint64) << _U(48)))
+        own.append(np.full(len(keys[-1]), i))
+    size = np.array([len(k) for k in keys], dtype=np.float64)
+    which, own = np.concatenate(keys), np.concatenate(own)
+    _, column, often = np.unique(which, return_inverse=True, return_counts=True)
+    shared = often[column] > 1
+    column, own = column[shared], own[shared]
+    both = np.zeros((len(bags), len(bags)))
+    if len(column):
+        _, column = np.unique(column, return_inverse=True)
+        order = np.argsort(column, kind="stable")
+        column, own = column[order], own[order]
+        for low in range(0, int(column[-1]) + 1, 4096):
+            a, b = np.searchsorted(column, [low, low + 4096])
+            has = np.zeros((len(bags), 4096), dtype=np.float32)
+            has[own[a:b], column[a:b] - low] = 1
+            both += has @ has.T
+    return both / np.maximum(size[:, None] + size[None, :] - both, 1)
+
+
+def _compare(threshold: float):
+    """The members of two blocks of a bucket: one link for each two classes
+    that have similar members there."""
+    def run(key: tuple, members: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        block = members["block"].to_numpy()
+        node, label = members["node"].to_pylist(), members["label"].to_pylist()
+        score = overlaps(members["bag"].to_pylist())
+        _, kind = np.unique(np.array(label, dtype=object), return_inverse=True)
+        apart = kind[:, None] < kind[None, :]
+        if i != j:
+            apart &= block[:, None] != block[None, :]
+        x, y = np.nonzero(apart & (score >= threshold))
+        _, first = np.unique(kind[x] * (len(node) + 1) + kind[y], return_index=True)
+        x, y = x[first], y[first]
+        return pa.table({"u": pa.array([node[k] for k in x], pa.binary()),
+                         "v": pa.array([node[k] for k in y], pa.binary()),
+                         "similarity": pa.array(score[x, y], pa.float64())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS,
                     rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(members, links) of ``docs`` (doc_id, text).
@@ -261,7 +310,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
         F.first("bands").alias("bands"), F.min(F.struct("doc_id", "text_hash")).alias("doc"))
     pairs = nodes.select("node", F.explode("bands").alias("bucket"))
     full = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = written(pairs.join(full, "bucket").select("bucket", "node"), "buckets")
+    shared = written(pairs.join(full, "bucket").select("bucket", "node", "n"), "buckets")
 
     # The packed multisets of all nodes that share a bucket.
     wanted = shared.select("node").distinct().join(nodes, "node").select(
@@ -279,45 +328,38 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
 def _link(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """Verified links (u, v, similarity) that join all similar nodes of each
-    bucket of ``shared`` (bucket, node) into one class."""
+    bucket of ``shared`` (bucket, node, n) into one class."""
+    # Stars: the hub of a bucket is the node that shares most buckets most
+    # widely, the middle of its group.
+    weight = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    hubs = written(shared.join(weight, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", "node")).alias("top"))
+        .select("bucket", F.col("top.node").alias("hub")), "hubs")
+    others = shared.select("bucket", "node").join(hubs, "bucket").filter("node != hub")
     bag_u = bags.select(F.col("node").alias("u"), F.col("bag").alias("bag_u"))
     bag_v = bags.select(F.col("node").alias("v"), F.col("bag").alias("bag_v"))
-    links = tested = None
-    rest = shared.withColumn("label", F.col("node"))
-    while True:
-        hubs = rest.groupBy("bucket").agg(F.min("node").alias("hub"),
-                                          F.min_by("label", "node").alias("hub_label"),
-                                          F.count(F.lit(1)).alias("n"))
-        held = rest.join(hubs, "bucket").filter("node != hub")
-        asked = held.filter("label != hub_label").select(F.col("hub").alias("u"),
-                                                         F.col("node").alias("v"))
-        if tested is not None:
-            few = held.filter(F.col("n") <= PAIRWISE)
-            a, b = few.alias("a"), few.alias("b")
-            asked = asked.unionByName(
-                a.join(b, F.col("a.bucket") == F.col("b.bucket"))
-                .filter("a.node < b.node and a.label != b.label")
-                .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
-        asked = asked.distinct()
-        if tested is not None:
-            asked = asked.join(tested, ["u", "v"], "left_anti")
-            held = held.filter(F.col("n") > PAIRWISE)
-        scored = written(asked.join(bag_u, "u").join(bag_v, "v").mapInArrow(
-            _verify, "u binary, v binary, similarity double"), "scored")
-        tested = scored.select("u", "v") if tested is None \
-            else tested.unionByName(scored.select("u", "v"))
-        good = scored.filter(F.col("similarity") >= threshold)
-        links = good if links is None else links.unionByName(good)
-        # A hub has met every member of another class and leaves its bucket;
-        # a bucket that holds one class, or was compared pairwise, is done.
-        labels = components(links)
-        left = held.select("bucket", "node").join(labels, "node", "left").select(
-            "bucket", "node", F.coalesce("label", "node").alias("label"))
-        mixed = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-            .filter("lo != hi").select("bucket")
-        rest = written(left.join(mixed, "bucket"), "rest")
-        if rest.isEmpty():
-            return links
+    asked = others.select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
+    stars = written(asked.join(bag_u, "u").join(bag_v, "v").mapInArrow(
+        _verify, "u binary, v binary, similarity double")
+        .filter(F.col("similarity") >= threshold), "stars_verified")
+
+    # The rest: buckets whose other members are still of several classes.
+    labels = components(stars)
+    left = others.select("bucket", "node").join(labels, "node", "left").select(
+        "bucket", "node", F.coalesce("label", "node").alias("label"))
+    mixed = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                       F.count(F.lit(1)).alias("n")) \
+        .filter("lo != hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = left.join(mixed, "bucket").select(
+        "bucket", "node", "label", "blocks",
+        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    groups = placed.select("bucket", F.least("block", "other").alias("i"),
+                           F.greatest("block", "other").alias("j"), "block", "node", "label") \
+        .join(bags, "node")
+    rest = written(groups.groupBy("bucket", "i", "j").applyInArrow(
+        _compare(threshold), "u binary, v binary, similarity double"), "rest_verified")
+    return stars.unionByName(rest)
 
 
 def classes(docs: DataFrame, **params) -> DataFrame:
