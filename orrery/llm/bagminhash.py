@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import chunks, code_points, mix, ship, written
 from orrery.llm.graph import components
+from orrery.llm.hashing import BASE, GOLD, Powers, stretch_hashes, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -51,44 +52,16 @@ ROWS = 6
 BLOCK = 256
 
 _U = np.uint64
-_B, _BINV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _TIME = _U(32)
 _NEVER = _U(0x7F800000) << _TIME
-_GOLD = _U(0x9E3779B97F4A7C15)
-
-
-class Powers:
-    """Powers of the word-hash base and of its inverse, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            ones = np.ones(size, dtype=np.uint64)
-            ones[1:] = _U(_B)
-            self.up = np.multiply.accumulate(ones)
-            ones[1:] = _U(_BINV)
-            self.down = np.multiply.accumulate(ones)
-        return self.up, self.down
 
 
 def word_hashes(points: np.ndarray, starts: np.ndarray,
                 powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (runs outside white space), in order, and
-    each text's first word (one more entry: the number of words)."""
-    blank = (points == 32) | ((points >= 9) & (points <= 13)) | (points == 0)
-    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-    if not blank[0]:
-        edge = np.concatenate([[0], edge])
-    begin, end = edge[0::2], edge[1::2]  # the last point is a separator
-    up, down = powers.upto(len(points) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64),
-                            np.cumsum((points.astype(np.uint64) + _U(1)) * up[:len(points)])])
-    hashed = mix((total[end] - total[begin]) * down[begin]
-                 + (end - begin).astype(np.uint64) * _GOLD)
-    return hashed, np.searchsorted(begin, starts)
+    """64-bit hashes of the words, in order, and each text's first word (one
+    more entry: the number of words)."""
+    begin, end = words(points)
+    return stretch_hashes(points, begin, end, powers), np.searchsorted(begin, starts)
 
 
 def shingle_bags(texts: list[str], powers: Powers
@@ -96,13 +69,13 @@ def shingle_bags(texts: list[str], powers: Powers
     """(text, 48-bit shingle hash, count) of all texts' multisets, ordered by
     text and hash. At most 65,536 texts."""
     points, starts = code_points([t.lower() for t in texts])
-    words, first = word_hashes(points, starts, powers)
+    hashed, first = word_hashes(points, starts, powers)
     n_words = np.diff(first)
     keys = []
-    if len(words) >= SHINGLE:
-        rolled = np.zeros(len(words) - SHINGLE + 1, dtype=np.uint64)
+    if len(hashed) >= SHINGLE:
+        rolled = np.zeros(len(hashed) - SHINGLE + 1, dtype=np.uint64)
         for k in range(SHINGLE):
-            rolled += words[k:len(words) - SHINGLE + 1 + k] * _U(_B * (2 * k + 1) & (1 << 64) - 1)
+            rolled += hashed[k:len(hashed) - SHINGLE + 1 + k] * _U(BASE * (2 * k + 1) & (1 << 64) - 1)
         text = np.repeat(np.arange(len(texts)), n_words)[:len(rolled)]
         inside = np.arange(len(rolled)) + SHINGLE <= first[text + 1]
         keys.append((text[inside].astype(np.uint64) << _U(48)) | (mix(rolled[inside]) >> _U(16)))
@@ -111,7 +84,7 @@ def shingle_bags(texts: list[str], powers: Powers
         whole = np.zeros(len(short), dtype=np.uint64)
         for k in range(SHINGLE - 1):
             has = n_words[short] > k
-            whole[has] = mix(whole[has] + words[first[short][has] + k] + _U(k))
+            whole[has] = mix(whole[has] + hashed[first[short][has] + k] + _U(k))
         keys.append((short.astype(np.uint64) << _U(48)) | (mix(whole) >> _U(16)))
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -134,11 +107,11 @@ def signatures(text: np.ndarray, shingle: np.ndarray, count: np.ndarray, n: int,
     step, turn = 1, 0
     while len(doc):
         turns = np.arange(turn, turn + step, dtype=np.uint64)
-        draw = mix(seed[:, None] + (turns * _GOLD)[None, :])
+        draw = mix(seed[:, None] + (turns * GOLD)[None, :])
         ident = draw & _U(0xFFFFFFFF)
         wait = -np.log(((draw >> _U(32)).astype(np.float64) + 0.5) / 2.0 ** 32)
         when = at[:, None] + np.cumsum(wait / width[:, None], axis=1)
-        more = mix(draw ^ _GOLD)
+        more = mix(draw ^ GOLD)
         part = (more >> _U(32)) * _U(m) >> _U(32)
         mark = low[:, None] + 1 + ((more & _U(0xFFFFFFFF)) * width.astype(np.uint64)[:, None]
                                    >> _U(32)).astype(np.int64)
@@ -165,7 +138,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     part = signature.reshape(len(signature), bands, rows).astype(np.uint64)
     key = np.repeat(np.arange(bands, dtype=np.uint64)[None, :], len(signature), axis=0)
     for k in range(rows):
-        key = mix(key * _GOLD + part[:, :, k] + _U(1))
+        key = mix(key * GOLD + part[:, :, k] + _U(1))
     return key.view(np.int64)
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import (bagminhash, decontaminate, language, mixing, pii, quality, sharding,
-                        tokens, urls)
+from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, pii, quality,
+                        sharding, tokens, urls)
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,39 @@ WITH cut AS (
 SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.action, 'allow') AS verdict
 FROM parts p LEFT JOIN hits h ON h.page_id = p.page_id AND h.n = 1
 """
+
+
+@query
+def op9_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("row.doc_id", "license", "n_shingles", "n_found",
+                                      "containment")
+
+
+def _license_oracle() -> str:
+    """Exact containment of every template in every document."""
+    rows = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in item))
+                     for item in licenses.TEMPLATES.items())
+    return f"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS w FROM documents
+), shingles AS (
+  SELECT doc_id, r, unnest(list_distinct(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS s FROM words
+), templates(license, text) AS (VALUES {rows}
+), tw AS (
+  SELECT license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM templates
+), ts AS (
+  SELECT license, unnest(list_distinct(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS s FROM tw
+), sized AS (SELECT license, count(*) AS n_shingles FROM ts GROUP BY license)
+SELECT d.doc_id, t.license, z.n_shingles, count(*) AS n_found,
+       count(*) / z.n_shingles AS containment
+FROM shingles d JOIN ts t USING (s) JOIN sized z USING (license)
+GROUP BY d.r, d.doc_id, t.license, z.n_shingles
+HAVING count(*) >= 0.8 * z.n_shingles
+"""
+
+
+ORACLES["op9_license_windows"] = _license_oracle()

@@ -8,9 +8,9 @@ Bloom filter on the document id: a lookup skips files and stripes by their
 statistics, and a scan reads stripes in parallel.
 
 Encoding uses the given tokenizer file through its library. A text is cut at
-spaces (no token of a pre-tokenizer that splits at white space crosses one)
-and each different word is encoded once per task; a word's trailing
-punctuation is encoded apart where the tokenizer splits there anyway. The ids
+white space, and before punctuation that ends a word (the tokenizer cuts there
+too, which is probed; another tokenizer gets whole texts). Each different
+piece is encoded once per worker and found again by its 64-bit hash. The ids
 are those of encoding the whole text.
 
 Defined results: a null or empty text has the end id alone; rows with equal
@@ -20,24 +20,26 @@ are processed whole; an empty table gives readable, empty files.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import chunks, scratch, ship
+from orrery.llm.common import chunks, code_points, scratch, ship
+from orrery.llm.hashing import Powers, stretch_hashes, words
 from orrery.llm.prefix import running_start
 
 END_ID = 2
 #: Characters per step: the more, the fewer different words a character.
-STEP_CHARS = 4 << 20
-#: Different words a task remembers (about 200 bytes each).
-REMEMBERED = 1 << 20
+STEP_CHARS = 2 << 20
+#: Different words a worker remembers (about 40 bytes each); others are
+#: encoded again when they come again.
+REMEMBERED = 3_000_000
 ORC_OPTIONS = {
     "compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
@@ -52,111 +54,123 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+#: Letters whose lower case in Python depends on their place or is longer.
+_KEEPS_CASE = re.compile("[\u0130\u03a3]")
+
+
+#: Letters whose end is an end of a piece in any Unicode version: Latin.
+_LATIN = np.array([chr(c).isalpha() for c in range(0x250)] + [False])
+
+
 class Encoder:
-    """Ids of texts, word by word, with a memory of words.
+    """Ids of texts, word by word, with a memory of words: their hashes,
+    sorted, and their ids in one buffer.
 
-    ``splits_at_blanks`` holds for tokenizers that drop white space before
-    splitting; others encode whole texts."""
+    ``by_word`` holds for tokenizers that drop white space before splitting;
+    others encode whole texts."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {"": b""}
-        self.tails: dict[str, bytes] = {}
-        probe = "Ab, ab.\nc  d...e"
-        self.splits_at_blanks = (
-            sum((self._plain([w])[0] for w in probe.split()), []) == self._plain([probe])[0]
-            and self._plain(["a."])[0] == self._plain(["a"])[0] + self._plain(["."])[0])
+        self.powers = Powers()
+        self.known = np.zeros(0, dtype=np.uint64)
+        self.begin = np.zeros(0, dtype=np.int64)
+        self.length = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.int32)
+        pieces = ["Ab", "ab", "a.b", "...", "'s"]
+        self.by_word = all(
+            sum((self._plain([p])[0] for p in text.split()), []) == self._plain([text])[0]
+            for text in (" ".join(pieces), "\n".join(pieces), "  \t".join(pieces))) and all(
+            self._plain([f"ab{t}"])[0] == self._plain(["ab"])[0] + self._plain([t])[0]
+            for t in (".", "...", "***", "'", "-"))
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _stem(word: str) -> tuple[str, str]:
-        """A word of Latin letters, lower-cased, and its tail of punctuation;
-        any other word whole."""
-        stem = word.rstrip(".,;:!?*$%&#")
-        if stem.isalpha() and max(stem) < "ɐ" and "'" not in word:
-            return stem.lower(), word[len(stem):]
-        return word, ""
-
-    def lookup(self, words: list[str]) -> list[bytes]:
-        known, tails = self.words, self.tails
-        out: list = [None] * len(words)
-        missing: dict[str, list] = {}
-        for i, word in enumerate(words):
-            got = known.get(word)
-            if got is not None:
-                out[i] = got
-                continue
-            stem, tail = self._stem(word)
-            got = known.get(stem)
-            if got is None:
-                missing.setdefault(stem, []).append((i, tail))
-            else:
-                out[i] = got + (tails.get(tail) or self._tail(tail))
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                known[""] = b""
-            stems = list(missing)
-            for stem, ids in zip(stems, self._plain(stems)):
-                known[stem] = got = np.array(ids, dtype="<i4").tobytes()
-                for i, tail in missing[stem]:
-                    out[i] = got + self._tail(tail)
-        return out
-
-    def _tail(self, tail: str) -> bytes:
-        if not tail:
-            return b""
-        if tail not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails.clear()
-            self.tails[tail] = np.array(self._plain([tail])[0], dtype="<i4").tobytes()
-        return self.tails[tail]
+    def _pieces(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words, cut once more before a tail of ASCII punctuation that
+        follows a letter."""
+        begin, end = words(points)
+        where = np.arange(len(points))
+        letter = _LATIN[np.minimum(points, 0x250)]
+        last = np.maximum.accumulate(np.where(letter, where, -1))[end - 1]
+        odd = np.concatenate([[0], np.cumsum(
+            ~letter & ((points > 127) | ((points >= 48) & (points <= 57))))])
+        cut = np.flatnonzero((last >= begin) & (last < end - 1) & (odd[end] == odd[last + 1]))
+        return (np.insert(begin, cut + 1, last[cut] + 1), np.insert(end, cut, last[cut] + 1))
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray,
+                                                                     np.ndarray]:
+        """Encode new pieces (sorted hashes), remember them while there is
+        room, and return where their ids are in the given buffer."""
+        every = self._plain(pieces)
+        length = np.array([len(x) for x in every], dtype=np.int64)
+        fresh = np.array([t for x in every for t in x], dtype=np.int32)
+        buffer = np.concatenate([self.ids, fresh])
+        begin = len(self.ids) + np.cumsum(length) - length
+        if len(self.known) + len(pieces) <= REMEMBERED:
+            at = np.searchsorted(self.known, hashes)
+            self.known = np.insert(self.known, at, hashes)
+            self.begin = np.insert(self.begin, at, begin)
+            self.length = np.insert(self.length, at, length)
+            self.ids = buffer
+        return begin, length, buffer
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array, and where each text begins (and the
         last ends)."""
-        if self.splits_at_blanks:
-            parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-            coded = parts.values.dictionary_encode() if len(parts.values) else None
-            words = coded.dictionary.to_pylist() if coded is not None else []
-            index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) \
-                if coded is not None else np.zeros(0, np.int64)
-            first = parts.offsets.to_numpy().astype(np.int64)
-            first -= first[0]
-            ids = self.lookup(words)
-            length = np.array([len(x) for x in ids], dtype=np.int64) // 4
-            flat = np.frombuffer(b"".join(ids), dtype="<i4")
-            begin = np.cumsum(length) - length
-            size = length[index]
-            ends = np.concatenate([[0], np.cumsum(size)])
-            place = np.arange(ends[-1]) + np.repeat(begin[index] - ends[:-1], size)
-            out, starts = flat[place], ends[first]
-        else:
-            ids = self._plain(texts)
-            starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-            out = np.array([t for x in ids for t in x], dtype="<i4")
+        tail = [] if end_id is None else [end_id]
+        if not self.by_word or any("\0" in t for t in texts):  # a zero ends a text below
+            every = [x + tail for x in self._plain(texts)]
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in every])]).astype(np.int64)
+            return np.array([t for x in every for t in x], dtype=np.int32), starts
+        texts = [t if _KEEPS_CASE.search(t) else t.lower() for t in texts]
+        points, starts = code_points(texts)
+        first, last = self._pieces(points)
+        hashes, example, index = np.unique(
+            stretch_hashes(points, first, last, self.powers), return_index=True,
+            return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        hit = at < len(self.known)
+        hit[hit] = self.known[at[hit]] == hashes[hit]
+        begin, length = np.zeros((2, len(hashes)), dtype=np.int64)
+        begin[hit], length[hit] = self.begin[at[hit]], self.length[at[hit]]
+        buffer = self.ids
+        if not hit.all():
+            new = example[~hit]
+            joined = "\0".join(texts)
+            begin[~hit], length[~hit], buffer = self._learn(
+                hashes[~hit], [joined[a:b] for a, b in zip(first[new].tolist(),
+                                                           last[new].tolist())])
+        size = length[index]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        out = buffer[np.arange(ends[-1]) + np.repeat(begin[index] - ends[:-1], size)]
+        bounds = ends[np.searchsorted(first, starts)]
         if end_id is not None:
-            out = np.insert(out, starts[1:], end_id)
-            starts = starts + np.arange(len(starts))
-        return out.astype(np.int32, copy=False), starts
+            out = np.insert(out, bounds[1:], end_id)
+            bounds = bounds + np.arange(len(bounds))
+        return out.astype(np.int32, copy=False), bounds
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def encoder(path: str) -> Encoder:
+    """The process's encoder of a file. Python workers are reused between
+    tasks, and with them the words they remember."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _encode(path: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _ENCODERS:  # workers are reused between tasks
-            _ENCODERS[path] = Encoder(path)
-        encoder, part, at = _ENCODERS[path], TaskContext.get().partitionId(), 0
+        known, part, at = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             for a, b in chunks(texts, STEP_CHARS):
-                ids, starts = encoder.encode(texts[a:b], end_id)
+                ids, starts = known.encode(texts[a:b], end_id)
                 n = b - a
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, part), pa.int32()),
