@@ -358,22 +358,21 @@ def deduplicate(docs: DataFrame, **params) -> DataFrame:
     last; exactly one of rows repeated in full. Rows without words all stay.
     Columns as given."""
     members, _ = near_duplicates(docs.select("doc_id", "text"), **params)
-    members = written(members, "members")
-    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")
-    stays = members.filter("class is not null").groupBy("class").agg(F.min(order).alias("k")) \
-        .select(F.col("k.doc_id").alias("id"), F.col("k.text_hash").alias("hash"))
+    known = members.filter("class is not null").groupBy("class", "doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("n"))
+    least = known.groupBy("class").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least"))
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) \
+        & (F.col("text_hash") == F.col("least.text_hash"))
+    # Only rows that go, and rows that stay but are there several times, are
+    # looked up.
+    marks = written(known.join(least, "class").filter(~stays | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("mark_id"), F.col("text_hash").alias("mark_hash"),
+        stays.alias("stays")), "marks")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    # Rows of a class that are not its least (doc_id, text) go.
-    goes = members.filter("class is not null").select(
-        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
-    match = [F.col("r.id").eqNullSafe(F.col("g.id")), F.col("r.hash") == F.col("g.hash")]
-    goes = goes.alias("r").join(stays.alias("g"), match, "left_anti")
-    kept = rows.alias("r").join(goes.alias("g"), match, "left_anti")
-    # Repeats of a (doc_id, text) that stays: one row each.
-    again = members.filter("class is not null").groupBy("doc_id", "text_hash").count() \
-        .filter("count > 1").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    single = kept.alias("r").join(again.alias("g"), match, "left_anti")
-    repeats = kept.alias("r").join(again.alias("g"), match, "left_semi") \
-        .groupBy("id", "hash").agg(F.first("row").alias("row"))
-    return single.select("row.*").unionByName(repeats.select("row.*"))
+    marked = rows.join(marks, F.col("id").eqNullSafe(F.col("mark_id"))
+                       & (F.col("hash") == F.col("mark_hash")), "left")
+    once = marked.filter(F.col("stays").isNull()).select("row.*")
+    repeated = marked.filter("stays").groupBy("id", "hash").agg(F.first("row").alias("row"))
+    return once.unionByName(repeated.select("row.*"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, pii, quality,
                         sharding, tokens, urls)
 from orrery.llm.common import table
@@ -152,3 +153,8 @@ HAVING count(*) >= 0.8 * z.n_shingles
 
 
 ORACLES["op9_license_windows"] = _license_oracle()
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
