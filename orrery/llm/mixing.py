@@ -53,7 +53,7 @@ def targets(sizes: DataFrame, weights: DataFrame, share: float = SHARE,
         .select("s.source", "source_size", F.coalesce("weight", F.lit(0.0)).alias("weight"),
                 (F.col("source_size") * cap).alias("most"))
     everything = Window.partitionBy()
-    before = Window.orderBy((F.col("most") / F.col("weight")).asc_nulls_last(),
+    before = Window.orderBy(F.try_divide("most", "weight").asc_nulls_last(),
                             F.col("source").asc_nulls_last()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     sure = F.coalesce(F.sum("most").over(before), F.lit(0.0))
@@ -65,7 +65,7 @@ def targets(sizes: DataFrame, weights: DataFrame, share: float = SHARE,
     # The level is that of the first source that is not full; the later ones,
     # from which too much is subtracted, have lower values.
     level = F.max(F.when(~full & (F.col("weight") > 0),
-                         F.col("to_share") / F.col("open"))).over(everything)
+                         F.try_divide("to_share", "open"))).over(everything)
     return s.withColumn("level", level).select(
         "source", "source_size",
         F.when(full, F.col("most")).when(F.col("weight") > 0, F.least(
