@@ -43,7 +43,8 @@ def main() -> None:
         getattr(wh, layer)()
         layers[f"pipeline_{layer}"] = round(time.time() - t, 3)
     times["pipeline"] = round(sum(layers.values()), 3)
-    W._BUILT[(work_root(spark), sf_dir)] = wh  # queries reuse this run
+    base = work_root(spark, "warehouses", W.fingerprint(spark, sf_dir))
+    W._BUILT[(base, sf_dir)] = wh  # queries reuse this run
 
     for name in HEADLINE:
         t = time.time()

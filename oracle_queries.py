@@ -19,7 +19,7 @@ raw_items AS (
     CASE WHEN p_partkey % 89 = 3 THEN NULL ELSE ' ' || p_name || ' ' END AS name,
     CASE WHEN p_partkey % 23 = 0 THEN '  '
          ELSE replace(p_name, ' ', ', ') || ', ' || p_type END AS tags,
-    p_brand AS kind,
+    CASE WHEN p_partkey % 53 = 11 THEN NULL ELSE p_brand END AS kind,
     CASE WHEN p_size % 10 = 0 THEN 'Unknown' ELSE CAST(p_size AS VARCHAR) END AS units,
     CASE WHEN p_partkey % 17 = 0 THEN NULL
          ELSE CAST(round((p_retailprice - 900) / 10, 2) AS VARCHAR) END AS score,
@@ -104,7 +104,7 @@ item_tag_map AS (
   SELECT b.item_id, d.tag_name FROM bridge b JOIN dim_tag d ON d.tag_id = b.tag_id),
 catalog AS (
   SELECT item_id, name, kind, units, score, members FROM dim_item
-  WHERE score IS NOT NULL AND members >= 10000 AND score >= 0.0),
+  WHERE score IS NOT NULL AND members >= 10000 AND score >= 0.0 AND kind IS NOT NULL),
 users AS (
   SELECT user_id, user_total_reviews, user_average_given_rating FROM dim_user
   WHERE user_total_reviews >= 10 AND user_average_given_rating IS NOT NULL),
@@ -414,8 +414,44 @@ _FINAL = {
         CAST(round(CAST(sqrt(avg(power(rating - (SELECT avg(rating) FROM train_test
           WHERE split = 'train'), 2))) AS DECIMAL(18,9)), 6) AS DOUBLE) AS rmse
         FROM train_test WHERE split = 'test'""",
+    "csv_reordered_header": "SELECT * FROM raw_ratings",
+    "pipeline_from_files": "SELECT * FROM recommendations",
+    "lenient_cast_decimal": """,
+        texts AS (
+          SELECT p_partkey, replace(['{k}', '{k}.0', '{k}.7', '-{k}.9', '.5', '.', '+{k}',
+            ' {k}.2 ', '1e3', '{k}.x', '', '2147483648.5', '99999999999', '5.'
+            ][p_partkey % 14 + 1], '{k}', CAST(p_partkey AS VARCHAR)) AS raw FROM part),
+        whole AS (
+          SELECT p_partkey, raw, CASE WHEN regexp_full_match(trim(raw),
+              '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]*)')
+            THEN regexp_extract(trim(raw), '^([+-]?)', 1) || '0'
+              || regexp_extract(trim(raw), '^[+-]?([0-9]*)', 1) END AS digits FROM texts)
+        SELECT p_partkey, raw, TRY_CAST(digits AS INTEGER) AS as_int,
+          TRY_CAST(digits AS BIGINT) AS as_bigint FROM whole""",
+    "als_model_roundtrip": """SELECT DISTINCT item_id, 30 AS rank FROM train_test
+        WHERE split = 'train'""",
+    "als_candidate_counts": """SELECT DISTINCT user_id, least(50,
+        (SELECT count(DISTINCT item_id) FROM train_test WHERE split = 'train')) AS n_candidates
+        FROM train_test WHERE split = 'train'""",
+    "als_test_size": """SELECT count(*) AS n_test FROM train_test WHERE split = 'test'
+        AND user_id IN (SELECT user_id FROM train_test WHERE split = 'train')
+        AND item_id IN (SELECT item_id FROM train_test WHERE split = 'train')""",
+    "als_recommendation_rules": """SELECT rule, CAST(0 AS BIGINT) AS violations FROM (VALUES
+        ('rated pair'), ('rank gap'), ('rising score'), ('not the product')) t(rule)""",
 }
 
+#: The page of one user (id 7): the all-users answers, filtered, in place.
+_ONE_USER = {
+    "user_profile": None, "user_reco_count": None, "user_history_top": "rank",
+    "user_recommendations": "rank", "user_tag_histogram": "nb DESC, tag_name",
+    "reco_tag_histogram": "nb DESC, tag_name",
+}
+for _page, _order in _ONE_USER.items():
+    _place = f", CAST(row_number() OVER (ORDER BY {_order}) AS INTEGER) AS position" \
+        if _order else ""
+    _FINAL[f"{_page}_one_user"] = \
+        f"SELECT *{_place} FROM ({_FINAL[_page]}) WHERE user_id = 7"
+
 
 def oracle_sql() -> dict[str, str]:
     out = {}

@@ -1,6 +1,7 @@
 """Command line: run the pipeline, or one layer of it, as a Spark job.
 
-    spark-submit --py-files orrery.zip orrery/__main__.py pipeline --input DIR --root URI
+    spark-submit --py-files orrery.zip orrery/__main__.py pipeline \\
+        --items URI --ratings URI --root URI
     python -m orrery layer gold --input DIR --root URI
 
 Each layer reads the previous layer's written tables under ``--root`` (any
@@ -28,14 +29,22 @@ def main(argv=None) -> None:
         p = sub.add_parser(name)
         if name == "layer":
             p.add_argument("layer", choices=["bronze", "silver", "gold", "train", "recommend"])
-        p.add_argument("--input", required=True, help="folder with the input tables")
+        p.add_argument("--input", help="folder with the driver tables (fixture inputs)")
+        p.add_argument("--items", help="header CSV file or folder of items")
+        p.add_argument("--ratings", help="header CSV file or folder of ratings")
+        p.add_argument("--header", action="append", default=[], metavar="OURS=THEIRS",
+                       help="a column's name in the CSV header; may be repeated")
         p.add_argument("--root", required=True, help="folder for the written layers")
         p.add_argument("--recommender", choices=["popularity", "als"], default="popularity")
         p.add_argument("--model", help="saved ALS model folder (layer recommend)")
         p.add_argument("--master", help="Spark master (default: from spark-submit)")
     args = parser.parse_args(argv)
+    if not args.input and not (args.items and args.ratings):
+        parser.error("give --items and --ratings, or --input")
     spark = build_session(args.master)
-    wh = Warehouse(spark, args.input.rstrip("/"), args.root.rstrip("/"))
+    wh = Warehouse(spark, args.input and args.input.rstrip("/"), args.root.rstrip("/"),
+                   items_path=args.items, ratings_path=args.ratings,
+                   header=dict(pair.split("=", 1) for pair in args.header))
     if args.command == "pipeline":
         wh.run(args.recommender)
     elif args.layer == "bronze":

@@ -63,3 +63,6 @@ CATALOG_TAGS = ("small", "SMALL")
 # integer keys (~8 bytes a row) and narrow dimension rows (id + short name).
 BROADCAST_MAX_KEY_ROWS = 2_000_000
 BROADCAST_MAX_ROWS = 200_000
+
+# The user of the registered one-user pages.
+ONE_USER = 7

@@ -13,9 +13,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A decimal number as text: sign, whole part, fraction.
+_DECIMAL = r"^[\x00-\x20]*([+-]?)([0-9]*)\.[0-9]*[\x00-\x20]*$"
+_WHOLE = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+
+
 def lenient_cast(c: str | Column, to: str) -> Column:
-    """Malformed text becomes null instead of failing the job (ANSI-safe)."""
-    return _col(c).try_cast(to)
+    """Malformed text becomes null instead of failing the job (ANSI-safe).
+
+    To whole numbers, decimal text is cut to its whole part, as a cast without
+    ANSI rules does: ``12.0`` and ``12.7`` are 12, ``-3.9`` is -3, ``.5`` and
+    ``.`` are 0; exponents, blanks inside and overflow are null."""
+    col = _col(c)
+    if to in _WHOLE:
+        # The sign, a zero and the whole part; other text stays as it is.
+        col = F.regexp_replace(col.cast("string"), _DECIMAL, "$10$2")
+    return col.try_cast(to)
 
 
 def sentinel_flag(c: str | Column, sentinel: str) -> Column:

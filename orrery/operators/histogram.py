@@ -3,6 +3,7 @@
 Bins split [min, max] into ``bins`` equal intervals, the last one closed; a
 single bin when min = max. min/max come from one scalar-subquery aggregate
 (no cross join, no global window); bins without rows are listed with 0.
+Nulls and NaN have no place on the axis and are left out.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     x = F.col(column).cast("double")
-    values = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
+    values = df.select(x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     bounds = values.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("b"))
     b = bounds.scalar()
     lo, hi = b.getField("lo"), b.getField("hi")

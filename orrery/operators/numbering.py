@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.operators.joins import bounded_broadcast
+
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str,
                       num_partitions: int | None = None) -> DataFrame:
@@ -50,20 +52,19 @@ def quantile_bins(df: DataFrame, order: Sequence[str | Column], q_max: int,
 
     rank r (1..n, ties broken by ``order``), q = min(q_max, n):
     bin = max(1, ceil((r - 1) * q / (n - 1))) -- the bins a quantile cut of the
-    ranks into q intervals produces. Integer arithmetic only. n comes from a
-    scalar subquery; rows are dropped when n < 2. ``rank_col`` keeps r.
+    ranks into q intervals produces, in whole numbers (``div``). n is a count
+    of ``df``; rows are dropped when n < 2. ``rank_col`` keeps r.
     """
     ranked = global_row_number(df, order, "_rank")
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    q = F.least(F.lit(q_max).cast("bigint"), n)
-    pos = (F.col("_rank") - 1) * q
-    ceil_div = F.when(n > 1, F.floor((pos + n - 2) / (n - 1)))
-    binned = (ranked.filter(n >= 2)
-              .withColumn(out, F.greatest(F.lit(1), ceil_div).cast("int")))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    binned = ranked.withColumn("_n", n).filter("_n >= 2").withColumn(out, F.expr(
+        f"cast(greatest(1, ((_rank - 1) * least({q_max}, _n) + _n - 2) div (_n - 1)) as int)"))
+    binned = binned.drop("_n")
     return binned.withColumnRenamed("_rank", rank_col) if rank_col else binned.drop("_rank")
 
 
-def group_medians(df: DataFrame, group: str, values: Sequence[str], tie: str) -> DataFrame:
+def group_medians(df: DataFrame, group: str, values: Sequence[str], tie: str,
+                  max_groups: int | None = None) -> DataFrame:
     """Exact median of each ``values`` column per ``group`` (mean of the two
     middle values for even counts), without holding a group's values in one
     aggregation buffer.
@@ -77,19 +78,22 @@ def group_medians(df: DataFrame, group: str, values: Sequence[str], tie: str) ->
     for v in values:
         ranked = global_row_number(df.select(group, v, tie).filter(F.col(v).isNotNull()),
                                    [group, v, tie], "_pos")
-        med = medians_at_positions(ranked, group, "_pos", v)
+        med = medians_at_positions(ranked, group, "_pos", v, max_groups)
         out = med if out is None else out.join(med, group, "full")
     return out
 
 
-def medians_at_positions(ranked: DataFrame, group: str, pos: str, value: str) -> DataFrame:
+def medians_at_positions(ranked: DataFrame, group: str, pos: str, value: str,
+                         max_groups: int | None = None) -> DataFrame:
     """Median of ``value`` per group when ``pos`` numbers the rows of each
     group consecutively in ``value`` order: per group the first position and
-    the count (one small row per group) locate the middle row(s)."""
+    the count (one small row per group) locate the middle row(s). They are
+    broadcast when ``max_groups`` bounds the groups, so no row is shuffled."""
     stats = ranked.groupBy(group).agg(F.min(pos).alias("_first"),
                                       F.count(F.lit(1)).alias("_n"))
     lo = F.col("_first") + F.floor((F.col("_n") - 1) / 2)
     hi = F.col("_first") + F.floor(F.col("_n") / 2)
+    stats = bounded_broadcast(stats, max_groups)
     return (ranked.join(stats, group)
             .filter((F.col(pos) == lo) | (F.col(pos) == hi))
             .groupBy(group).agg(F.avg(F.col(value).cast("double")).alias(value)))

@@ -24,8 +24,3 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], k: int, seed: int) -> Data
 def hash_split_flag(keys: Sequence[str], percent: int, seed: int):
     """True for the ``percent``% side of a key-hash split."""
     return hash_percent(F.lit(seed), *keys) < percent
-
-
-def hash_split(df: DataFrame, keys: Sequence[str], percent: int, seed: int):
-    flag = hash_split_flag(keys, percent, seed)
-    return df.filter(flag), df.filter(~flag)

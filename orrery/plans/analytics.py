@@ -109,14 +109,17 @@ def catalog_filter(g: Gold, kinds: Sequence[str] | None = None,
                    tags: Sequence[str] | None = None,
                    min_members: int = config.CATALOG_MIN_MEMBERS,
                    min_score: float = config.CATALOG_MIN_SCORE) -> DataFrame:
-    """Scored items with members >= and score >= the minimums, an
-    optional kind list (empty = no filter) and an optional tag list that an
-    item must carry completely (relational division: count of distinct
-    matching tags = number of wanted tags)."""
+    """Scored items with members >= and score >= the minimums, a kind
+    list and an optional tag list that an item must carry completely
+    (relational division: count of distinct matching tags = number of wanted
+    tags). Without ``kinds`` every listed kind is selected, as the page
+    starts, so items without a kind are left out; an empty list is no filter."""
     items = g.dim_item.filter(F.col("score").isNotNull()
                               & (F.col("members") >= min_members)
                               & (F.col("score") >= min_score))
-    if kinds:
+    if kinds is None:
+        items = items.filter(F.col("kind").isNotNull())
+    elif kinds:
         items = items.filter(F.col("kind").isin(list(kinds)))
     if tags:
         wanted = sorted(set(tags))
@@ -223,8 +226,8 @@ def activity_trend(users: DataFrame, q_max: int = config.TREND_BINS) -> DataFram
     binned = quantile_bins(users, ["user_total_reviews", "user_id"], q_max, "bin", "_rank")
     # Bins are ranges of the (list size, id) ranks, so within a bin the ranks
     # already order the list sizes: their median needs no second numbering.
-    reviews = medians_at_positions(binned, "bin", "_rank", "user_total_reviews")
-    averages = group_medians(binned, "bin", ["user_average_given_rating"], "user_id")
+    reviews = medians_at_positions(binned, "bin", "_rank", "user_total_reviews", q_max)
+    averages = group_medians(binned, "bin", ["user_average_given_rating"], "user_id", q_max)
     meds = reviews.join(averages, "bin", "full")
     return (meds.select(
         "bin",
@@ -269,13 +272,17 @@ def user_profile(g: Gold, user_ids: Sequence[int] | None = None) -> DataFrame:
 def user_history_top(g: Gold, n: int = config.HISTORY_TOP,
                      user_ids: Sequence[int] | None = None) -> DataFrame:
     """Each user's best-rated items, by (rating desc, members desc with
-    nulls first, id); unrated rows excluded."""
+    nulls first, id); unrated rows excluded. The ranking sees (item, members)
+    only; names and scores are joined to the ``n`` rows a user keeps."""
     rated = _only(g.fact, user_ids).filter(F.col("rating").isNotNull())
-    items = g.dim_item.select("item_id", "name", "kind", "score", "members")
+    order = bounded_broadcast(g.dim_item.select("item_id", "members"), g.rows.get("dim_item"),
+                              config.BROADCAST_MAX_KEY_ROWS)
     w = Window.partitionBy("user_id").orderBy(F.desc("rating"), F.desc_nulls_first("members"),
                                               "item_id")
-    out = (rated.join(items, "item_id").withColumn("rank", F.row_number().over(w))
+    out = (rated.join(order, "item_id").withColumn("rank", F.row_number().over(w))
            .filter(F.col("rank") <= n)
+           .join(bounded_broadcast(g.dim_item.select("item_id", "name", "kind", "score"),
+                                   g.rows.get("dim_item")), "item_id")
            .select("user_id", "rank", "item_id", "name", "kind",
                    round2("score").alias("score"), F.col("rating").alias("user_rating")))
     return _ordered(out, user_ids, "rank")
@@ -314,6 +321,26 @@ def reco_tag_histogram(g: Gold, user_ids: Sequence[int] | None = None) -> DataFr
     return _ordered(out, user_ids, F.desc("nb"), "tag_name")
 
 
+def one_user_page(g: Gold, user_id: int) -> dict[str, DataFrame]:
+    """D19-D23 for one user, as the page asks them: each a lookup of the id
+    (files and row groups of other users are skipped), with ``position`` for
+    the display order."""
+    def placed(df: DataFrame, *order) -> DataFrame:
+        return df.withColumn("position", F.row_number().over(
+            Window.partitionBy("user_id").orderBy(*order)))
+
+    only = [user_id]
+    return {
+        "user_profile": user_profile(g, only),
+        "user_reco_count": user_reco_count(g, only),
+        "user_history_top": placed(user_history_top(g, user_ids=only), "rank"),
+        "user_recommendations": placed(user_recommendations(g, only), "rank"),
+        "user_tag_histogram": placed(user_tag_histogram(g, user_ids=only), F.desc("nb"),
+                                     "tag_name"),
+        "reco_tag_histogram": placed(reco_tag_histogram(g, only), F.desc("nb"), "tag_name"),
+    }
+
+
 def sql_over_gold(spark: SparkSession, g: Gold, sql: str, args: dict | None = None):
     """Parameterised SQL over the gold tables (named parameters, never
     string interpolation)."""

@@ -7,6 +7,8 @@ chain after scoring can be checked row for row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,3 +197,32 @@ def baseline_rmse(fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_test"),
         F.round(F.sqrt(F.avg(F.pow(F.col("rating") - mean, 2))).cast("decimal(18,9)"), 6)
         .cast("double").alias("rmse"))
+
+
+def recommendation_rules(recos: DataFrame, fact: DataFrame, user_factors: DataFrame,
+                         item_factors: DataFrame) -> DataFrame:
+    """(rule, violations): rated pairs recommended, ranks with a gap or above
+    TOP_N, scores that rise with the rank, predictions that are not the
+    product of the factors."""
+    def row(rule, broken):
+        return broken.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(rule).alias("rule"), "violations")
+
+    w = Window.partitionBy("user_id").orderBy("rank")
+    steps = recos.withColumn("_at", F.row_number().over(w)) \
+        .withColumn("_before", F.lag("predicted_rating").over(w))
+    product = F.aggregate(F.zip_with("u", "i", lambda a, b: a.cast("double") * b),
+                          F.lit(0.0), lambda total, x: total + x)
+    scored = recos.join(user_factors.select(F.col("id").alias("user_id"),
+                                            F.col("features").alias("u")), "user_id") \
+        .join(item_factors.select(F.col("id").alias("item_id"), F.col("features").alias("i")),
+              "item_id")
+    rules = [
+        row("rated pair", recos.join(rated_pairs(fact), ["user_id", "item_id"], "left_semi")),
+        row("rank gap", steps.filter((F.col("rank") != F.col("_at"))
+                                     | (F.col("rank") > config.TOP_N))),
+        row("rising score", steps.filter("predicted_rating > _before")),
+        row("not the product", scored.filter(
+            F.abs(product - F.col("predicted_rating")) > 1e-3)),
+    ]
+    return reduce(DataFrame.unionByName, rules)

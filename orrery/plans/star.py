@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orrery import config
 from orrery.operators.joins import bounded_broadcast
 from orrery.operators.numbering import global_row_number
-from orrery.operators.quality import REASON, ForeignKey, NotNull, Unique, split, validate
+from orrery.operators.quality import REASON, ForeignKey, NotNull, Unique, validate
 from orrery.plans.silver import item_tags
 
 DIM_ITEM_COLUMNS = ["item_id", "name", "kind", "units", "is_open", "score", "members"]
@@ -119,16 +119,15 @@ def validate_dim_user(fact: DataFrame, reuse: list | None = None) -> DataFrame:
     return validate(dim_user_rows(fact), [NotNull(("user_id",)), Unique(("user_id",))], reuse)
 
 
-def valid_rows(flagged: DataFrame, columns) -> DataFrame:
-    return split(flagged)[0].select(*columns)
-
-
 def constraint_audit(dim_item: DataFrame, dim_tag: DataFrame, bridge: DataFrame,
-                     fact: DataFrame, dim_user: DataFrame, recos: DataFrame) -> DataFrame:
+                     fact: DataFrame, dim_user: DataFrame, recos: DataFrame,
+                     rows: dict | None = None) -> DataFrame:
     """Violations per declared constraint of the gold tables (all 0 when the
     tables came out of validation). Not-null and primary-key checks of a
     table share one grouped pass (per-key counts and a null tally); each
-    foreign key is one anti join."""
+    foreign key is one anti join, against broadcast keys where the published
+    row count (``rows``) bounds them."""
+    rows = rows or {}
 
     def row(table, name, count):
         return F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
@@ -142,14 +141,15 @@ def constraint_audit(dim_item: DataFrame, dim_tag: DataFrame, bridge: DataFrame,
                                          F.count(F.when(nulls, 1)).alias("_nulls"))
         totals = per_key.agg(F.sum(F.when(F.col("_c") > 1, F.col("_c"))).alias("_dups"),
                              F.sum("_nulls").alias("_nulls"))
-        rows = [row(table, name, F.col("_dups"))]
+        found = [row(table, name, F.col("_dups"))]
         if required:
-            rows.insert(0, row(table, "not_null", F.col("_nulls")))
-        return totals.select(F.inline(F.array(*rows)))
+            found.insert(0, row(table, "not_null", F.col("_nulls")))
+        return totals.select(F.inline(F.array(*found)))
 
-    def orphans(df, col, ref, ref_col, table, name):
-        return (df.join(ref.select(F.col(ref_col).alias("_ref")), F.col(col) == F.col("_ref"),
-                        "left_anti")
+    def orphans(df, col, ref, ref_col, table, name, ref_table):
+        keys = bounded_broadcast(ref.select(F.col(ref_col).alias("_ref")), rows.get(ref_table),
+                                 config.BROADCAST_MAX_KEY_ROWS)
+        return (df.join(keys, F.col(col) == F.col("_ref"), "left_anti")
                 .agg(F.count(F.lit(1)).alias("_n"))
                 .select(F.inline(F.array(row(table, name, F.col("_n"))))))
 
@@ -158,13 +158,13 @@ def constraint_audit(dim_item: DataFrame, dim_tag: DataFrame, bridge: DataFrame,
         keyed(dim_tag, ["tag_id"], ["tag_id", "tag_name"], "dim_tag"),
         keyed(dim_tag, ["tag_name"], [], "dim_tag", "unique_name"),
         keyed(bridge, ["item_id", "tag_id"], ["item_id", "tag_id"], "bridge_item_tag"),
-        orphans(bridge, "item_id", dim_item, "item_id", "bridge_item_tag", "fk_item"),
-        orphans(bridge, "tag_id", dim_tag, "tag_id", "bridge_item_tag", "fk_tag"),
+        orphans(bridge, "item_id", dim_item, "item_id", "bridge_item_tag", "fk_item", "dim_item"),
+        orphans(bridge, "tag_id", dim_tag, "tag_id", "bridge_item_tag", "fk_tag", "dim_tag"),
         keyed(fact, ["user_id", "item_id"], ["user_id", "item_id"], "fact_ratings"),
-        orphans(fact, "item_id", dim_item, "item_id", "fact_ratings", "fk_item"),
+        orphans(fact, "item_id", dim_item, "item_id", "fact_ratings", "fk_item", "dim_item"),
         keyed(dim_user, ["user_id"], ["user_id"], "dim_user"),
         keyed(recos, ["user_id", "rank"], ["user_id", "item_id", "rank"], "recommendations"),
-        orphans(recos, "item_id", dim_item, "item_id", "recommendations", "fk_item"),
+        orphans(recos, "item_id", dim_item, "item_id", "recommendations", "fk_item", "dim_item"),
     ]
     out = checks[0]
     for c in checks[1:]:

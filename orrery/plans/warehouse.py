@@ -10,6 +10,7 @@ catalogue.
 from __future__ import annotations
 
 import hashlib
+import logging
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -22,10 +23,13 @@ from orrery import config
 from orrery.plans import recommend, silver, star
 from orrery.plans.analytics import Gold
 from orrery.session import unique_name, work_root
-from orrery.sources import fixtures
+from orrery.sources import files, fixtures
 from orrery.sources.catalog import Catalog, run_validated_job, stage_validated_job
 
 
+log = logging.getLogger("orrery")
+
+
 def in_parallel(*steps):
     """Run independent steps on threads (each submits its own Spark jobs,
     which the scheduler interleaves); returns their results in order and
@@ -37,12 +41,21 @@ def in_parallel(*steps):
         return [f.result() for f in futures]
 
 
+_RAW = {"items": fixtures.RAW_ITEM_COLUMNS, "ratings": fixtures.RAW_RATING_COLUMNS}
+
+
 @dataclass
 class Warehouse:
+    """``items_path`` and ``ratings_path`` name header CSV files or folders;
+    without them the fixtures derived from ``sf_dir`` are written as such
+    files first. ``header`` maps our column names to those of the files."""
     spark: SparkSession
-    sf_dir: str
+    sf_dir: str | None
     root: str
     counts: dict = field(default_factory=dict)
+    items_path: str | None = None
+    ratings_path: str | None = None
+    header: dict = field(default_factory=dict)
 
     def __post_init__(self):
         self.catalog = Catalog(self.spark, f"{self.root}/gold")
@@ -52,16 +65,22 @@ class Warehouse:
 
     # ---- layers --------------------------------------------------------
     def bronze(self) -> None:
-        """Raw copy of the landing inputs, all text, plus ingest time."""
-        def land(name, frame):
-            (frame(self.spark, self.sf_dir).withColumn("ingested_at", F.current_timestamp())
-             .write.mode("overwrite").parquet(self.path("bronze", name)))
-
-        in_parallel(lambda: land("items", fixtures.raw_items),
-                    lambda: land("ratings", fixtures.raw_ratings))
+        """Raw copy of the CSV files, all text, columns found by header name,
+        plus source file and ingest time; a missing file or column fails."""
+        def land(name, source, frame):
+            if source is None:
+                source = self.path("landing", name)
+                files.write_text_csv(
+                    frame(self.spark, self.sf_dir).withColumnsRenamed(self.header), source)
+            names = [self.header.get(c, c) for c in _RAW[name]]
+            files.raw_ingest(self.spark, source, names, self.path("bronze", name))
+
+        in_parallel(lambda: land("items", self.items_path, fixtures.raw_items),
+                    lambda: land("ratings", self.ratings_path, fixtures.raw_ratings))
 
     def bronze_table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("bronze", name)).drop("ingested_at")
+        raw = self.spark.read.parquet(self.path("bronze", name))
+        return raw.select(*[F.col(f"`{self.header.get(c, c)}`").alias(c) for c in _RAW[name]])
 
     def silver(self) -> None:
         """B1 and B2 written concurrently: the ratings' catalogue semi join
@@ -154,7 +173,18 @@ class Warehouse:
         flagged = recommend.validate_recommendations(recos, dim_item, cat.rows("dim_item"), reuse)
         self.counts["recommendations"] = run_validated_job(
             cat, flagged, f"recommend_{source}", "recommendations", star.RECO_COLUMNS,
-            reuse=reuse, sort_by=star.SORT_KEYS["recommendations"])
+            reuse=reuse, sort_by=star.SORT_KEYS["recommendations"],
+            defaults={"generated_at": F.current_timestamp()})
+        self._log_short_users()
+
+    def _log_short_users(self) -> None:
+        """Users with fewer than TOP_N recommendations: a user who rated most
+        of the candidates keeps few (the candidate count is a parameter)."""
+        cat = self.catalog
+        per_user = cat.read("recommendations").groupBy("user_id").count()
+        short = cat.read("dim_user").join(
+            per_user.filter(F.col("count") >= config.TOP_N), "user_id", "left_anti").count()
+        log.info("%d users have fewer than %d recommendations", short, config.TOP_N)
 
     def run(self, source: str = "popularity") -> dict:
         self.catalog.create()
@@ -220,13 +250,13 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     their own folders; readers take the first finished one.
     """
     sf_dir = sf_dir.rstrip("/")
-    key = (work_root(spark), sf_dir)
+    base = work_root(spark, "warehouses", fingerprint(spark, sf_dir))
+    key = (base, sf_dir)  # inputs that changed meanwhile have another key
     with _LOCK:
         wh = _BUILT.get(key)
         if wh is not None:
             wh.spark = wh.catalog.spark = spark
             return wh
-        base = work_root(spark, "warehouses", fingerprint(spark, sf_dir))
         root = _finished_build(spark, base)
         if root is None:
             root = f"{base}/{unique_name('build')}"

@@ -19,7 +19,7 @@ from orrery.plans import analytics as A
 from orrery.plans import recommend as R
 from orrery.plans import silver as S
 from orrery.plans import star as G
-from orrery.plans.warehouse import gold, warehouse
+from orrery.plans.warehouse import Warehouse, fingerprint, gold, warehouse
 from orrery.session import unique_name, work_root
 from orrery.sources import files, fixtures
 from orrery.sources.catalog import Catalog, PublishError
@@ -95,6 +95,31 @@ def csv_scan_roundtrip(spark, sf):
     return S.silver_items(files.read_text_csv(spark, path, fixtures.RAW_ITEM_COLUMNS))
 
 
+def _reordered_csv(spark, sf, frame, name):
+    """The fixture as CSV with its columns in reverse order, and one more."""
+    path = _scratch(spark, f"reordered-{name}")
+    raw = frame(spark, sf)
+    files.write_text_csv(raw.select(F.lit("x").alias("note"), *reversed(raw.columns)), path)
+    return path
+
+
+@query("csv_reordered_header")
+def csv_reordered_header(spark, sf):
+    """Columns come by header name, whatever their order in the file."""
+    path = _reordered_csv(spark, sf, fixtures.raw_ratings, "ratings")
+    return files.read_text_csv(spark, path, fixtures.RAW_RATING_COLUMNS)
+
+
+@query("pipeline_from_files")
+def pipeline_from_files(spark, sf):
+    """B10 over CSV files with other header orders and an extra column."""
+    wh = Warehouse(spark, None, _scratch(spark, "from-files"),
+                   items_path=_reordered_csv(spark, sf, fixtures.raw_items, "items"),
+                   ratings_path=_reordered_csv(spark, sf, fixtures.raw_ratings, "ratings"))
+    wh.run()
+    return wh.gold_tables().recommendations.select(*G.RECO_COLUMNS)
+
+
 @query("silver_publish_roundtrip")
 def silver_publish_roundtrip(spark, sf):
     return warehouse(spark, sf).silver_table("items")
@@ -111,6 +136,14 @@ def q_lenient_cast(spark, sf):
         lenient_cast("members", "int").alias("members"))
 
 
+@query("lenient_cast_decimal")
+def q_lenient_cast_decimal(spark, sf):
+    """P1 on decimal text, as nullable whole columns of other tools hold it."""
+    text = fixtures.decimal_texts(spark, sf)
+    return text.select("p_partkey", "raw", lenient_cast("raw", "int").alias("as_int"),
+                       lenient_cast("raw", "bigint").alias("as_bigint"))
+
+
 @query("sentinel_flag")
 def q_sentinel_flag(spark, sf):
     return _raw_items(spark, sf).select(
@@ -231,7 +264,7 @@ def q_duplicate_reject(spark, sf):
 def _fk_split(spark, sf):
     g = gold(spark, sf)
     return quality.reject_missing_reference(_valid_typed_ratings(spark, sf)[0], g.dim_item,
-                                            ["item_id"], G.ITEM_NOT_FOUND)
+                                            ["item_id"], G.ITEM_NOT_FOUND, g.rows["dim_item"])
 
 
 @query("fk_valid_ratings")
@@ -245,7 +278,9 @@ def q_fk_reject(spark, sf):
 
 
 def _validated_fact(spark, sf):
-    return G.validate_fact(S.typed_ratings(_raw_ratings(spark, sf)), gold(spark, sf).dim_item)
+    g = gold(spark, sf)
+    return G.validate_fact(S.typed_ratings(_raw_ratings(spark, sf)), g.dim_item,
+                           g.rows["dim_item"])
 
 
 @query("validate_fact")
@@ -256,7 +291,8 @@ def q_validate_fact(spark, sf):
 def _bridge_stages(spark, sf):
     g = gold(spark, sf)
     items = required_fields(S.typed_items(_raw_items(spark, sf)), ["item_id", "name"])
-    return G.bridge_stages(items, g.dim_tag, g.dim_item, tag_rows=g.rows.get("dim_tag"))
+    return G.bridge_stages(items, g.dim_tag, g.dim_item, tag_rows=g.rows.get("dim_tag"),
+                           item_rows=g.rows.get("dim_item"))
 
 
 @query("validate_bridge")
@@ -277,7 +313,7 @@ def q_reject_union_bridge(spark, sf):
 def q_validate_recos(spark, sf):
     g = gold(spark, sf)
     return R.validate_recommendations(R.popularity_recommendations(g.dim_user, g.fact),
-                                      g.dim_item)
+                                      g.dim_item, g.rows["dim_item"])
 
 
 @query("reject_log")
@@ -303,7 +339,7 @@ def q_reject_log_summary(spark, sf):
 def q_constraint_audit(spark, sf):
     g = gold(spark, sf)
     return G.constraint_audit(g.dim_item, g.dim_tag, g.bridge, g.fact, g.dim_user,
-                              g.recommendations)
+                              g.recommendations, g.rows)
 
 
 @query("pipeline_run_counts")
@@ -418,6 +454,15 @@ _DASH = {
 QUERIES.update(_DASH)
 
 
+def _one_user(page):
+    return lambda s, d: A.one_user_page(gold(s, d), config.ONE_USER)[page]
+
+
+QUERIES.update({f"{page}_one_user": _one_user(page) for page in (
+    "user_profile", "user_reco_count", "user_history_top", "user_recommendations",
+    "user_tag_histogram", "reco_tag_histogram")})
+
+
 # ---- recommender ------------------------------------------------------------------------
 
 def _popularity_flat(spark, sf):
@@ -470,7 +515,7 @@ def als_model(spark, sf):
     folder (S9) and loaded back."""
     from pyspark.ml.recommendation import ALSModel
 
-    key = (work_root(spark), sf)
+    key = (work_root(spark), sf, fingerprint(spark, sf))
     if key not in _MODELS:
         train, _ = R.train_test(R.training_set(gold(spark, sf).fact))
         path = work_root(spark, "models", unique_name("als"))
@@ -495,10 +540,33 @@ def q_als_candidates(spark, sf):
 def q_als_recommendations(spark, sf):
     g = gold(spark, sf)
     recos = R.recommendation_chain(R.als_candidates(als_model(spark, sf)), g.fact)
-    return quality.split(R.validate_recommendations(recos, g.dim_item))[0]
+    return quality.split(R.validate_recommendations(recos, g.dim_item, g.rows["dim_item"]))[0]
 
 
 @query("als_evaluation")
 def q_als_evaluation(spark, sf):
     _, test = R.train_test(R.training_set(gold(spark, sf).fact))
     return R.rmse_frame(als_model(spark, sf).transform(test))
+
+
+@query("als_candidate_counts")
+def q_als_candidate_counts(spark, sf):
+    """M5: how many candidates each training user has."""
+    return q_als_candidates(spark, sf).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_candidates"))
+
+
+@query("als_test_size")
+def q_als_test_size(spark, sf):
+    """M3: held-out pairs that get a prediction (user and item are trained),
+    and whether the model beats the global mean on them."""
+    _, test = R.train_test(R.training_set(gold(spark, sf).fact))
+    return R.rmse_frame(als_model(spark, sf).transform(test)).select("n_test")
+
+
+@query("als_recommendation_rules")
+def q_als_recommendation_rules(spark, sf):
+    """Broken rules of the ALS recommendations, each to be 0."""
+    g, model = gold(spark, sf), als_model(spark, sf)
+    recos = q_als_recommendations(spark, sf)
+    return R.recommendation_rules(recos, g.fact, model.userFactors, model.itemFactors)

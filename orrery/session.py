@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -16,6 +15,8 @@ _CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
+    # A checkpoint's files go when its frame is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -100,12 +101,3 @@ def work_root(spark: SparkSession, *parts: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for tools that read the local filesystem."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)

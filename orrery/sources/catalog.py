@@ -18,7 +18,8 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,9 +74,15 @@ class Catalog:
         return self
 
     # ---- reading -------------------------------------------------------
-    def _manifests(self) -> DataFrame:
-        schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("seq", T.LongType())])
-        return self.spark.read.schema(schema).json(f"{self.root}/_manifests")
+    def _newest(self) -> tuple[int, str] | None:
+        """(number, file) of the newest manifest, from the folder's listing
+        alone. Where two writers left a file under one number, the file
+        written first counts (then the smaller name): a later file cannot
+        overturn a state that was read."""
+        files = self.spark.read.format("binaryFile").load(f"{self.root}/_manifests")
+        row = files.select("seq", "modificationTime", "path").orderBy(
+            F.desc("seq"), "modificationTime", "path").first()
+        return None if row is None else (row["seq"], row["path"])
 
     def state(self, refresh: bool = False) -> tuple[int, dict[str, TableVersion]]:
         """(sequence number, table -> version) of the newest manifest.
@@ -84,28 +91,16 @@ class Catalog:
         ``refresh`` re-reads (another writer may have published)."""
         if self._known is not None and not refresh:
             return self._known
-        # The newest number comes from the folder listing alone (file
-        # contents are not read), then only that manifest is parsed.
-        newest = (self.spark.read.format("binaryFile").load(f"{self.root}/_manifests")
-                  .agg(F.max("seq")).first()[0])
-        if newest is None:  # only the empty manifest 0 exists
-            self._known = (0, {})
-            return self._known
-        m = (self._manifests().filter(F.col("seq") == newest)
-             .withColumn("_file", F.col("_metadata.file_path")))
-        latest = m
-        # Two publishers that raced for the same number may both have
-        # committed a file there: one writer's complete mapping wins (the
-        # smallest file name), never a mix of both.
-        latest = latest.filter(F.col("_file") == latest.agg(F.min("_file")).scalar())
-        rows = latest.collect()  # one row per table: bounded metadata
+        newest = self._newest()
+        rows = []
+        if newest is not None:  # one row per table: bounded metadata
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(newest[1]).collect()
         if not rows:  # only the empty manifest 0 exists
             self._known = (0, {})
             return self._known
-        seq = rows[0]["seq"]
-        self._known = (seq, {r["table"]: TableVersion(r["table"], r["path"], r["rows"],
-                                                      r["schema"], r["run_id"], r["job"])
-                             for r in rows})
+        self._known = (newest[0], {r["table"]: TableVersion(
+            r["table"], r["path"], r["rows"], r["schema"], r["run_id"], r["job"])
+            for r in rows})
         return self._known
 
     def version(self, name: str) -> TableVersion:
@@ -158,13 +153,23 @@ class Catalog:
         manifest = self.spark.createDataFrame(
             [(v.table, v.path, v.rows, v.schema, v.run_id, v.job) for v in merged.values()],
             MANIFEST_SCHEMA)
-        # Creating the manifest folder is the commit point; a concurrent
-        # publisher that took the same number fails here and must retry.
-        manifest.coalesce(1).write.mode("errorifexists").json(
-            f"{self.root}/_manifests/seq={seq + 1:012d}")
-        self._known = (seq + 1, merged)
+        # Writing the manifest is the commit point. Two publishers may both
+        # find the number free and write; the one whose file does not count
+        # learns it by reading back, and its publication has failed.
+        try:
+            self._write_manifest(manifest, seq + 1)
+        except AnalysisException as taken:
+            self._known = None
+            raise PublishError(f"manifest {seq + 1} already exists: another writer published it") from taken
+        self._known = None
+        if self.state(refresh=True) != (seq + 1, merged):
+            raise PublishError(f"manifest {seq + 1} already exists: another writer published it")
         return {name: v.rows for name, v in staged.items()}
 
+    def _write_manifest(self, manifest: DataFrame, seq: int) -> None:
+        manifest.coalesce(1).write.mode("errorifexists").json(
+            f"{self.root}/_manifests/seq={seq:012d}")
+
     def publish(self, tables: Mapping[str, DataFrame], cascade: Sequence[str] = (),
                 fail_before_swap: bool = False) -> dict[str, int]:
         """Stage all ``tables``, then switch them (and the emptied cascade
@@ -174,6 +179,8 @@ class Catalog:
     # ---- reject log ----------------------------------------------------
     def append_rejects(self, records: DataFrame, run_id: str | None = None) -> int:
         """Append reject-log rows; returns how many (0 writes nothing)."""
+        if records.isEmpty():
+            return 0
         obs = Observation(unique_name("rejects"))
         out = records.select(
             F.expr("uuid()").alias("reject_id"),
@@ -199,8 +206,8 @@ class Catalog:
 
 def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
                         columns: Sequence[str], reuse: Sequence[DataFrame] = (),
-                        run_id: str | None = None, sort_by: Sequence[str] = ()
-                        ) -> tuple[TableVersion, dict[str, int]]:
+                        run_id: str | None = None, sort_by: Sequence[str] = (),
+                        defaults: Mapping[str, Column] | None = None) -> tuple[TableVersion, dict[str, int]]:
     """Stage the valid rows of a flagged frame and log its rejects.
 
     One pass: the flagged frame is written once, partitioned by
@@ -211,6 +218,8 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
     the later switch fails, as in the original job. ``sort_by`` sorts rows
     inside each written file (a local sort, no shuffle) so that Parquet
     min/max statistics let point lookups on those columns skip row groups.
+    ``defaults`` are columns that the table fills itself (a write time); a
+    reject's payload does not hold them.
     """
     from orrery.functions.columns import payload_json
     from orrery.operators.quality import REASON
@@ -219,8 +228,9 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
     path = f"{catalog.root}/tables/{target}/v={run_id}"
     payload = [c for c in flagged.columns if c != REASON]
     bad = F.col(REASON).isNotNull()
+    filled = [value.alias(name) for name, value in (defaults or {}).items()]
     out = flagged.select(
-        *columns, REASON,
+        *columns, *filled, REASON,
         F.when(bad, payload_json(payload)).alias("payload"),
         F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")).alias("dq_status"))
     if sort_by:
@@ -234,7 +244,7 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
         for frame in reuse:
             frame.unpersist()
     valid, rejected = int(obs.get["valid"]), int(obs.get["rejected"])
-    schema = flagged.select(*columns).schema
+    schema = flagged.select(*columns, *filled).schema
     table_path = f"{path}/dq_status=valid"
     if valid == 0:
         catalog.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(table_path)
@@ -252,10 +262,10 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
 
 def run_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
                       columns: Sequence[str], cascade: Sequence[str] = (),
-                      reuse: Sequence[DataFrame] = (), sort_by: Sequence[str] = ()
-                      ) -> dict[str, int]:
+                      reuse: Sequence[DataFrame] = (), sort_by: Sequence[str] = (),
+                      defaults: Mapping[str, Column] | None = None) -> dict[str, int]:
     """Stage, log rejects and switch one table (with its cascade)."""
     version, counts = stage_validated_job(catalog, flagged, job_name, target, columns, reuse,
-                                          sort_by=sort_by)
+                                          sort_by=sort_by, defaults=defaults)
     catalog.commit({target: version}, cascade)
     return counts

@@ -31,7 +31,8 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 23 == 0, F.lit("  "))
         .otherwise(F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit(", ")),
                             F.lit(", "), F.col("p_type"))).alias("tags"),
-        F.col("p_brand").alias("kind"),
+        F.when(key % 53 == 11, F.lit(None).cast("string"))
+        .otherwise(F.col("p_brand")).alias("kind"),
         F.when(F.col("p_size") % 10 == 0, F.lit("Unknown"))
         .otherwise(F.col("p_size").cast("string")).alias("units"),
         F.when(key % 17 == 0, F.lit(None).cast("string"))
@@ -52,3 +53,17 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "N", F.lit("-1"))
         .otherwise(F.ceil(F.col("l_quantity") / 5).cast("int").cast("string")).alias("rating"),
     )
+
+
+#: Decimal and odd texts of whole numbers, dealt over the items in turn.
+DECIMAL_TEXTS = ["{k}", "{k}.0", "{k}.7", "-{k}.9", ".5", ".", "+{k}", " {k}.2 ", "1e3", "{k}.x",
+                 "", "2147483648.5", "99999999999", "5."]
+
+
+def decimal_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, raw): one of DECIMAL_TEXTS with the key in it."""
+    key = F.col("p_partkey")
+    turn = F.element_at(F.array(*[F.lit(t) for t in DECIMAL_TEXTS]),
+                        (key % len(DECIMAL_TEXTS) + 1).cast("int"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", F.replace(turn, F.lit("{k}"), key.cast("string")).alias("raw"))

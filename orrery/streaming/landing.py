@@ -15,22 +15,34 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from orrery.sources.files import _CSV_READ, string_schema
+from orrery.session import unique_name
+from orrery.sources.files import CSV_READ, csv_header, string_schema
 
 
 def land_new_files(spark: SparkSession, source_dir: str, columns: Sequence[str], target: str,
                    checkpoint: str, max_files_per_trigger: int | None = None) -> int:
     """Append rows of not-yet-landed CSV files matching ``source_dir`` (a
     folder or a glob such as ``landing/*/part-*``) to ``target``; returns
-    the rows landed by this run. Use one checkpoint per target."""
-    reader = spark.readStream.options(**_CSV_READ).schema(string_schema(columns))
+    the rows landed by this run. Use one checkpoint per target.
+
+    Columns are picked by header name; a file's other columns are kept as
+    JSON in ``extra`` (null: none). The run's rows carry its ``ingest_id`` and
+    are counted by it in the target, so the number is exact however many
+    batches ran."""
+    found = csv_header(spark, source_dir, columns)
+    others = [F.col(f"`{c}`") for c in found if c not in columns]
+    reader = spark.readStream.options(**CSV_READ).schema(string_schema(found))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    run = unique_name("ingest")
+    extra = F.to_json(F.struct(*others)) if others else F.lit(None).cast("string")
     rows = (reader.csv(source_dir)
-            .select(*columns, F.col("_metadata.file_path").alias("source_file"),
-                    F.current_timestamp().alias("ingested_at")))
+            .select(*columns, extra.alias("extra"),
+                    F.col("_metadata.file_path").alias("source_file"),
+                    F.current_timestamp().alias("ingested_at"), F.lit(run).alias("ingest_id")))
     query = (rows.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start(target))
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    landed = spark.read.schema(rows.schema).parquet(target)
+    return landed.filter(F.col("ingest_id") == run).count()  # other runs' files by statistics

@@ -108,3 +108,15 @@ def test_jdbc_partition_options():
                                               "numPartitions": "64"}
     assert partition_options(5, 7, 64)["numPartitions"] == "3"
     assert partition_options(9, 9, 64)["numPartitions"] == "1"
+
+
+def test_lenient_cast_cuts_decimal_text(spark):
+    texts = ["12.0", "12.7", ".5", ".", "-3.9", "+.", "1e3", " 4.2 ", "", "5.", "2147483648.5",
+             "12.x", "1 2.0", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", lenient_cast("t", "int").alias("i"), lenient_cast("t", "bigint").alias("b"))
+    got = {r.t: (r.i, r.b) for r in rows.collect()}
+    whole = {"12.0": 12, "12.7": 12, ".5": 0, ".": 0, "-3.9": -3, "+.": 0, " 4.2 ": 4, "5.": 5}
+    for t in texts:
+        assert got[t][0] == whole.get(t), t
+    assert got["2147483648.5"] == (None, 2147483648)

@@ -142,3 +142,11 @@ def test_global_row_number_with_coalesced_range_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_histogram_leaves_out_nan(spark):
+    from orrery.operators.histogram import equal_width_histogram
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "x double")
+    rows = equal_width_histogram(df, "x", 2).orderBy("bin").collect()
+    assert [(r.bin_start, r.bin_end, r.n) for r in rows] == [(1.0, 1.5, 1), (1.5, 2.0, 1)]
