@@ -36,7 +36,7 @@ BOILERPLATE = (
     "terms of service", "all rights reserved", "sign in to", "log in to", "subscribe to our",
     "click here", "read more", "skip to content",
 )
-_ENDS = r"[.!?…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+_ENDS = r"[.!?…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 

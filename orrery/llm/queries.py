@@ -31,6 +31,94 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quality.lost_chars")
 
 
+def _quality_oracle() -> str:
+    """The base figures and line rules, line by line and window by window."""
+    phrases = "|".join(quality.BOILERPLATE)
+    symbols = "'[#*$%&|<>]'"
+    return f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d
+), windows AS (
+  SELECT r, unnest(range(1, len(ws) - 3)) AS i, ws FROM w
+), keyed AS (
+  SELECT r, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS k FROM windows
+), often AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM keyed) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + s) AS n FROM often, range(5) AS five(s) GROUP BY r
+), lines AS (
+  SELECT r, unnest(string_split(t, chr(10))) AS l FROM d
+), worded AS (
+  SELECT r, l, regexp_replace(l, '[^\\p{{L}}]+', '', 'g') AS letters,
+         length(regexp_replace(l, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
+  FROM lines WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')
+), judged AS (
+  SELECT r, l, chars,
+         NOT regexp_matches(l, '[.!?…。！？]["''”’»)\\]]*[\\x20\\x09-\\x0D]*\\z')
+      OR length(l) - length(replace(l, '|', '')) >= {quality.MIN_BARS}
+      OR (length(letters) >= {quality.MIN_SHOUT} AND upper(letters) = letters
+          AND lower(letters) <> letters)
+      OR length(l) - length(regexp_replace(l, {symbols}, '', 'g'))
+           > CAST({quality.MAX_SYMBOL_SHARE} AS DOUBLE) * length(l)
+      OR regexp_matches(l, '(?i){phrases}') AS fails
+  FROM worded
+), by_doc AS (
+  SELECT r, count(*) - count(DISTINCT l) AS dup,
+         coalesce(sum(chars) FILTER (WHERE fails), 0) AS lost
+  FROM judged GROUP BY r
+), figures AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, {symbols}, '', 'g')) AS n_symbols,
+         coalesce(b.dup, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         coalesce(b.lost, 0) AS lost
+  FROM w LEFT JOIN covered c USING (r) LEFT JOIN by_doc b USING (r)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < {quality.MIN_WORDS}
+         OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {quality.MIN_WORDS}
+         OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words)
+         AND lost <= CAST({quality.MAX_LOST} AS DOUBLE) * word_chars AS kept,
+       CAST(lost AS BIGINT) AS lost_chars
+FROM figures
+"""
+
+
+ORACLES["op10_quality_rules"] = _quality_oracle()
+
+#: All pairs that share a shingle, exact overlaps, transitive closure.
+ORACLES["op6_bagminhash"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT r, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3),
+                        lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS s FROM d
+), bags AS (
+  SELECT r, s, count(*) AS c FROM shingles GROUP BY r, s
+), sizes AS (
+  SELECT r, sum(c) AS n FROM bags GROUP BY r
+), met AS (
+  SELECT a.r AS x, b.r AS y, sum(least(a.c, b.c)) AS common
+  FROM bags a JOIN bags b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r
+), links AS (
+  SELECT x, y FROM met JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y
+  WHERE common >= CAST({bagminhash.THRESHOLD} AS DOUBLE) * (p.n + q.n - common)
+), reach AS (
+  SELECT r AS x, r AS y FROM d
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT d.doc_id, min(e.doc_id) AS class_id, count(*) AS class_size
+FROM d JOIN reach ON reach.x = d.r JOIN d e ON e.r = reach.y GROUP BY d.r, d.doc_id
+"""
+
+
 @query
 def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(table(spark, sf_dir, "documents"))
@@ -53,6 +141,48 @@ def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+_TURNS = ", ".join(str(float(t)) for t in mixing.TURNS)
+ORACLES["op5_systematic_mix"] = f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''),
+                                                '[^\\x20\\x09-\\x0D]+')) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CAST(source_size AS DOUBLE) * 2 AS most, CAST(([{_TURNS}])[
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.TURNS)} + 1] AS DOUBLE)
+    AS weight FROM sources
+), summed AS (
+  SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * CAST({mixing.SHARE} AS DOUBLE)
+      - coalesce(sum(most) OVER before, 0) AS to_share,
+    sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS still_open
+  FROM weighed
+  WINDOW before AS (ORDER BY most / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levelled AS (
+  SELECT *, most * still_open <= to_share * weight AS capped,
+    max(CASE WHEN most * still_open > to_share * weight THEN to_share / still_open END) OVER () AS level
+  FROM summed
+), goals AS (
+  SELECT source, source_size,
+    CASE WHEN capped THEN most ELSE least(most, level * weight) END AS target,
+    ('0x' || substr(md5('{mixing.SEED}' || coalesce(':' || source, '')), 1, 6))::BIGINT AS shift
+  FROM levelled
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id NULLS FIRST) - 1 AS place
+  FROM sized
+), rated AS (
+  SELECT p.doc_id, p.size, g.source_size, g.target, p.place, g.shift,
+    CAST(CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size * 16777216)
+         ELSE 0 END AS BIGINT) AS rate
+  FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  (((place * rate + shift + rate) >> 24) - ((place * rate + shift) >> 24)) * size AS taken
+FROM rated
+"""
+
+
 @query
 def op2_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenize(table(spark, sf_dir, "documents"), tokens.vocabulary())
