@@ -10,18 +10,19 @@ Scale: the not-null rule is a projection. The foreign-key rule is one left
 join against the distinct reference keys with a match flag (not a semi plus
 an anti join). The uniqueness rule aggregates counts per key (map-side
 partial aggregation) and joins back only the duplicated keys, null-safely,
-so no key's rows are ever gathered into one window partition; AQE
-broadcasts the duplicate list when it is small and splits skewed
-partitions when it is not.
+so no key's rows are ever gathered into one window partition. With a
+``store`` (a function that writes a frame to the shared folder and reads it
+back) the rule's input is computed once, and the list of duplicated keys is
+counted before it is joined: an empty list joins nothing, a bounded one is
+broadcast, and the rows themselves are shuffled only beyond that bound.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from orrery.functions.columns import payload_json
 from orrery.operators.joins import bounded_broadcast
 
 REASON = "error_reason"
+Store = Callable[[DataFrame], DataFrame]
 
 
 def _reason(df_reason: Column, failed: Column, text: str) -> Column:
@@ -66,13 +68,21 @@ class Unique:
     def text(self) -> str:
         return self.reason or config.REASON_DUPLICATE_PREFIX + ", ".join(self.columns)
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, store: Store | None = None) -> DataFrame:
+        if store is not None:
+            df = store(df)
         alias = {c: f"_uq_{i}" for i, c in enumerate(self.columns)}
         dups = (df.filter(F.col(REASON).isNull())
                 .groupBy(*self.columns).count()
                 .filter(F.col("count") > 1)
                 .select(*[F.col(c).alias(alias[c]) for c in self.columns])
                 .withColumn("_uq_hit", F.lit(True)))
+        if store is not None:
+            dups = store(dups)
+            n = dups.count()  # from the files' footers
+            if n == 0:
+                return df
+            dups = bounded_broadcast(dups, n)
         cond = reduce(lambda a, b: a & b,
                       [F.col(c).eqNullSafe(F.col(alias[c])) for c in self.columns])
         joined = df.join(dups, cond, "left")
@@ -105,20 +115,16 @@ class ForeignKey:
                 .select(*df.columns))
 
 
-def validate(df: DataFrame, rules: Sequence, reuse: list | None = None) -> DataFrame:
+def validate(df: DataFrame, rules: Sequence, store: Store | None = None) -> DataFrame:
     """Apply rules in order; returns ``df`` plus ``error_reason``.
 
-    A uniqueness rule reads its input twice (rows and per-key counts). With
-    ``reuse`` (a list), the frame flagged so far is persisted before such a
-    rule, so upstream scans and joins run once; the caller unpersists the
-    frames collected in ``reuse`` after its actions.
+    A uniqueness rule reads its input twice (rows and per-key counts); with
+    ``store`` that input is written first, so upstream scans and joins run
+    once and a lost executor costs a read of files.
     """
     flagged = df.withColumn(REASON, F.lit(None).cast("string"))
     for rule in rules:
-        if reuse is not None and isinstance(rule, Unique):
-            flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-            reuse.append(flagged)
-        flagged = rule.apply(flagged)
+        flagged = rule.apply(flagged, store) if isinstance(rule, Unique) else rule.apply(flagged)
     return flagged
 
 
@@ -132,9 +138,9 @@ def split_null_rejects(df: DataFrame, required: Sequence[str]):
     return split(validate(df, [NotNull(tuple(required))]))
 
 
-def split_duplicate_rejects(df: DataFrame, keys: Sequence[str]):
+def split_duplicate_rejects(df: DataFrame, keys: Sequence[str], store: Store | None = None):
     """Every copy of a duplicated key is rejected; none survives."""
-    return split(validate(df, [Unique(tuple(keys))]))
+    return split(validate(df, [Unique(tuple(keys))], store))
 
 
 def reject_missing_reference(df: DataFrame, ref: DataFrame, keys: Sequence[str], reason: str,

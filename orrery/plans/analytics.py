@@ -302,9 +302,12 @@ def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
                        user_ids: Sequence[int] | None = None) -> DataFrame:
     """D23 (history): tag counts over each user's list -- rated or not --,
     first ``n`` by (count desc, name). Counted per (user, tag) with a
-    partial aggregate, then a per-user group limit."""
+    partial aggregate (the fact is clustered by user, so a task holds nearly
+    all rows of its users), then a per-user group limit."""
+    bridge = bounded_broadcast(g.bridge, g.rows.get("bridge_item_tag"),
+                               config.BROADCAST_MAX_KEY_ROWS)
     counts = (_only(g.fact, user_ids).select("user_id", "item_id")
-              .join(g.bridge, "item_id")
+              .join(bridge, "item_id")
               .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
               .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
     w = Window.partitionBy("user_id").orderBy(F.desc("nb"), "tag_name")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery import config
-from orrery.operators.quality import ForeignKey, NotNull, Unique, validate
+from orrery.operators.quality import ForeignKey, NotNull, Store, Unique, validate
 from orrery.operators.sampling import hash_split_flag
 from orrery.plans.star import ITEM_NOT_FOUND, RECO_COLUMNS
 
@@ -142,14 +142,14 @@ def popularity_recommendations(dim_user: DataFrame, fact: DataFrame,
 
 
 def validate_recommendations(recos: DataFrame, dim_item: DataFrame,
-                             item_rows: int | None = None, reuse: list | None = None
+                             item_rows: int | None = None, store: Store | None = None
                              ) -> DataFrame:
     """not-null (user, item, rank) -> item exists -> unique (user, rank)."""
     return validate(recos.select(*RECO_COLUMNS), [
         NotNull(("user_id", "item_id", "rank")),
         ForeignKey(("item_id",), dim_item, ITEM_NOT_FOUND, ref_rows=item_rows),
         Unique(("user_id", "rank")),
-    ], reuse)
+    ], store)
 
 
 # ---- ALS ----------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orrery import config
 from orrery.operators.joins import bounded_broadcast
 from orrery.operators.numbering import global_row_number
-from orrery.operators.quality import REASON, ForeignKey, NotNull, Unique, validate
+from orrery.operators.quality import REASON, ForeignKey, NotNull, Store, Unique, validate
 from orrery.plans.silver import item_tags
 
 DIM_ITEM_COLUMNS = ["item_id", "name", "kind", "units", "is_open", "score", "members"]
@@ -31,6 +31,9 @@ SORT_KEYS = {
     "recommendations": ["user_id", "rank"],
 }
 
+# Tables dealt out by ranges of those keys, for lookups of one user.
+CLUSTERED = {"fact_ratings", "dim_user", "recommendations"}
+
 ITEM_NOT_FOUND = config.REASON_NOT_FOUND.format(column="item_id", table="dim_item")
 TAG_NOT_FOUND = config.REASON_NOT_FOUND.format(column="tag_name", table="dim_tag")
 
@@ -43,25 +46,25 @@ def dim_item_rows(items: DataFrame) -> DataFrame:
     )
 
 
-def validate_dim_item(items: DataFrame, reuse: list | None = None) -> DataFrame:
+def validate_dim_item(items: DataFrame, store: Store | None = None) -> DataFrame:
     """Not-null (item_id, name) -> unique item_id."""
     return validate(dim_item_rows(items), [NotNull(("item_id", "name")), Unique(("item_id",))],
-                    reuse)
+                    store)
 
 
-def validate_dim_tag(items: DataFrame, reuse: list | None = None) -> DataFrame:
+def validate_dim_tag(items: DataFrame, store: Store | None = None) -> DataFrame:
     """Distinct tag names numbered alphabetically from 1, then
     not-null -> unique id -> unique name."""
     names = item_tags(items).select("tag_name").distinct()
     numbered = global_row_number(names, ["tag_name"], "tag_id").select(
         F.col("tag_id").cast("int"), "tag_name")
     return validate(numbered, [NotNull(("tag_id", "tag_name")), Unique(("tag_id",)),
-                               Unique(("tag_name",))], reuse)
+                               Unique(("tag_name",))], store)
 
 
 def bridge_stages(items: DataFrame, dim_tag: DataFrame, dim_item: DataFrame,
                   tag_rows: int | None = None, item_rows: int | None = None,
-                  reuse: list | None = None):
+                  store: Store | None = None):
     """B5 in two stages, as (tag lookup flagged, bridge flagged).
 
     Stage 1 resolves tag names to ids with one left join against the tag
@@ -79,7 +82,7 @@ def bridge_stages(items: DataFrame, dim_tag: DataFrame, dim_item: DataFrame,
         NotNull(("item_id", "tag_id")),
         ForeignKey(("item_id",), dim_item, ITEM_NOT_FOUND, ref_rows=item_rows),
         Unique(("item_id", "tag_id")),
-    ], reuse)
+    ], store)
     return stage1, stage2
 
 
@@ -97,13 +100,13 @@ def fact_rows(ratings: DataFrame) -> DataFrame:
 
 
 def validate_fact(ratings: DataFrame, dim_item: DataFrame, item_rows: int | None = None,
-                  reuse: list | None = None) -> DataFrame:
+                  store: Store | None = None) -> DataFrame:
     """Not-null (user, item) -> item exists -> unique (user, item)."""
     return validate(fact_rows(ratings), [
         NotNull(("user_id", "item_id")),
         ForeignKey(("item_id",), dim_item, ITEM_NOT_FOUND, ref_rows=item_rows),
         Unique(("user_id", "item_id")),
-    ], reuse)
+    ], store)
 
 
 def dim_user_rows(fact: DataFrame) -> DataFrame:
@@ -114,9 +117,9 @@ def dim_user_rows(fact: DataFrame) -> DataFrame:
     )
 
 
-def validate_dim_user(fact: DataFrame, reuse: list | None = None) -> DataFrame:
+def validate_dim_user(fact: DataFrame, store: Store | None = None) -> DataFrame:
     """Derived from the fact; not-null -> unique user."""
-    return validate(dim_user_rows(fact), [NotNull(("user_id",)), Unique(("user_id",))], reuse)
+    return validate(dim_user_rows(fact), [NotNull(("user_id",)), Unique(("user_id",))], store)
 
 
 def constraint_audit(dim_item: DataFrame, dim_tag: DataFrame, bridge: DataFrame,

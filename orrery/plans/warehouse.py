@@ -63,6 +63,12 @@ class Warehouse:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
+    def stored(self, frame: DataFrame) -> DataFrame:
+        """The frame written under the root and read back."""
+        path = self.path("stages", unique_name("s"))
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
     # ---- layers --------------------------------------------------------
     def bronze(self) -> None:
         """Raw copy of the CSV files, all text, columns found by header name,
@@ -105,14 +111,10 @@ class Warehouse:
         run_id = unique_name("gold")
         staged: dict = {}
 
-        def job(name, target, build, columns, persist=False):
-            # Persist before a uniqueness rule only when recomputing the
-            # input would repeat a shuffle; a scan plus a broadcast join is
-            # cheaper to re-run than to cache.
-            reuse: list | None = [] if persist else None
-            version, counts = stage_validated_job(cat, build(reuse), name, target, columns,
-                                                  reuse or (), run_id,
-                                                  sort_by=star.SORT_KEYS[target])
+        def job(name, target, build, columns):
+            version, counts = stage_validated_job(cat, build, name, target, columns, run_id,
+                                                  sort_by=star.SORT_KEYS[target],
+                                                  clustered=target in star.CLUSTERED)
             staged[target] = version
             self.counts[target] = counts
             return cat.read(target, version), version.rows
@@ -120,28 +122,26 @@ class Warehouse:
         # Independent jobs run concurrently (one thread each submits its
         # Spark jobs); dependants wait for what they read.
         (dim_item, item_rows), (dim_tag, tag_rows) = in_parallel(
-            lambda: job("gold_dim_item", "dim_item", lambda r: star.validate_dim_item(items, r),
+            lambda: job("gold_dim_item", "dim_item", star.validate_dim_item(items),
                         star.DIM_ITEM_COLUMNS),
-            lambda: job("gold_dim_tag", "dim_tag", lambda r: star.validate_dim_tag(items, r),
+            lambda: job("gold_dim_tag", "dim_tag", star.validate_dim_tag(items),
                         star.DIM_TAG_COLUMNS))
 
-        def bridge(reuse):
+        def bridge():
             stage1, stage2 = star.bridge_stages(items, dim_tag, dim_item, tag_rows=tag_rows,
-                                                item_rows=item_rows, reuse=reuse)
+                                                item_rows=item_rows, store=self.stored)
             return stage2.unionByName(
                 stage1.filter(F.col("error_reason").isNotNull())
                 .select("item_id", "tag_name", "error_reason"), allowMissingColumns=True)
 
-        items_shuffle = item_rows > config.BROADCAST_MAX_KEY_ROWS
         _, (fact, _) = in_parallel(
-            lambda: job("gold_bridge_item_tag", "bridge_item_tag", bridge, star.BRIDGE_COLUMNS,
-                        persist=items_shuffle),
+            lambda: job("gold_bridge_item_tag", "bridge_item_tag", bridge(),
+                        star.BRIDGE_COLUMNS),
             lambda: job("gold_fact_ratings", "fact_ratings",
-                        lambda r: star.validate_fact(self.silver_table("ratings"), dim_item,
-                                                     item_rows, r), star.FACT_COLUMNS,
-                        persist=items_shuffle))
-        job("gold_dim_user", "dim_user", lambda r: star.validate_dim_user(fact, r),
-            star.DIM_USER_COLUMNS, persist=True)
+                        star.validate_fact(self.silver_table("ratings"), dim_item, item_rows,
+                                           self.stored), star.FACT_COLUMNS))
+        job("gold_dim_user", "dim_user", star.validate_dim_user(fact, self.stored),
+            star.DIM_USER_COLUMNS)
         cat.commit(staged, cascade=["recommendations"])
 
     def train(self) -> str:
@@ -169,11 +169,11 @@ class Warehouse:
 
             model = ALSModel.load(model_path or self.train())
             recos = recommend.recommendation_chain(recommend.als_candidates(model), fact)
-        reuse: list = []
-        flagged = recommend.validate_recommendations(recos, dim_item, cat.rows("dim_item"), reuse)
+        flagged = recommend.validate_recommendations(recos, dim_item, cat.rows("dim_item"),
+                                                     self.stored)
         self.counts["recommendations"] = run_validated_job(
             cat, flagged, f"recommend_{source}", "recommendations", star.RECO_COLUMNS,
-            reuse=reuse, sort_by=star.SORT_KEYS["recommendations"],
+            sort_by=star.SORT_KEYS["recommendations"], clustered=True,
             defaults={"generated_at": F.current_timestamp()})
         self._log_short_users()
 

@@ -43,6 +43,15 @@ def _raw_ratings(spark, sf):
     return fixtures.raw_ratings(spark, sf)
 
 
+def _store(spark):
+    """Write a frame to the scratch folder and read it back."""
+    def stored(frame):
+        path = _scratch(spark, "stage")
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+    return stored
+
+
 def _valid_typed_ratings(spark, sf):
     return quality.split_null_rejects(S.typed_ratings(_raw_ratings(spark, sf)),
                                       ["user_id", "item_id"])
@@ -245,20 +254,20 @@ def q_null_reject(spark, sf):
 
 @query("duplicate_key_split")
 def q_duplicate_key_split(spark, sf):
-    valid = _valid_typed_ratings(spark, sf)[0]
+    valid = _store(spark)(_valid_typed_ratings(spark, sf)[0])
     return quality.key_counts(valid, ["user_id", "item_id"], "key_count")
 
 
 @query("duplicate_valid")
 def q_duplicate_valid(spark, sf):
     return quality.split_duplicate_rejects(_valid_typed_ratings(spark, sf)[0],
-                                           ["user_id", "item_id"])[0]
+                                           ["user_id", "item_id"], _store(spark))[0]
 
 
 @query("duplicate_reject")
 def q_duplicate_reject(spark, sf):
     return quality.split_duplicate_rejects(_valid_typed_ratings(spark, sf)[0],
-                                           ["user_id", "item_id"])[1]
+                                           ["user_id", "item_id"], _store(spark))[1]
 
 
 def _fk_split(spark, sf):
@@ -280,7 +289,7 @@ def q_fk_reject(spark, sf):
 def _validated_fact(spark, sf):
     g = gold(spark, sf)
     return G.validate_fact(S.typed_ratings(_raw_ratings(spark, sf)), g.dim_item,
-                           g.rows["dim_item"])
+                           g.rows["dim_item"], _store(spark))
 
 
 @query("validate_fact")
@@ -292,7 +301,7 @@ def _bridge_stages(spark, sf):
     g = gold(spark, sf)
     items = required_fields(S.typed_items(_raw_items(spark, sf)), ["item_id", "name"])
     return G.bridge_stages(items, g.dim_tag, g.dim_item, tag_rows=g.rows.get("dim_tag"),
-                           item_rows=g.rows.get("dim_item"))
+                           item_rows=g.rows.get("dim_item"), store=_store(spark))
 
 
 @query("validate_bridge")
@@ -313,7 +322,7 @@ def q_reject_union_bridge(spark, sf):
 def q_validate_recos(spark, sf):
     g = gold(spark, sf)
     return R.validate_recommendations(R.popularity_recommendations(g.dim_user, g.fact),
-                                      g.dim_item, g.rows["dim_item"])
+                                      g.dim_item, g.rows["dim_item"], _store(spark))
 
 
 @query("reject_log")

@@ -205,8 +205,8 @@ class Catalog:
 
 
 def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
-                        columns: Sequence[str], reuse: Sequence[DataFrame] = (),
-                        run_id: str | None = None, sort_by: Sequence[str] = (),
+                        columns: Sequence[str], run_id: str | None = None,
+                        sort_by: Sequence[str] = (), clustered: bool = False,
                         defaults: Mapping[str, Column] | None = None) -> tuple[TableVersion, dict[str, int]]:
     """Stage the valid rows of a flagged frame and log its rejects.
 
@@ -217,7 +217,9 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
     are appended to the reject log right away -- they stay logged even if
     the later switch fails, as in the original job. ``sort_by`` sorts rows
     inside each written file (a local sort, no shuffle) so that Parquet
-    min/max statistics let point lookups on those columns skip row groups.
+    min/max statistics let point lookups on those columns skip row groups;
+    ``clustered`` also deals the rows out by ranges of those columns, so that
+    a lookup skips whole files and a user's rows stand together.
     ``defaults`` are columns that the table fills itself (a write time); a
     reject's payload does not hold them.
     """
@@ -233,16 +235,14 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
         *columns, *filled, REASON,
         F.when(bad, payload_json(payload)).alias("payload"),
         F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")).alias("dq_status"))
+    if clustered:
+        out = out.repartitionByRange(*sort_by)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     obs = Observation(f"stage_{target}_{run_id}")
-    try:
-        (out.observe(obs, F.count(F.when(~bad, 1)).alias("valid"),
-                     F.count(F.when(bad, 1)).alias("rejected"))
-         .write.mode("errorifexists").partitionBy("dq_status").parquet(path))
-    finally:
-        for frame in reuse:
-            frame.unpersist()
+    (out.observe(obs, F.count(F.when(F.col("dq_status") == "valid", 1)).alias("valid"),
+                 F.count(F.when(F.col("dq_status") != "valid", 1)).alias("rejected"))
+     .write.mode("errorifexists").partitionBy("dq_status").parquet(path))
     valid, rejected = int(obs.get["valid"]), int(obs.get["rejected"])
     schema = flagged.select(*columns, *filled).schema
     table_path = f"{path}/dq_status=valid"
@@ -262,10 +262,11 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
 
 def run_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
                       columns: Sequence[str], cascade: Sequence[str] = (),
-                      reuse: Sequence[DataFrame] = (), sort_by: Sequence[str] = (),
+                      sort_by: Sequence[str] = (), clustered: bool = False,
                       defaults: Mapping[str, Column] | None = None) -> dict[str, int]:
     """Stage, log rejects and switch one table (with its cascade)."""
-    version, counts = stage_validated_job(catalog, flagged, job_name, target, columns, reuse,
-                                          sort_by=sort_by, defaults=defaults)
+    version, counts = stage_validated_job(catalog, flagged, job_name, target, columns,
+                                          sort_by=sort_by, clustered=clustered,
+                                          defaults=defaults)
     catalog.commit({target: version}, cascade)
     return counts

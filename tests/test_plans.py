@@ -4,6 +4,7 @@ from orrery.plans import analytics as A
 from orrery.plans import silver as S
 from orrery.plans.warehouse import gold
 from orrery.registry import QUERIES
+from orrery.session import unique_name
 from orrery.sources import fixtures
 
 
@@ -59,3 +60,41 @@ def test_clean_fact_validation_drops_the_duplicate_join(spark, sf_small):
     # Only the broadcast FK join remains; the empty duplicate list was
     # propagated away by AQE.
     assert final.count("Join") == 1 and "BroadcastHashJoin" in final
+
+
+def test_clean_input_of_a_uniqueness_rule_is_joined_with_nothing(spark, tmp_path):
+    """Both sides of the bound on duplicated keys, and no duplicates at all."""
+    from orrery import config
+    from orrery.operators import quality
+
+    def store(frame):
+        path = str(tmp_path / unique_name("s"))
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    rows = spark.range(100).selectExpr("cast(id as int) as k", "cast(id % 7 as int) as v")
+    clean = quality.validate(rows, [quality.Unique(("k",))], store)
+    assert "Join" not in plan(clean) and "Exchange" not in plan(clean)
+    assert clean.filter("error_reason is not null").count() == 0
+    twice = rows.unionByName(rows.filter("k < 10"))
+    few = quality.validate(twice, [quality.Unique(("k",))], store)
+    assert few.filter("error_reason is not null").count() == 20
+    few_rows = quality.bounded_broadcast(rows, config.BROADCAST_MAX_ROWS)
+    many_rows = quality.bounded_broadcast(rows, config.BROADCAST_MAX_ROWS + 1)
+    hints = [x._jdf.queryExecution().analyzed().toString() for x in (few_rows, many_rows)]
+    assert "ResolvedHint" in hints[0] and "ResolvedHint" not in hints[1]
+
+
+def test_one_user_reads_only_matching_row_groups(spark, sf_small):
+    from orrery.plans import analytics
+    from orrery.plans.warehouse import gold
+
+    g = gold(spark, sf_small)
+    page = analytics.one_user_page(g, 7)
+    text = plan(page["user_profile"])
+    assert "EqualTo(user_id,7)" in text
+    # The fact is dealt out by ranges of the user: few files can hold one.
+    files = g.fact.selectExpr("_metadata.file_path as f", "user_id").groupBy("f").agg(
+        {"user_id": "min"}).count()
+    holding = g.fact.filter("user_id = 7").selectExpr("_metadata.file_path as f").distinct().count()
+    assert holding <= 2 and files >= holding
