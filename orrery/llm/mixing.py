@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.prefix import positions
+from orrery.llm.prefix import ranked_rows, with_span
 from orrery.llm.quality import words_of
 
 SHARE = 1.5
@@ -82,10 +82,11 @@ def sample(docs: DataFrame, weights: DataFrame | None = None, text: str = "text"
         F.col(f"`{source}`").alias("source"), F.col(f"`{ids}`").alias("id"),
         F.xxhash64(f"`{text}`").alias("hash"),
         F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("size"))
-    placed = positions(sized.select("row", "source", "size", "id", "hash"), F.col("source"),
-                       [F.col("size"), F.col("id"), F.col("hash")], "mix") \
-        .select("row.row", "row.source", "row.size", "position")
-    sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
+    rows, spans = ranked_rows(sized.select("row", "source", "size", "id", "hash"),
+                              F.col("source"),
+                              [F.col("size"), F.col("id"), F.col("hash")], "mix")
+    sizes = rows.groupBy(F.col("group").alias("source")).agg(
+        F.sum("row.size").alias("source_size"))
     goal = targets(sizes, weights if weights is not None else weights_by_turns(sizes),
                    share, cap)
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(
@@ -93,12 +94,14 @@ def sample(docs: DataFrame, weights: DataFrame | None = None, text: str = "text"
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goal = goal.select(F.col("source").alias("goal_source"), "source_size", "target",
                        F.floor(rate * (1 << _PLACES)).cast("bigint").alias("rate"),
-                       offset.alias("offset"))
-    joined = placed.join(goal, F.col("source").eqNullSafe(F.col("goal_source")))
-
-    low = F.col("position") * F.col("rate") + F.col("offset")
-    return joined.select(
-        "row", "source", "size", "source_size", "target",
+                       offset.alias("shift"))
+    # Each partition's share of a source carries the source's goal, so the
+    # rows themselves are joined with that small table only.
+    known = spans.join(goal, F.col("group").eqNullSafe(F.col("goal_source"))).drop("goal_source")
+    placed = with_span(rows, known)
+    low = (F.col("at") - F.col("first") + F.col("offset")) * F.col("rate") + F.col("shift")
+    return placed.select(
+        "row.row", "row.source", "row.size", "source_size", "target",
         (F.shiftright(low + F.col("rate"), _PLACES) - F.shiftright(low, _PLACES)).alias("copies"))
 
 

@@ -12,11 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.llm.common import written
+from orrery.operators.joins import bounded_broadcast
 
 
-def positions(df: DataFrame, group: Column, order: list[Column], name: str) -> DataFrame:
-    """(row, group, position): the 0-based position of each row in its group
-    (null is a group) in ``order``."""
+def ranked_rows(df: DataFrame, group: Column, order: list[Column], name: str
+                ) -> tuple[DataFrame, DataFrame]:
+    """(rows, spans). ``rows`` has row, group, part and at: the input rows,
+    sorted by (group, order) within range partitions. ``spans`` has a row for
+    each partition and group in it: part, group, first (at of its first row)
+    and offset (rows of the group before). So a row's 0-based position in its
+    group is at - first + offset."""
     ranked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                        group.alias("group"), F.struct(*order).alias("key"))
     ranked = written(
@@ -27,11 +32,18 @@ def positions(df: DataFrame, group: Column, order: list[Column], name: str) -> D
                                                 F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("group").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)
-    spans = spans.select(F.col("part").alias("p"), F.col("group").alias("g"), "first",
-                         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return ranked.join(spans, (F.col("part") == F.col("p")) & F.col("group").eqNullSafe(
-        F.col("g"))).select("row", "group",
-                            (F.col("at") - F.col("first") + F.col("offset")).alias("position"))
+    return ranked, spans.select("part", "group", "first", F.coalesce(
+        F.sum("n").over(before), F.lit(0)).alias("offset"))
+
+
+def with_span(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``rows`` (of ranked_rows) with the columns of ``spans``. The spans are
+    written and counted: up to a bound they are broadcast and no row moves."""
+    spans = written(spans, "spans")
+    few = bounded_broadcast(spans.withColumnsRenamed({"part": "_part", "group": "_group"}),
+                            spans.count())
+    return rows.join(few, (F.col("part") == F.col("_part"))
+                     & F.col("group").eqNullSafe(F.col("_group"))).drop("_part", "_group")
 
 
 def running_start(df: DataFrame, part: str, at: str, amount: str) -> DataFrame:
