@@ -106,7 +106,7 @@ def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST,
     ``quality`` has n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, lost_chars (word characters of removed
     lines), clean_text (null if the text is null) and kept."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
     def lines(ls: Column) -> Column:
         worded = F.filter(ls, lambda x: x.rlike(_HAS_WORD))
@@ -121,17 +121,21 @@ def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST,
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             _repeat_words(words).alias("n_repeat_words"))
 
+    # Behind an explode of one element the figures are computed once, whatever
+    # filters and columns are asked of the result.
     step = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        let(words_of(F.col(text)), figures).alias("w"),
-        let(F.split(body, "\n"), lines).alias("l"),
-        _symbols(body).alias("n_symbols"))
+        F.explode(F.array(F.struct(
+            let(words_of(F.col(f"`{text}`")), figures).alias("w"),
+            let(F.split(body, "\n"), lines).alias("l"),
+            _symbols(body).alias("n_symbols")))).alias("f")).select("row", "f.*")
     left = F.array_join(F.col("l.clean"), "\n")
     # Only a text that lost lines is counted again.
     left_chars = F.when(F.size("l.clean") == F.col("l.n"), F.col("w.word_chars")).otherwise(
         F.length(F.array_join(words_of(left), "")).cast("long"))
-    step = step.select("row", "w", "l.dup", "n_symbols", left.alias("left"),
-                       (F.col("w.word_chars") - left_chars).alias("lost"))
+    step = step.select("row", "w", "l.dup", "n_symbols", F.explode(F.array(F.struct(
+        left.alias("left"), (F.col("w.word_chars") - left_chars).alias("lost")))).alias("f")) \
+        .select("row", "w", "dup", "n_symbols", "f.*")
     base_failed = (F.col("w.n_words") < MIN_WORDS) \
         | (100 * F.col("w.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("w.n_words"))
     kept = ~base_failed & (F.col("lost") <= max_lost * F.col("w.word_chars"))
