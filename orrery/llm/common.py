@@ -20,6 +20,7 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 #: Code points that one vectorised step handles at most (a longer text is a
 #: step of its own), so that a task's memory follows its longest text.
 CHUNK_CHARS = 1 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,8 +80,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once a session: a zip sent by
-    Spark itself, for clusters where the package is not installed."""
+    """Prepare a session for Python tasks over texts: Arrow batches of at most
+    BATCH_ROWS rows (texts are long), and this package on the executors, once a
+    session: a zip sent by Spark itself, for clusters where it is not
+    installed."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_orrery_shipped", False):
         return

@@ -218,26 +218,24 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     item = benchmark.schema["item_id"].dataType
     schema = T.StructType([
         T.StructField("row", docs.schema),
-        T.StructField("__text", T.StringType()),
         T.StructField("matches", T.ArrayType(T.StructType([
             T.StructField("item_id", item), T.StructField("edits", T.IntegerType()),
             T.StructField("end", T.LongType())])))])
+    at = docs.columns.index(text)
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                      F.col(f"`{text}`").alias("__text"),
                       F.lit(None).cast(schema["matches"].dataType).alias("matches"))
     for block in _blocks(benchmark, block_chars):
         index = spark.sparkContext.broadcast(Index(block, **params))
 
         def run(batches, index=index):
             for batch in batches:
-                texts = [t or "" for t in batch["__text"].to_pylist()]
+                texts = [t or "" for t in batch["row"].field(at).to_pylist()]
                 before = batch["matches"].to_pylist()
                 found = [[*(p or ()), *({"item_id": i, "edits": e, "end": z} for i, e, z in own)]
                          for p, own in zip(before, index.value.search(texts))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["row"], batch["__text"],
-                     pa.array(found, batch.schema.field("matches").type)],
-                    names=["row", "__text", "matches"])
+                    [batch["row"], pa.array(found, batch.schema.field("matches").type)],
+                    names=["row", "matches"])
 
         out = out.mapInArrow(run, schema)
     return out.select("row", F.coalesce("matches", F.array().cast(schema["matches"].dataType))

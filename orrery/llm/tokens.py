@@ -36,7 +36,7 @@ from orrery.llm.prefix import running_start
 
 END_ID = 2
 #: Characters per step: the more, the fewer different words a character.
-STEP_CHARS = 2 << 20
+STEP_CHARS = 1 << 20
 #: Different words a worker remembers (about 40 bytes each); others are
 #: encoded again when they come again.
 REMEMBERED = 3_000_000

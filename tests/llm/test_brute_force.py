@@ -351,3 +351,13 @@ def test_shards_query(spark, rows):
     for r in got:
         assert r.slot == int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16) % len(slots)
         assert r.shard == slots[r.slot]
+
+
+def test_written_shards(spark, tmp_path):
+    slots = sharding.fill(["a", "b", "c"], 101)
+    docs = spark.range(500).selectExpr("id as doc_id", "cast(id as string) as text")
+    sharding.write_shards(docs, str(tmp_path / "out"), slots)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 500
+    for r in back.select("shard", "row.doc_id").collect():
+        assert r.shard == slots[int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16) % 101]
