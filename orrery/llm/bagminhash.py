@@ -316,17 +316,28 @@ def _link(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
         _verify, "u binary, v binary, similarity double")
         .filter(F.col("similarity") >= threshold), "stars_verified")
 
-    # The rest: buckets whose other members are still of several classes.
+    # The rest: buckets whose other members are still of several classes. Two
+    # members of the hub's class need no comparison, so blocks of them meet
+    # only blocks of other members.
     labels = components(stars)
-    left = others.select("bucket", "node").join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("label", "node").alias("label"))
-    mixed = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                       F.count(F.lit(1)).alias("n")) \
-        .filter("lo != hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    left = others.join(labels, "node", "left").join(
+        labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")),
+        "hub", "left").select(
+        "bucket", "node", F.coalesce("label", "node").alias("label"),
+        (F.coalesce("label", "node") != F.coalesce("hub_label", "hub")).alias("apart"))
+    mixed = left.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"),
+        F.ceil(F.count_if("apart") / BLOCK).cast("int").alias("a"),
+        F.ceil(F.count_if(~F.col("apart")) / BLOCK).cast("int").alias("b")) \
+        .filter("lo != hi").select("bucket", "a", "b")
+    spread = F.xxhash64("node")
     placed = left.join(mixed, "bucket").select(
-        "bucket", "node", "label", "blocks",
-        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        "bucket", "node", "label",
+        F.when(F.col("apart"), F.pmod(spread, F.col("a")))
+        .otherwise(F.col("a") + F.pmod(spread, F.greatest("b", F.lit(1)))).cast("int")
+        .alias("block"),
+        F.explode(F.sequence(F.lit(0), F.when(F.col("apart"), F.col("a") + F.col("b") - 1)
+                             .otherwise(F.col("a") - 1))).alias("other"))
     groups = placed.select("bucket", F.least("block", "other").alias("i"),
                            F.greatest("block", "other").alias("j"), "block", "node", "label") \
         .join(bags, "node")
@@ -336,21 +347,18 @@ def _link(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def classes(docs: DataFrame, **params) -> DataFrame:
-    """doc_id, class_id (least doc_id of the class, nulls last), class_size
-    (rows), n_links (verified links of the row's multiset) per row. A text
-    without words is a class of its own."""
-    members, links = near_duplicates(docs.select("doc_id", "text"), **params)
-    ends = links.select(F.col("u").alias("node")).unionByName(
-        links.select(F.col("v").alias("node"))).groupBy("node").agg(
-        F.count(F.lit(1)).alias("n_links"))
-    sizes = members.filter("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return members.join(sizes, "class", "left").join(ends, "node", "left").select(
+    """doc_id, class_id (least doc_id of the class, nulls last) and class_size
+    (rows) per row. A text without words is a class of its own."""
+    members, _ = near_duplicates(docs.select("doc_id", "text"), **params)
+    # A written table, not an aggregate, stands on the small side of the join:
+    # so adaptive execution can split the rows of a large class.
+    sizes = written(members.filter("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "sizes")
+    return members.join(sizes, "class", "left").select(
         "doc_id",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
         .alias("class_id"),
-        F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"))
 
 
 def deduplicate(docs: DataFrame, **params) -> DataFrame:
@@ -360,8 +368,8 @@ def deduplicate(docs: DataFrame, **params) -> DataFrame:
     members, _ = near_duplicates(docs.select("doc_id", "text"), **params)
     known = members.filter("class is not null").groupBy("class", "doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("n"))
-    least = known.groupBy("class").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least"))
+    least = written(known.groupBy("class").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least")), "least")
     stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) \
         & (F.col("text_hash") == F.col("least.text_hash"))
     # Only rows that go, and rows that stay but are there several times, are
