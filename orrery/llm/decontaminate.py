@@ -2,11 +2,16 @@
 
 Benchmark texts and documents are compared as lower-cased code points, any
 white space counting as a space. A benchmark text longer than SEGMENT is cut
-into overlapping segments. A segment of m characters matches a region of a
-document if at most k = floor(EDIT_RATE * m) edits turn one into the other.
+into overlapping segments, and any text longer than PASSAGE also into passages
+of PASSAGE characters, one every STRIDE characters and one at the end. A
+segment or passage of m characters matches a region of a document if at most
+k = floor(EDIT_RATE * m) edits turn one into the other. So every verbatim quote
+of PASSAGE + STRIDE - 1 characters holds a whole passage and is found, wherever
+it starts.
 
 *Filter.* Such a region shares at least t = m + 1 - q (k + 1) q-grams with
-the segment (the q-gram lemma), and their diagonals (document position minus
+the segment (the q-gram lemma; q is at most Q, and so small that t >= 1), and
+their diagonals (document position minus
 segment position) lie within k + 1 neighbours. Hits are counted in bands of
 2 (k + 1) diagonals that overlap by half, so one band holds them all; bands
 with t hits or more are kept. Nothing that matches is lost.
@@ -20,8 +25,9 @@ Documents are never shuffled: each row is judged where it is.
 
 Defined results: a null or empty document matches nothing; a benchmark text
 that is null or shorter than MIN_CHARS is no evidence and is left out; of
-equal best matches of one (row, item) the leftmost is told; repeated rows are
-judged one by one; long texts are processed whole.
+equal best matches of one (row, item) the leftmost is told, and a passage only
+if no segment of the item matches; repeated rows are judged one by one; long
+texts are processed whole.
 """
 
 from __future__ import annotations
@@ -39,6 +45,8 @@ from orrery.llm.common import chunks, code_points, ship
 Q = 8
 EDIT_RATE = 0.1
 SEGMENT = 200
+PASSAGE = 60
+STRIDE = 20
 MIN_CHARS = 24
 BLOCK_CHARS = 8 << 20
 
@@ -75,59 +83,80 @@ def grams(points: np.ndarray, q: int) -> np.ndarray:
     return rolled(q) * np.uint64(_BASE_INT)
 
 
+def _cuts(length: int, size: int, stride: int) -> list[int]:
+    """Starts of pieces of ``size``, the last one at the end."""
+    return [*range(0, max(length - size, 0), stride), max(length - size, 0)]
+
+
+class _Grams:
+    """The q-grams of some segments, for one q: where each occurs."""
+
+    def __init__(self, q: int, own: np.ndarray, segments: list[np.ndarray]) -> None:
+        self.q = q
+        found = [grams(segments[s], q) for s in own]
+        gram = np.concatenate(found)
+        order = np.argsort(gram, kind="stable")
+        self.seg = np.repeat(own.astype(np.int32), [len(f) for f in found])[order]
+        self.off = np.concatenate([np.arange(len(f), dtype=np.int32) for f in found])[order]
+        self.gram, first, self.count = np.unique(gram[order], return_index=True,
+                                                 return_counts=True)
+        self.first = first.astype(np.int64)
+        self.bits = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        self.bits[self.gram >> np.uint64(64 - _FILTER_BITS)] = True
+
+
 class Index:
-    """Segments of benchmark texts and their q-grams."""
+    """Segments and passages of benchmark texts and their q-grams. Without
+    ``passage`` there are segments only."""
 
     def __init__(self, items: list[tuple], q: int = Q, rate: float = EDIT_RATE,
-                 segment: int = SEGMENT, min_chars: int = MIN_CHARS) -> None:
-        self.q, self.items, self.segments = q, [], []
+                 segment: int = SEGMENT, min_chars: int = MIN_CHARS,
+                 passage: int | None = None, stride: int = STRIDE) -> None:
+        self.items, self.segments, part = [], [], []
         for item, text in items:
             points = _points([text or ""])[0][:-1]
-            if len(points) < max(min_chars, q):
+            if len(points) < max(min_chars, 1):
                 continue
-            at = 0
-            while True:
-                cut = points[at:at + segment] if len(points) > segment else points
+            cuts = [(at, segment) for at in _cuts(len(points), segment, segment // 2)]
+            if passage and len(points) > passage:
+                cuts += [(at, passage) for at in _cuts(len(points), passage, stride)]
+            for at, size in cuts:
                 self.items.append(item)
-                self.segments.append(cut)
-                if at + segment >= len(points):
-                    break
-                at = min(at + segment // 2, len(points) - segment)
+                self.segments.append(points[at:at + size])
+                part.append(size != segment)
+        self.part = np.array(part, dtype=bool)
         self.length = np.array([len(s) for s in self.segments], dtype=np.int64)
         # The lemma needs t >= 1; q is small enough for that at this rate.
         most = np.maximum((self.length + 1) // q - 2, 0)
         self.edits = np.minimum((self.length * rate).astype(np.int64), most)
-        self.needed = np.maximum(self.length + 1 - q * (self.edits + 1), 1)
-        found = [grams(s, q) for s in self.segments]
-        gram = np.concatenate([*found, np.zeros(0, np.uint64)])
-        seg = np.repeat(np.arange(len(found)), [len(f) for f in found]) if found else \
-            np.zeros(0, np.int64)
-        off = np.concatenate([*(np.arange(len(f)) for f in found), np.zeros(0, np.int64)])
-        order = np.argsort(gram, kind="stable")
-        self.seg, self.off = seg[order].astype(np.int64), off[order].astype(np.int64)
-        self.gram, first, self.count = np.unique(gram[order], return_index=True,
-                                                 return_counts=True)
-        self.first = first.astype(np.int64)
-        self.bits = np.zeros(1 << _FILTER_BITS, dtype=bool)
-        self.bits[self.gram >> np.uint64(64 - _FILTER_BITS)] = True
+        # The lemma needs t >= 1: a short segment may take a smaller q for it.
+        size = np.clip(self.length // (self.edits + 1), 1, q)
+        self.needed = np.maximum(self.length + 1 - size * (self.edits + 1), 1)
+        self.grams = [_Grams(int(n), np.flatnonzero(size == n), self.segments)
+                      for n in np.unique(size)]
 
     def bands(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(segment, band) pairs with enough hits; a band's first diagonal is
         band * (edits + 1) - longest segment, from the start of ``points``."""
-        hashed = grams(points, self.q)
-        at = np.flatnonzero(self.bits[(hashed >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        if not len(at) or not len(self.gram):
+        found = [self._bands_of(g, points) for g in self.grams]
+        return (np.concatenate([np.zeros(0, np.int64), *(f[0] for f in found)]),
+                np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)]))
+
+    def _bands_of(self, known: _Grams, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashed = grams(points, known.q)
+        at = np.flatnonzero(known.bits[(hashed >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        if not len(at):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        which = np.minimum(np.searchsorted(self.gram, hashed[at]), len(self.gram) - 1)
-        same = self.gram[which] == hashed[at]
+        which = np.minimum(np.searchsorted(known.gram, hashed[at]), len(known.gram) - 1)
+        same = known.gram[which] == hashed[at]
         at, which = at[same], which[same]
-        count = self.count[which]
+        count = known.count[which]
         total = int(count.sum())
         own = np.repeat(np.arange(len(at)), count)
         post = np.arange(total) - np.repeat(np.cumsum(count) - count, count) \
-            + self.first[which][own]
-        seg = self.seg[post]
-        diagonal = at[own] - self.off[post] + int(self.length.max())
+            + known.first[which][own]
+        seg = known.seg[post].astype(np.int64)
+        diagonal = at[own] - known.off[post] + int(self.length.max())
         band = diagonal // (self.edits[seg] + 1)
         span = np.int64(len(points) + 2 * int(self.length.max()) + 2)
         keys, hits = np.unique(seg * span + band, return_counts=True)
@@ -145,6 +174,8 @@ class Index:
                band: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, segment, edits, end in the text) of bands that match."""
         found = []
+        order = np.argsort(self.length[seg], kind="stable")  # like lengths together
+        seg, band = seg[order], band[order]
         for part in range(0, len(seg), 1024):
             found += self._align(points, starts, seg[part:part + 1024], band[part:part + 1024])
         return found
@@ -152,39 +183,44 @@ class Index:
     def _align(self, points, starts, seg, band) -> list[tuple[int, int, int, int]]:
         m, k = self.length[seg], self.edits[seg]
         rows, width = int(m.max()), int(4 * k.max() + 2)
+        # Costs stay under rows + width; a longer segment than usual takes wider numbers.
+        small = np.int16 if rows + width < 1 << 13 else np.int32
         low = band * (k + 1) - int(self.length.max()) - k  # first diagonal
         # A band lies in the text that holds the middle of its region; other
         # texts and the separators match no character.
         middle = np.clip(low + 2 * k + m // 2, 0, len(points) - 1)
         text = np.searchsorted(starts, middle, side="right") - 1
-        begin, end = starts[text][:, None], starts[text + 1][:, None] - 1
-        i = low[:, None] + np.arange(width + rows)[None, :]
+        begin, end = starts[text], starts[text + 1] - 1
+        # One column per band: each step runs over all of them at once.
+        i = np.arange(width + rows)[:, None] + low[None, :]
         region = np.where((i >= begin) & (i < end), points[np.clip(i, 0, len(points) - 1)],
                           np.uint32(0xFFFFFFFF))
-        pattern = np.full((len(seg), rows), 0xFFFFFFFE, dtype=np.uint32)
+        pattern = np.full((rows, len(seg)), 0xFFFFFFFE, dtype=np.uint32)
         for x, own in enumerate(seg):
-            pattern[x, :m[x]] = self.segments[own]
-        column = np.arange(width, dtype=np.int32)
-        far = np.int32(1 << 20)
-        cost = np.zeros((len(seg), width + 1), dtype=np.int32)
-        cost[:, width] = far
-        last = np.full((len(seg), width), far, dtype=np.int32)
+            pattern[:m[x], x] = self.segments[own]
+        column = np.arange(width, dtype=small)[:, None]
+        far = np.iinfo(small).max // 2
+        shifts = [1 << x for x in range((width - 1).bit_length())]
+        cost = np.zeros((width + 1, len(seg)), dtype=small)
+        cost[width] = far
+        last = np.full((width, len(seg)), far, dtype=small)
         for j in range(rows):
-            step = cost[:, :width] + (region[:, j:j + width] != pattern[:, j:j + 1])
-            np.minimum(step, cost[:, 1:] + 1, out=step)
+            step = cost[:width] + (region[j:j + width] != pattern[j])
+            np.minimum(step, cost[1:] + small(1), out=step)
             step -= column
-            np.minimum.accumulate(step, axis=1, out=step)
+            for ahead in shifts:  # the running minimum, in doubling steps
+                np.minimum(step[ahead:], step[:-ahead], out=step[ahead:])
             step += column
-            cost[:, :width] = step
+            cost[:width] = step
             done = m == j + 1
             if done.any():
-                last[done] = step[done]
-        i = low[:, None] + column[None, :] + m[:, None]
+                last[:, done] = step[:, done]
+        i = column + (low + m)[None, :]
         last = np.where((i > begin) & (i <= end), last, far)
-        best = last.argmin(axis=1)
-        edits = last[np.arange(len(seg)), best]
+        best = last.argmin(axis=0)
+        edits = last[best, np.arange(len(seg))]
         return [(int(text[x]), int(seg[x]), int(edits[x]),
-                 int(low[x] + best[x] + m[x] - begin[x, 0])) for x in np.flatnonzero(edits <= k)]
+                 int(low[x] + best[x] + m[x] - begin[x])) for x in np.flatnonzero(edits <= k)]
 
     def search(self, texts: list[str]) -> Iterator[list[tuple]]:
         """Per text: (item, edits, end), the best of each item, by position."""
@@ -192,10 +228,10 @@ class Index:
             points, starts = _points(texts[a:b])
             best: list[dict] = [{} for _ in range(b - a)]
             for text, seg, edits, end in self.verify(points, starts, *self.bands(points, starts)):
-                item = self.items[seg]
-                best[text][item] = min(best[text].get(item, (edits, end)), (edits, end))
+                item, own = self.items[seg], (bool(self.part[seg]), edits, end)
+                best[text][item] = min(best[text].get(item, own), own)
             for own in best:
-                yield sorted(((i, *x) for i, x in own.items()), key=lambda x: (x[2], x[1]))
+                yield sorted(((i, *x[1:]) for i, x in own.items()), key=lambda x: (x[2], x[1]))
 
 
 def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple]]:
@@ -211,7 +247,8 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple]]:
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text",
-                 block_chars: int = BLOCK_CHARS, **params) -> DataFrame:
+                 block_chars: int = BLOCK_CHARS, passage: int | None = PASSAGE,
+                 **params) -> DataFrame:
     """(row: the input row, matches: array of (item_id, edits, end))."""
     spark = docs.sparkSession
     ship(spark)
@@ -225,7 +262,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.lit(None).cast(schema["matches"].dataType).alias("matches"))
     for block in _blocks(benchmark, block_chars):
-        index = spark.sparkContext.broadcast(Index(block, **params))
+        index = spark.sparkContext.broadcast(Index(block, passage=passage, **params))
 
         def run(batches, index=index):
             for batch in batches:

@@ -167,6 +167,37 @@ def test_decontamination_finds_every_region_in_budget():
         assert [f[:2] for f in found] == ([(1, least)] if least <= budget else [])
 
 
+def edited(rng, text, edits):
+    chars = list(text)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(chars)), rng.random()
+        chars[at:at + 1] = [] if kind < .3 else [chars[at], "z"] if kind < .6 else ["y"]
+    return "".join(chars)
+
+
+def test_quotes_off_the_grid_are_found(spark):
+    """Every verbatim quote of PASSAGE + STRIDE - 1 characters, and passages
+    with edits, of texts below and above SEGMENT."""
+    rng = random.Random(9)
+    sure = D.PASSAGE + D.STRIDE - 1
+    made = {m: "".join(rng.choice("abcdefgh ") for _ in range(m)) for m in (85, 151, 176, 357, 394)}
+    rows = []
+    for m, text in made.items():
+        for at in {*range(0, m - sure + 1, 7), m - sure}:
+            rows.append((len(rows), m, text[at:at + sure]))
+        whole = text[:D.PASSAGE]
+        rows.append((len(rows), m, edited(rng, whole, D.PASSAGE // 10 - 1)))
+    rows += [(len(rows), 357, made[357][40:260]), (len(rows) + 1, 151, made[151][:113])]
+    noise = " ".join(f"filler{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"{noise} {t} {noise}") for i, _, t in rows],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame(list(made.items()), "item_id long, text string")
+    got = {r.doc_id: [x.item_id for x in r.matches] for r in
+           D.find_matches(docs, bench).select("row.doc_id", "matches").collect()}
+    assert got == {i: [m] for i, m, _ in rows}
+    assert D.decontaminate(docs, bench).count() == 0
+
+
 def test_decontamination_query(spark, rows):
     items = duckdb.sql(f"select item_id, text from '{SF}/benchmark.parquet'").fetchall()
     exact = {(d, i) for d, t, *_ in rows for i, b in items if D.normal(b) in D.normal(t or "")}
