@@ -126,9 +126,7 @@ class Index:
                 part.append(size != segment)
         self.part = np.array(part, dtype=bool)
         self.length = np.array([len(s) for s in self.segments], dtype=np.int64)
-        # The lemma needs t >= 1; q is small enough for that at this rate.
-        most = np.maximum((self.length + 1) // q - 2, 0)
-        self.edits = np.minimum((self.length * rate).astype(np.int64), most)
+        self.edits = np.array([int(n * rate) for n in self.length], dtype=np.int64)
         # The lemma needs t >= 1: a short segment may take a smaller q for it.
         size = np.clip(self.length // (self.edits + 1), 1, q)
         self.needed = np.maximum(self.length + 1 - size * (self.edits + 1), 1)

@@ -175,6 +175,19 @@ def edited(rng, text, edits):
     return "".join(chars)
 
 
+def test_short_items_have_their_whole_budget():
+    """floor(0.1 m) edits, as the docstring says, whatever the index does."""
+    rng = random.Random(8)
+    for m in [*range(24, 72), 89, 120, 199]:
+        base = "".join(rng.choice("abcdefgh ") for _ in range(m))
+        index, budget = D.Index([(1, base)]), m // 10
+        texts = ["qq " * 5 + edited(rng, base, n) + " qq" * 5
+                 for n in (0, *[budget] * 12, budget + 1, budget + 2)]
+        for text, found in zip(texts, index.search(texts)):
+            least = edits_to_region(base, text)
+            assert [f[:2] for f in found] == ([(1, least)] if least <= budget else []), m
+
+
 def test_quotes_off_the_grid_are_found(spark):
     """Every verbatim quote of PASSAGE + STRIDE - 1 characters, and passages
     with edits, of texts below and above SEGMENT."""
@@ -186,7 +199,7 @@ def test_quotes_off_the_grid_are_found(spark):
         for at in {*range(0, m - sure + 1, 7), m - sure}:
             rows.append((len(rows), m, text[at:at + sure]))
         whole = text[:D.PASSAGE]
-        rows.append((len(rows), m, edited(rng, whole, D.PASSAGE // 10 - 1)))
+        rows.append((len(rows), m, edited(rng, whole, D.PASSAGE // 10)))
     rows += [(len(rows), 357, made[357][40:260]), (len(rows) + 1, 151, made[151][:113])]
     noise = " ".join(f"filler{i}" for i in range(30))
     docs = spark.createDataFrame([(i, f"{noise} {t} {noise}") for i, _, t in rows],
