@@ -8,15 +8,24 @@ check itself (plus sign, Luhn digit, octet range), so trees learn what
 personal data looks like, not the base rules. A proposal that covers most of
 a base span of its kind, or most of which it covers, is a positive.
 
-The trees are fitted on a bounded sample of proposals (SAMPLE rows, chosen by
-a hash over all), calibrated on every fourth of them. A proposal whose
-calibrated probability reaches the kind's threshold (the least at which the
-calibration rows have PRECISION) becomes a span, best first, if it touches no
+What misses a base check only is unlabelled rather than wrong: if c is the
+share of true spans that pass their check, a group of proposals of which a
+share r is labelled holds r / c true spans. c is told per kind by the better
+half of its positives (less a standard error, at least MIN_CHECKED: what passes by chance, as one
+number in ten passes Luhn's check, is no evidence).
+
+Texts fall into two halves by hash. Each half has its trees, fitted on a
+bounded sample of it (SAMPLE rows in all, drawn per kind and label by a hash of
+row, text and place; copies count once); they score the other half, so no
+proposal is scored by trees that saw its text. Scores of all proposals are
+counted in BINS bins per kind and label, and a kind's threshold is the least
+bin from which on PRECISION of the proposals are true, one more error than seen
+assumed. Proposals above it become spans, the likeliest first, if they touch no
 base or chosen span. Base spans always stay.
 
-Defined results: a null text is empty and has no spans; with fewer than
-MIN_POSITIVES positive rows in the sample no span is added; repeated rows are
-scanned one by one; long texts are scanned whole in linear time.
+Defined results: a null text is empty and has no spans; a half without
+positives or without other proposals gives the other half no spans; repeated
+rows are scanned one by one; long texts are scanned whole in linear time.
 """
 
 from __future__ import annotations
@@ -28,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +56,8 @@ _DIGIT = re.compile(r"[0-9]")
 
 SAMPLE = 20_000
 PRECISION = 0.95
-MIN_POSITIVES = 50
+MIN_CHECKED = 0.5
+BINS = 256
 CONTEXT = 24
 
 _PROPOSALS = (
@@ -57,6 +68,8 @@ _PROPOSALS = (
     ("phone", re.compile(r"(?<![0-9])(?:[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ ./-]{0,2}[0-9]{2,4}"
                          r"(?:[ ./-]{0,2}[0-9]{2,5}){1,3}(?![0-9])")),
 )
+_AT = re.compile(r"[ ]?(?:@|\(at\)|\[at\]|\{at\})[ ]?")
+_DOT = re.compile(r"[ ]?(?:\.|\(dot\)|\[dot\]|\{dot\})[ ]?")
 _HINTS = (
     re.compile(r"(?i)mail|contact|write|address"),
     re.compile(r"(?i)\bip\b|host|server|login|addr"),
@@ -114,6 +127,8 @@ def _side(char: str) -> float:
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
     span = text[start:end]
+    if kind == 0:  # however spelled, so that the sign itself tells nothing
+        span = _DOT.sub(".", _AT.sub("@", span))
     groups = [len(g) for g in re.findall(r"[0-9]+", span)] or [0]
     before = text[max(0, start - CONTEXT):start].rstrip("+ ")
     after = text[end:end + CONTEXT]
@@ -168,45 +183,120 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asked.append([dict(zip(("kind", "start", "end", "features", "label"), p))
                           for p in proposals(text or "", own)])
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(base, span), pa.array(asked, proposal)],
-            names=["doc_id", "base", "asked"])
+            [batch["doc_id"], batch["text_key"], pa.array(base, span),
+             pa.array(asked, proposal)],
+            names=["doc_id", "text_key", "base", "asked"])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans and proposals of ``docs`` (doc_id, text), written
+    """doc_id, text hash, base spans and proposals of ``docs`` (doc_id, text), written
     to the shared folder (texts are read once)."""
     ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return written(docs.select("doc_id", "text").mapInArrow(
-        _scan, f"doc_id {id_type}, base array<{_SPAN}>, asked array<{_PROPOSAL}>"), "spans")
+    return written(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        _scan, f"doc_id {id_type}, text_key bigint, base array<{_SPAN}>, asked array<{_PROPOSAL}>"), "spans")
+
+
+def _sample(scanned: DataFrame, sample: int):
+    """About ``sample`` different proposals, as many of each (half, kind,
+    label), as a pandas frame."""
+    rows = scanned.select("doc_id", "text_key", F.explode("asked").alias("p")).select(
+        F.xxhash64("doc_id", "text_key", "p.kind", "p.start", "p.end").alias("key"),
+        F.col("text_key").bitwiseAND(1).alias("half"), "p.kind", "p.label", "p.features")
+    strata = rows.groupBy("half", "kind", "label").agg(
+        F.approx_count_distinct("key").alias("n")).collect()
+    each = sample / (4 * len(KINDS))
+    drawn = F.lit(False)
+    for r in strata:
+        # A fixed share of the 64-bit hash range; the bound holds on average.
+        limit = int(-(1 << 63) + min(1.0, each / max(1, r.n)) * ((1 << 64) - 1))
+        drawn |= (F.col("half") == r.half) & (F.col("kind") == r.kind) \
+            & (F.col("label") == r.label) & (F.col("key") <= F.lit(min(limit, (1 << 63) - 1)))
+    return rows.filter(drawn).groupBy("key").agg(
+        *(F.first(c).alias(c) for c in ("half", "kind", "label", "features"))) \
+        .toPandas().sort_values(["key", "kind", "label"], kind="stable")
+
+
+def _bins(trees: list[Trees | None], x: np.ndarray, half: np.ndarray) -> np.ndarray:
+    """Score bins by the other half's trees; -1 without trees."""
+    out = np.full(len(x), -1, dtype=np.int64)
+    for h in (0, 1):
+        own = half == h
+        if trees[1 - h] is not None and own.any():
+            out[own] = np.clip((trees[1 - h].score(x[own]) + 8) * (BINS / 16), 0, BINS - 1)
+    return out
+
+
+def _proposals_of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """kind, label, features, half of all proposals of a batch, and their
+    number per row."""
+    count = pc.list_value_length(batch["asked"]).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = batch["asked"].flatten()
+    kind, label = (pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(np.int64)
+                   for c in ("kind", "label"))
+    x = pc.struct_field(flat, "features").flatten().to_numpy(zero_copy_only=False)
+    half = batch["text_key"].to_numpy(zero_copy_only=False).astype(np.int64) & 1
+    x = x.astype(np.float64).reshape(len(kind), len(x) // max(1, len(kind)))
+    return kind, label, x, np.repeat(half, count), count
+
+
+def _counted(trees):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(len(KINDS) * 2 * BINS, dtype=np.int64)
+        for batch in batches:
+            kind, label, x, half, _ = _proposals_of(batch)
+            cell = _bins(trees.value, x, half)
+            on = cell >= 0
+            seen += np.bincount(((2 * kind + label) * BINS + cell)[on], minlength=len(seen))
+        cells = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(seen[cells])],
+                                         names=["cell", "n"])
+    return run
+
+
+def chances(positive: np.ndarray, every: np.ndarray, precision: float) -> np.ndarray:
+    """Of one kind, by bin: the chance that a proposal is true; -1 below the
+    threshold."""
+    out = np.full(len(every), -1.0)
+    p, n = positive[::-1].cumsum(), every[::-1].cumsum()  # best first
+    if not p[-1]:
+        return out
+    middle = np.searchsorted(p, p[-1] / 2)
+    share = p[middle] / n[middle]
+    checked = max(MIN_CHECKED, share - np.sqrt(share * (1 - share) / n[middle]))
+    pools: list[list] = []  # falling rates, by pooling neighbours
+    for own, total in zip(positive[::-1], every[::-1]):
+        pools.append([own, total, 1])
+        while len(pools) > 1 and pools[-1][0] * pools[-2][1] >= pools[-2][0] * pools[-1][1]:
+            last = pools.pop()
+            pools[-1] = [x + y for x, y in zip(pools[-1], last)]
+    rate = np.concatenate([np.full(bins, own / max(1, total)) for own, total, bins in pools])
+    good = np.flatnonzero((every[::-1] > 0) & (p / (n + 1) >= precision * checked)
+                          & (rate >= 0.5 * checked))
+    if len(good):
+        out[len(out) - 1 - good[-1]:] = np.minimum(rate[:good[-1] + 1] / checked, 1)[::-1]
+    return out
 
 
 def fit(scanned: DataFrame, sample: int = SAMPLE, precision: float = PRECISION
-        ) -> tuple[Trees, list[float]] | None:
-    """Trees and a threshold per kind from at most about ``sample`` proposals."""
-    rows = scanned.select(F.explode("asked").alias("p"), "doc_id").select(
-        F.xxhash64("doc_id", "p.kind", "p.start").alias("key"), "p.kind", "p.features", "p.label")
-    total = rows.count()
-    # A fixed share of the 64-bit hash range; the bound holds on average.
-    share = min(1.0, sample / max(1, total))
-    limit = int(-(1 << 63) + share * ((1 << 64) - 1))
-    data = rows.filter(F.col("key") <= F.lit(min(limit, (1 << 63) - 1))).toPandas()
-    if data["label"].sum() < MIN_POSITIVES or (data["label"] == 0).sum() == 0:
-        return None
-    data = data.sort_values(["key", "kind", "label"], kind="stable")
-    x = np.array(data["features"].tolist(), dtype=np.float64)
-    y, kind = data["label"].to_numpy(np.float64), data["kind"].to_numpy()
-    apart = np.arange(len(y)) % 4 == 0
-    model = Trees().fit(x[~apart], y[~apart]).calibrate(x[apart], y[apart])
-    p = model.probability(x[apart])
-    thresholds = []
-    for k in range(len(KINDS)):
-        own = kind[apart] == k
-        order = np.argsort(-p[own], kind="stable")
-        sure = np.cumsum(y[apart][own][order]) / np.arange(1, own.sum() + 1)
-        good = np.flatnonzero(sure >= precision)
-        thresholds.append(max(0.5, float(p[own][order][good[-1]])) if len(good) else 2.0)
-    return model, thresholds
+        ) -> tuple[list[Trees | None], np.ndarray]:
+    """Trees of both halves, and the chances by kind and bin over all
+    proposals."""
+    data = _sample(scanned, sample)
+    trees: list[Trees | None] = []
+    for h in (0, 1):
+        own = data[data["half"] == h]
+        y = own["label"].to_numpy(np.float64)
+        trees.append(Trees().fit(np.array(own["features"].tolist(), dtype=np.float64), y)
+                     if 0 < y.sum() < len(y) else None)
+    sent = scanned.sparkSession.sparkContext.broadcast(trees)
+    seen = np.zeros(len(KINDS) * 2 * BINS, dtype=np.int64)
+    for r in scanned.select("text_key", "asked").mapInArrow(
+            _counted(sent), "cell bigint, n bigint").groupBy("cell").agg(
+            F.sum("n").alias("n")).collect():
+        seen[r.cell] = r.n
+    seen = seen.reshape(len(KINDS), 2, BINS)
+    return trees, np.stack([chances(own[1], own.sum(axis=0), precision) for own in seen])
 
 
 def _text_of(spans: list[tuple[int, int, int]]) -> str:
@@ -214,9 +304,10 @@ def _text_of(spans: list[tuple[int, int, int]]) -> str:
                                                                                      s[2])))
 
 
-def select_spans(base: list[dict], asked: list[dict], chances: np.ndarray,
-                 thresholds: list[float]) -> list[tuple[int, int, int]]:
-    """Base spans and the accepted proposals, best first, that touch none."""
+def select_spans(base: list[dict], asked: list[dict], chance: np.ndarray
+                 ) -> list[tuple[int, int, int]]:
+    """Base spans and the accepted proposals (of a chance not below 0), best
+    first, that touch none."""
     taken = [(s["kind"], s["start"], s["end"]) for s in base]
     starts, ends = [], []  # of disjoint stretches in use
     for _, s, e in sorted(taken, key=lambda x: x[1]):
@@ -225,12 +316,12 @@ def select_spans(base: list[dict], asked: list[dict], chances: np.ndarray,
         else:
             starts.append(s)
             ends.append(e)
-    order = sorted(range(len(asked)), key=lambda i: (-chances[i], asked[i]["start"],
+    order = sorted(range(len(asked)), key=lambda i: (-chance[i], asked[i]["start"],
                                                      asked[i]["kind"]))
     for i in order:
         a = asked[i]
         at = bisect_right(ends, a["start"])
-        if chances[i] >= thresholds[a["kind"]] and (at == len(starts) or starts[at] >= a["end"]):
+        if chance[i] >= 0 and (at == len(starts) or starts[at] >= a["end"]):
             taken.append((a["kind"], a["start"], a["end"]))
             starts.insert(at, a["start"])
             ends.insert(at, a["end"])
@@ -239,13 +330,13 @@ def select_spans(base: list[dict], asked: list[dict], chances: np.ndarray,
 
 def _choose(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, thresholds = model.value or (None, [2.0] * len(KINDS))
+        trees, table = model.value
+        table = np.column_stack([table, np.full(len(KINDS), -1.0)])  # bin -1: no trees
         for batch in batches:
             base, asked = batch["base"].to_pylist(), batch["asked"].to_pylist()
-            cut = np.concatenate([[0], np.cumsum([len(a) for a in asked])]).astype(int)
-            every = [p["features"] for a in asked for p in a]
-            chance = trees.probability(np.array(every, dtype=np.float64)) \
-                if trees is not None and every else np.zeros(len(every))
+            kind, _, x, half, count = _proposals_of(batch)
+            cut = np.concatenate([[0], np.cumsum(count)])
+            chance = table[kind, _bins(trees, x, half)]
             counts = np.zeros((len(KINDS), len(base)), dtype=np.int64)
             sha, spans = [], []
             for i, (b, a) in enumerate(zip(base, asked)):
@@ -253,7 +344,7 @@ def _choose(model):
                     counts[s["kind"], i] += 1
                 own = [(s["kind"], s["start"], s["end"]) for s in b]
                 sha.append(hashlib.sha256(_text_of(own).encode()).hexdigest())
-                spans.append(_text_of(select_spans(b, a, chance[cut[i]:cut[i + 1]], thresholds)))
+                spans.append(_text_of(select_spans(b, a, chance[cut[i]:cut[i + 1]])))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], *(pa.array(c) for c in counts), pa.array(sha, pa.string()),
                  pa.array(spans, pa.string())],

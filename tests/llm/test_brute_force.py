@@ -369,6 +369,37 @@ def test_trees_add_numbers_without_a_plus(spark):
     assert pii.redact("call +1 22", "phone:5:10") == "call [PHONE]"
 
 
+@pytest.mark.parametrize("share", [0.05, 0.15, 0.3])
+def test_spans_that_miss_the_base_check_are_added(spark, share):
+    """Numbers without a plus and spelled-out addresses are no errors."""
+    rng, rows, bare = random.Random(11), [], set()
+    for i in range(1200):
+        missing = rng.random() < share
+        if missing:
+            bare.add(i)
+        if i % 2:
+            plus = "" if missing else "+"
+            rows.append((i, f"call me at {plus}1 ({rng.randint(200, 999)}) "
+                            f"555-{rng.randint(1000, 9999)} today"))
+        else:
+            at, dot = (" (at) ", " (dot) ") if missing else ("@", ".")
+            rows.append((i, f"mail user{rng.randint(0, 9999)}{at}host{rng.randint(0, 99)}{dot}com"))
+    rows += [(2000 + i, f"version 12 34 5{i} of 2020-01-{i % 28 + 1:02d} 77") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(frame).collect()}
+    found = [i for i in bare if got[i].startswith("phone:" if i % 2 else "email:")]
+    assert len(found) >= 0.9 * len(bare)
+    assert not any(got[2000 + i] for i in range(600))
+
+
+def test_passing_by_chance_is_no_evidence():
+    seen = np.zeros((2, 4), dtype=np.int64)
+    seen[:, 3] = 100, 1000  # a tenth passes the check
+    assert (pii.chances(*seen, 0.95) == -1).all()
+    seen[:, 3] = 700, 1000
+    assert pii.chances(*seen, 0.95).tolist() == [-1, -1, -1, 1]
+
+
 def test_lookup_table():
     names = sharding.names(7)
     slots = sharding.fill(names, 1009)
