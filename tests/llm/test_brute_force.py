@@ -392,6 +392,20 @@ def test_spans_that_miss_the_base_check_are_added(spark, share):
     assert not any(got[2000 + i] for i in range(600))
 
 
+def test_rare_kinds_beside_digit_tables(spark):
+    """Positives that a uniform sample of all proposals hardly meets; null ids."""
+    rng = random.Random(12)
+    rows = [(None, " | ".join(f"{rng.randint(100, 999)} {rng.randint(10, 99)} {rng.randint(10, 99)}"
+                              for _ in range(100))) for _ in range(400)]
+    rows += [(i, f"call me at +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} today")
+             for i in range(45)]
+    rows += [(99, "call me at 1 (333) 555-1234 today")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pii.find(frame).collect()
+    assert [r.spans.startswith("phone:") for r in got if r.doc_id == 99] == [True]
+    assert not any(r.spans for r in got if r.doc_id is None)
+
+
 def test_passing_by_chance_is_no_evidence():
     seen = np.zeros((2, 4), dtype=np.int64)
     seen[:, 3] = 100, 1000  # a tenth passes the check
