@@ -221,9 +221,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def overlaps(bags: list[bytes]) -> np.ndarray:
     """Weighted Jaccard indices of all pairs of a few packed multisets."""
-    own, keys = [], []
+    own, keys, often_held = [], [], []
     for i, bag in enumerate(bags):
         shingle, count = _unpack(bag)
+        if len(count) and count.max() > 1 << 16:  # a copy's number has 16 bits here
+            often_held.append(i)
+            shingle, count = shingle[:0], count[:0]
         copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         keys.append(np.repeat(shingle, count) | (copy.astype(np.uint64) << _U(48)))
         own.append(np.full(len(keys[-1]), i))
@@ -242,7 +245,10 @@ def overlaps(bags: list[bytes]) -> np.ndarray:
             has = np.zeros((len(bags), 4096), dtype=np.float32)
             has[own[a:b], column[a:b] - low] = 1
             both += has @ has.T
-    return both / np.maximum(size[:, None] + size[None, :] - both, 1)
+    out = both / np.maximum(size[:, None] + size[None, :] - both, 1)
+    for i in often_held:
+        out[i] = out[:, i] = [overlap(bags[i], bag) for bag in bags]
+    return out
 
 
 def _compare(threshold: float):

@@ -3,6 +3,7 @@ planted rows."""
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -121,6 +122,18 @@ def test_blocks_of_a_bucket(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_block_overlaps_of_very_often_repeated_shingles():
+    def packed(*counts):
+        shingle = np.array([s for s, _ in counts], "<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        return shingle.tobytes() + np.array([c for _, c in counts], "<u4").tobytes()
+
+    bags = [packed((5, 100_000), (6, 3)), packed((5, 99_000), (7, 9)), packed((6, 3), (7, 2)),
+            packed((5, 1 << 16), (6, 1))]
+    got = B.overlaps(bags)
+    for i, j in itertools.permutations(range(len(bags)), 2):
+        assert got[i, j] == pytest.approx(B.overlap(bags[i], bags[j]))
+
+
 def test_signatures_are_unbiased():
     rng, powers = np.random.default_rng(0), B.Powers()
     texts, real = [], []
