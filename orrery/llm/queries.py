@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, pii, quality,
-                        sharding, tokens, urls)
+from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, periods, pii,
+                        quality, sharding, tokens, urls)
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +285,77 @@ HAVING count(*) >= 0.8 * z.n_shingles
 ORACLES["op9_license_windows"] = _license_oracle()
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periods.detect(docs.select(
+        F.struct("doc_id").alias("row"),
+        periods.repeated_tail(F.col("text"), F.col("doc_id")).alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+#: CRC-32 of the decimal text of an integer column, bit by bit: a byte is
+#: exclusive-ored in, then eight steps (-1) follow.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split(CAST({0} AS VARCHAR), ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END),
+    4294967295)"""
+
+#: Every pair of equal five-word windows at a lag that may be a period;
+#: stretches of them are the runs (a run has at least five equal words a lag
+#: apart). A lag's stretch that a smaller lag has too is not the smallest period.
+ORACLES["op13_periodic_runs"] = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, {_CRC32.format("doc_id")} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), g AS (
+  SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d
+), planted AS (
+  SELECT doc_id, r, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n),
+    lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE w END AS w FROM g
+), places AS (
+  SELECT r, n, unnest(w) AS x, unnest(range(0, n)) AS i FROM planted
+), windows AS (
+  SELECT r, n, i, hash(x, lead(x, 1) OVER t, lead(x, 2) OVER t, lead(x, 3) OVER t,
+                       lead(x, 4) OVER t) AS k FROM places WINDOW t AS (PARTITION BY r ORDER BY i)
+  QUALIFY lead(x, 4) OVER t IS NOT NULL
+), pairs AS (
+  SELECT a.r, b.i - a.i AS q, a.i FROM windows a JOIN windows b
+  ON a.r = b.r AND a.k = b.k AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+), stretches AS (
+  SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS s FROM pairs)
+  GROUP BY r, q, s HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length
+), by_doc AS (
+  SELECT r, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t,
+    arg_max({{'start': start, 'length': length, 'period': period}},
+            (length::DOUBLE / period, -start, -period)) AS best
+  FROM runs GROUP BY r
+), gone AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM places ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start,
+       CAST(best.length AS BIGINT) AS length, CAST(best.period AS BIGINT) AS period,
+       CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(b.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM planted LEFT JOIN by_doc b USING (r) LEFT JOIN kept k USING (r)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
