@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, periods, pii,
-                        quality, sharding, tokens, urls)
+                        preference, quality, sharding, tokens, urls)
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -356,6 +356,16 @@ FROM planted LEFT JOIN by_doc b USING (r) LEFT JOIN kept k USING (r)
 """
 
 
+@query
+def op12_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = language.held_out(F.col("doc_id"))
+    model = preference.learn(docs.filter(~apart),
+                             table(spark, sf_dir, "labels").filter(~apart))
+    rows = docs.select(F.struct("doc_id", apart.alias("held_out")).alias("row"), "text")
+    return preference.rank(rows, model).select("row.*", "score", "predicted")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
