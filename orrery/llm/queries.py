@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, periods, pii,
-                        preference, quality, sharding, tokens, urls)
+from orrery.llm import (bagminhash, decontaminate, language, licenses, mixing, periods, phrases,
+                        pii, preference, quality, sharding, tokens, urls)
 from orrery.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -366,6 +366,53 @@ def op12_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.rank(rows, model).select("row.*", "score", "predicted")
 
 
+@query
+def op11_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+#: All contiguous phrases of up to three words, counted; every cut scored.
+ORACLES["op11_phrase_tries"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS t
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(t, '[^\\x20\\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+         lambda i: array_to_string(list_slice(w, i, i + m - 1), ' '))) AS phrase
+  FROM worded, range(1, {phrases.MAX_WORDS} + 1) AS lengths(m) WHERE len(w) >= m
+), counted AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase
+), totals AS (
+  SELECT lang, sum(f) AS n FROM counted WHERE m = 1 GROUP BY lang
+), often AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= {phrases.MIN_COUNT}
+), cuts AS (
+  SELECT lang, phrase, m, f AS a, w, unnest(range(1, m)) AS k FROM often WHERE m > 1
+), scores AS (
+  SELECT c.*, x.f AS l, y.f AS r,
+         1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, phrase, max(a) AS within FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+    FROM scores WHERE m = 3) GROUP BY lang, phrase
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang
+                                 ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank
+  FROM scores s LEFT JOIN inside i USING (lang, phrase)
+  WHERE within IS NULL OR 100 * within < {phrases.COVERED_PERCENT} * a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= {phrases.TOP}
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
