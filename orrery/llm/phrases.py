@@ -1,19 +1,22 @@
 """Collocations: phrases counted by double-array tries.
 
-*Candidates.* A phrase is frequent only if the phrases it holds are. Words are
-counted exactly. Pairs of frequent words are counted into BUCKETS buckets by
-hash, then triples whose two pairs lie in frequent buckets; bitmaps of the
-frequent words' and buckets' bits are broadcast (16 MB each at any corpus
-size). A bucket's sum bounds the counts of its phrases from above, so what is
-left out cannot be frequent. The phrases in frequent buckets, each once, are
-the candidates; they are written and dealt evenly to blocks of at most about
-BLOCK phrases.
-
-*Counting.* A block's candidates become a double-array trie over (language,
-word, word, word), which is broadcast. A task advances the states of all text
-positions of a step at once, a level at a time, counts the accepting states,
-and gives its shard's counts; Spark sums the shards. One pass over the texts a
-block.
+*Words.* One pass cuts the texts, counts the words of each language exactly
+and writes each text's words as 64-bit hashes of (language, word). All words
+of the corpus are then checked to have different hashes, else the pass is
+repeated with another salt: from here a hash is the word.
+
+*Candidates.* A phrase is frequent only if the phrases it holds are. Pairs of
+frequent words are counted into BUCKETS buckets by hash, then triples whose
+two pairs lie in frequent buckets; bitmaps of the frequent words' and buckets'
+bits are broadcast (8 MB each at any corpus size). A bucket's sum bounds the
+counts of its phrases from above, so what is left out cannot be frequent. The
+phrases in frequent buckets, each once, are the candidates; they are written
+and dealt evenly to blocks of about BLOCK phrases.
+
+*Counting.* A block's candidates become a double-array trie over words, which
+is broadcast. A task advances the states of all text positions of a step at
+once, a level at a time, counts the accepting states, and gives its shard's
+counts; Spark sums the shards. One pass over the hashes for each block.
 
 *Score.* The parts' counts are joined to each phrase. Products are decimals of
 38 digits, exact for counts below 10^16; a greater count fails.
@@ -27,7 +30,7 @@ and counts go by the phrase's bytes.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
@@ -43,16 +46,18 @@ MAX_WORDS = 3
 MIN_COUNT = 10
 TOP = 2000
 COVERED_PERCENT = 50
-BUCKETS = 1 << 27
-#: Phrases of a block: its trie takes up to about 100 bytes for each.
+BUCKETS = 1 << 26
+#: Phrases of a block: its trie and counts take up to about 100 bytes for each.
 BLOCK = 1_000_000
 #: Entries that a task holds before it passes its counts on.
 HELD = 1 << 20
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
-_BREAK = b"\n"
+_MASK = _U(BUCKETS - 1)
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
+#: Columns that name a phrase; 0 where it has no further word.
+PHRASE = [f"h{k}" for k in range(1, MAX_WORDS + 1)]
 
 
 def tokens(texts: list[str]) -> list[bytes]:
@@ -62,116 +67,137 @@ def tokens(texts: list[str]) -> list[bytes]:
     return [w for w in (joined + b"\n").replace(b"\n", b" \n ").split(b" ") if w]
 
 
-class Step:
-    """The words of one language's texts as numbers of their own, -1 at ends
-    of pieces."""
+# -- words ------------------------------------------------------------------
 
-    def __init__(self, lang: str, texts: list[str]) -> None:
-        number: defaultdict[bytes, int] = defaultdict(count().__next__)
-        found = tokens(texts)
-        at = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
-        end = number[_BREAK]
-        self.lang = lang
-        self.names = list(number)
-        self.at = np.where(at == end, -1, at)
+def word_hash(lang: str, word: bytes, salt: int) -> int:
+    """Never 0, which stands for the end of a piece."""
+    return xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang.encode(), salt)) or 1
 
-    def hashes(self) -> np.ndarray:
-        """A hash of (language, word) for each number."""
-        seed = xxhash.xxh64_intdigest(self.lang.encode())
-        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.names), _U,
-                           len(self.names))
 
+class _Words:
+    """A task's words of one language: a number, hash and count for each."""
 
-def _steps(batch: pa.RecordBatch) -> Iterator[Step]:
-    texts = [t or "" for t in batch["text"].to_pylist()]
-    langs = batch["lang"].to_pylist()
-    for a, b in chunks(texts):
-        own = defaultdict(list)
-        for lang, text in zip(langs[a:b], texts[a:b]):
-            own[UNKNOWN if lang is None else lang].append(text)
-        for lang, some in own.items():
-            yield Step(lang, some)
+    def __init__(self) -> None:
+        self.number: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.number[b"\n"]
+        self.hash = np.zeros(1, dtype=_U)
+        self.n = np.zeros(1, dtype=np.int64)
 
+    def add(self, texts: list[str], lang: str, salt: int) -> np.ndarray:
+        """Count the words; their hashes in order, 0 between pieces."""
+        found = tokens(texts)
+        at = np.fromiter(map(self.number.__getitem__, found), np.int64, len(found))
+        if len(self.number) > len(self.hash):
+            names = list(self.number)[len(self.hash):]
+            self.hash = np.concatenate([self.hash, np.fromiter(
+                (word_hash(lang, w, salt) for w in names), _U, len(names))])
+        n = np.bincount(at, minlength=len(self.hash))
+        n[:len(self.n)] += self.n
+        self.n = n
+        return self.hash[at]
+
+
+_ENCODED = ("lang string, word string, h bigint, n bigint, words array<bigint>")
+
+
+def _encode(salt: int):
+    def counted(held: dict[str, _Words]) -> Iterator[pa.RecordBatch]:
+        for lang, own in held.items():
+            names = list(own.number)[1:]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(names), pa.string()),
+                pa.array(names, pa.binary()).cast(pa.string()),
+                pa.array(own.hash[1:].view(np.int64)), pa.array(own.n[1:]),
+                pa.nulls(len(names), pa.list_(pa.int64()))],
+                names=["lang", "word", "h", "n", "words"])
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (mix(h) % _U(BUCKETS)).astype(np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: defaultdict[str, _Words] = defaultdict(_Words)
+        for batch in batches:
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            langs = [UNKNOWN if x is None else x for x in batch["lang"].to_pylist()]
+            for a, b in chunks(texts):
+                own = defaultdict(list)
+                for lang, text in zip(langs[a:b], texts[a:b]):
+                    own[lang].append(text)
+                for lang, some in own.items():
+                    h = held[lang].add(some, lang, salt).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.nulls(1, pa.string()), pa.nulls(1, pa.string()),
+                        pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()),
+                                                 pa.array(h))],
+                        names=["lang", "word", "h", "n", "words"])
+            if sum(len(x.number) for x in held.values()) > HELD:
+                yield from counted(held)
+                held.clear()
+        yield from counted(held)
+    return run
 
 
-# -- words ------------------------------------------------------------------
+def encode(docs: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """(words, steps): lang, word, h and n of every word, and the written
+    hashes of the texts, many texts of a language to a row."""
+    spark = docs.sparkSession
+    salt = 0
+    while True:
+        path = f"{root}/encoded-{salt}"
+        docs.select("lang", "text").mapInArrow(_encode(salt), _ENCODED) \
+            .write.option("compression", "zstd").parquet(path)
+        both = spark.read.schema(_ENCODED).parquet(path)
+        words = written(both.filter("word is not null").groupBy("lang", "word", "h")
+                        .agg(F.sum("n").alias("n")), "words", f"{root}/words-{salt}")
+        if words.groupBy("h").count().filter("count > 1").isEmpty():
+            return words, both.filter("words is not null").select("words")
+        salt += 1
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: defaultdict[tuple[str, bytes], int] = defaultdict(int)
-
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()),
-             pa.array([k[1] for k in held], pa.binary()).cast(pa.string()),
-             pa.array(list(held.values()), pa.int64())], names=["lang", "phrase", "n"])
-
-    for batch in batches:
-        for step in _steps(batch):
-            n = np.bincount(step.at[step.at >= 0], minlength=len(step.names)).tolist()
-            for word, k in zip(step.names, n):
-                if k:
-                    held[step.lang, word] += k
-        if len(held) > HELD:
-            yield rows()
-            held.clear()
-    yield rows()
 
+def _sequences(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for row in batch["words"]:
+        yield row.values.to_numpy(zero_copy_only=False).view(_U)
 
-def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        h = np.fromiter((xxhash.xxh64_intdigest(w, xxhash.xxh64_intdigest(lang.encode()))
-                         for lang, w in zip(batch["lang"].to_pylist(),
-                                            batch["phrase"].to_pylist())), _U, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([pa.array(_bucket(h))], names=["bucket"])
 
+# -- candidates -------------------------------------------------------------
 
 def bitmap(buckets: DataFrame) -> np.ndarray:
-    """The numbers below BUCKETS in ``buckets`` as bits: at most 16 MB."""
-    place = F.col("bucket") + 1  # these functions count from one
-    rows = buckets.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(
+    """The numbers ``bucket`` below BUCKETS as bits."""
+    place = F.col("bucket").cast("long") + 1  # these functions count from one
+    rows = buckets.groupBy("k").agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).toArrow()
-    out = np.zeros(BUCKETS // 8 + 4096, dtype=np.uint8)
+    out = np.zeros(BUCKETS // 8, dtype=np.uint8)
     for k, bits in zip(rows["k"].to_pylist(), rows["bits"].to_pylist()):
-        at = (k - 1) * 4096
-        out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
+        out[k * 4096:k * 4096 + len(bits)] = np.frombuffer(bits, np.uint8)
     return out
 
 
-def _has(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    return (bits[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
+def _by_bitmap(bucket: Column) -> list[Column]:
+    """A bucket and the number of the bitmap piece that holds it."""
+    return [bucket.alias("bucket"), F.shiftright(bucket, 15).cast("int").alias("k")]
 
 
-# -- candidates -------------------------------------------------------------
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bucket = h & _MASK
+    return (bits[bucket >> _U(3)] >> (bucket & _U(7)).astype(np.uint8)) & 1 == 1
+
 
 class Grams:
-    """Places of a step where a phrase of each length may be frequent.
-
-    ``maps`` are the bitmaps so far: words, pairs, triples. ``hits[m]`` are
-    the places where all phrases of up to m + 1 words pass, and ``bucket[m]``
-    the bucket of the phrase of m + 1 words at each place."""
-
-    def __init__(self, step: Step, maps: list[np.ndarray]) -> None:
-        own = step.hashes()
-        h = np.where(step.at < 0, _U(0), own[step.at])
-        word = _has(maps[0], _bucket(own))[step.at] & (step.at >= 0)
-        self.hits = [word]
-        self.bucket: list[np.ndarray] = []
-        phrase = h
+    """Places of a step where a phrase may be frequent. ``maps`` are the
+    bitmaps so far: words, pairs, triples. ``hits[m]`` marks the places whose
+    phrase of m + 1 words passes, ``safe`` those whose next longer phrase holds
+    only such, and ``hash`` is that phrase's hash."""
+
+    def __init__(self, h: np.ndarray, maps: list[np.ndarray]) -> None:
+        self.hits = [_has(maps[0], h) & (h != 0)]
+        self.hash = h
         for m in range(1, MAX_WORDS):
-            # Safe where both shorter phrases are; what lies beyond the end is not.
-            safe = np.zeros(len(word), dtype=bool)
-            safe[:-1] = self.hits[-1][:-1] & self.hits[-1][1:]
+            self.safe = np.zeros(len(h), dtype=bool)
+            self.safe[:-1] = self.hits[-1][:-1] & self.hits[-1][1:]
             tail = np.zeros(len(h), dtype=_U)
             tail[:-m] = h[m:]
-            phrase = mix(phrase * _GOLD + tail)
-            bucket = _bucket(phrase)
-            self.safe, self.last = safe, bucket
+            self.hash = mix(self.hash * _GOLD + tail)
             if m >= len(maps):
                 break
-            self.hits.append(safe & _has(maps[m], bucket))
+            self.hits.append(self.safe & _has(maps[m], self.hash))
 
 
 def _count_buckets(shared):
@@ -190,9 +216,9 @@ def _count_buckets(shared):
                 [pa.array(bucket.astype(np.int32)), pa.array(n)], names=["bucket", "n"])
 
         for batch in batches:
-            for step in _steps(batch):
-                grams = Grams(step, shared.value)
-                got = np.unique(grams.last[grams.safe], return_counts=True)
+            for h in _sequences(batch):
+                grams = Grams(h, shared.value)
+                got = np.unique(grams.hash[grams.safe] & _MASK, return_counts=True)
                 held.append(got)
                 size += len(got[0])
                 if size > 2 * HELD:
@@ -207,267 +233,255 @@ def _count_buckets(shared):
 
 
 def _candidates(shared):
+    """The different phrases of each step, exactly: numbered by what they
+    begin with and their last word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: set[tuple[str, bytes]] = set()
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in held], pa.string()),
-                 pa.array([k[1] for k in held], pa.binary()).cast(pa.string())],
-                names=["lang", "phrase"])
-
         for batch in batches:
-            for step in _steps(batch):
-                hits = Grams(step, shared.value).hits
-                code, values = step.at, len(step.names) + 1
-                example = np.arange(len(code))
+            for h in _sequences(batch):
+                hits = Grams(h, shared.value).hits
+                names, word = np.unique(h, return_inverse=True)
+                code = word
                 for m in range(1, MAX_WORDS):
-                    # Numbers of the step's different phrases, exactly.
                     place = np.flatnonzero(hits[m])
                     if not len(place):
                         break
-                    _, first, own = np.unique(code[place] * values + step.at[place + m],
+                    _, first, own = np.unique(code[place] * len(names) + word[place + m],
                                               return_index=True, return_inverse=True)
-                    example = place[first]
-                    code = np.full(len(step.at), -1)
+                    code = np.zeros(len(h), dtype=np.int64)
                     code[place] = own
-                    held.update((step.lang, b" ".join(
-                        step.names[i] for i in step.at[p:p + m + 1].tolist()))
-                        for p in example.tolist())
-            if len(held) > HELD // 2:
-                yield rows()
-                held.clear()
-        yield rows()
+                    at = place[first]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((h[at + k] if k <= m else np.zeros(len(at), _U))
+                                  .view(np.int64)) for k in range(MAX_WORDS)], names=PHRASE)
     return run
 
 
 # -- trie -------------------------------------------------------------------
 
 class Trie:
-    """A double array: the child of state s by symbol c is base[s] + c if
-    check there is s. Symbols are numbers of ``symbols`` (a language stands as
-    a symbol before its phrases); the root is state 0."""
-
-    def __init__(self, phrases: list[tuple[str, bytes]]) -> None:
-        rows = [(("\n" + lang).encode(), *phrase.split(b" ")) for lang, phrase in phrases]
-        often: defaultdict[bytes, int] = defaultdict(int)
-        for row in rows:
-            for name in row:
-                often[name] += 1
-        # Frequent symbols get small numbers: children lie close together.
-        self.symbols = sorted(often, key=lambda s: (-often[s], s))
-        number = {s: i + 1 for i, s in enumerate(self.symbols)}
-        paths = np.zeros((len(rows), MAX_WORDS + 1), dtype=np.int64)
-        for i, row in enumerate(rows):
-            paths[i, :len(row)] = [number[s] for s in row]
-        self._build(paths)
+    """A double array over phrases (rows of word hashes, 0 after the last
+    word): the child of state s by symbol c is base[s] + c if check there is
+    s. A symbol is a word's number, 0 is none; the root is state 0."""
+
+    def __init__(self, phrases: np.ndarray) -> None:
+        words, index, often = np.unique(phrases, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers: children lie close together.
+        order = np.argsort(-often, kind="stable")
+        order = order[words[order] != 0]
+        number = np.zeros(len(words), dtype=np.int64)
+        number[order] = np.arange(1, len(order) + 1)
+        self.names = np.concatenate([np.zeros(1, _U), words[order]])
+        self.words, self.number = words, number
+        self._build(number[index.reshape(phrases.shape)])
 
     def _build(self, paths: np.ndarray) -> None:
-        # Nodes level by level: (parent's node, symbol), node 0 is the root.
+        # Nodes level by level, each with its parent node and symbol.
+        span = len(self.names)
         node = np.zeros(len(paths), dtype=np.int64)
-        accepts = np.zeros(1, dtype=bool)
-        parent, symbol, total = [np.full(1, -1)], [np.zeros(1, np.int64)], 1
+        parents, symbols, total = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 1
         for level in range(paths.shape[1]):
             here = paths[:, level] > 0
-            pair, own = np.unique(np.stack([node[here], paths[here, level]]), axis=1,
-                                  return_inverse=True)
-            parent.append(pair[0])
-            symbol.append(pair[1])
-            node[here] = own.ravel() + total
-            total += pair.shape[1]
-        parent, symbol = np.concatenate(parent), np.concatenate(symbol)
-        accepts = np.zeros(total, dtype=bool)
-        accepts[node] = len(paths) > 0
+            code, own = np.unique(node[here] * span + paths[here, level], return_inverse=True)
+            parents.append(code // span)
+            symbols.append(code % span)
+            node[here] = own + total
+            total += len(code)
+        parent, symbol = np.concatenate(parents), np.concatenate(symbols)
         children = np.bincount(parent[1:], minlength=total)
-        start = np.cumsum(children) - children  # children follow their parent's order
+        start = np.cumsum(children) - children
         kids = np.argsort(parent[1:], kind="stable") + 1
-        span = len(self.symbols) + 1
         used = np.zeros(4 * total + 2 * span, dtype=bool)
         used[0] = True
         base = np.zeros(total, dtype=np.int64)
         rng = np.random.default_rng(total)
-        # Wide nodes first, while the table is empty; equal ones in turns of
-        # random places, the first to claim a slot keeps it.
+        # Wide nodes first, while the table is empty; of equal ones many at a
+        # time try random places, and the first to claim a slot keeps it.
         for width in np.unique(children[children > 0])[::-1].tolist():
             open_ = np.flatnonzero(children == width)
             while len(open_):
                 turn = open_[:max(1, len(used) // (16 * width))]
-                slot = symbol[kids[start[turn][:, None] + np.arange(width)]]
-                try_ = rng.integers(1, len(used) - span, len(turn))
-                slot = slot + try_[:, None]
+                place = rng.integers(1, len(used) - span, len(turn))
+                slot = symbol[kids[start[turn][:, None] + np.arange(width)]] + place[:, None]
                 free = np.flatnonzero(~used[slot].any(axis=1))
                 flat = slot[free].ravel()
                 first = np.zeros(len(flat), dtype=bool)
                 first[np.unique(flat, return_index=True)[1]] = True
                 won = free[first.reshape(-1, width).all(axis=1)]
                 used[slot[won]] = True
-                base[turn[won]] = try_[won]
+                base[turn[won]] = place[won]
                 left = np.ones(len(open_), dtype=bool)
                 left[won] = False
                 open_ = open_[left]
                 if 8 * len(won) < len(turn):  # crowded: more room
                     used = np.concatenate([used, np.zeros(len(used) // 2, dtype=bool)])
-        state = np.zeros(total, dtype=np.int64)
-        state[1:] = base[parent[1:]] + symbol[1:]
+        state = base[parent] + symbol
+        state[0] = 0
         self.base = np.zeros(len(used), dtype=np.int32)
-        self.base[state] = np.where(children > 0, base, 0)
+        self.base[state] = base
         self.check = np.full(len(used), -1, dtype=np.int32)
         self.check[state[1:]] = state[parent[1:]]
         self.accepts = np.zeros(len(used), dtype=bool)
-        self.accepts[state] = accepts
+        self.accepts[state[node]] = True
+
+    def symbols(self, h: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[at] == h, self.number[at], 0)
 
     def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """The next states; -1 where there is none. Symbol 0 has none."""
+        """The next states; -1 where there is none."""
         to = self.base[state] + symbol
         return np.where((state >= 0) & (symbol > 0) & (self.check[to] == state), to, -1)
 
-    def numbers(self) -> dict[bytes, int]:
-        return {s: i + 1 for i, s in enumerate(self.symbols)}
-
-    def phrase(self, state: int) -> tuple[str, bytes]:
-        names = []
-        while state:
-            above = int(self.check[state])
-            names.append(self.symbols[state - int(self.base[above]) - 1])
-            state = above
-        return names[-1][1:].decode(), b" ".join(names[-2::-1])
-
+    def phrases(self, state: np.ndarray) -> np.ndarray:
+        """The word hashes that lead to each state, a row for each."""
+        out = np.zeros((len(state), MAX_WORDS), dtype=_U)
+        while (state > 0).any():
+            deep = state > 0
+            above = self.check[state[deep]]
+            out[deep] = np.column_stack([self.names[state[deep] - self.base[above]],
+                                         out[deep][:, :-1]])
+            state = state.copy()
+            state[deep] = above
+        return out
 
-_NUMBERS: dict[str, dict[bytes, int]] = {}
 
-
-def _count_phrases(shared, key: str):
+def _count_phrases(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie: Trie = shared.value
-        if key not in _NUMBERS:  # of the block at work only
-            _NUMBERS.clear()
-            _NUMBERS[key] = trie.numbers()
-        number = _NUMBERS[key]
         total = np.zeros(len(trie.check), dtype=np.int64)
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for step in _steps(batch):
-                symbol = np.array([number.get(w, 0) for w in step.names] + [0])[step.at]
-                symbol = np.append(symbol, np.zeros(MAX_WORDS, dtype=np.int64))
-                n = len(step.at)
-                root = trie.step(np.zeros(1, np.int64), np.array(
-                    [number.get(("\n" + step.lang).encode(), 0)]))
-                state = np.repeat(root, n)
+            for h in _sequences(batch):
+                n = len(h)
+                symbol = np.append(trie.symbols(h), np.zeros(MAX_WORDS, dtype=np.int64))
+                state = np.zeros(n, dtype=np.int64)
                 for level in range(MAX_WORDS):
                     state = trie.step(state, symbol[level:level + n])
-                    accepted = state[state >= 0]
-                    accepted = accepted[trie.accepts[accepted]]
-                    held.append(accepted)
-                    size += len(accepted)
+                    there = state[state >= 0]
+                    held.append(there[trie.accepts[there]])
+                    size += len(held[-1])
                 if size > max(HELD, len(total) // 2):
                     total += np.bincount(np.concatenate(held), minlength=len(total))
                     held, size = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=len(total))
         seen = np.flatnonzero(total)
-        for a in range(0, len(seen), 1 << 16):
-            part = seen[a:a + (1 << 16)]
-            names = [trie.phrase(s) for s in part.tolist()]
+        for a in range(0, len(seen), 1 << 18):
+            part = seen[a:a + (1 << 18)]
+            names = trie.phrases(part).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in names], pa.string()),
-                 pa.array([x for _, x in names], pa.binary()).cast(pa.string()),
-                 pa.array(total[part])], names=["lang", "phrase", "n"])
+                [pa.array(names[:, k]) for k in range(MAX_WORDS)] + [pa.array(total[part])],
+                names=[*PHRASE, "n"])
     return run
 
 
-def counts(docs: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) -> DataFrame:
-    """(lang, phrase, n_words, n) of ``docs`` (lang, text): exact counts of all
-    words, and of all longer phrases with at least ``min_count``."""
+def counts(docs: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK
+           ) -> tuple[DataFrame, DataFrame]:
+    """(words, phrases) of ``docs`` (lang, text): lang, word, h and n of all
+    words, and h1, h2, ... and n of all phrases of at least ``min_count``
+    occurrences, words too. Counts are exact."""
     spark = docs.sparkSession
     ship(spark)
     sc = spark.sparkContext
-    docs = docs.select("lang", "text")
-    schema = "lang string, phrase string, n bigint"
     root = scratch(spark, "phrases")
-    words = written(docs.mapInArrow(_count_words, schema).groupBy("lang", "phrase")
-                    .agg(F.sum("n").alias("n")), "words", f"{root}/words")
-    maps = [bitmap(words.filter(F.col("n") >= min_count).mapInArrow(_word_bits, "bucket bigint"))]
+    words, steps = encode(docs, root)
+    often = words.filter(F.col("n") >= min_count)
+    maps = [bitmap(often.select(*_by_bitmap(F.col("h").bitwiseAND(BUCKETS - 1))))]
     for _ in range(1, MAX_WORDS):
         shared = sc.broadcast(maps)
-        sums = docs.mapInArrow(_count_buckets(shared), "bucket int, n bigint") \
-            .groupBy("bucket").agg(F.sum("n").alias("n"))
-        maps = maps + [bitmap(sums.filter(F.col("n") >= min_count)
-                              .select(F.col("bucket").cast("long").alias("bucket")))]
+        # Dealt by pieces of the bitmap, so that its bits need no further shuffle.
+        sums = steps.mapInArrow(_count_buckets(shared), "bucket int, n bigint") \
+            .select(*_by_bitmap(F.col("bucket")), "n").repartition("k") \
+            .groupBy("k", "bucket").agg(F.sum("n").alias("n"))
+        maps = maps + [bitmap(sums.filter(F.col("n") >= min_count))]
         shared.unpersist()
     shared = sc.broadcast(maps)
-    candidates = written(docs.mapInArrow(_candidates(shared), "lang string, phrase string")
-                         .distinct(), "candidates", f"{root}/candidates")
+    schema = ", ".join(f"{c} bigint" for c in PHRASE)
+    candidates = written(steps.mapInArrow(_candidates(shared), schema).distinct(),
+                         "candidates", f"{root}/candidates")
     shared.unpersist()
     blocks = max(1, -(-candidates.count() // block))
-    parts = [words.withColumn("n_words", F.lit(1))]
+    out = often.select(F.col("h").alias("h1"), *[F.lit(0).cast("long").alias(c)
+                                                 for c in PHRASE[1:]], "n")
     for k in range(blocks):
-        own = candidates.filter(F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)) == k).toArrow()
+        own = candidates.filter(F.pmod(F.xxhash64(*PHRASE), F.lit(blocks)) == k).toArrow()
         if not len(own):
             continue
-        shared = sc.broadcast(Trie(list(zip(
-            own["lang"].to_pylist(), own["phrase"].cast(pa.binary()).to_pylist()))))
-        counted = docs.mapInArrow(_count_phrases(shared, f"{root}/{k}"), schema) \
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")) \
-            .filter(F.col("n") >= min_count) \
-            .withColumn("n_words", F.size(F.split("phrase", " ")))
-        parts.append(written(counted, "counts", f"{root}/block-{k}"))
+        shared = sc.broadcast(Trie(np.column_stack(
+            [own[c].to_numpy().view(_U) for c in PHRASE])))
+        counted = steps.mapInArrow(_count_phrases(shared), f"{schema}, n bigint") \
+            .groupBy(*PHRASE).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+        out = out.unionByName(written(counted, "counts", f"{root}/block-{k}"))
         shared.unpersist()
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return words, out
 
 
 # -- scores -----------------------------------------------------------------
 
-def _cuts(words: Column) -> Column:
-    """The two parts of a phrase at each cut."""
-    return F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda k: F.struct(
-        k.alias("k"), F.array_join(F.slice(words, F.lit(1), k), " ").alias("left"),
-        F.array_join(F.slice(words, k + 1, F.size(words) - k), " ").alias("right")))
-
-
-def scored(counted: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """(lang, phrase, n_words, a, l, r, score) of all phrases of two words or
-    more in ``counted`` (of ``counts``): the cut of least score, then least k."""
-    frequent = counted.filter(F.col("n") >= min_count)
-    cut = frequent.filter("n_words > 1").select(
-        "lang", "phrase", "n_words", F.col("n").alias("a"),
-        F.inline(_cuts(F.split("phrase", " "))))
-    part = frequent.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), "n")
+def _slice(first: int, length: int) -> Column:
+    """The phrase's words from number ``first`` on, as a phrase."""
+    return F.struct(*[(F.col(PHRASE[first + k]) if k < length else F.lit(0).cast("long"))
+                      .alias(PHRASE[k]) for k in range(MAX_WORDS)])
+
+
+def scored(phrases: DataFrame) -> DataFrame:
+    """(h1, h2, ..., n_words, a, l, r, score) of the phrases of two words or
+    more in ``phrases`` (of ``counts``): the cut of least score, then least k."""
+    every = phrases.select(*PHRASE, F.col("n").alias("a"),
+                           sum((F.col(c) != 0).cast("int") for c in PHRASE).alias("n_words"))
+    cuts = []
+    for n in range(2, MAX_WORDS + 1):
+        cuts.append(F.when(F.col("n_words") == n, F.array(*[
+            F.struct(F.lit(k).alias("k"), _slice(0, k).alias("left"),
+                     _slice(k, n - k).alias("right")) for k in range(1, n)])))
+    cut = every.filter("n_words > 1").select(*PHRASE, "n_words", "a",
+                                             F.inline(F.coalesce(*cuts)))
+    part = phrases.select(F.struct(*PHRASE).alias("part"), "n")
     for side, name in (("left", "l"), ("right", "r")):
-        cut = cut.join(part.withColumnRenamed("n", name), (F.col("lang") == F.col("_lang"))
-                       & (F.col(side) == F.col("_part"))).drop("_lang", "_part", side)
+        cut = cut.join(part.withColumnRenamed("n", name), F.col(side) == F.col("part")) \
+            .drop("part", side)
     a, l, r = (F.col(c).cast("decimal(16,0)") for c in "alr")
     score = F.call_function("div", F.lit(1000000).cast("decimal(7,0)") * (a * a), l * r)
     least = F.min(F.struct(score.alias("score"), "k", "l", "r"))
-    return cut.groupBy("lang", "phrase", "n_words", "a").agg(least.alias("cut")) \
-        .select("lang", "phrase", "n_words", "a", "cut.l", "cut.r", "cut.score")
+    return cut.groupBy(*PHRASE, "n_words", "a").agg(least.alias("cut")) \
+        .select(*PHRASE, "n_words", "a", "cut.l", "cut.r", "cut.score")
 
 
-def _inner(words: Column) -> Column:
-    """Every shorter phrase of at least two words within a phrase."""
-    n = F.size(words)
-    return F.flatten(F.transform(F.sequence(F.lit(2), n - 1), lambda m: F.transform(
-        F.sequence(F.lit(1), n - m + 1), lambda i: F.array_join(F.slice(words, i, m), " "))))
+def uncovered(every: DataFrame, percent: int) -> DataFrame:
+    """``every`` (of ``scored``) without the phrases of which one longer
+    phrase holds ``percent`` of the occurrences or more."""
+    inner = [F.when(F.col("n_words") == n, F.array(*[
+        _slice(i, m) for m in range(2, n) for i in range(n - m + 1)]))
+        for n in range(3, MAX_WORDS + 1)]
+    within = every.filter("n_words > 2").select("a", F.explode(F.coalesce(*inner)).alias("part")) \
+        .groupBy("part").agg(F.max("a").alias("within"))
+    return every.join(within, F.struct(*PHRASE) == F.col("part"), "left").filter(
+        F.col("within").isNull() | (F.lit(100) * F.col("within") < percent * F.col("a"))) \
+        .drop("part", "within")
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP,
                  covered_percent: int = COVERED_PERCENT, block: int = BLOCK) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each
-    language of ``docs`` (lang, text) by score, count and phrase. A phrase that
-    stands in ``covered_percent`` of its occurrences or more within one longer
-    frequent phrase is left out."""
-    counted = counts(docs, min_count, block)
-    n = counted.filter("n_words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    every = scored(counted, min_count)
-    longest = every.filter("n_words > 2").select(
-        "lang", "a", F.explode(_inner(F.split("phrase", " "))).alias("phrase")) \
-        .groupBy("lang", "phrase").agg(F.max("a").alias("within"))
-    left = every.join(longest, ["lang", "phrase"], "left").filter(
-        F.col("within").isNull() | (F.lit(100) * F.col("within") < covered_percent * F.col("a")))
-    place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return left.withColumn("rank", F.row_number().over(place).cast("long")) \
+    language of ``docs`` (lang, text) by score, count and phrase, without those
+    that ``covered_percent`` of one longer frequent phrase covers."""
+    words, phrases = counts(docs, min_count, block)
+    n = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    left = uncovered(scored(phrases), covered_percent)
+    names = words.select(F.col("h").alias("_h"), "lang", "word")
+    left = left.join(names, F.col("h1") == F.col("_h")).drop("_h") \
+        .withColumnRenamed("word", "word1")
+    # Ties with the last place stay until the phrases' bytes are there.
+    order = [F.desc("score"), F.desc("a")]
+    left = left.withColumn("rank", F.rank().over(Window.partitionBy("lang").orderBy(*order))) \
+        .filter(F.col("rank") <= top)
+    for k, c in enumerate(PHRASE[1:], 2):
+        left = left.join(names.drop("lang"), F.col(c) == F.col("_h"), "left").drop("_h") \
+            .withColumnRenamed("word", f"word{k}")
+    phrase = F.concat_ws(" ", *[f"word{k + 1}" for k in range(MAX_WORDS)])
+    place = Window.partitionBy("lang").orderBy(*order, "phrase")
+    return left.withColumn("phrase", phrase) \
+        .withColumn("rank", F.row_number().over(place).cast("long")) \
         .filter(F.col("rank") <= top).join(n, "lang") \
         .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
