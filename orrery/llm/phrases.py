@@ -47,7 +47,7 @@ MIN_COUNT = 10
 TOP = 2000
 COVERED_PERCENT = 50
 BUCKETS = 1 << 26
-#: Phrases of a block: its trie and counts take up to about 100 bytes for each.
+#: Phrases of a block: its trie and counts take about 100 bytes for each.
 BLOCK = 1_000_000
 #: Entries that a task holds before it passes its counts on.
 HELD = 1 << 20
@@ -260,37 +260,59 @@ def _candidates(shared):
 
 class Trie:
     """A double array over phrases (rows of word hashes, 0 after the last
-    word): the child of state s by symbol c is base[s] + c if check there is
-    s. A symbol is a word's number, 0 is none; the root is state 0."""
+    word). A word is two digits of its number, so that a state has few
+    children close together: the child of state s by digit d is base[s] + d
+    if check there is s. The root is state 0."""
+
+    ARRAYS = ("base", "check", "accepts", "words", "number")
 
     def __init__(self, phrases: np.ndarray) -> None:
         words, index, often = np.unique(phrases, return_inverse=True, return_counts=True)
-        # Frequent words get small numbers: children lie close together.
+        # Frequent words get small numbers: their digits differ less.
         order = np.argsort(-often, kind="stable")
         order = order[words[order] != 0]
-        number = np.zeros(len(words), dtype=np.int64)
-        number[order] = np.arange(1, len(order) + 1)
-        self.names = np.concatenate([np.zeros(1, _U), words[order]])
+        number = np.full(len(words), -1, dtype=np.int32)
+        number[order] = np.arange(len(order))
         self.words, self.number = words, number
-        self._build(number[index.reshape(phrases.shape)])
+        self._prepare()
+        paths = number[index.reshape(phrases.shape)]
+        del index, often, order
+        self._build(np.stack([np.where(paths < 0, -1, x) for x in self._digits(paths)], axis=2)
+                    .reshape(len(paths), -1))
+
+    def _prepare(self) -> None:
+        self.bits = max(1, (len(self.words).bit_length() + 1) // 2)
+        self.names = np.zeros(len(self.words) + 1, dtype=_U)
+        self.names[self.number] = self.words
+
+    @classmethod
+    def from_bytes(cls, arrays: dict[str, bytes]) -> Trie:
+        out = cls.__new__(cls)
+        for name, kind in zip(cls.ARRAYS, (np.int32, np.int32, bool, _U, np.int32)):
+            setattr(out, name, np.frombuffer(arrays[name], kind))
+        out._prepare()
+        return out
+
+    def _digits(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return number >> self.bits, number & ((1 << self.bits) - 1)
 
     def _build(self, paths: np.ndarray) -> None:
-        # Nodes level by level, each with its parent node and symbol.
-        span = len(self.names)
+        # Nodes level by level, each with its parent node and digit.
+        span = 1 << self.bits
         node = np.zeros(len(paths), dtype=np.int64)
-        parents, symbols, total = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 1
+        parents, digits, total = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 1
         for level in range(paths.shape[1]):
-            here = paths[:, level] > 0
+            here = paths[:, level] >= 0
             code, own = np.unique(node[here] * span + paths[here, level], return_inverse=True)
             parents.append(code // span)
-            symbols.append(code % span)
+            digits.append(code % span)
             node[here] = own + total
             total += len(code)
-        parent, symbol = np.concatenate(parents), np.concatenate(symbols)
+        parent, digit = np.concatenate(parents), np.concatenate(digits)
         children = np.bincount(parent[1:], minlength=total)
         start = np.cumsum(children) - children
         kids = np.argsort(parent[1:], kind="stable") + 1
-        used = np.zeros(4 * total + 2 * span, dtype=bool)
+        used = np.zeros(2 * total + 4 * span, dtype=bool)
         used[0] = True
         base = np.zeros(total, dtype=np.int64)
         rng = np.random.default_rng(total)
@@ -298,10 +320,11 @@ class Trie:
         # time try random places, and the first to claim a slot keeps it.
         for width in np.unique(children[children > 0])[::-1].tolist():
             open_ = np.flatnonzero(children == width)
+            poor = 0
             while len(open_):
                 turn = open_[:max(1, len(used) // (16 * width))]
                 place = rng.integers(1, len(used) - span, len(turn))
-                slot = symbol[kids[start[turn][:, None] + np.arange(width)]] + place[:, None]
+                slot = digit[kids[start[turn][:, None] + np.arange(width)]] + place[:, None]
                 free = np.flatnonzero(~used[slot].any(axis=1))
                 flat = slot[free].ravel()
                 first = np.zeros(len(flat), dtype=bool)
@@ -312,9 +335,11 @@ class Trie:
                 left = np.ones(len(open_), dtype=bool)
                 left[won] = False
                 open_ = open_[left]
-                if 8 * len(won) < len(turn):  # crowded: more room
-                    used = np.concatenate([used, np.zeros(len(used) // 2, dtype=bool)])
-        state = base[parent] + symbol
+                poor += 8 * len(won) < len(turn)
+                if poor > 16:  # crowded: more room
+                    used = np.concatenate([used, np.zeros(len(used) // 4, dtype=bool)])
+                    poor = 0
+        state = base[parent] + digit
         state[0] = 0
         self.base = np.zeros(len(used), dtype=np.int32)
         self.base[state] = base
@@ -323,28 +348,40 @@ class Trie:
         self.accepts = np.zeros(len(used), dtype=bool)
         self.accepts[state[node]] = True
 
-    def symbols(self, h: np.ndarray) -> np.ndarray:
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """The words' numbers, -1 for words of no phrase."""
         at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, self.number[at], 0)
+        return np.where(self.words[at] == h, self.number[at], -1)
 
-    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """The next states; -1 where there is none."""
-        to = self.base[state] + symbol
-        return np.where((state >= 0) & (symbol > 0) & (self.check[to] == state), to, -1)
+    def step(self, state: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The next states after a word; -1 where there is none."""
+        for digit in self._digits(number):
+            to = np.where(state >= 0, self.base[state] + digit, 0)
+            state = np.where((number >= 0) & (state >= 0) & (self.check[to] == state), to, -1)
+        return state
 
     def phrases(self, state: np.ndarray) -> np.ndarray:
         """The word hashes that lead to each state, a row for each."""
         out = np.zeros((len(state), MAX_WORDS), dtype=_U)
+        state = state.copy()
         while (state > 0).any():
-            deep = state > 0
-            above = self.check[state[deep]]
-            out[deep] = np.column_stack([self.names[state[deep] - self.base[above]],
-                                         out[deep][:, :-1]])
-            state = state.copy()
+            deep = np.flatnonzero(state > 0)
+            low = state[deep]
+            high = self.check[low]
+            above = self.check[high]
+            number = (high - self.base[above] << self.bits) + (low - self.base[high])
+            out[deep] = np.column_stack([self.names[number], out[deep][:, :-1]])
             state[deep] = above
         return out
 
 
+def _build_trie(phrases: pa.Table) -> pa.Table:
+    """A block's phrases as one trie."""
+    trie = Trie(np.column_stack([phrases[c].to_numpy() for c in PHRASE]).view(_U))
+    return pa.table({"block": phrases["block"].slice(0, 1), **{
+        name: pa.array([getattr(trie, name).tobytes()], pa.binary()) for name in Trie.ARRAYS}})
+
+
 def _count_phrases(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie: Trie = shared.value
@@ -354,10 +391,10 @@ def _count_phrases(shared):
         for batch in batches:
             for h in _sequences(batch):
                 n = len(h)
-                symbol = np.append(trie.symbols(h), np.zeros(MAX_WORDS, dtype=np.int64))
-                state = np.zeros(n, dtype=np.int64)
+                number = np.append(trie.numbers(h), np.full(MAX_WORDS, -1, dtype=np.int32))
+                state = np.zeros(n, dtype=np.int32)
                 for level in range(MAX_WORDS):
-                    state = trie.step(state, symbol[level:level + n])
+                    state = trie.step(state, number[level:level + n])
                     there = state[state >= 0]
                     held.append(there[trie.accepts[there]])
                     size += len(held[-1])
@@ -404,12 +441,17 @@ def counts(docs: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK
     blocks = max(1, -(-candidates.count() // block))
     out = often.select(F.col("h").alias("h1"), *[F.lit(0).cast("long").alias(c)
                                                  for c in PHRASE[1:]], "n")
+    # Each block's trie is built in a task; the driver only passes it on.
+    tries = written(
+        candidates.withColumn("block", F.pmod(F.xxhash64(*PHRASE), F.lit(blocks)).cast("int"))
+        .groupBy("block").applyInArrow(
+            _build_trie, ", ".join(["block int"] + [f"{c} binary" for c in Trie.ARRAYS])),
+        "tries", f"{root}/tries")
     for k in range(blocks):
-        own = candidates.filter(F.pmod(F.xxhash64(*PHRASE), F.lit(blocks)) == k).toArrow()
-        if not len(own):
+        found = tries.filter(F.col("block") == k).drop("block").toArrow().to_pylist()
+        if not found:
             continue
-        shared = sc.broadcast(Trie(np.column_stack(
-            [own[c].to_numpy().view(_U) for c in PHRASE])))
+        shared = sc.broadcast(Trie.from_bytes(found[0]))
         counted = steps.mapInArrow(_count_phrases(shared), f"{schema}, n bigint") \
             .groupBy(*PHRASE).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
         out = out.unionByName(written(counted, "counts", f"{root}/block-{k}"))
