@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +88,8 @@ class _Words:
         found = tokens(texts)
         at = np.fromiter(map(self.number.__getitem__, found), np.int64, len(found))
         if len(self.number) > len(self.hash):
-            names = list(self.number)[len(self.hash):]
+            fresh = len(self.number) - len(self.hash)
+            names = list(islice(reversed(self.number), fresh))[::-1]
             self.hash = np.concatenate([self.hash, np.fromiter(
                 (word_hash(lang, w, salt) for w in names), _U, len(names))])
         n = np.bincount(at, minlength=len(self.hash))
@@ -404,11 +405,18 @@ def _count_phrases(shared):
         if held:
             total += np.bincount(np.concatenate(held), minlength=len(total))
         seen = np.flatnonzero(total)
-        for a in range(0, len(seen), 1 << 18):
-            part = seen[a:a + (1 << 18)]
-            names = trie.phrases(part).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["state", "n"])
+    return run
+
+
+def _named(shared):
+    """States as the phrases that lead to them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = shared.value.phrases(batch["state"].to_numpy().astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[:, k]) for k in range(MAX_WORDS)] + [pa.array(total[part])],
+                [*(pa.array(found[:, k].view(np.int64)) for k in range(MAX_WORDS)), batch["n"]],
                 names=[*PHRASE, "n"])
     return run
 
@@ -452,8 +460,9 @@ def counts(docs: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK
         if not found:
             continue
         shared = sc.broadcast(Trie.from_bytes(found[0]))
-        counted = steps.mapInArrow(_count_phrases(shared), f"{schema}, n bigint") \
-            .groupBy(*PHRASE).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+        counted = steps.mapInArrow(_count_phrases(shared), "state int, n bigint") \
+            .groupBy("state").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count) \
+            .mapInArrow(_named(shared), f"{schema}, n bigint")
         out = out.unionByName(written(counted, "counts", f"{root}/block-{k}"))
         shared.unpersist()
     return words, out
