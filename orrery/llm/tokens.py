@@ -10,8 +10,9 @@ statistics, and a scan reads stripes in parallel.
 Encoding uses the given tokenizer file through its library. A text is cut at
 white space, and before punctuation that ends a word (the tokenizer cuts there
 too, which is probed; another tokenizer gets whole texts). Each different
-piece is encoded once per worker and found again by its 64-bit hash. The ids
-are those of encoding the whole text.
+piece is encoded once per worker and found again by its 64-bit hash. Texts
+that hold an added token of the tokenizer go whole. The ids are those of
+encoding the whole text.
 
 Defined results: a null or empty text has the end id alone; rows with equal
 ids keep the order of their texts' hashes; null ids come first; long texts
@@ -54,12 +55,11 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
-#: Letters whose lower case in Python depends on their place or is longer.
-_KEEPS_CASE = re.compile("[\u0130\u03a3]")
-
-
-#: Letters whose end is an end of a piece in any Unicode version: Latin.
-_LATIN = np.array([chr(c).isalpha() for c in range(0x250)] + [False])
+#: Letters that end a piece in any Unicode version: Latin, but for the one
+#: whose lower case ends in a mark.
+_LATIN = np.array([chr(c).isalpha() and chr(c).lower()[-1].isalpha()
+                   for c in range(0x250)] + [False])
+_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 class Encoder:
@@ -84,6 +84,12 @@ class Encoder:
             for text in (" ".join(pieces), "\n".join(pieces), "  \t".join(pieces))) and all(
             self._plain([f"ab{t}"])[0] == self._plain(["ab"])[0] + self._plain([t])[0]
             for t in (".", "...", "***", "'", "-"))
+        capitals, small = self._plain(["HELLO The Word", "hello the word"])
+        self.lowers = capitals == small
+        # A text that holds an added token in any case, or the zero that ends
+        # a text below, is not cut.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.uncut = re.compile("|".join(map(re.escape, ["\0", *added])), re.IGNORECASE)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,12 +126,22 @@ class Encoder:
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array, and where each text begins (and the
         last ends)."""
-        tail = [] if end_id is None else [end_id]
-        if not self.by_word or any("\0" in t for t in texts):  # a zero ends a text below
-            every = [x + tail for x in self._plain(texts)]
+        whole = [i for i, t in enumerate(texts) if not self.by_word or self.uncut.search(t)]
+        own = dict(zip(whole, self._plain([texts[i] for i in whole])))
+        ids, starts = self._by_pieces(["" if i in own else t for i, t in enumerate(texts)])
+        if own:
+            every = [np.array(own[i], dtype=np.int32) if i in own else ids[a:b]
+                     for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist()))]
+            ids = np.concatenate(every)
             starts = np.concatenate([[0], np.cumsum([len(x) for x in every])]).astype(np.int64)
-            return np.array([t for x in every for t in x], dtype=np.int32), starts
-        texts = [t if _KEEPS_CASE.search(t) else t.lower() for t in texts]
+        if end_id is not None:
+            ids = np.insert(ids, starts[1:], end_id)
+            starts = starts + np.arange(len(starts))
+        return ids.astype(np.int32, copy=False), starts
+
+    def _by_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.lowers:
+            texts = [t.translate(_ASCII_LOWER) if not t.isascii() else t.lower() for t in texts]
         points, starts = code_points(texts)
         first, last = self._pieces(points)
         hashes, example, index = np.unique(
@@ -146,11 +162,7 @@ class Encoder:
         size = length[index]
         ends = np.concatenate([[0], np.cumsum(size)])
         out = buffer[np.arange(ends[-1]) + np.repeat(begin[index] - ends[:-1], size)]
-        bounds = ends[np.searchsorted(first, starts)]
-        if end_id is not None:
-            out = np.insert(out, bounds[1:], end_id)
-            bounds = bounds + np.arange(len(bounds))
-        return out.astype(np.int32, copy=False), bounds
+        return out, ends[np.searchsorted(first, starts)]
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -292,11 +292,16 @@ def test_tokens_round_trip(spark, rows):
         at += len(ids)
 
 
-def test_pieces_give_the_ids_of_whole_texts():
+PARTS = list("aAbZéÉßıİΣσς'.,!?*&#<>|0129 \n\t\r\x0b漢字한") + [
+    "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "'s", "'re", "...", " \u0301", "é",
+    "don't", "K", "Å", "ﬁ", "i\u0307", "\u0307", "ÜNİVERSİTESİ,", "İ.", "ΟΔΟΣ", "\u00a0", "ǅ"]
+
+
+@pytest.mark.parametrize("zeros", [0, 1])
+def test_pieces_give_the_ids_of_whole_texts(zeros):
     rng = random.Random(5)
-    parts = list("aAbZéÉßıİΣσς'.,!?*&#<>|0129 \n\t\r\x0b\x00漢字한") + [
-        "<|endoftext|>", "'s", "'re", "...", " ́", "é", "don't", "K", "Å", "ﬁ"]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(2000)]
+    parts = PARTS + ["\x00"] * zeros
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(4000)]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         known = tokens.encoder(tokens.vocabulary(name))
         for _ in range(2):  # new words, then remembered ones
@@ -307,6 +312,32 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert not known.by_word
 
 
+def test_most_texts_are_cut_into_pieces():
+    known = tokens.encoder(tokens.vocabulary())
+    assert known.by_word and known.lowers
+    texts = ["A plain text, İ. too", "x <|endoftext|> y", "x <|ENDOFTEXT|>", "a\x00b"]
+    assert [bool(known.uncut.search(t)) for t in texts] == [False, True, True, True]
+
+
+def test_cased_tokenizer_keeps_case(tmp_path):
+    """The same tokenizer without its lower-casing step, cut by words."""
+    import json
+
+    spec = json.load(open(tokens.vocabulary()))
+    spec["normalizer"]["normalizers"] = [
+        n for n in spec["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+    path = str(tmp_path / "cased.json")
+    json.dump(spec, open(path, "w"))
+    known = tokens.Encoder(path)
+    assert known.by_word and not known.lowers
+    rng = random.Random(6)
+    texts = ["Hello, hello HELLO."] + [
+        "".join(rng.choice(PARTS + ["Hello", " hello "]) for _ in range(20)) for _ in range(1000)]
+    ids, starts = known.encode(texts, None)
+    for i, want in enumerate(known.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert ids[starts[i]:starts[i + 1]].tolist() == want.ids
+
+
 # ---- language, personal data, sharding ------------------------------------------
 
 def test_language_on_held_out_rows(spark, rows):
