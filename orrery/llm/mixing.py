@@ -23,9 +23,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orrery.llm.common import written
 from orrery.llm.prefix import ranked_rows, with_span
 from orrery.llm.quality import words_of
+from orrery.session import unique_name
 
 SHARE = 1.5
 CAP = 2.0
@@ -105,8 +108,26 @@ def sample(docs: DataFrame, weights: DataFrame | None = None, text: str = "text"
         (F.shiftright(low + F.col("rate"), _PLACES) - F.shiftright(low, _PLACES)).alias("copies"))
 
 
-def mix(docs: DataFrame, **params) -> DataFrame:
+def mix(docs: DataFrame, ids: str = "doc_id", **params) -> DataFrame:
     """The mixed corpus: each document as often as it has copies; columns as
-    given."""
-    taken = sample(docs, **params).filter("copies > 0")
-    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    given. The sampling moves ids, sizes and row hashes; rows are then looked
+    up once. Rows repeated in full are interchangeable: their copies together
+    are made of one of them."""
+    hashed = [f"`{f.name}`" for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    key = unique_name("_row")
+    keyed = docs.withColumn(key, F.xxhash64(*hashed))
+    found = sample(keyed, ids=ids, keep=[ids, key], **params)
+    taken = written(found.groupBy(
+        F.col("row")[ids].alias("_id"), F.col("row")[key].alias("_key")).agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+        .filter("_copies > 0"), "copies")
+    rows = keyed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col(f"`{ids}`").alias("id"), F.col(f"`{key}`").alias("key"))
+    # Merged at every size: a row of the small side for each document.
+    met = rows.join(taken.hint("merge"), F.col("id").eqNullSafe(F.col("_id"))
+                    & (F.col("key") == F.col("_key")))
+    many = met.filter("_rows > 1").groupBy("id", "key").agg(
+        F.first("row").alias("row"), F.first("_copies").alias("_copies"))
+    return met.filter("_rows = 1").select("row", "_copies").unionByName(
+        many.select("row", "_copies")).select(
+        "row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("row.*")
