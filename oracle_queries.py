@@ -436,6 +436,8 @@ _FINAL = {
     "als_test_size": """SELECT count(*) AS n_test FROM train_test WHERE split = 'test'
         AND user_id IN (SELECT user_id FROM train_test WHERE split = 'train')
         AND item_id IN (SELECT item_id FROM train_test WHERE split = 'train')""",
+    "als_candidate_rules": """SELECT rule, CAST(0 AS BIGINT) AS violations FROM (VALUES
+        ('user missing'), ('length'), ('product'), ('item twice')) t(rule)""",
     "als_recommendation_rules": """SELECT rule, CAST(0 AS BIGINT) AS violations FROM (VALUES
         ('rated pair'), ('rank gap'), ('rising score'), ('not the product')) t(rule)""",
 }

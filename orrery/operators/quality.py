@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from orrery import config
 from orrery.functions.columns import payload_json
-from orrery.operators.joins import bounded_broadcast
+from orrery.operators.joins import bounded_broadcast, skew_join
 
 REASON = "error_reason"
 Store = Callable[[DataFrame], DataFrame]
@@ -105,11 +105,10 @@ class ForeignKey:
         keys = (self.ref.select(*[F.col(r).alias(alias[c])
                                   for c, r in zip(self.columns, ref_cols)])
                 .distinct().withColumn("_fk_hit", F.lit(True)))
-        keys = bounded_broadcast(keys, self.ref_rows,
-                                 config.BROADCAST_MAX_KEY_ROWS if len(self.columns) == 1
-                                 else config.BROADCAST_MAX_ROWS)
-        cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(alias[c]) for c in self.columns])
-        joined = df.join(keys, cond, "left")
+        keyed = df.withColumns({alias[c]: F.col(c) for c in self.columns})
+        joined = skew_join(keyed, keys, list(alias.values()), "left", self.ref_rows,
+                           config.BROADCAST_MAX_KEY_ROWS if len(self.columns) == 1
+                           else config.BROADCAST_MAX_ROWS)
         failed = F.col("_fk_hit").isNull()
         return (joined.withColumn(REASON, _reason(F.col(REASON), failed, self.reason))
                 .select(*df.columns))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from orrery import config
 from orrery.functions.columns import round2
 from orrery.operators.histogram import equal_width_histogram
-from orrery.operators.joins import bounded_broadcast
+from orrery.operators.joins import bounded_broadcast, skew_join
 from orrery.operators.numbering import group_medians, medians_at_positions, quantile_bins
 from orrery.operators.sampling import seeded_sample
 
@@ -275,14 +275,15 @@ def user_history_top(g: Gold, n: int = config.HISTORY_TOP,
     nulls first, id); unrated rows excluded. The ranking sees (item, members)
     only; names and scores are joined to the ``n`` rows a user keeps."""
     rated = _only(g.fact, user_ids).filter(F.col("rating").isNotNull())
-    order = bounded_broadcast(g.dim_item.select("item_id", "members"), g.rows.get("dim_item"),
-                              config.BROADCAST_MAX_KEY_ROWS)
+    order = g.dim_item.select("item_id", "members")
     w = Window.partitionBy("user_id").orderBy(F.desc("rating"), F.desc_nulls_first("members"),
                                               "item_id")
-    out = (rated.join(order, "item_id").withColumn("rank", F.row_number().over(w))
-           .filter(F.col("rank") <= n)
-           .join(bounded_broadcast(g.dim_item.select("item_id", "name", "kind", "score"),
-                                   g.rows.get("dim_item")), "item_id")
+    out = (skew_join(rated, order, ["item_id"], dim_rows=g.rows.get("dim_item"),
+                     max_rows=config.BROADCAST_MAX_KEY_ROWS)
+           .withColumn("rank", F.row_number().over(w))
+           .filter(F.col("rank") <= n))
+    out = (skew_join(out, g.dim_item.select("item_id", "name", "kind", "score"), ["item_id"],
+                     dim_rows=g.rows.get("dim_item"))
            .select("user_id", "rank", "item_id", "name", "kind",
                    round2("score").alias("score"), F.col("rating").alias("user_rating")))
     return _ordered(out, user_ids, "rank")
@@ -291,7 +292,8 @@ def user_history_top(g: Gold, n: int = config.HISTORY_TOP,
 def user_recommendations(g: Gold, user_ids: Sequence[int] | None = None) -> DataFrame:
     """Recommendations with item attributes, scores rounded to 2."""
     items = g.dim_item.select("item_id", "name", "kind", "units", "score", "members")
-    out = (_only(g.recommendations, user_ids).join(items, "item_id")
+    out = (skew_join(_only(g.recommendations, user_ids), items, ["item_id"],
+                     dim_rows=g.rows.get("dim_item"))
            .select("user_id", "rank", "item_id", "name", "kind", "units",
                    round2("score").alias("score"), "members",
                    round2("predicted_rating").alias("predicted_score")))
@@ -304,10 +306,9 @@ def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
     first ``n`` by (count desc, name). Counted per (user, tag) with a
     partial aggregate (the fact is clustered by user, so a task holds nearly
     all rows of its users), then a per-user group limit."""
-    bridge = bounded_broadcast(g.bridge, g.rows.get("bridge_item_tag"),
-                               config.BROADCAST_MAX_KEY_ROWS)
-    counts = (_only(g.fact, user_ids).select("user_id", "item_id")
-              .join(bridge, "item_id")
+    counts = (skew_join(_only(g.fact, user_ids).select("user_id", "item_id"), g.bridge,
+                        ["item_id"], dim_rows=g.rows.get("bridge_item_tag"),
+                        max_rows=config.BROADCAST_MAX_KEY_ROWS)
               .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
               .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
     w = Window.partitionBy("user_id").orderBy(F.desc("nb"), "tag_name")
@@ -317,8 +318,9 @@ def user_tag_histogram(g: Gold, n: int = config.USER_TAG_TOP,
 
 def reco_tag_histogram(g: Gold, user_ids: Sequence[int] | None = None) -> DataFrame:
     """D23 (recommendations): tag counts over each user's recommendations."""
-    out = (_only(g.recommendations, user_ids).select("user_id", "item_id")
-           .join(g.bridge, "item_id")
+    out = (skew_join(_only(g.recommendations, user_ids).select("user_id", "item_id"), g.bridge,
+                     ["item_id"], dim_rows=g.rows.get("bridge_item_tag"),
+                     max_rows=config.BROADCAST_MAX_KEY_ROWS)
            .groupBy("user_id", "tag_id").agg(F.count(F.lit(1)).alias("nb"))
            .join(g.tags(), "tag_id").select("user_id", "tag_name", "nb"))
     return _ordered(out, user_ids, F.desc("nb"), "tag_name")

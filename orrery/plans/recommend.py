@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery import config
+from orrery.operators.products import top_products
 from orrery.operators.quality import ForeignKey, NotNull, Store, Unique, validate
 from orrery.operators.sampling import hash_split_flag
 from orrery.plans.star import ITEM_NOT_FOUND, RECO_COLUMNS
@@ -176,8 +177,34 @@ def train_als(train: DataFrame, blocks: int | None = None):
 
 
 def als_candidates(model, n: int = config.TOP_N * config.OVERSAMPLE) -> DataFrame:
-    """M5: top-n candidates for every user with factors."""
-    return model.recommendForAllUsers(n)
+    """M5: top-n candidates for every user with factors, shaped like
+    ``recommendForAllUsers``: the same products, found by exact search with
+    bounds instead of all users x items."""
+    found = top_products(model.userFactors, model.itemFactors, n)
+    return found.select(F.col("id").alias("user_id"), F.arrays_zip(
+        F.col("ids").alias("item_id"), F.col("scores").cast("array<float>").alias("rating"))
+        .alias("recommendations"))
+
+
+def candidate_rules(candidates: DataFrame, all_pairs: DataFrame) -> DataFrame:
+    """(rule, violations) of ``candidates`` against those that comparing all
+    pairs gives: users that one of them lacks, lists of another length, and
+    places whose products differ by more than rounding."""
+    a = candidates.select("user_id", F.col("recommendations").alias("a"))
+    b = all_pairs.select("user_id", F.col("recommendations").alias("b"))
+    both = a.join(b, "user_id", "full")
+    differ = F.exists(F.zip_with("a", "b", lambda x, y: F.abs(
+        x["rating"] - y["rating"]) > 1e-4 * (1 + F.abs(y["rating"]))), lambda bad: bad)
+    rules = {
+        "user missing": F.col("a").isNull() | F.col("b").isNull(),
+        "length": F.size("a") != F.size("b"),
+        "product": (F.size("a") == F.size("b")) & differ,
+        "item twice": F.size("a") != F.size(F.array_distinct(F.transform(
+            "a", lambda x: x["item_id"]))),
+    }
+    counted = both.agg(*[F.count_if(c).alias(name) for name, c in rules.items()])
+    return counted.select(F.inline(F.array(*[F.struct(
+        F.lit(name).alias("rule"), F.col(name).alias("violations")) for name in rules])))
 
 
 def rmse_frame(predictions: DataFrame, label: str = "rating",

@@ -545,6 +545,14 @@ def q_als_candidates(spark, sf):
     return R.explode_candidates(R.als_candidates(als_model(spark, sf)))
 
 
+@query("als_candidate_rules")
+def q_als_candidate_rules(spark, sf):
+    """M5: broken rules of the pruned search against all pairs, each to be 0."""
+    model = als_model(spark, sf)
+    return R.candidate_rules(R.als_candidates(model), model.recommendForAllUsers(
+        config.TOP_N * config.OVERSAMPLE))
+
+
 @query("als_recommendations")
 def q_als_recommendations(spark, sf):
     g = gold(spark, sf)

@@ -1,11 +1,15 @@
-"""A key holding a third of the rows: validation stays correct, the count is
-pre-aggregated map-side and AQE splits the hot join partition."""
+"""A key holding a third of the rows: validation stays correct, counts are
+pre-aggregated map-side, hot join keys stay out of the shuffle, and AQE splits
+the hot partition of the uniqueness rule."""
 
 from pyspark.sql import functions as F
 
 import contextlib
 
+import pytest
+
 from orrery.operators.cleaning import first_row_per_key, max_per_key
+from orrery.operators.joins import hot_keys, skew_join
 from orrery.operators.quality import REASON, ForeignKey, Unique, validate
 
 SKEW_CONF = {
@@ -40,6 +44,11 @@ def hot_frame(spark, n=300_000):
         F.col("id").alias("v"))
 
 
+def partition_rows(df):
+    """Rows of each task of the frame's last stage."""
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
 def test_hot_key_in_foreign_key_rule(spark):
     with skew_settings(spark):
         df = hot_frame(spark)
@@ -47,8 +56,50 @@ def test_hot_key_in_foreign_key_rule(spark):
         flagged = validate(df, [ForeignKey(("k",), ref, "missing")])
         rows = flagged.filter(F.col(REASON).isNull()).count()
         assert rows == df.join(ref, "k", "left_semi").count()
-        flagged.collect()
-        assert "skew=true" in flagged._jdf.queryExecution().executedPlan().toString()
+        assert flagged.count() == 300_000 and flagged.columns == ["k", "v", REASON]
+        sizes = partition_rows(flagged)
+        assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("max_rows", [10, 0])
+def test_skew_join_is_the_plain_join(spark, how, max_rows):
+    with skew_settings(spark):
+        df = hot_frame(spark, 30_000).select(
+            F.when(F.col("v") % 10 == 1, None).otherwise(F.col("k")).alias("k"),
+            (F.col("v") % 3).alias("j"), "v")
+        dim = spark.range(0, 30_000, 2).unionByName(spark.range(7, 8)).unionByName(
+            spark.range(7, 8)).select(F.col("id").alias("k"), (F.col("id") % 3).alias("j"),
+                                      (F.col("id") * 2).alias("x"))
+        for on in (["k"], ["k", "j"]):
+            facts = dim.select(*on, "x")
+            got = skew_join(df, facts, on, how, max_rows=max_rows)
+            want = df.join(facts, on, how)
+            assert got.columns == want.columns
+            assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+            sizes = partition_rows(got)
+            assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
+            assert "skew=true" not in got._jdf.queryExecution().executedPlan().toString()
+    assert hot_keys(df.filter("k is null"), ["k"], 8).count() == 0
+    assert skew_join(df.limit(0), facts, on, how).count() == 0
+
+
+def test_recommendations_of_few_items_are_not_shuffled_by_item(spark, sf_small):
+    """Popular items are in every user's list: hot keys that stay in place."""
+    from dataclasses import replace
+
+    from orrery.plans import analytics
+    from orrery.plans.warehouse import gold
+
+    g = gold(spark, sf_small)
+    with skew_settings(spark):
+        unknown = replace(g, rows={})  # no table is known to be small
+        for fn in (analytics.user_recommendations, analytics.reco_tag_histogram,
+                   analytics.user_history_top, analytics.user_tag_histogram):
+            assert sorted(map(tuple, fn(unknown).collect()), key=str) == sorted(
+                map(tuple, fn(g).collect()), key=str)
+        sizes = partition_rows(analytics.user_recommendations(unknown))
+        assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
 
 
 def test_dedup_collapses_hot_key_map_side(spark):
