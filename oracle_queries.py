@@ -260,6 +260,10 @@ _FINAL = {
         UNION ALL
         SELECT 'gold_bridge_item_tag', 'bridge_item_tag', error_reason, count(*)
         FROM bridge_rejects GROUP BY error_reason""",
+    "reject_log_retry": """SELECT 'gold_fact_ratings' AS job_name,
+        'fact_ratings' AS target_table, error_reason, count(*) AS n_rejects,
+        CAST(1 AS BIGINT) AS runs FROM fact_flagged
+        WHERE error_reason IS NOT NULL GROUP BY error_reason""",
     "constraint_audit": """
         SELECT 'dim_item' AS table_name, 'not_null' AS constraint_name,
           CAST(count(*) FILTER (WHERE item_id IS NULL OR name IS NULL) AS BIGINT) AS violations
@@ -309,6 +313,7 @@ _FINAL = {
         UNION ALL SELECT 'recommend_popularity', 'recommendations', count(*), 0
           FROM recommendations""",
     "staged_replace": "SELECT * FROM dim_user",
+    "racing_publishers": "SELECT * FROM dim_user",
     "staged_replace_failure_keeps_old": "SELECT * FROM dim_user",
     "cascade_replace": """SELECT 'dim_item' AS table_name, count(*) AS n_rows FROM dim_item
         UNION ALL SELECT 'bridge_item_tag', 0 UNION ALL SELECT 'fact_ratings', 0""",

@@ -6,6 +6,7 @@ from the raw tables of ``sf_dir`` directly."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,10 @@ from orrery.plans import analytics as A
 from orrery.plans import recommend as R
 from orrery.plans import silver as S
 from orrery.plans import star as G
-from orrery.plans.warehouse import Warehouse, fingerprint, gold, warehouse
+from orrery.plans.warehouse import Warehouse, fingerprint, gold, in_parallel, warehouse
 from orrery.session import unique_name, work_root
 from orrery.sources import files, fixtures
-from orrery.sources.catalog import Catalog, PublishError
+from orrery.sources.catalog import Catalog, PublishError, run_validated_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -344,6 +345,37 @@ def q_reject_log_summary(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rejects")))
 
 
+@query("reject_log_retry")
+def q_reject_log_retry(spark, sf):
+    """A job that fails after logging its rejects and runs again under
+    the same run id leaves each reject once."""
+    cat = Catalog(spark, _scratch(spark, "rejects")).create()
+    run = unique_name("run")
+    for fails in (True, False):
+        try:
+            run_validated_job(cat, _validated_fact(spark, sf), "gold_fact_ratings",
+                              "fact_ratings", G.FACT_COLUMNS, run_id=run, fail_before_swap=fails)
+        except PublishError:
+            pass
+    logged = cat.rejects().groupBy("job_name", "target_table", "error_reason", "payload") \
+        .agg(F.count(F.lit(1)).alias("times"), F.countDistinct("run_id").alias("runs"))
+    return logged.groupBy("job_name", "target_table", "error_reason").agg(
+        F.sum("times").alias("n_rejects"), F.max("runs").alias("runs"))
+
+
+@query("racing_publishers")
+def q_racing_publishers(spark, sf):
+    """Publishers of different tables at the same time; none is lost."""
+    g = gold(spark, sf)
+    root = _scratch(spark, "catalog")
+    Catalog(spark, root).create()
+    frames = {f"part_{k}": g.dim_user.filter(F.pmod("user_id", F.lit(8)) == k) for k in range(8)}
+    in_parallel(*[lambda n=n, f=f: Catalog(spark, root).publish({n: f})
+                  for n, f in frames.items()])
+    cat = Catalog(spark, root)
+    return reduce(DataFrame.unionByName, [cat.read(name) for name in frames])
+
+
 @query("constraint_audit")
 def q_constraint_audit(spark, sf):
     g = gold(spark, sf)

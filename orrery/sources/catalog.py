@@ -17,13 +17,16 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.session import unique_name
+from orrery.sources.commitlog import delete, put_if_absent
+
+KEEP_MANIFESTS = 100
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
@@ -68,20 +71,17 @@ class Catalog:
 
     def create(self) -> "Catalog":
         """Start an empty catalogue (manifest 0 lists no table)."""
-        (self.spark.createDataFrame([], MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists")
-         .json(f"{self.root}/_manifests/seq={0:012d}"))
+        if not self._put(0, {}):
+            raise PublishError(f"a catalogue already exists under {self.root}")
         self._known = (0, {})
         return self
 
     # ---- reading -------------------------------------------------------
     def _newest(self) -> tuple[int, str] | None:
         """(number, file) of the newest manifest, from the folder's listing
-        alone. Where two writers left a file under one number, the file
-        written first counts (then the smaller name): a later file cannot
-        overturn a state that was read."""
+        alone."""
         files = self.spark.read.format("binaryFile").load(f"{self.root}/_manifests")
-        row = files.select("seq", "modificationTime", "path").orderBy(
-            F.desc("seq"), "modificationTime", "path").first()
+        row = files.select("seq", "path").orderBy(F.desc("seq"), "path").first()
         return None if row is None else (row["seq"], row["path"])
 
     def state(self, refresh: bool = False) -> tuple[int, dict[str, TableVersion]]:
@@ -119,8 +119,8 @@ class Catalog:
 
     # ---- writing -------------------------------------------------------
     def _stage(self, name: str, df: DataFrame, run_id: str) -> TableVersion:
-        path = f"{self.root}/tables/{name}/v={run_id}"
-        obs = Observation(f"stage_{name}_{run_id}")
+        path = f"{self.root}/tables/{name}/v={unique_name(run_id)}"
+        obs = Observation(unique_name(f"stage_{name}"))
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
         rows = int(obs.get["rows"])
         written = self.spark.read.parquet(path).count()  # footer metadata only
@@ -140,35 +140,52 @@ class Catalog:
         """Switch all ``staged`` versions -- plus empty versions of the
         ``cascade`` dependants -- in one new manifest. Returns row counts."""
         seq, current = self.state(refresh=True)
-        staged = dict(staged)
+        staged, emptied = dict(staged), {}
         run_id = next(iter(staged.values())).run_id if staged else unique_name("run")
-        for name in cascade:
-            if name in staged or name not in current:
-                continue
-            schema = T.StructType.fromJson(json.loads(current[name].schema))
-            staged[name] = self._stage(name, self.spark.createDataFrame([], schema), run_id)
-        if fail_before_swap:
-            raise PublishError("publication aborted before the manifest switch")
-        merged = {**current, **staged}
-        manifest = self.spark.createDataFrame(
-            [(v.table, v.path, v.rows, v.schema, v.run_id, v.job) for v in merged.values()],
-            MANIFEST_SCHEMA)
-        # Writing the manifest is the commit point. Two publishers may both
-        # find the number free and write; the one whose file does not count
-        # learns it by reading back, and its publication has failed.
-        try:
-            self._write_manifest(manifest, seq + 1)
-        except AnalysisException as taken:
-            self._known = None
-            raise PublishError(f"manifest {seq + 1} already exists: another writer published it") from taken
-        self._known = None
-        if self.state(refresh=True) != (seq + 1, merged):
-            raise PublishError(f"manifest {seq + 1} already exists: another writer published it")
-        return {name: v.rows for name, v in staged.items()}
-
-    def _write_manifest(self, manifest: DataFrame, seq: int) -> None:
-        manifest.coalesce(1).write.mode("errorifexists").json(
-            f"{self.root}/_manifests/seq={seq:012d}")
+        own = set(staged) | set(cascade)
+        while True:
+            for name in cascade:
+                if name not in staged and name in current and name not in emptied:
+                    schema = T.StructType.fromJson(json.loads(current[name].schema))
+                    emptied[name] = self._stage(
+                        name, self.spark.createDataFrame([], schema), run_id)
+            if fail_before_swap:
+                raise PublishError("publication aborted before the manifest switch")
+            switched = {**staged, **emptied}
+            # Creating the manifest is the commit point.
+            if self._put(seq + 1, {**current, **switched}):
+                newest = self._newest()
+                # A number that was free because it had been deleted is far
+                # behind: nobody reads it.
+                if newest is not None and newest[0] - seq - 1 < KEEP_MANIFESTS:
+                    self._known = (seq + 1, {**current, **switched})
+                    if (seq + 1) % KEEP_MANIFESTS == 0:
+                        self.compact()
+                    return {name: v.rows for name, v in switched.items()}
+            latest, now = self.state(refresh=True)
+            changed = {n for n in {*now, *current} if now.get(n) != current.get(n)}
+            if latest <= seq or changed & own:
+                raise PublishError(f"manifest {seq + 1} already exists: another writer "
+                                   f"published {sorted(changed & own) or 'it'}")
+            seq, current = latest, now
+
+    def _put(self, seq: int, tables: Mapping[str, TableVersion]) -> bool:
+        lines = [json.dumps({f.name: getattr(v, f.name) for f in MANIFEST_SCHEMA})
+                 for v in tables.values()]
+        return put_if_absent(self.spark, f"{self.root}/_manifests/seq={seq:012d}/manifest.json",
+                             "\n".join(lines) + "\n")  # never an empty file: those are not listed
+
+    def compact(self, keep: int = KEEP_MANIFESTS) -> int:
+        """Delete all but the last ``keep`` manifests; returns how many.
+        Readers and writers only look at the newest."""
+        newest = self._newest()
+        if newest is None:
+            return 0
+        old = self.spark.read.format("binaryFile").load(f"{self.root}/_manifests") \
+            .filter(F.col("seq") <= newest[0] - max(keep, 1)).select("seq").distinct().collect()
+        for row in old:  # at most what was published since the last time
+            delete(self.spark, f"{self.root}/_manifests/seq={row['seq']:012d}")
+        return len(old)
 
     def publish(self, tables: Mapping[str, DataFrame], cascade: Sequence[str] = (),
                 fail_before_swap: bool = False) -> dict[str, int]:
@@ -177,9 +194,18 @@ class Catalog:
         return self.commit(self.stage(tables), cascade, fail_before_swap)
 
     # ---- reject log ----------------------------------------------------
-    def append_rejects(self, records: DataFrame, run_id: str | None = None) -> int:
-        """Append reject-log rows; returns how many (0 writes nothing)."""
-        if records.isEmpty():
+    def append_rejects(self, records: DataFrame, run_id: str | None = None,
+                       job: str | None = None) -> int:
+        """Append reject-log rows; returns how many (0 writes nothing).
+
+        With ``run_id`` and ``job`` (a scheduler's names) the rows replace
+        what the same job logged in the same run before, so a job that failed
+        after logging and runs again leaves each reject once. Without, every
+        call appends."""
+        again = run_id is not None and job is not None
+        batch = f"{run_id}.{job}" if again else unique_name("b")
+        path = f"{self.root}/reject_records/batch={quote(batch, safe='')}"
+        if not again and records.isEmpty():
             return 0
         obs = Observation(unique_name("rejects"))
         out = records.select(
@@ -188,10 +214,10 @@ class Catalog:
             "job_name", "target_table", "error_reason", "payload",
             F.current_timestamp().alias("rejected_at"),
         )
-        # Each append is its own folder: concurrent jobs never share a
-        # commit area, and a batch is visible only once its job committed.
-        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
-            f"{self.root}/reject_records/batch={unique_name('b')}")
+        # Each batch is its own folder: concurrent jobs never share a commit
+        # area, and a batch is visible only once its job committed.
+        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(
+            "overwrite" if again else "errorifexists").parquet(path)
         return int(obs.get["rows"])
 
     def rejects(self) -> DataFrame:
@@ -227,7 +253,7 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
     from orrery.operators.quality import REASON
 
     run_id = run_id or unique_name("run")
-    path = f"{catalog.root}/tables/{target}/v={run_id}"
+    path = f"{catalog.root}/tables/{target}/v={unique_name(run_id)}"
     payload = [c for c in flagged.columns if c != REASON]
     bad = F.col(REASON).isNotNull()
     filled = [value.alias(name) for name, value in (defaults or {}).items()]
@@ -239,7 +265,7 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
         out = out.repartitionByRange(*sort_by)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    obs = Observation(f"stage_{target}_{run_id}")
+    obs = Observation(unique_name(f"stage_{target}"))
     (out.observe(obs, F.count(F.when(F.col("dq_status") == "valid", 1)).alias("valid"),
                  F.count(F.when(F.col("dq_status") != "valid", 1)).alias("rejected"))
      .write.mode("errorifexists").partitionBy("dq_status").parquet(path))
@@ -255,7 +281,7 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
         records = catalog.spark.read.parquet(f"{path}/dq_status=rejected").select(
             F.lit(job_name).alias("job_name"), F.lit(target).alias("target_table"),
             REASON, "payload")
-        catalog.append_rejects(records, run_id)
+        catalog.append_rejects(records, run_id, job_name)
     version = TableVersion(target, table_path, valid, schema.json(), run_id, job_name)
     return version, {"written": valid, "rejected": rejected}
 
@@ -263,10 +289,12 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
 def run_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, target: str,
                       columns: Sequence[str], cascade: Sequence[str] = (),
                       sort_by: Sequence[str] = (), clustered: bool = False,
-                      defaults: Mapping[str, Column] | None = None) -> dict[str, int]:
-    """Stage, log rejects and switch one table (with its cascade)."""
-    version, counts = stage_validated_job(catalog, flagged, job_name, target, columns,
+                      defaults: Mapping[str, Column] | None = None, run_id: str | None = None,
+                      fail_before_swap: bool = False) -> dict[str, int]:
+    """Stage, log rejects and switch one table (with its cascade). The same
+    ``run_id`` makes it a retry: its rejects are logged once."""
+    version, counts = stage_validated_job(catalog, flagged, job_name, target, columns, run_id,
                                           sort_by=sort_by, clustered=clustered,
                                           defaults=defaults)
-    catalog.commit({target: version}, cascade)
+    catalog.commit({target: version}, cascade, fail_before_swap)
     return counts

@@ -147,23 +147,6 @@ def test_sql_over_gold_is_parameterised(spark):
     assert evil.first().n == 0
 
 
-def test_reader_picks_one_writer_when_two_manifests_share_a_number(spark):
-    from orrery.sources.catalog import MANIFEST_SCHEMA
-
-    cat = Catalog(spark, work_root(spark, unique_name("test-cat"))).create()
-    cat.publish({"t": spark.createDataFrame([(1,)], "x int")})
-    v = cat.version("t")
-    rows = [("t", v.path, v.rows, v.schema, "w1", None), ("u", v.path, v.rows, v.schema, "w1",
-                                                          None)]
-    other = [("t", v.path, v.rows, v.schema, "w2", None)]
-    folder = f"{cat.root}/_manifests/seq={2:012d}"
-    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.json(folder)
-    spark.createDataFrame(other, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(folder)
-    seq, tables = Catalog(spark, cat.root).state()
-    assert seq == 2
-    assert len({t.run_id for t in tables.values()}) == 1
-
-
 def test_empty_reject_log_has_schema(spark):
     cat = Catalog(spark, work_root(spark, unique_name("test-cat"))).create()
     empty = cat.rejects()

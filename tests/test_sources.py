@@ -1,6 +1,8 @@
 """Files by header name, paths on other file systems, exact landing counts,
 racing publishers."""
 
+from pathlib import Path
+
 import pytest
 
 from orrery.plans.warehouse import Warehouse
@@ -76,32 +78,116 @@ def test_landing_counts_more_batches_than_progress_keeps(spark, tmp_path):
         ("x", '{"c":"z"}')}
 
 
-def test_two_publishers_that_both_find_the_number_free(spark, monkeypatch):
+def test_two_publishers_that_both_find_the_number_free(spark):
     root = work_root(spark, unique_name("test-race"))
     first, second = Catalog(spark, root).create(), Catalog(spark, root)
-    write = Catalog._write_manifest
+    staged = second.stage({"t": spark.createDataFrame([(2,)], "x int")})
+    put = second._put
+
+    def late(seq, tables):
+        # The other publisher wrote between this one's reading and its write.
+        second._put = put
+        first.publish({"t": spark.createDataFrame([(1,)], "x int")})
+        return put(seq, tables)
+
+    second._put = late
+    with pytest.raises(PublishError, match="'t'"):
+        second.commit(staged)
+    reader = Catalog(spark, root)
+    assert reader.state()[0] == 1 and [r.x for r in reader.read("t").collect()] == [1]
+    assert second.state()[1] == reader.state()[1]
 
-    def late(self, manifest, seq):
-        # The other publisher wrote between this one's check and its write.
-        if self is second:
-            write(first, manifest_of(first), seq)
-            manifest.coalesce(1).write.mode("append").json(f"{root}/_manifests/seq={seq:012d}")
-        else:
-            write(self, manifest, seq)
 
-    def manifest_of(cat):
-        from orrery.sources.catalog import MANIFEST_SCHEMA
+def test_racing_publishers_lose_nothing(spark):
+    import os
+    from concurrent.futures import ThreadPoolExecutor
 
-        v = cat.stage({"t": spark.createDataFrame([(1,)], "x int")})["t"]
-        return spark.createDataFrame([(v.table, v.path, v.rows, v.schema, v.run_id, v.job)],
-                                     MANIFEST_SCHEMA)
+    root = work_root(spark, unique_name("test-race"))
+    Catalog(spark, root).create()
+
+    def publish(k):
+        return Catalog(spark, root).publish({f"t{k}": spark.createDataFrame([(k,)], "x int")})
+
+    with ThreadPoolExecutor(20) as pool:
+        assert all(pool.map(publish, range(20)))
+    # Equal times change nothing: a number has one file.
+    found = list(Path(root.removeprefix("file:"), "_manifests").rglob("manifest.json"))
+    assert len(found) == 21
+    for path in found:
+        os.utime(path, (1, 1))
+    reader = Catalog(spark, root)
+    seq, tables = reader.state()
+    assert seq == 20 and set(tables) == {f"t{k}" for k in range(20)}
+    assert [reader.read(f"t{k}").first().x for k in range(20)] == list(range(20))
 
-    monkeypatch.setattr(Catalog, "_write_manifest", late)
-    with pytest.raises(PublishError):
-        second.publish({"t": spark.createDataFrame([(2,)], "x int")})
+
+def test_compaction_keeps_the_newest_and_stale_writers_start_again(spark):
+    root = work_root(spark, unique_name("test-compact"))
+    cat = Catalog(spark, root).create()
+    for k in range(5):
+        cat.publish({"t": spark.createDataFrame([(k,)], "x int")})
+    assert cat.compact(keep=2) == 4  # numbers 0 to 3
     reader = Catalog(spark, root)
-    assert reader.state()[0] == 1 and [r.x for r in reader.read("t").collect()] == [1]
-    assert second.state()[1] == reader.state()[1]
+    assert reader.state()[0] == 5 and reader.read("t").first().x == 4
+    # A writer that has slept since number 0 finds number 1 free again.
+    slow = Catalog(spark, root)
+    staged = slow.stage({"u": spark.createDataFrame([(9,)], "x int")})
+    state, calls = slow.state, []
+
+    def old(refresh=False):
+        calls.append(refresh)
+        return (0, {}) if len(calls) == 1 else state(refresh)
+
+    slow.state = old
+    import orrery.sources.catalog as module
+
+    keep, module.KEEP_MANIFESTS = module.KEEP_MANIFESTS, 2
+    try:
+        slow.commit(staged)
+    finally:
+        module.KEEP_MANIFESTS = keep
+    seq, tables = Catalog(spark, root).state()
+    assert seq == 6 and set(tables) == {"t", "u"}
+
+
+def test_only_one_writer_creates_a_file(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from orrery.sources.commitlog import put_if_absent
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    store = tmp_path / "mounted"
+    store.mkdir()
+    conf.set("fs.viewfs.mounttable.orreryput.link./lake", f"file://{store}")
+    for path in (f"{tmp_path}/a/b/one", "viewfs://orreryput/lake/c/one"):
+        with ThreadPoolExecutor(12) as pool:
+            won = list(pool.map(lambda k: put_if_absent(spark, path, f"é{k}\n" * 1000)
+                                if k == 0 or path.startswith("/") else None, range(12)))
+        assert sum(bool(x) for x in won) == 1
+        assert not put_if_absent(spark, path, "later")
+        text = spark.read.text(path).collect()
+        assert len(text) == 1000 and text[0].value == f"é{won.index(True)}"
+    assert sorted(p.name for p in store.rglob("*") if not p.name.endswith(".crc")) == ["c", "one"]
+
+
+def test_retried_job_logs_each_reject_once(spark):
+    from orrery.operators.quality import NotNull, validate
+    from orrery.sources.catalog import run_validated_job
+
+    cat = Catalog(spark, work_root(spark, unique_name("test-retry"))).create()
+    flagged = validate(spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")],
+                                             "k int, v string"), [NotNull(("k",))])
+    with pytest.raises(PublishError):
+        run_validated_job(cat, flagged, "job/one", "t", ["k", "v"], run_id="run 1",
+                          fail_before_swap=True)
+    assert cat.rejects().count() == 2  # they stay logged
+    run_validated_job(cat, flagged, "job/one", "t", ["k", "v"], run_id="run 1")
+    rows = cat.rejects().collect()
+    assert sorted(r.payload for r in rows) == ['{"v":"b"}', '{"v":"c"}']
+    assert {r.run_id for r in rows} == {"run 1"} and cat.rows("t") == 1
+    run_validated_job(cat, flagged, "job/one", "t", ["k", "v"], run_id="run 2")
+    run_validated_job(cat, flagged, "job/two", "t", ["k", "v"], run_id="run 2")
+    assert cat.rejects().count() == 6
 
 
 def test_pipeline_over_own_files_and_names(spark, tmp_path):
