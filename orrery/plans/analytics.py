@@ -20,8 +20,8 @@ from orrery import config
 from orrery.functions.columns import round2
 from orrery.operators.histogram import equal_width_histogram
 from orrery.operators.joins import bounded_broadcast, skew_join
-from orrery.operators.numbering import group_medians, medians_at_positions, quantile_bins
 from orrery.operators.sampling import seeded_sample
+from orrery.operators.selection import middle_ranks, order_statistics
 
 
 @dataclass
@@ -221,21 +221,43 @@ def user_sample(users: DataFrame, k: int = config.SAMPLE_SIZE, seed: int = confi
 
 def activity_trend(users: DataFrame, q_max: int = config.TREND_BINS) -> DataFrame:
     """Users ranked by (list size, id) into min(10, n) equal-frequency
-    bins; exact median list size and median average per bin (rank-based, no
-    per-group value buffers). Empty when fewer than two users."""
-    binned = quantile_bins(users, ["user_total_reviews", "user_id"], q_max, "bin", "_rank")
-    # Bins are ranges of the (list size, id) ranks, so within a bin the ranks
-    # already order the list sizes: their median needs no second numbering.
-    reviews = medians_at_positions(binned, "bin", "_rank", "user_total_reviews", q_max)
-    averages = group_medians(binned, "bin", ["user_average_given_rating"], "user_id", q_max)
-    meds = reviews.join(averages, "bin", "full")
-    return (meds.select(
-        "bin",
-        F.round(F.col("user_total_reviews").cast("decimal(18,6)"), 4).cast("double")
-        .alias("median_reviews"),
-        F.round(F.col("user_average_given_rating").cast("decimal(18,6)"), 4).cast("double")
-        .alias("median_average"))
-        .orderBy("median_reviews", "bin"))
+    bins; exact median list size and median average per bin. The bins' last
+    users and all medians are order statistics: no sort of the users. Empty
+    when fewer than two users."""
+    size, average = "user_total_reviews", "user_average_given_rating"
+    n = users.filter(F.col(size).isNotNull()).count()
+    q = min(q_max, n)
+    # Rank r lies in bin max(1, ceil((r - 1) q / (n - 1))).
+    last = {b: b * (n - 1) // q + 1 for b in range(1, q + 1)} if n >= 2 else {}
+    first = {b: last.get(b - 1, 0) + 1 for b in last}
+    middle = {b: [first[b] - 1 + k for k in middle_ranks(last[b] - first[b] + 1)] for b in last}
+    sizes = order_statistics(users, size, [(None, r) for r in last.values()]
+                             + [(None, r) for rs in middle.values() for r in rs])
+    # The place of each bin's last user among those with as long a list.
+    ends = {b: sizes[None, r] for b, r in last.items()}
+    ties = order_statistics(users, "user_id", [(e.value, last[b] - e.below)
+                                               for b, e in ends.items()], group=size)
+    binned = F.lit(None).cast("int")
+    for b, e in sorted(ends.items(), reverse=True):
+        user = ties[e.value, last[b] - e.below].value
+        binned = F.when((F.col(size) < e.value) | ((F.col(size) == e.value)
+                                                   & (F.col("user_id") <= user)),
+                        F.lit(b)).otherwise(binned)
+    placed = users.select(binned.alias("bin"), average)
+    rated = {r.bin: r.n for r in placed.groupBy("bin").agg(F.count(average).alias("n")).collect()}
+    ranks = {b: middle_ranks(rated[b]) for b in last if rated.get(b)}
+    averages = order_statistics(placed, average, [(b, k) for b, ks in ranks.items() for k in ks],
+                                group="bin")
+    rows = [(b, sum(sizes[None, r].value for r in middle[b]) / 2,
+             sum(averages[b, k].value for k in ranks[b]) / 2 if b in ranks else None)
+            for b in last if first[b] <= last[b]]
+    return (users.sparkSession.createDataFrame(rows, "bin int, reviews double, average double")
+            .select("bin",
+                    F.round(F.col("reviews").cast("decimal(18,6)"), 4).cast("double")
+                    .alias("median_reviews"),
+                    F.round(F.col("average").cast("decimal(18,6)"), 4).cast("double")
+                    .alias("median_average"))
+            .orderBy("median_reviews", "bin"))
 
 
 def top_active_users(users: DataFrame, n: int = config.TOP_USERS) -> DataFrame:
