@@ -67,23 +67,3 @@ class Trees:
                 node = 2 * node + (x[rows, f[node]] > t[node])
             out += leaf[node]
         return out
-
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        """Fit probability = sigmoid(slope * score + shift) on held-out rows."""
-        s = self.score(x)
-        a, b = 1.0, 0.0
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * s + b, -30, 30)))
-            w = p * (1 - p) + 1e-6
-            grad = np.array([((y - p) * s).sum() - 1e-3 * (a - 1), (y - p).sum() - 1e-3 * b])
-            hess = np.array([[(w * s * s).sum() + 1e-3, (w * s).sum()],
-                             [(w * s).sum(), w.sum() + 1e-3]])
-            move = np.linalg.solve(hess, grad)
-            a, b = a + move[0], b + move[1]
-            if np.abs(move).max() < 1e-6:
-                break
-        self.slope, self.shift = float(a), float(b)
-        return self
-
-    def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.score(x) + self.shift, -30, 30)))

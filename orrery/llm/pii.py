@@ -8,11 +8,16 @@ check itself (plus sign, Luhn digit, octet range), so trees learn what
 personal data looks like, not the base rules. A proposal that covers most of
 a base span of its kind, or most of which it covers, is a positive.
 
-What misses a base check only is unlabelled rather than wrong: if c is the
-share of true spans that pass their check, a group of proposals of which a
-share r is labelled holds r / c true spans. c is told per kind by the better
-half of its positives (less a standard error, at least MIN_CHECKED: what passes by chance, as one
-number in ten passes Luhn's check, is no evidence).
+A proposal is refuted if its digits cannot be what it is proposed for,
+however they are written: a Luhn digit that does not fit, a part above 255,
+too few or too many digits. Refuted proposals are negatives and never become
+spans. What misses the base format only (no plus sign, a spelled-out address,
+other separators) is unlabelled rather than wrong: if c is the share of true
+spans that are in the base format, a group of proposals of which a share r is
+labelled holds r / c true spans. c is told per kind by the better half of its
+positives (less a standard error, at least MIN_CHECKED). One number in ten
+passes Luhn's check by chance, so a ninth of the refuted cards is taken off
+the labelled ones of their group.
 
 Texts fall into two halves by hash. Each half has its trees, fitted on a
 bounded sample of it (SAMPLE rows in all, drawn per kind and label by a hash of
@@ -57,6 +62,10 @@ _DIGIT = re.compile(r"[0-9]")
 SAMPLE = 20_000
 PRECISION = 0.95
 MIN_CHECKED = 0.5
+#: Passers by chance for each refuted proposal, by kind.
+BY_CHANCE = (0.0, 0.0, 1 / 9, 0.0)
+#: Labels of proposals.
+OPEN, TRUE, REFUTED = 0, 1, 2
 BINS = 256
 CONTEXT = 24
 
@@ -145,6 +154,17 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
     ]
 
 
+def refuted(kind: int, span: str) -> bool:
+    """Whether the digits of ``span`` rule its kind out in any format."""
+    digits = re.findall(r"[0-9]+", span)
+    if kind == 1:
+        return len(digits) != 4 or not all(map(_octet, digits))
+    joined = "".join(digits)
+    if kind == 2:
+        return not (12 <= len(joined) <= 19 and _luhn(joined))
+    return kind == 3 and not 9 <= len(joined) <= 15
+
+
 def proposals(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     """(kind, start, end, features, label) of all generators."""
     out = []
@@ -157,12 +177,13 @@ def proposals(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
             continue
         for m in pattern.finditer(text):
             start, end = m.span()
-            label, i = False, bisect_right(ends[kind], start)
+            true, i = False, bisect_right(ends[kind], start)
             while i < len(ends[kind]) and by_kind[kind][i][1] < end:
                 _, s, e = by_kind[kind][i]
-                label |= 2 * (min(end, e) - max(start, s)) >= max(end - start, e - s)
+                true |= 2 * (min(end, e) - max(start, s)) >= max(end - start, e - s)
                 i += 1
-            out.append((kind, start, end, features(text, kind, start, end), int(label)))
+            label = TRUE if true else REFUTED if refuted(kind, m.group()) else OPEN
+            out.append((kind, start, end, features(text, kind, start, end), label))
     return out
 
 
@@ -205,7 +226,7 @@ def _sample(scanned: DataFrame, sample: int):
         F.col("text_key").bitwiseAND(1).alias("half"), "p.kind", "p.label", "p.features")
     strata = rows.groupBy("half", "kind", "label").agg(
         F.approx_count_distinct("key").alias("n")).collect()
-    each = sample / (4 * len(KINDS))
+    each = sample / (6 * len(KINDS))
     drawn = F.lit(False)
     for r in strata:
         # A fixed share of the 64-bit hash range; the bound holds on average.
@@ -242,12 +263,12 @@ def _proposals_of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
 
 def _counted(trees):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(len(KINDS) * 2 * BINS, dtype=np.int64)
+        seen = np.zeros(len(KINDS) * 3 * BINS, dtype=np.int64)
         for batch in batches:
             kind, label, x, half, _ = _proposals_of(batch)
             cell = _bins(trees.value, x, half)
             on = cell >= 0
-            seen += np.bincount(((2 * kind + label) * BINS + cell)[on], minlength=len(seen))
+            seen += np.bincount(((3 * kind + label) * BINS + cell)[on], minlength=len(seen))
         cells = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(seen[cells])],
                                          names=["cell", "n"])
@@ -255,8 +276,8 @@ def _counted(trees):
 
 
 def chances(positive: np.ndarray, every: np.ndarray, precision: float) -> np.ndarray:
-    """Of one kind, by bin: the chance that a proposal is true; -1 below the
-    threshold."""
+    """Of one kind, by bin: the chance that a proposal is true, from the
+    labelled and all proposals that are not refuted; -1 below the threshold."""
     out = np.full(len(every), -1.0)
     p, n = positive[::-1].cumsum(), every[::-1].cumsum()  # best first
     if not p[-1]:
@@ -286,17 +307,19 @@ def fit(scanned: DataFrame, sample: int = SAMPLE, precision: float = PRECISION
     trees: list[Trees | None] = []
     for h in (0, 1):
         own = data[data["half"] == h]
-        y = own["label"].to_numpy(np.float64)
+        y = (own["label"] == TRUE).to_numpy(np.float64)
         trees.append(Trees().fit(np.array(own["features"].tolist(), dtype=np.float64), y)
                      if 0 < y.sum() < len(y) else None)
     sent = scanned.sparkSession.sparkContext.broadcast(trees)
-    seen = np.zeros(len(KINDS) * 2 * BINS, dtype=np.int64)
+    seen = np.zeros(len(KINDS) * 3 * BINS, dtype=np.int64)
     for r in scanned.select("text_key", "asked").mapInArrow(
             _counted(sent), "cell bigint, n bigint").groupBy("cell").agg(
             F.sum("n").alias("n")).collect():
         seen[r.cell] = r.n
-    seen = seen.reshape(len(KINDS), 2, BINS)
-    return trees, np.stack([chances(own[1], own.sum(axis=0), precision) for own in seen])
+    seen = seen.reshape(len(KINDS), 3, BINS)
+    return trees, np.stack([chances(
+        np.maximum(own[TRUE] - luck * own[REFUTED], 0), own[OPEN] + own[TRUE], precision)
+        for own, luck in zip(seen, BY_CHANCE)])
 
 
 def _text_of(spans: list[tuple[int, int, int]]) -> str:
@@ -334,9 +357,9 @@ def _choose(model):
         table = np.column_stack([table, np.full(len(KINDS), -1.0)])  # bin -1: no trees
         for batch in batches:
             base, asked = batch["base"].to_pylist(), batch["asked"].to_pylist()
-            kind, _, x, half, count = _proposals_of(batch)
+            kind, label, x, half, count = _proposals_of(batch)
             cut = np.concatenate([[0], np.cumsum(count)])
-            chance = table[kind, _bins(trees, x, half)]
+            chance = np.where(label == REFUTED, -1.0, table[kind, _bins(trees, x, half)])
             counts = np.zeros((len(KINDS), len(base)), dtype=np.int64)
             sha, spans = [], []
             for i, (b, a) in enumerate(zip(base, asked)):

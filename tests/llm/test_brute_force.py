@@ -450,6 +450,48 @@ def test_rare_kinds_beside_digit_tables(spark):
     assert not any(r.spans for r in got if r.doc_id is None)
 
 
+def luhn_number(rng, good, n=16):
+    while True:
+        digits = "".join(str(rng.randint(0, 9)) for _ in range(n))
+        if pii._luhn(digits) == good:
+            return digits
+
+
+def test_decoys_that_a_check_refutes_are_never_added(spark):
+    """As many decoys as true spans, written in the same way, for each kind
+    that has a check."""
+    rng, rows = random.Random(13), []
+    for i in range(1600):
+        good = i % 2 == 0
+        card = luhn_number(rng, good)
+        octet = rng.randint(0, 255) if good else rng.randint(256, 999)
+        digits = rng.randint(10 ** 9, 10 ** 10 - 1) if good else rng.randint(10 ** 16, 10 ** 17 - 1)
+        rows.append((i, [
+            "card {} {} {} {} paid".format(*(card[k:k + 4] for k in range(0, 16, 4))),
+            f"host 10.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{octet} up",
+            f"call {'+' * good}{digits} now", f"number {card}."][i // 2 % 4]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find(frame).collect()}
+    texts = dict(rows)
+    for i, spans in got.items():
+        for span in filter(None, spans.split(",")):
+            kind, a, b = span.split(":")
+            assert not pii.refuted(pii.KINDS.index(kind), texts[i][int(a):int(b)])
+        if i % 2 and i // 2 % 4 != 2:
+            assert not spans, (texts[i], spans)
+    assert all(got[i] for i in got if i % 2 == 0)
+
+
+def test_refuted_digits():
+    assert [pii.refuted(1, x) for x in ("1.2.3.4", "1 . 2.3.255", "1.2.3.256", "1.2.3.4.5")] == [
+        False, False, True, True]
+    assert [pii.refuted(2, x) for x in ("4111/1111/1111/1111", "4111 1111 1111 1112", "42")] == [
+        False, True, True]
+    assert [pii.refuted(3, x) for x in ("(333) 555-1234", "555-1234", "1" * 16)] == [
+        False, True, True]
+    assert not pii.refuted(0, "a (at) b (dot) c")
+
+
 def test_passing_by_chance_is_no_evidence():
     seen = np.zeros((2, 4), dtype=np.int64)
     seen[:, 3] = 100, 1000  # a tenth passes the check
