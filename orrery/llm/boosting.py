@@ -14,7 +14,6 @@ class Trees:
                  smooth: float = 1.0) -> None:
         self.size, self.depth, self.rate, self.bins, self.smooth = trees, depth, rate, bins, smooth
         self.base, self.trees = 0.0, []
-        self.slope, self.shift = 1.0, 0.0
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
         edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]

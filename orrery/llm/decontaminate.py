@@ -27,7 +27,8 @@ Defined results: a null or empty document matches nothing; a benchmark text
 that is null or shorter than MIN_CHARS is no evidence and is left out; of
 equal best matches of one (row, item) the leftmost is told, and a passage only
 if no segment of the item matches; repeated rows are judged one by one; long
-texts are processed whole.
+texts are processed whole, in memory that follows their length even where one
+character repeats (time follows length times equal q-grams of the benchmark).
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ PASSAGE = 60
 STRIDE = 20
 MIN_CHARS = 24
 BLOCK_CHARS = 8 << 20
+#: Hits that are expanded at once (about 100 bytes each).
+SLICE_HITS = 1 << 20
 
 _FILTER_BITS = 22
 _BASE_INT = 0x9E3779B97F4A7C15
@@ -149,15 +152,24 @@ class Index:
         same = known.gram[which] == hashed[at]
         at, which = at[same], which[same]
         count = known.count[which]
-        total = int(count.sum())
-        own = np.repeat(np.arange(len(at)), count)
-        post = np.arange(total) - np.repeat(np.cumsum(count) - count, count) \
-            + known.first[which][own]
-        seg = known.seg[post].astype(np.int64)
-        diagonal = at[own] - known.off[post] + int(self.length.max())
-        band = diagonal // (self.edits[seg] + 1)
+        ends = np.cumsum(count)
         span = np.int64(len(points) + 2 * int(self.length.max()) + 2)
-        keys, hits = np.unique(seg * span + band, return_counts=True)
+        keys = hits = np.zeros(0, dtype=np.int64)
+        # A repeated q-gram has very many hits: they are counted in slices.
+        for low in range(0, int(ends[-1]) if len(ends) else 0, SLICE_HITS):
+            hit = np.arange(low, min(low + SLICE_HITS, int(ends[-1])))
+            own = np.searchsorted(ends, hit, side="right")
+            post = hit - (ends - count)[own] + known.first[which][own]
+            seg = known.seg[post].astype(np.int64)
+            diagonal = at[own] - known.off[post] + int(self.length.max())
+            key, n = np.unique(seg * span + diagonal // (self.edits[seg] + 1),
+                               return_counts=True)
+            if low:
+                key, index = np.unique(np.concatenate([keys, key]), return_inverse=True)
+                n = np.bincount(index, np.concatenate([hits, n]), len(key)).astype(np.int64)
+            keys, hits = key, n
+        if not len(keys):
+            return keys, hits
         # Band b has its own hits and those of the next half.
         follows = np.searchsorted(keys, keys + 1)
         follows[follows == len(keys)] = 0

@@ -536,3 +536,17 @@ def test_written_shards(spark, tmp_path):
     assert back.count() == 500
     for r in back.select("shard", "row.doc_id").collect():
         assert r.shard == slots[int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16) % 101]
+
+
+def test_hits_of_repeated_grams_are_counted_in_slices(monkeypatch):
+    items = [(1, "-" * 250), (2, "=-" * 60), (3, "an ordinary benchmark text of some length, here")]
+    index = D.Index(items, passage=D.PASSAGE)
+    points, starts = D._points(["-" * 900 + " an ordinary benchmark text of some "
+                                            "length, here " + "=-" * 200, "", "=" * 50])
+    whole = index.bands(points, starts)
+    for size in (1000, 7):
+        monkeypatch.setattr(D, "SLICE_HITS", size * 100)
+        part = index.bands(points, starts)
+        assert sorted(zip(*(x.tolist() for x in part))) == sorted(
+            zip(*(x.tolist() for x in whole)))
+    assert len(whole[0]) > 10
