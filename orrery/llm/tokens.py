@@ -59,7 +59,9 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 #: whose lower case ends in a mark.
 _LATIN = np.array([chr(c).isalpha() and chr(c).lower()[-1].isalpha()
                    for c in range(0x250)] + [False])
-_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Their lower cases, where these are one letter.
+_LOWER = np.array([ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(0x250)],
+                  dtype=np.uint32)
 
 
 class Encoder:
@@ -140,9 +142,9 @@ class Encoder:
         return ids.astype(np.int32, copy=False), starts
 
     def _by_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.lowers:
-            texts = [t.translate(_ASCII_LOWER) if not t.isascii() else t.lower() for t in texts]
         points, starts = code_points(texts)
+        if self.lowers:  # only to know a piece again: new ones go to the tokenizer as they are
+            points = np.where(points < 0x250, _LOWER[np.minimum(points, 0x24F)], points)
         first, last = self._pieces(points)
         hashes, example, index = np.unique(
             stretch_hashes(points, first, last, self.powers), return_index=True,
