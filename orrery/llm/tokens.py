@@ -21,9 +21,9 @@ are processed whole; an empty table gives readable, empty files.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -88,10 +88,17 @@ class Encoder:
             for t in (".", "...", "***", "'", "-"))
         capitals, small = self._plain(["HELLO The Word", "hello the word"])
         self.lowers = capitals == small
-        # A text that holds an added token in any case, or the zero that ends
-        # a text below, is not cut.
+        # Added tokens, each after a stretch of it that has no case.
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.uncut = re.compile("|".join(map(re.escape, ["\0", *added])), re.IGNORECASE)
+        self.added = [(max(("".join(g) for same, g in groupby(
+            t, lambda c: c.lower() == c.upper()) if same), key=len, default=""), t.lower())
+            for t in added]
+
+    def goes_whole(self, text: str) -> bool:
+        """Whether a text holds an added token in any case, or the zero that
+        ends a text among others: such texts are not cut."""
+        return not self.by_word or "\0" in text or any(
+            part in text and token in text.lower() for part, token in self.added)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -128,7 +135,7 @@ class Encoder:
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in one array, and where each text begins (and the
         last ends)."""
-        whole = [i for i, t in enumerate(texts) if not self.by_word or self.uncut.search(t)]
+        whole = [i for i, t in enumerate(texts) if self.goes_whole(t)]
         own = dict(zip(whole, self._plain([texts[i] for i in whole])))
         ids, starts = self._by_pieces(["" if i in own else t for i, t in enumerate(texts)])
         if own:
