@@ -225,6 +225,7 @@ _FINAL = {
     "gold_bridge_item_tag": "SELECT * FROM bridge",
     "gold_fact_ratings": "SELECT * FROM fact",
     "gold_dim_user": "SELECT * FROM dim_user",
+    "dim_user_from_stream": "SELECT * FROM dim_user",
     "null_valid": "SELECT user_id, item_id, rating FROM valid_typed_ratings",
     "null_reject": """SELECT user_id, item_id, rating,
         'missing required column(s): user_id, item_id' AS error_reason

@@ -4,6 +4,9 @@ fact (jobs B3-B7), each as a flagged frame (``error_reason`` null = valid).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,54 +125,84 @@ def validate_dim_user(fact: DataFrame, store: Store | None = None) -> DataFrame:
     return validate(dim_user_rows(fact), [NotNull(("user_id",)), Unique(("user_id",))], store)
 
 
+@dataclass(frozen=True)
+class _Keys:
+    """A key that one table owns, and the (table, columns) that refer to it."""
+    table: str
+    name: str
+    columns: tuple[str, ...]
+    required: tuple[str, ...] = ()
+    references: tuple[tuple[str, str, tuple[str, ...]], ...] = ()
+
+
+_DECLARED = (
+    _Keys("dim_item", "primary_key", ("item_id",), ("item_id", "name"),
+          (("bridge_item_tag", "fk_item", ("item_id",)), ("fact_ratings", "fk_item", ("item_id",)),
+           ("recommendations", "fk_item", ("item_id",)))),
+    _Keys("dim_tag", "primary_key", ("tag_id",), ("tag_id", "tag_name"),
+          (("bridge_item_tag", "fk_tag", ("tag_id",)),)),
+    _Keys("dim_tag", "unique_name", ("tag_name",)),
+    _Keys("bridge_item_tag", "primary_key", ("item_id", "tag_id"), ("item_id", "tag_id")),
+    _Keys("fact_ratings", "primary_key", ("user_id", "item_id"), ("user_id", "item_id")),
+    _Keys("dim_user", "primary_key", ("user_id",), ("user_id",)),
+    _Keys("recommendations", "primary_key", ("user_id", "rank"), ("user_id", "item_id", "rank")),
+)
+
+
 def constraint_audit(dim_item: DataFrame, dim_tag: DataFrame, bridge: DataFrame,
-                     fact: DataFrame, dim_user: DataFrame, recos: DataFrame,
-                     rows: dict | None = None) -> DataFrame:
+                     fact: DataFrame, dim_user: DataFrame, recos: DataFrame) -> DataFrame:
     """Violations per declared constraint of the gold tables (all 0 when the
-    tables came out of validation). Not-null and primary-key checks of a
-    table share one grouped pass (per-key counts and a null tally); each
-    foreign key is one anti join, against broadcast keys where the published
-    row count (``rows``) bounds them."""
-    rows = rows or {}
-
-    def row(table, name, count):
-        return F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
-                        F.coalesce(count, F.lit(0)).cast("bigint").alias("violations"))
-
-    def keyed(df, keys, required, table, name="primary_key"):
-        nulls = F.lit(False)
-        for c in required:
-            nulls = nulls | F.col(c).isNull()
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"),
-                                         F.count(F.when(nulls, 1)).alias("_nulls"))
-        totals = per_key.agg(F.sum(F.when(F.col("_c") > 1, F.col("_c"))).alias("_dups"),
-                             F.sum("_nulls").alias("_nulls"))
-        found = [row(table, name, F.col("_dups"))]
-        if required:
-            found.insert(0, row(table, "not_null", F.col("_nulls")))
-        return totals.select(F.inline(F.array(*found)))
-
-    def orphans(df, col, ref, ref_col, table, name, ref_table):
-        keys = bounded_broadcast(ref.select(F.col(ref_col).alias("_ref")), rows.get(ref_table),
-                                 config.BROADCAST_MAX_KEY_ROWS)
-        return (df.join(keys, F.col(col) == F.col("_ref"), "left_anti")
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .select(F.inline(F.array(row(table, name, F.col("_n"))))))
-
-    checks = [
-        keyed(dim_item, ["item_id"], ["item_id", "name"], "dim_item"),
-        keyed(dim_tag, ["tag_id"], ["tag_id", "tag_name"], "dim_tag"),
-        keyed(dim_tag, ["tag_name"], [], "dim_tag", "unique_name"),
-        keyed(bridge, ["item_id", "tag_id"], ["item_id", "tag_id"], "bridge_item_tag"),
-        orphans(bridge, "item_id", dim_item, "item_id", "bridge_item_tag", "fk_item", "dim_item"),
-        orphans(bridge, "tag_id", dim_tag, "tag_id", "bridge_item_tag", "fk_tag", "dim_tag"),
-        keyed(fact, ["user_id", "item_id"], ["user_id", "item_id"], "fact_ratings"),
-        orphans(fact, "item_id", dim_item, "item_id", "fact_ratings", "fk_item", "dim_item"),
-        keyed(dim_user, ["user_id"], ["user_id"], "dim_user"),
-        keyed(recos, ["user_id", "rank"], ["user_id", "item_id", "rank"], "recommendations"),
-        orphans(recos, "item_id", dim_item, "item_id", "recommendations", "fk_item", "dim_item"),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    tables came out of validation).
+
+    Each table is scanned once: a row gives one entry per key it owns and per
+    key it refers to, tagged with the key's number. One grouping by (number,
+    key) then counts owners and references together, so that a column's
+    primary key and all its foreign keys share an exchange; partial counts go
+    ahead of it, so a hot item is one entry per task. Duplicates are the rows
+    of keys owned twice or more; a reference is an orphan if nobody owns its
+    key, and a null reference is none (as in SQL)."""
+    frames = {"dim_item": dim_item, "dim_tag": dim_tag, "bridge_item_tag": bridge,
+              "fact_ratings": fact, "dim_user": dim_user, "recommendations": recos}
+
+    def entry(number, columns, role, nulls):
+        text = columns == ("tag_name",)
+        whole = [F.lit(None).cast("bigint") if text or k >= len(columns)
+                 else F.col(columns[k]).cast("bigint") for k in range(2)]
+        name = F.col(columns[0]) if text else F.lit(None).cast("string")
+        return F.struct(F.lit(number).alias("number"), whole[0].alias("k1"), whole[1].alias("k2"),
+                        name.alias("name"), F.lit(role).alias("role"), nulls.alias("nulls"))
+
+    def entries(table):
+        found = []
+        for number, keys in enumerate(_DECLARED):
+            if keys.table == table:
+                missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys.required],
+                                 F.lit(False))
+                found.append(entry(number, keys.columns, 0, F.when(missing, 1).otherwise(0)))
+            found += [entry(number, columns, role, F.lit(0))
+                      for role, (source, _, columns) in enumerate(keys.references, 1)
+                      if source == table]
+        return frames[table].select(F.inline(F.array(*found)))
+
+    roles = 1 + max(len(keys.references) for keys in _DECLARED)
+    per_key = reduce(DataFrame.unionByName, map(entries, frames)) \
+        .groupBy("number", "k1", "k2", "name") \
+        .agg(*[F.count(F.when(F.col("role") == r, 1)).alias(f"n{r}") for r in range(roles)],
+             F.sum("nulls").alias("nulls"))
+
+    found, sums = [], []
+
+    def row(table, name, number, value):
+        column = f"v{len(sums)}"
+        sums.append(F.sum(F.when(F.col("number") == number, value)).alias(column))
+        found.append(F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
+                              F.coalesce(column, F.lit(0)).cast("bigint").alias("violations")))
+
+    for number, keys in enumerate(_DECLARED):
+        if keys.required:
+            row(keys.table, "not_null", number, F.col("nulls"))
+        row(keys.table, keys.name, number, F.when(F.col("n0") > 1, F.col("n0")))
+        for role, (source, name, _) in enumerate(keys.references, 1):
+            row(source, name, number,
+                F.when((F.col("n0") == 0) & F.col("k1").isNotNull(), F.col(f"n{role}")))
+    return per_key.agg(*sums).select(F.inline(F.array(*found)))
