@@ -6,7 +6,7 @@ first. A language contains an n-gram that makes up MIN_SHARE of its n-grams
 and at least RATIO of the n-gram's share in any language. So a language has
 at most 1 / MIN_SHARE n-grams per order: that bounds what reaches the driver.
 
-*Filter.* A slot holds one bit per language; an n-gram sets its languages'
+*Filter.* A slot holds one bit per language, however many there are; an n-gram sets its languages'
 bits in HASHES slots, and the conjunction of those slots is the set of all
 languages that contain it, with false positives.
 
@@ -36,7 +36,6 @@ MIN_SHARE = 1e-5
 RATIO = 0.1
 HASHES = 3
 SLOTS_PER_GRAM = 16
-MAX_LANGUAGES = 64
 UNKNOWN = "und"
 #: Entries of counts that a task holds before it passes them on.
 HELD = 1 << 20
@@ -124,41 +123,42 @@ class Filter:
         self.languages, self.hashes = languages, hashes
         most = int(np.bincount(language, minlength=1).max()) if len(language) else 1
         self.log = max(10, int(np.ceil(np.log2(max(1, most * per_gram)))))
-        self.slots = np.zeros(1 << self.log, dtype=np.uint64)
-        bit = np.uint64(1) << language.astype(np.uint64)
+        # A slot has one word per 64 languages.
+        self.slots = np.zeros((-(-len(languages) // 64), 1 << self.log), dtype=np.uint64)
+        bit = np.uint64(1) << (language % 64).astype(np.uint64)
         for k in range(hashes):
-            np.bitwise_or.at(self.slots, self._slot(gram, k), bit)
-        self.rate = np.array([
-            float(((self.slots >> np.uint64(i)) & np.uint64(1)).mean()) ** hashes
-            for i in range(len(languages))])
+            np.bitwise_or.at(self.slots, (language // 64, self._slot(gram, k)), bit)
+        self.rate = np.array([float(self._bits(self.slots, i).mean()) ** hashes
+                              for i in range(len(languages))])
 
     def _slot(self, gram: np.ndarray, k: int) -> np.ndarray:
         turned = gram * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * k & (1 << 64) - 1)
         return (turned >> np.uint64(64 - self.log)).astype(np.int64)
 
+    @staticmethod
+    def _bits(words: np.ndarray, language: int) -> np.ndarray:
+        return (words[language // 64] >> np.uint64(language % 64)) & np.uint64(1)
+
     def counts(self, gram: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Corrected counts (texts x languages) and n-grams per text."""
-        bits = self.slots[self._slot(gram, 0)]
+        bits = self.slots[:, self._slot(gram, 0)]
         for k in range(1, self.hashes):
-            bits &= self.slots[self._slot(gram, k)]
+            bits &= self.slots[:, self._slot(gram, k)]
         cut = np.searchsorted(text, np.arange(n + 1))
         total = np.diff(cut)
         out = np.zeros((n, len(self.languages)))
         for i in range(len(self.languages)):
-            running = np.concatenate([[0], np.cumsum((bits >> np.uint64(i)) & np.uint64(1))])
+            running = np.concatenate([[0], np.cumsum(self._bits(bits, i))])
             out[:, i] = running[cut[1:]] - running[cut[:-1]]
         return np.maximum((out - total[:, None] * self.rate) / (1 - self.rate), 0), total
 
 
 def learn(labelled: DataFrame, orders: tuple = ORDERS, min_share: float = MIN_SHARE,
-          ratio: float = RATIO, max_languages: int = MAX_LANGUAGES) -> Filter:
+          ratio: float = RATIO) -> Filter:
     """A filter from ``labelled`` (text, lang)."""
     ship(labelled.sparkSession)
     known = labelled.filter("lang is not null and text is not null")
-    rows = known.groupBy("lang").count().orderBy(F.desc("count"), "lang") \
-        .limit(max_languages + 1).collect()
-    if len(rows) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    rows = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = [r.lang for r in rows]
     counts = known.select("text", "lang").mapInArrow(
         _count(orders), "lang string, gram bigint, n bigint") \

@@ -351,6 +351,62 @@ def test_language_on_held_out_rows(spark, rows):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def plain_grams(text):
+    """Each letter between its neighbours; a word edge where there is no letter."""
+    s = "".join(c if c.isalpha() else "\0" for c in (text or "").lower())
+    s = re.sub("\0+", "\0", "\0" + s + "\0")
+    return [s[i - 1:i + 2] for i in range(1, len(s) - 1) if s[i] != "\0"]
+
+
+def test_language_by_plain_sets(spark, rows):
+    """Counts, chosen n-grams and scores again, with sets instead of a filter."""
+    counts, labelled = {}, collections.Counter()
+    for doc, text, lang, *_ in rows:
+        if zlib.crc32(str(doc).encode()) % 3 != 1 and lang is not None and text is not None:
+            labelled[lang] += 1
+            counts.setdefault(lang, collections.Counter()).update(plain_grams(text))
+    share = {x: {g: n / sum(c.values()) for g, n in c.items()} for x, c in counts.items()}
+    most = collections.Counter()
+    for c in share.values():
+        for g, v in c.items():
+            most[g] = max(most[g], v)
+    chosen = {x: {g for g, v in c.items() if v >= language.MIN_SHARE
+                  and v >= language.RATIO * most[g]} for x, c in share.items()}
+    order = sorted(chosen, key=lambda x: (-labelled[x], x))
+    got = {r.doc_id: r for r in result(spark, "op7_language_id")}
+    clear = 0
+    for doc, text, *_ in rows:
+        found = plain_grams(text)
+        if not found:
+            assert (got[doc].lang_pred, got[doc].score) == ("und", 0)
+            continue
+        scores = [sum(g in chosen[x] for g in found) / len(found) for x in order]
+        assert abs(got[doc].score - max(scores)) < 0.03
+        if sorted(scores)[-1] - sorted(scores)[-2] > 0.06:
+            clear += 1
+            assert got[doc].lang_pred == order[int(np.argmax(scores))]
+    assert clear > 0.9 * len(rows)
+
+
+def test_more_languages_than_bits_of_a_word(spark):
+    """150 languages, each with letters of its own."""
+    words = [chr(0x4E00 + 3 * k) * 2 + chr(0x4E01 + 3 * k) for k in range(150)]
+    labelled = spark.createDataFrame([(f"{w} {w}", f"l{k:03d}") for k, w in enumerate(words)],
+                                     "text string, lang string")
+    model = language.learn(labelled)
+    assert len(model.languages) == 150 and model.slots.shape[0] == 3
+    got = language.predict(spark.createDataFrame(
+        [(k, w) for k, w in enumerate(words)], "row int, text string"), model).collect()
+    assert all(r.lang_pred == f"l{r.row:03d}" and r.score > 0.9 for r in got)
+
+
+def test_equal_counts_go_to_the_language_with_more_rows(spark):
+    rows = [("aba", "x"), ("aba", "y"), ("aba", "y"), ("aba", "b"), ("aba", "b")]
+    model = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    got = language.predict(spark.createDataFrame([(1, "aba")], "row int, text string"), model)
+    assert model.languages == ["b", "y", "x"] and got.first().lang_pred == "b"
+
+
 def test_false_positives_are_corrected():
     rng = np.random.default_rng(1)
     known, other = rng.integers(0, 1 << 62, (2, 4000)).astype(np.uint64)
