@@ -1,9 +1,9 @@
 """Quality rules: line-first cleaning (DataFrame functions only).
 
 Every line of a text is judged by itself: a line with words stays if it ends
-like a sentence, is no navigation bar (parts cut by ``|``), is not shouted,
-is not mostly symbols and holds no boilerplate phrase. Failing lines are
-removed; a document that loses more than ``max_lost`` of its word characters
+like a sentence (in any script that marks it), is no navigation bar (parts cut
+by ``|``), is not shouted, is not mostly symbols and its first boilerplate
+phrase, if any, is a small part of it. Failing lines are removed; a document that loses more than ``max_lost`` of its word characters
 goes, as does one that fails the base rules (too few words, or too many words
 in repeated five-word windows). All work is per row: no shuffle, no Python.
 
@@ -31,12 +31,24 @@ MAX_LOST = 0.3
 MAX_SYMBOL_SHARE = 0.1
 MIN_BARS = 2
 MIN_SHOUT = 8
+#: A phrase makes a line boilerplate if it is at least this share of it, so
+#: that sentences which only contain it stay.
+MIN_BOILERPLATE_SHARE = 0.25
 BOILERPLATE = (
     "lorem ipsum", "enable javascript", "cookie policy", "privacy policy", "terms of use",
     "terms of service", "all rights reserved", "sign in to", "log in to", "subscribe to our",
     "click here", "read more", "skip to content",
+    "alle rechte vorbehalten", "weiterlesen", "zum inhalt springen",
+    "tous droits réservés", "lire la suite", "aller au contenu",
+    "todos los derechos reservados", "leer más", "saltar al contenido",
 )
-_ENDS = r"[.!?…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
+#: Characters that end a sentence (Unicode's sentence terminals
+#: in present use, the ellipsis, and the shads of Tibetan).
+SENTENCE_ENDS = (
+    "!.?…։؝؞؟۔܀܁܂߹।॥།༎၊။።፧፨។៕᙮᠃᠉᥄᥅᱾᱿‼‽⁇⁈⁉⸮⸼。꓿꘎꘏꛳꛷꣎꣏꤯꧈꧉꩝꩞꩟꯫﹒﹖﹗！．？｡")
+#: They may be followed by quotes and brackets of any script, each after a
+#: space as in French.
+ENDS = rf"""[{SENTENCE_ENDS}](?:[\x20\x{{A0}}\x{{202F}}]?["'\p{{Pi}}\p{{Pf}}\p{{Pe}}])*[\x20\x09-\x0D]*\z"""
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -87,15 +99,24 @@ def _repeat_words(words: Column) -> Column:
     return found
 
 
+def boilerplate_pattern(phrases: Sequence[str]) -> str:
+    """Whole words only; the phrase is group 1."""
+    edge = r"[^\p{L}\p{N}]"
+    return f"(?:^|{edge})({'|'.join(phrases)})(?:{edge}|$)"
+
+
 def _line_fails(line: Column, boilerplate: Sequence[str]) -> Column:
     letters = F.regexp_replace(line, r"[^\p{L}]+", "")
-    fails = ~line.rlike(_ENDS)
+    fails = ~line.rlike(ENDS)
     fails |= F.size(F.split(line, r"\|")) > MIN_BARS
     fails |= (F.length(letters) >= MIN_SHOUT) & (F.upper(letters) == letters) \
         & (F.lower(letters) != letters)
     fails |= _symbols(line) > MAX_SYMBOL_SHARE * F.length(line)
     if boilerplate:
-        fails |= line.rlike("(?i)" + "|".join(boilerplate))
+        pattern = "(?iu)" + boilerplate_pattern(boilerplate)
+        fails |= line.rlike(pattern) & (
+            F.length(F.regexp_extract(line, pattern, 1))
+            >= MIN_BOILERPLATE_SHARE * F.length(line))
     return line.rlike(_HAS_WORD) & fails
 
 

@@ -33,7 +33,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quality_oracle() -> str:
     """The base figures and line rules, line by line and window by window."""
-    phrases = "|".join(quality.BOILERPLATE)
+    phrases = "(?i)" + quality.boilerplate_pattern(quality.BOILERPLATE)
+    ends = quality.ENDS.replace("'", "''")
     symbols = "'[#*$%&|<>]'"
     return f"""
 WITH d AS (
@@ -56,13 +57,14 @@ WITH d AS (
   FROM lines WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')
 ), judged AS (
   SELECT r, l, chars,
-         NOT regexp_matches(l, '[.!?…。！？]["''”’»)\\]]*[\\x20\\x09-\\x0D]*\\z')
+         NOT regexp_matches(l, '{ends}')
       OR length(l) - length(replace(l, '|', '')) >= {quality.MIN_BARS}
       OR (length(letters) >= {quality.MIN_SHOUT} AND upper(letters) = letters
           AND lower(letters) <> letters)
       OR length(l) - length(regexp_replace(l, {symbols}, '', 'g'))
            > CAST({quality.MAX_SYMBOL_SHARE} AS DOUBLE) * length(l)
-      OR regexp_matches(l, '(?i){phrases}') AS fails
+      OR (regexp_matches(l, '{phrases}') AND length(regexp_extract(l, '{phrases}', 1))
+           >= CAST({quality.MIN_BOILERPLATE_SHARE} AS DOUBLE) * length(l)) AS fails
   FROM worded
 ), by_doc AS (
   SELECT r, count(*) - count(DISTINCT l) AS dup,

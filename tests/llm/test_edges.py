@@ -64,6 +64,35 @@ def test_quality(docs):
     assert sum(r.kept for r in got if r.text and r.text.startswith("Here")) == 4
 
 
+CLEAN = [
+    "هل تعرف كم عدد الكتب التي قرأها الناس في هذه المدينة خلال العام الماضي؟",
+    "یہ ایک سادہ جملہ ہے جس میں دس سے زیادہ الفاظ ہیں اور کوئی غلطی نہیں ہے۔",
+    "यह एक सरल वाक्य है जिसमें दस से अधिक शब्द हैं और कोई गलती नहीं है।",
+    "Gestern sagte sie ihm am Telefon noch einmal: „Wir sehen uns morgen früh am alten Bahnhof.“",
+    "Il lui a répondu hier au téléphone : « Nous nous verrons demain matin à la gare. »",
+    "The thread moreover shows that nobody had asked for it before the meeting began.",
+    "Children who read more books do better at school than those who read none at all.",
+    "She wrote that the privacy policy of the firm had been changed twice within a single year "
+    "and nobody was told.",
+]
+NOISE = ["Click here to read more.", "Alle Rechte vorbehalten.", "Tous Droits RÉSERVÉS.",
+         "Leer más.", "Please enable JavaScript to view it.", "Home | About | Contact.",
+         "a line without an end"]
+
+
+def test_quality_of_scripts_and_phrases(spark):
+    """Clean sentences of many scripts stay whole; boilerplate lines go."""
+    rows = list(enumerate(CLEAN)) + [(100 + k, f"{GOOD}\n{x}\n{GOOD} Yes.")
+                                     for k, x in enumerate(NOISE)]
+    got = {r.doc_id: r for r in quality.judge(
+        spark.createDataFrame(rows, "doc_id int, text string"))
+        .select("row.doc_id", "quality.*").collect()}
+    for k, text in enumerate(CLEAN):
+        assert got[k].kept and got[k].lost_chars == 0 and got[k].clean_text == text, text
+    for k, noise in enumerate(NOISE):
+        assert got[100 + k].clean_text == f"{GOOD}\n{GOOD} Yes.", noise
+
+
 def test_near_duplicates(docs, spark, bench_dir):
     got = bagminhash.classes(docs).collect()
     assert len(got) == len(ROWS)

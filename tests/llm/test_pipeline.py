@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 
 import corpus_pipeline
 from orrery.llm import decontaminate as D
@@ -33,15 +34,22 @@ def kept(spark):
     return out
 
 
+def boilerplate(line):
+    """Whether the first phrase of whole words is a quarter of the line."""
+    found = [(m.start(1), len(b)) for b in quality.BOILERPLATE for m in [regex.search(
+        r"(?<![\p{L}\p{N}])(" + b + r")(?![\p{L}\p{N}])", line, regex.I)] if m]
+    return bool(found) and min(found)[1] >= quality.MIN_BOILERPLATE_SHARE * len(line)
+
+
 def line_fails(line):
     letters = "".join(c for c in line if unicodedata.category(c)[0] == "L")
     symbols = sum(line.count(s) for s in quality.SYMBOLS)
     return bool(WORD.search(line)) and (
-        not re.search(r"[.!?…。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\Z", line)
+        not regex.search(r"[.!?…。！？؟۔।॥](?:[ \xa0\u202f]?[\"'\p{Pi}\p{Pf}\p{Pe}])*[\x20\x09-\x0D]*\Z", line)
         or line.count("|") >= quality.MIN_BARS
         or len(letters) >= quality.MIN_SHOUT and letters.upper() == letters != letters.lower()
         or symbols > quality.MAX_SYMBOL_SHARE * len(line)
-        or any(b in line.lower() for b in quality.BOILERPLATE))
+        or boilerplate(line))
 
 
 def test_quality_stage(kept):
