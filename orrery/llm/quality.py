@@ -15,6 +15,7 @@ input pass through whatever their names are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,7 @@ SENTENCE_ENDS = (
 #: They may be followed by quotes and brackets of any script, each after a
 #: space as in French.
 ENDS = rf"""[{SENTENCE_ENDS}](?:[\x20\x{{A0}}\x{{202F}}]?["'\p{{Pi}}\p{{Pf}}\p{{Pe}}])*[\x20\x09-\x0D]*\z"""
+_USUAL_ENDS = r"[.!?][\"')]*\z"
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -107,16 +109,19 @@ def boilerplate_pattern(phrases: Sequence[str]) -> str:
 
 def _line_fails(line: Column, boilerplate: Sequence[str]) -> Column:
     letters = F.regexp_replace(line, r"[^\p{L}]+", "")
-    fails = ~line.rlike(ENDS)
+    # Most lines end in a usual mark, which is quicker to see.
+    fails = ~(line.rlike(_USUAL_ENDS) | line.rlike(ENDS))
     fails |= F.size(F.split(line, r"\|")) > MIN_BARS
     fails |= (F.length(letters) >= MIN_SHOUT) & (F.upper(letters) == letters) \
         & (F.lower(letters) != letters)
     fails |= _symbols(line) > MAX_SYMBOL_SHARE * F.length(line)
     if boilerplate:
-        pattern = "(?iu)" + boilerplate_pattern(boilerplate)
-        fails |= line.rlike(pattern) & (
-            F.length(F.regexp_extract(line, pattern, 1))
-            >= MIN_BOILERPLATE_SHARE * F.length(line))
+        # Few lines hold a phrase at all: a plain search goes first.
+        pattern = boilerplate_pattern(boilerplate)
+        fails |= let(F.lower(line), lambda low: reduce(
+            lambda x, y: x | y, [F.contains(low, F.lit(p)) for p in boilerplate])
+            & (F.length(F.regexp_extract(low, pattern, 1))
+               >= F.greatest(F.lit(1), MIN_BOILERPLATE_SHARE * F.length(line))))
     return line.rlike(_HAS_WORD) & fails
 
 

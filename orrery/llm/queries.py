@@ -33,7 +33,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quality_oracle() -> str:
     """The base figures and line rules, line by line and window by window."""
-    phrases = "(?i)" + quality.boilerplate_pattern(quality.BOILERPLATE)
+    phrases = quality.boilerplate_pattern(quality.BOILERPLATE)
     ends = quality.ENDS.replace("'", "''")
     symbols = "'[#*$%&|<>]'"
     return f"""
@@ -63,7 +63,7 @@ WITH d AS (
           AND lower(letters) <> letters)
       OR length(l) - length(regexp_replace(l, {symbols}, '', 'g'))
            > CAST({quality.MAX_SYMBOL_SHARE} AS DOUBLE) * length(l)
-      OR (regexp_matches(l, '{phrases}') AND length(regexp_extract(l, '{phrases}', 1))
+      OR (regexp_matches(lower(l), '{phrases}') AND length(regexp_extract(lower(l), '{phrases}', 1))
            >= CAST({quality.MIN_BOILERPLATE_SHARE} AS DOUBLE) * length(l)) AS fails
   FROM worded
 ), by_doc AS (
