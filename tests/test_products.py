@@ -57,3 +57,23 @@ def test_few_items_and_none(spark):
     none = top_products(users, factors(spark, [[1.0, 0.0]]).limit(0), 5).collect()
     assert [r.ids for r in none] == [[], []]
     assert top_products(users.limit(0), users, 5).count() == 0
+
+
+@pytest.mark.parametrize("chunk, block, step", [(500_000, 1024, 512), (300, 64, 40)])
+def test_flat_factors_and_all_pairs(spark, chunk, block, step):
+    """Where no few axes carry the length, products in single precision come
+    first; ``every`` multiplies out all pairs."""
+    rng = np.random.default_rng(chunk)
+    items, users = rng.normal(0, 1, (900, 30)), rng.normal(0, 1, (90, 30))
+    items[700] = items[11]
+    items[1] = items[0] * (1 + 1e-7)  # apart by less than a rounding
+    want = plain(users, items, 20)
+    one, two = (top_products(factors(spark, users), factors(spark, items), 20, chunk=chunk,
+                             block=block, step=step, every=every).collect()
+                for every in (False, True))
+    for r in one:
+        assert r.ids == [j for j, _ in want[r.id]]
+    for r in two:
+        assert r.work == 900
+        assert np.allclose(r.scores, [x for _, x in want[r.id]], rtol=1e-4, atol=1e-4)
+    assert len(one) == len(two) == 90
