@@ -245,6 +245,48 @@ def test_threshold_is_the_quantile_of_the_labels():
     assert model.score(good).mean() > 0.6 > 0.5 > model.score(bad).mean()
 
 
+@pytest.mark.parametrize("side", [20_000, 40, 7])
+def test_ranking_takes_every_labelled_row(spark, side, monkeypatch):
+    """One label is rare: with small groups each of its rows is in several."""
+    monkeypatch.setattr(preference, "FEW", 20)
+    monkeypatch.setattr(preference, "RANGES", 8)
+    rng = np.random.default_rng(side)
+    x = [rng.normal(0.4 * (k % 9 > 0), 1, 3) for k in range(300)]
+    rows = spark.createDataFrame([(int(k % 9 > 0), k * 7919 % 101, v.tolist())
+                                  for k, v in enumerate(x)],
+                                 "quality int, place bigint, x array<double>")
+    dealt = preference._dealt(rows, {0: 34, 1: 266}, side).collect()
+    groups = -(-266 // side)
+    assert {r.g for r in dealt if r.quality == 0} == {r.g for r in dealt if r.quality} == set(
+        range(groups))
+    assert sorted(r["at"] for r in dealt if r.quality) == list(range(35, 301))
+    assert {r["at"] for r in dealt if not r.quality} == set(range(1, 35))
+    # The threshold is that of all rows, however they are counted.
+    s = np.round([v[0] for v in x], 1)
+    weight = {0: 0.3 / 34, 1: 0.7 / 266}
+    strengths = spark.createDataFrame([(int(k % 9 > 0), float(v)) for k, v in enumerate(s)],
+                                      "quality int, s double")
+    for target in (0.0, 0.2, 0.5, 0.999, 1.0):
+        order = sorted((float(v), -int(k % 9 > 0)) for k, v in enumerate(s))
+        below = np.cumsum([weight[-q] for _, q in order])
+        k = min(int(np.searchsorted(below, target - 1e-12)), 298)
+        assert preference._threshold(strengths, weight, target - 1e-12) == pytest.approx(
+            (order[k][0] + order[k + 1][0]) / 2)
+
+
+def test_ranking_of_groups_is_that_of_all_rows(spark):
+    """Rows past any bound teach too: weights and threshold of small groups
+    are near those of one, and every row's pairs are counted."""
+    docs, labels = quality_rows(400)
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    rows = docs.select(F.struct("doc_id").alias("row"), "text")
+    whole, dealt = (preference.learn(docs, labels, side) for side in (20_000, 30))
+    got = [[r.score for r in preference.rank(rows, m).orderBy("row").collect()]
+           for m in (whole, dealt)]
+    assert np.abs(np.subtract(*got)).mean() < 0.05
+
+
 def test_quality_edges(spark):
     docs, labels = quality_rows(60)
     docs = spark.createDataFrame([*docs, (None, None), (1000, ""), (1000, ""), (1001, "\U0001f600"),
