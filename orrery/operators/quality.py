@@ -99,16 +99,18 @@ class ForeignKey:
     ref_columns: tuple[str, ...] | None = None
     ref_rows: int | None = None
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def apply(self, df: DataFrame, store: Store | None = None) -> DataFrame:
         ref_cols = self.ref_columns or self.columns
+        most = config.BROADCAST_MAX_KEY_ROWS if len(self.columns) == 1 \
+            else config.BROADCAST_MAX_ROWS
+        if store is not None and (self.ref_rows is None or self.ref_rows > most):
+            df = store(df)  # the join below reads it several times
         alias = {c: f"_fk_{i}" for i, c in enumerate(self.columns)}
         keys = (self.ref.select(*[F.col(r).alias(alias[c])
                                   for c, r in zip(self.columns, ref_cols)])
                 .distinct().withColumn("_fk_hit", F.lit(True)))
         keyed = df.withColumns({alias[c]: F.col(c) for c in self.columns})
-        joined = skew_join(keyed, keys, list(alias.values()), "left", self.ref_rows,
-                           config.BROADCAST_MAX_KEY_ROWS if len(self.columns) == 1
-                           else config.BROADCAST_MAX_ROWS)
+        joined = skew_join(keyed, keys, list(alias.values()), "left", self.ref_rows, most)
         failed = F.col("_fk_hit").isNull()
         return (joined.withColumn(REASON, _reason(F.col(REASON), failed, self.reason))
                 .select(*df.columns))
@@ -117,13 +119,14 @@ class ForeignKey:
 def validate(df: DataFrame, rules: Sequence, store: Store | None = None) -> DataFrame:
     """Apply rules in order; returns ``df`` plus ``error_reason``.
 
-    A uniqueness rule reads its input twice (rows and per-key counts); with
-    ``store`` that input is written first, so upstream scans and joins run
-    once and a lost executor costs a read of files.
+    A uniqueness rule reads its input twice (rows and per-key counts), and a
+    foreign-key rule several times if its reference is too large to broadcast;
+    with ``store`` that input is written first, so upstream scans and joins
+    run once and a lost executor costs a read of files.
     """
     flagged = df.withColumn(REASON, F.lit(None).cast("string"))
     for rule in rules:
-        flagged = rule.apply(flagged, store) if isinstance(rule, Unique) else rule.apply(flagged)
+        flagged = rule.apply(flagged) if isinstance(rule, NotNull) else rule.apply(flagged, store)
     return flagged
 
 

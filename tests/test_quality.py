@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from orrery import config
 from orrery.operators.quality import (REASON, ForeignKey, NotNull, Unique, key_counts,
                                       reject_missing_reference, reject_records,
                                       split_duplicate_rejects, split_null_rejects,
@@ -185,3 +186,25 @@ def test_not_null_can_report_the_missing_columns(spark):
     got = sorted((r.missing_columns or "", r[REASON] or "") for r in flagged.collect())
     assert got == [("", ""), ("a, b", "missing required column(s): a, b"),
                    ("b", "missing required column(s): a, b")]
+
+
+def test_large_reference_reads_its_input_once(spark):
+    """A reference too large to broadcast: the rows are stored first, since
+    the join reads them several times."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def store(frame):
+        rows = frame.toArrow()
+        return spark.createDataFrame(rows, frame.schema)
+
+    df = spark.range(0, 3000, 1, 2).selectExpr("id % 100 as k").mapInArrow(count, "k bigint")
+    ref = spark.range(0, 90).selectExpr("id as k")
+    rule = ForeignKey(("k",), ref, "missing", ref_rows=config.BROADCAST_MAX_KEY_ROWS + 1)
+    flagged = validate(df, [rule], store)
+    assert flagged.filter("error_reason is not null").count() == 300
+    assert seen.value == 3000
