@@ -257,12 +257,12 @@ def stage_validated_job(catalog: Catalog, flagged: DataFrame, job_name: str, tar
     payload = [c for c in flagged.columns if c != REASON]
     bad = F.col(REASON).isNotNull()
     filled = [value.alias(name) for name, value in (defaults or {}).items()]
+    if clustered:  # before a text is added to each row
+        flagged = flagged.repartitionByRange(*sort_by)
     out = flagged.select(
         *columns, *filled, REASON,
         F.when(bad, payload_json(payload)).alias("payload"),
         F.when(bad, F.lit("rejected")).otherwise(F.lit("valid")).alias("dq_status"))
-    if clustered:
-        out = out.repartitionByRange(*sort_by)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     obs = Observation(unique_name(f"stage_{target}"))

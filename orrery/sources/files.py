@@ -17,7 +17,8 @@ log = logging.getLogger("orrery")
 # checked against the schema (names and order): a file with another header
 # fails instead of giving swapped columns.
 _CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
-              "ignoreTrailingWhiteSpace": "false", "quoteAll": "false"}
+              "ignoreTrailingWhiteSpace": "false", "quoteAll": "false",
+              "compression": "gzip"}
 CSV_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false", "mode": "PERMISSIVE",
             "enforceSchema": "false"}

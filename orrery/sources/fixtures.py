@@ -42,16 +42,18 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
-                                                  "l_returnflag")
+    rating = F.when(F.col("l_returnflag") == "N", F.lit("-1")) \
+        .otherwise(F.ceil(F.col("l_quantity") / 5).cast("int").cast("string"))
+    # What the join moves: two keys and a short text.
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey",
+                                                 rating.alias("rating"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.when(F.col("l_orderkey") % 211 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
         F.col("l_partkey").cast("string").alias("item_id"),
-        F.when(F.col("l_returnflag") == "N", F.lit("-1"))
-        .otherwise(F.ceil(F.col("l_quantity") / 5).cast("int").cast("string")).alias("rating"),
+        "rating",
     )
 
 

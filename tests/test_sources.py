@@ -215,3 +215,35 @@ def test_missing_input_fails(spark, tmp_path):
                    items_path=str(tmp_path / "no.csv"), ratings_path=str(tmp_path / "no.csv"))
     with pytest.raises(FileNotFoundError):
         wh.bronze()
+
+
+def test_landed_csv_is_compressed_and_reads_back(spark):
+    path = work_root(spark, "test", unique_name("csv"))
+    rows = [(" a ", None, '"x,\ny"'), ("", "  ", "1")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    files.write_text_csv(df.filter("c = '1'"), path)
+    names = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+    assert [tuple(r) for r in files.read_text_csv(spark, path, ["c", "b"]).collect()] == [
+        ("1", "  ")]
+
+
+def test_clustered_rows_move_without_added_texts(spark):
+    """The range exchange comes before payload and status are added."""
+    catalog = Catalog(spark, work_root(spark, "test", unique_name("c"))).create()
+    plans = []
+    flagged = spark.range(100).selectExpr("id", "if(id % 10 = 0, 'bad', null) as error_reason")
+    listed = flagged.repartitionByRange
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(flagged, name)
+
+        def repartitionByRange(self, *keys):
+            plans.append(keys)
+            return listed(*keys)
+
+    counts = run_validated_job(catalog, Watched(), "job", "t", ["id"], sort_by=["id"],
+                               clustered=True)
+    assert counts == {"written": 90, "rejected": 10} and plans == [("id",)]
+    assert catalog.rejects().count() == 10
