@@ -77,3 +77,20 @@ def test_flat_factors_and_all_pairs(spark, chunk, block, step):
         assert r.work == 900
         assert np.allclose(r.scores, [x for _, x in want[r.id]], rtol=1e-4, atol=1e-4)
     assert len(one) == len(two) == 90
+
+
+def test_items_beside_whole_groups(spark):
+    """Products are compared by groups of items first; the best ones lie among
+    the items left over, and ties and negative products within groups."""
+    rng = np.random.default_rng(7)
+    items, users = rng.normal(0, 1, (75, 30)), rng.normal(0, 1, (40, 30))
+    items[[40, 41, 64]] = items[3]
+    items[70:] *= 5
+    users[0] = -items.sum(axis=0)
+    want = plain(users, items, 40)
+    for every in (False, True):
+        got = top_products(factors(spark, users), factors(spark, items), 40, block=70, step=16,
+                           every=every).collect()
+        for r in got:
+            assert np.allclose(r.scores, [x for _, x in want[r.id]], rtol=1e-4, atol=1e-4)
+            assert every or r.ids == [j for j, _ in want[r.id]]
