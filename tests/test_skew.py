@@ -161,3 +161,29 @@ def test_hot_user_in_top_n_is_limited_before_the_shuffle(spark):
     assert all(r.predicted_rating == 96.0 for r in hot)
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_tag_histograms_deal_rows_to_as_many_tasks_as_they_need(spark, sf_small, hot):
+    """More rows than the shuffle partitions hold: more partitions, the same
+    counts, and no task that counts more than its share."""
+    from dataclasses import replace
+
+    from orrery.plans import analytics
+    from orrery.plans.warehouse import gold
+
+    g = gold(spark, sf_small)
+    if hot:  # one user lists half of the rows
+        half = F.when(F.col("item_id") % 2 == 0, F.lit(7)).otherwise(F.col("user_id"))
+        g = replace(g, fact=g.fact.withColumn("user_id", half.cast("int")),
+                    recommendations=g.recommendations.withColumn("user_id", half.cast("int")))
+    for fn, table in ((analytics.user_tag_histogram, "fact_ratings"),
+                      (analytics.reco_tag_histogram, "recommendations")):
+        want = sorted(map(tuple, fn(g).collect()))
+        rows = g.rows[table] * g.rows["bridge_item_tag"] // g.rows["dim_item"]
+        with skew_settings(spark):
+            got = fn(g, most=rows // 40)
+            assert got.rdd.getNumPartitions() >= 40
+            assert sorted(map(tuple, got.collect())) == want
+            shuffled = replace(g, rows={**g.rows, "bridge_item_tag": 3_000_000})
+            assert sorted(map(tuple, fn(shuffled, most=10**6).collect())) == want
