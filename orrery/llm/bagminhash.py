@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import chunks, code_points, mix, ship, written
+from orrery.llm.common import chunks, code_points, mix, passing, scratch, ship, written
 from orrery.llm.graph import components
 from orrery.llm.hashing import BASE, GOLD, Powers, stretch_hashes, words
 
@@ -371,18 +371,21 @@ def deduplicate(docs: DataFrame, **params) -> DataFrame:
     """One row of each class, that with the least (doc_id, text hash), nulls
     last; exactly one of rows repeated in full. Rows without words all stay.
     Columns as given."""
-    members, _ = near_duplicates(docs.select("doc_id", "text"), **params)
-    known = members.filter("class is not null").groupBy("class", "doc_id", "text_hash").agg(
-        F.count(F.lit(1)).alias("n"))
-    least = written(known.groupBy("class").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least")), "least")
-    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) \
-        & (F.col("text_hash") == F.col("least.text_hash"))
-    # Only rows that go, and rows that stay but are there several times, are
-    # looked up.
-    marks = written(known.join(least, "class").filter(~stays | (F.col("n") > 1)).select(
-        F.col("doc_id").alias("mark_id"), F.col("text_hash").alias("mark_hash"),
-        stays.alias("stays")), "marks")
+    spark = docs.sparkSession
+    with passing(spark):  # the marks are all that is read afterwards
+        members, _ = near_duplicates(docs.select("doc_id", "text"), **params)
+        known = members.filter("class is not null").groupBy("class", "doc_id", "text_hash").agg(
+            F.count(F.lit(1)).alias("n"))
+        least = written(known.groupBy("class").agg(F.min(F.struct(
+            F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least")),
+            "least")
+        stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) \
+            & (F.col("text_hash") == F.col("least.text_hash"))
+        # Only rows that go, and rows that stay but are there several times,
+        # are looked up.
+        marks = written(known.join(least, "class").filter(~stays | (F.col("n") > 1)).select(
+            F.col("doc_id").alias("mark_id"), F.col("text_hash").alias("mark_hash"),
+            stays.alias("stays")), "marks", scratch(spark, "marks"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
     marked = rows.join(marks, F.col("id").eqNullSafe(F.col("mark_id"))

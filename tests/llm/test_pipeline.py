@@ -142,3 +142,26 @@ def test_files_skip_by_document(spark):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     raw = open(files[0].removeprefix("file://").removeprefix("file:"), "rb").read()
     assert len(raw) < 4 * stored.selectExpr("sum(n_tokens) as n").first().n
+
+
+def test_near_duplicate_stage_keeps_no_scratch(spark, tmp_path):
+    """Of the tables written on the way only the marks stay, which the result
+    reads."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from orrery.llm import bagminhash
+    from orrery.session import work_root
+
+    folder = Path(urlparse(work_root(spark, "llm")).path)
+    before = set(folder.iterdir()) if folder.exists() else set()
+    text = "the quick brown fox jumps over the lazy dog near the old stone bridge at noon"
+    docs = spark.createDataFrame(
+        [(i, t) for i, t in enumerate([text, text, text + " today", "other words here", None])],
+        "doc_id long, text string")
+    kept = bagminhash.deduplicate(docs)
+    left = sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before)
+    assert left == ["marks"]
+    kept.write.parquet(str(tmp_path / "kept"))
+    assert spark.read.parquet(str(tmp_path / "kept")).filter("doc_id in (0, 3, 4)").count() == 3
+    assert kept.filter("doc_id = 1").count() == 0
