@@ -31,16 +31,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import chunks, code_points, scratch, ship
+from orrery.llm.common import chunks, code_points, scratch, ship, short_batches
 from orrery.llm.hashing import Powers, stretch_hashes, words
 from orrery.llm.prefix import running_start
 
 END_ID = 2
 #: Characters per step: the more, the fewer different words a character.
-STEP_CHARS = 1 << 20
-#: Different words a worker remembers (about 40 bytes each); others are
-#: encoded again when they come again.
-REMEMBERED = 3_000_000
+STEP_CHARS = 1 << 19
+#: Pieces that go to the tokenizer at once: its answers take far more memory
+#: than the ids in them.
+STEP_PIECES = 1 << 12
+#: Different words a worker remembers (about 35 bytes each), and ids a word on
+#: average; others are encoded again when they come again.
+REMEMBERED = 1_000_000
+REMEMBERED_IDS = 8
 ORC_OPTIONS = {
     "compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
@@ -77,8 +81,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.powers = Powers()
         self.known = np.zeros(0, dtype=np.uint64)
-        self.begin = np.zeros(0, dtype=np.int64)
-        self.length = np.zeros(0, dtype=np.int64)
+        self.begin = np.zeros(0, dtype=np.int32)
+        self.length = np.zeros(0, dtype=np.int32)
         self.ids = np.zeros(0, dtype=np.int32)
         pieces = ["Ab", "ab", "a.b", "...", "'s"]
         self.by_word = all(
@@ -101,7 +105,9 @@ class Encoder:
             part in text and token in text.lower() for part, token in self.added)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for a in range(0, len(texts), STEP_PIECES)
+                for e in self.tokenizer.encode_batch_fast(texts[a:a + STEP_PIECES],
+                                                          add_special_tokens=False)]
 
     def _pieces(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words, cut once more before a tail of ASCII punctuation that
@@ -124,7 +130,8 @@ class Encoder:
         fresh = np.array([t for x in every for t in x], dtype=np.int32)
         buffer = np.concatenate([self.ids, fresh])
         begin = len(self.ids) + np.cumsum(length) - length
-        if len(self.known) + len(pieces) <= REMEMBERED:
+        if len(self.known) + len(pieces) <= REMEMBERED \
+                and len(buffer) <= REMEMBERED * REMEMBERED_IDS:
             at = np.searchsorted(self.known, hashes)
             self.known = np.insert(self.known, at, hashes)
             self.begin = np.insert(self.begin, at, begin)
@@ -221,6 +228,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
 def read_tokens(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """part, at, doc_id, n_tokens, ids; filters on doc_id skip stripes."""
+    short_batches(spark)
     return spark.read.schema(_schema(id_type)).orc(path)
 
 
