@@ -8,6 +8,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,6 +196,50 @@ def test_trie_holds_its_phrases_alone():
     assert (trie.step(np.zeros(1, np.int32), trie.numbers(np.array([5], np.uint64))) == -1).all()
 
 
+def test_words_are_written_in_short_rows(spark):
+    """Readers hold a batch of rows at once, whatever the texts' size; only a
+    piece without an end makes a longer row."""
+    text = "one two three four. " * 5000
+    frame = spark.createDataFrame([("en", text), ("en", "w " * 3000), ("fr", text), (None, None)],
+                                  "lang string, text string").coalesce(1)
+    phrases.ship(spark)
+    words, steps = phrases.encode(frame, phrases.scratch(spark, "test-phrases"))
+    sizes = sorted(r[0] for r in steps.select(F.size("words")).collect())
+    assert sum(sizes) == 2 * 25_001 + 3002
+    assert sizes[-1] <= 3001 + phrases.ROW_WORDS + 5
+    assert sizes[-2] <= phrases.ROW_WORDS + 5
+    assert all(r.words[-1] == 0 for r in steps.collect())
+    assert {(r.lang, r.word): r.n for r in words.collect()}["en", "two"] == 5000
+
+
+def test_rows_of_a_batch_make_steps():
+    rows = [[1] * 9 + [0], [2, 0], [3] * (phrases.STEP_WORDS + 7) + [0], [0], [4, 5, 0]]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64()))], names=["words"])
+    steps = [h.tolist() for h in phrases._sequences(batch.slice(1))]
+    assert steps == [rows[1], rows[2], rows[3] + rows[4]]
+    assert list(phrases._sequences(batch.slice(0, 0))) == []
+
+
+def test_block_counts_what_its_places_begin_with():
+    """Each place counts for all phrases on its way through the trie."""
+    rng = np.random.default_rng(5)
+    rows = np.unique(rng.integers(1, 40, (4000, 3)), axis=0)
+    rows[::3, 2] = 0
+    rows = np.unique(rows, axis=0)
+    n = rng.integers(1, 1 << 40, len(rows))
+    want = Counter()
+    for row, times in zip(rows.tolist(), n.tolist()):
+        want[row[0], row[1], 0] += times
+        if row[2]:
+            want[tuple(row)] += times
+    least = sorted(want.values())[len(want) // 2]
+    got = phrases.count_block(pa.table({"h1": rows[:, 0], "h2": rows[:, 1], "h3": rows[:, 2],
+                                        "n": n}), least)
+    assert {(r["h1"], r["h2"], r["h3"]): r["n"] for r in got.to_pylist()} == {
+        p: x for p, x in want.items() if x >= least}
+    assert got.num_rows > 100
+
+
 def test_bitmap_holds_its_numbers_alone(spark):
     rng = np.random.default_rng(1)
     numbers = np.unique(np.append(rng.integers(0, phrases.BUCKETS, 5000),
