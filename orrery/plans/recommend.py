@@ -164,14 +164,16 @@ def als_estimator(blocks: int = 10):
     return ALS(userCol="user_id", itemCol="item_id", ratingCol="rating",
                rank=config.ALS_RANK, maxIter=config.ALS_MAX_ITER,
                regParam=config.ALS_REG_PARAM, coldStartStrategy="drop", seed=config.SEED,
-               numUserBlocks=blocks, numItemBlocks=blocks)
+               numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1)
 
 
 def train_als(train: DataFrame, blocks: int | None = None):
     """M2: explicit-feedback ALS on the training split; blocks default to the
-    cluster's default parallelism. Factor RDDs are checkpointed every 10
-    iterations into the shared checkpoint folder (MLlib's default interval),
-    which keeps the lineage short and survives lost executors."""
+    cluster's default parallelism. The item factors are checkpointed in every
+    iteration into the shared checkpoint folder, which keeps the lineage short
+    and survives lost executors; MLlib then deletes the checkpoint before and
+    the shuffle files that led to this one, so the disk holds those of about
+    one iteration (of ten with its default interval)."""
     blocks = blocks or max(1, train.sparkSession.sparkContext.defaultParallelism)
     return als_estimator(blocks).fit(train)
 

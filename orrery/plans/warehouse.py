@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from orrery import config
 from orrery.plans import recommend, silver, star
 from orrery.plans.analytics import Gold
-from orrery.session import unique_name, work_root
+from orrery.session import release, unique_name, work_root
 from orrery.sources import files, fixtures
 from orrery.sources.catalog import Catalog, run_validated_job, stage_validated_job
 
@@ -264,6 +264,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             wh.run()
             (spark.createDataFrame([(root,)], _READY_SCHEMA).coalesce(1).write
              .json(f"{base}/ready/build={unique_name('r')}"))
+            release(spark)  # the build's shuffles, before the queries' own
         else:
             wh = Warehouse(spark, sf_dir, root)
         _BUILT[key] = wh

@@ -21,7 +21,7 @@ from orrery.plans import recommend as R
 from orrery.plans import silver as S
 from orrery.plans import star as G
 from orrery.plans.warehouse import Warehouse, fingerprint, gold, in_parallel, warehouse
-from orrery.session import unique_name, work_root
+from orrery.session import release, unique_name, work_root
 from orrery.sources import files, fixtures
 from orrery.sources.catalog import Catalog, PublishError, run_validated_job
 
@@ -582,6 +582,9 @@ def als_model(spark, sf):
         path = work_root(spark, "models", unique_name("als"))
         R.train_als(train).write().overwrite().save(path)
         _MODELS[key] = path
+        model = ALSModel.load(path)
+        release(spark)  # the last iteration's shuffles and the trained blocks
+        return model
     return ALSModel.load(_MODELS[key])
 
 

@@ -1,5 +1,8 @@
 """Recommender chain properties (ALS output cannot be reproduced in SQL)."""
 
+import re
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -91,3 +94,48 @@ def test_point_lookup_is_ordered(spark, sf_small):
     uid = g.recommendations.first().user_id
     ranks = [r["rank"] for r in A.user_recommendations(g, [uid]).collect()]
     assert ranks == sorted(ranks) and ranks[0] == 1
+
+
+def _shuffles(spark):
+    """Numbers of the shuffles that have files."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager() \
+        .getAllFiles().mkString(" ")
+    return set(re.findall(r"shuffle_(\d+)_", files))
+
+
+def _left(spark, before, most, seconds=20):
+    """The new shuffles that have files, once they are ``most`` or the time is over."""
+    until = time.time() + seconds
+    while len(_shuffles(spark) - before) > most and time.time() < until:
+        time.sleep(0.2)
+    return len(_shuffles(spark) - before)
+
+
+def test_training_leaves_the_shuffles_of_an_iteration(spark):
+    """Each iteration shuffles the factors twice; the files of earlier ones go
+    while the model trains."""
+    from orrery.session import release
+
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(int(i), int(j), float(i % 5 + j % 3)) for i in range(40)
+                                for j in range(30) if rng.random() < 0.5],
+                               "user_id int, item_id int, rating float")
+    release(spark)
+    time.sleep(1)
+    before = _shuffles(spark)
+    model = R.train_als(df, blocks=2)
+    assert _left(spark, before, 6) <= 6
+    assert model.userFactors.count() == 40
+
+
+def test_released_shuffles_are_deleted(spark):
+    from orrery.session import release
+
+    release(spark)
+    time.sleep(1)
+    before = _shuffles(spark)
+    for _ in range(5):
+        assert spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    assert len(_shuffles(spark) - before) > 0
+    release(spark)
+    assert _left(spark, before, 2) <= 2  # those of the last job
