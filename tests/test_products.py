@@ -1,9 +1,12 @@
 """Exact top products against all pairs."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
 from orrery.operators.products import top_products
+from orrery.session import work_root
 
 
 def factors(spark, values, first=0):
@@ -94,3 +97,26 @@ def test_items_beside_whole_groups(spark):
         for r in got:
             assert np.allclose(r.scores, [x for _, x in want[r.id]], rtol=1e-4, atol=1e-4)
             assert every or r.ids == [j for j, _ in want[r.id]]
+
+
+@pytest.mark.parametrize("every", [False, True])
+def test_states_of_earlier_chunks_are_deleted(spark, every):
+    """The disk holds the last state and those users that were done before,
+    each once, however many chunks there are; the rows can be read again."""
+    rng = np.random.default_rng(11)
+    items = rng.normal(0, 1, (400, 8)) * np.geomspace(3, 0.01, 400)[:, None]
+    items[0] = 100  # who has a positive product with it is soon done
+    users = np.abs(rng.normal(0, 1, (64, 8))) * np.where(np.arange(64) % 2, 1, -1)[:, None]
+    scratch = Path(work_root(spark, "scratch").removeprefix("file:"))
+    before = set(scratch.glob("products-*"))
+    found = top_products(factors(spark, users), factors(spark, items), 3, chunk=40, every=every)
+    root, = set(scratch.glob("products-*")) - before
+    assert [p.name for p in root.glob("state-*")] == ["state-8"]
+    done = [spark.read.parquet(str(p)).count() for p in root.glob("done-*")]
+    assert sum(done) == 0 if every else 0 < sum(done) <= 64
+    want = plain(users, items, 3)
+    for _ in range(2):
+        got = found.collect()
+        assert sorted(r.id for r in got) == list(range(64))
+        for r in got:
+            assert np.allclose(r.scores, [x for _, x in want[r.id]], rtol=1e-4, atol=1e-4)
