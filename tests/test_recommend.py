@@ -96,6 +96,22 @@ def test_point_lookup_is_ordered(spark, sf_small):
     assert ranks == sorted(ranks) and ranks[0] == 1
 
 
+def test_candidate_rules_count_what_is_broken(spark):
+    """Each rule on planted lists; only products go through the join."""
+    kind = "user_id int, recommendations array<struct<item_id int, rating float>>"
+    a = spark.createDataFrame([(1, [(1, 3.0), (2, 1.0)]), (2, [(1, 2.0), (1, 1.0)]),
+                               (3, [(4, 1.0)]), (4, []), (5, [(7, 1.0), (8, 0.5)]),
+                               (7, [(1, 1.0), (2, -2.0)])], kind)
+    b = spark.createDataFrame([(1, [(1, 3.0), (9, 1.0)]), (2, [(1, 2.0), (3, 1.0)]),
+                               (3, [(4, 1.5)]), (4, [(5, 1.0)]), (6, [(1, 1.0)]),
+                               (7, [(1, 1.0), (2, -2.1)])], kind)
+    rules = R.candidate_rules(a, b)
+    assert {r.rule: r.violations for r in rules.collect()} == {
+        "user missing": 2, "length": 1, "product": 2, "item twice": 1}
+    plan = rules._jdf.queryExecution().analyzed().toString()
+    assert "Join FullOuter" in plan and not re.search(r"recommendations#\d+ AS", plan)
+
+
 def _shuffles(spark):
     """Numbers of the shuffles that have files."""
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager() \
